@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..params import SQL_KEYWORDS
 
 WS = "[\\t\\n\\x0B\\f\\r ]"
+WS_CHARS = " \t\n\x0b\x0c\r"
 # Literal-aware comment pattern: a quoted string is matched (group 1) and put
 # back, a comment is matched without group 1 and dropped. The string branch is
 # written as an unrolled loop so long literals do not recurse in Java regex.
@@ -37,18 +38,27 @@ def _col(c) -> Column:
 
 
 def py_strip(c) -> Column:
-    """T4: strip leading/trailing whitespace (``str.strip`` on ASCII blanks)."""
-    return F.regexp_replace(_col(c), f"\\A{WS}+|{WS}+\\z", "")
+    """T4: strip leading/trailing whitespace (``str.strip`` on ASCII blanks).
+
+    ``btrim`` with an explicit character set: no regex scan of the interior.
+    """
+    return F.btrim(_col(c), F.lit(WS_CHARS))
+
+
+def _guarded(c: Column, marker: str, pattern: str, repl: str) -> Column:
+    # A regex that needs a literal marker cannot match text without it; the
+    # substring test is far cheaper than a regex scan of long text.
+    return F.when(c.contains(marker), F.regexp_replace(c, pattern, repl)).otherwise(c)
 
 
 def strip_think(c) -> Column:
     """Delete every ``<think>…</think>`` block (dot-all, lazy)."""
-    return F.regexp_replace(_col(c), THINK_BLOCK, "")
+    return _guarded(_col(c), "</think>", THINK_BLOCK, "")
 
 
 def unwrap_answer(c) -> Column:
     """Replace ``<answer>x</answer>`` by ``x``."""
-    return F.regexp_replace(_col(c), ANSWER_BLOCK, "$1")
+    return _guarded(_col(c), "</answer>", ANSWER_BLOCK, "$1")
 
 
 def _first_group_or_keep(s: Column, pattern: str) -> Column:
@@ -62,9 +72,21 @@ def extract_sql(c) -> Column:
     think-block removal → answer unwrap → strip → first ```sql fenced body if
     the text has a ```sql marker (if that fence does not match, the text is
     kept and the plain fence is *not* tried) → else first plain fenced body →
-    strip.
+    strip. For long columns prefer :func:`extract_sql_stage1` materialised in
+    its own column, then :func:`extract_sql_stage2` on it (the stage-1 value is
+    referenced several times in stage 2).
     """
-    s = py_strip(unwrap_answer(strip_think(c)))
+    return extract_sql_stage2(extract_sql_stage1(c))
+
+
+def extract_sql_stage1(c) -> Column:
+    """T1 → T2 → strip."""
+    return py_strip(unwrap_answer(strip_think(c)))
+
+
+def extract_sql_stage2(s) -> Column:
+    """Fenced-body selection → strip, on the stage-1 text."""
+    s = _col(s)
     fenced = (
         F.when(F.lower(s).contains("```sql"), _first_group_or_keep(s, SQL_FENCE))
         .when(s.contains("```"), _first_group_or_keep(s, PLAIN_FENCE))
@@ -104,11 +126,30 @@ def quality(sql, keywords=SQL_KEYWORDS) -> Column:
     Operations are ordered as in the rule (subtract, then add) so the doubles
     are bit-identical to the step-by-step definition.
     """
-    base = F.lit(1.0) - F.when(token_count(sql) < 3, F.lit(0.3)).otherwise(F.lit(0.0))
-    bonus = F.lit(0.1) * F.least(keyword_count(sql, keywords), F.lit(3)).cast("double")
+    return quality_from_counts(token_count(sql), keyword_count(sql, keywords))
+
+
+def quality_from_counts(n_tokens, n_keywords) -> Column:
+    """T8 on precomputed token and keyword counts."""
+    base = F.lit(1.0) - F.when(_col(n_tokens) < 3, F.lit(0.3)).otherwise(F.lit(0.0))
+    bonus = F.lit(0.1) * F.least(_col(n_keywords), F.lit(3)).cast("double")
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), base + bonus))
 
 
+def drop_comments(sql) -> Column:
+    """``--`` and ``/* */`` comments removed, string literals kept intact."""
+    c = _col(sql)
+    return F.when(c.contains("--") | c.contains("/*"), F.regexp_replace(c, COMMENT_KEEP_STRINGS, "$1")).otherwise(c)
+
+
+def fold_case(sql) -> Column:
+    """Lower-case everything outside single-quoted literals (even split parts)."""
+    c = _col(sql)
+    parts = F.split(c, "'", -1)
+    folded = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.lower(x)).otherwise(x)), "'")
+    return F.when(c.contains("'"), folded).otherwise(F.lower(c))
+
+
 def normalize_sql(sql) -> Column:
     """Drop comments (not inside string literals), fold case outside
     literals, collapse whitespace, strip.
@@ -116,10 +157,7 @@ def normalize_sql(sql) -> Column:
     Case is folded to lower for keywords and names alike; the normalised text
     is only compared, so one direction suffices.
     """
-    s = F.regexp_replace(_col(sql), COMMENT_KEEP_STRINGS, "$1")
-    parts = F.split(s, "'", -1)
-    s = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.lower(x)).otherwise(x)), "'")
-    return py_strip(F.regexp_replace(s, f"{WS}+", " "))
+    return py_strip(F.regexp_replace(fold_case(drop_comments(sql)), f"{WS}+", " "))
 
 
 def tokens(norm) -> Column:
@@ -127,15 +165,28 @@ def tokens(norm) -> Column:
     return F.array_distinct(F.filter(F.split(_col(norm), " "), lambda t: t != ""))
 
 
-def token_jaccard(a_norm, b_norm) -> Column:
-    """Jaccard similarity of the token sets; 0.0 if either set is empty."""
-    a, b = tokens(a_norm), tokens(b_norm)
+def sql_tokens(sql) -> Column:
+    """``tokens(normalize_sql(sql))`` without building the normalised string."""
+    return F.array_distinct(F.filter(F.split(fold_case(drop_comments(sql)), f"{WS}+"), lambda t: t != ""))
+
+
+def jaccard_sets(a, b) -> Column:
+    """Jaccard of two distinct-token arrays; 0.0 if either is empty.
+
+    Pass materialised array columns: each argument is referenced three times.
+    """
+    a, b = _col(a), _col(b)
     return (
         F.when((F.size(a) == 0) | (F.size(b) == 0), F.lit(0.0))
         .otherwise(F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b)))
     )
 
 
+def token_jaccard(a_norm, b_norm) -> Column:
+    """Jaccard similarity of the token sets; 0.0 if either set is empty."""
+    return jaccard_sets(tokens(a_norm), tokens(b_norm))
+
+
 def preview(c, n: int = 100, ellipsis: bool = False) -> Column:
     """First ``n`` characters (code points); optionally always append ``...``."""
     head = F.substring(_col(c), 1, n)

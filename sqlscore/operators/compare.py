@@ -65,24 +65,39 @@ def match_columns(gen_ok, ref_ok, gen_rows, ref_rows, inter, uni):
     return exact, sim
 
 
+def pair_stats(rows: DataFrame, keys: list[str], side_col: str = "side", row_col: str = "cell") -> DataFrame:
+    """Counts and distinct-row overlap per key in one pass over the rows.
+
+    ``groupBy(key, row)`` counts each side (map-side combined), then
+    ``groupBy(key)`` sums: ``gen_rows``, ``ref_rows``, ``inter`` (rows present
+    on both sides) and ``uni`` (distinct rows on either side).
+    """
+    per_row = rows.groupBy(*keys, row_col).agg(
+        F.count_if(F.col(side_col) == "gen").alias("_g"),
+        F.count_if(F.col(side_col) == "ref").alias("_r"),
+    )
+    return per_row.groupBy(*keys).agg(
+        F.sum("_g").alias("gen_rows"),
+        F.sum("_r").alias("ref_rows"),
+        F.count_if((F.col("_g") > 0) & (F.col("_r") > 0)).alias("inter"),
+        F.count(F.lit(1)).alias("uni"),
+    )
+
+
 def compare_pairs(status: DataFrame, rows: DataFrame, keys: list[str], side_col: str = "side",
                   row_col: str = "cell", gen_ok: str = "gen_success", ref_ok: str = "ref_success") -> DataFrame:
     """X2/X3 for many pairs: ``status`` (one row per key with the two success
-    flags) ⟕ counts ⟕ overlap → ``gen_rows, ref_rows, exact_match, similarity``.
+    flags) ⟕ :func:`pair_stats` → ``gen_rows, ref_rows, exact_match, similarity``.
 
-    Counts come from ``status`` ⟕ counts, so a side with no rows counts 0 and
-    "both empty" stays an exact match. Rows of failed pairs and of pairs with
-    different counts are dropped *before* the row-level shuffle.
+    A side with no rows counts 0, so "both empty" stays an exact match. Rows
+    are read once; both aggregates are partial, so a key holding a large share
+    of all rows is combined before each shuffle.
     """
-    counts = side_counts(rows, keys, side_col)
-    st = status.join(counts, keys, "left").withColumns({
+    stats = pair_stats(rows, keys, side_col, row_col)
+    out = status.join(stats, keys, "left").withColumns({
         "gen_rows": F.coalesce(F.col("gen_rows"), F.lit(0)).cast("bigint"),
         "ref_rows": F.coalesce(F.col("ref_rows"), F.lit(0)).cast("bigint"),
     })
-    eligible = st.where(F.col(gen_ok) & F.col(ref_ok) & (F.col("gen_rows") == F.col("ref_rows")) & (F.col("gen_rows") > 0))
-    kept = rows.join(eligible.select(*keys), keys, "left_semi")
-    overlap = set_overlap(kept, keys, side_col, row_col)
-    out = st.join(overlap, keys, "left")
     exact, sim = match_columns(F.col(gen_ok), F.col(ref_ok), F.col("gen_rows"), F.col("ref_rows"),
                                F.col("inter"), F.col("uni"))
     return out.withColumns({"exact_match": exact, "similarity": sim}).drop("inter", "uni")
@@ -128,8 +143,10 @@ def compare_results(gen: DataFrame, ref: DataFrame, gen_ok: bool = True, ref_ok:
     from .ranking import exact_positions
 
     def long(df, side):
-        return df.select(F.lit(0).alias("_pair"), F.lit(side).alias("side"), row_cells(df).alias("cells"),
-                         *([F.col(c) for c in order_by] if order_by else []))
+        # positional names: duplicate or differing column names compare by position
+        pos = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+        keys = [F.col(f"_c{df.columns.index(c)}").alias(c) for c in (order_by or [])]
+        return pos.select(F.lit(0).alias("_pair"), F.lit(side).alias("side"), row_cells(pos).alias("cells"), *keys)
 
     rows = long(gen, "gen").unionByName(long(ref, "ref"))
     status = rows.sparkSession.range(1).select(

@@ -116,17 +116,20 @@ def q_syntax_valid(spark, sf_dir):
 
 @register("token_count", _q(*O.BASE) + f"SELECT sample_id, gen_idx, CAST({O.token_count('sql')} AS BIGINT) AS token_count FROM texted")
 def q_token_count(spark, sf_dir):
-    return texted(spark, sf_dir).select(*KEYS, _big(T.token_count(C.SQL)).alias("token_count"))
+    return texted(spark, sf_dir).select(*KEYS, _big(F.col(C.N_TOK)).alias("token_count"))
 
 
 @register("keyword_count", _q(*O.BASE) + f"SELECT sample_id, gen_idx, CAST({O.keyword_count('sql')} AS BIGINT) AS keyword_count FROM texted")
 def q_keyword_count(spark, sf_dir):
-    return texted(spark, sf_dir).select(*KEYS, _big(T.keyword_count(C.SQL)).alias("keyword_count"))
+    return texted(spark, sf_dir).select(*KEYS, _big(F.col(C.N_KW)).alias("keyword_count"))
 
 
-@register("quality", _q(*O.BASE) + f"SELECT sample_id, gen_idx, {O.quality('sql')} AS quality FROM texted WHERE length(sql) > 0")
+@register("quality", _q(*O.BASE) + f"SELECT sample_id, gen_idx, CASE WHEN length(sql) > 0 THEN {O.quality('sql')} END AS quality FROM texted")
 def q_quality(spark, sf_dir):
-    return texted(spark, sf_dir).where(T.syntax_valid(C.SQL)).select(*KEYS, T.quality(C.SQL).alias("quality"))
+    """T8 of every candidate's SQL (NULL when the extracted SQL is empty)."""
+    df = texted(spark, sf_dir)
+    q = T.quality_from_counts(F.col(C.N_TOK), F.col(C.N_KW))
+    return df.select(*KEYS, F.when(T.syntax_valid(C.SQL), q).alias("quality"))
 
 
 @register("syntax_score", _q(*O.BASE) + f"""
@@ -157,7 +160,7 @@ def q_normalize_sql_documents(spark, sf_dir):
 
 @register("token_jaccard", _q(*O.BASE) + f"SELECT sample_id, gen_idx, {O.jaccard('gen_tokens', 'ref_tokens')} AS token_jaccard FROM texted")
 def q_token_jaccard(spark, sf_dir):
-    return texted(spark, sf_dir).select(*KEYS, T.token_jaccard(F.col(C.GEN_NORM), F.col(C.REF_NORM)).alias("token_jaccard"))
+    return texted(spark, sf_dir).select(*KEYS, T.jaccard_sets(C.GEN_TOK, C.REF_TOK).alias("token_jaccard"))
 
 
 @register("token_jaccard_documents", f"""
@@ -166,12 +169,23 @@ d2 AS (SELECT doc_id, {O.tokens(O.fold_collapse('c'))} AS tk FROM d1)
 SELECT a.doc_id, b.doc_id AS next_doc_id, {O.jaccard('a.tk', 'b.tk')} AS token_jaccard
 FROM d2 a JOIN d2 b ON b.doc_id = a.doc_id + 1""")
 def q_token_jaccard_documents(spark, sf_dir):
-    """T11 between each document and the next one (equi-join on doc_id + 1)."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", T.normalize_sql(F.col("text")).alias("n"))
-    a = docs.select("doc_id", F.col("n").alias("na"))
-    b = docs.select(F.col("doc_id").alias("next_doc_id"), F.col("n").alias("nb"))
-    j = a.join(b, b.next_doc_id == a.doc_id + 1)
-    return j.select("doc_id", "next_doc_id", T.token_jaccard(F.col("na"), F.col("nb")).alias("token_jaccard"))
+    """T11 between each document and the next one by doc_id.
+
+    Tokens are computed once per document; each token set is emitted under
+    its own id and under the previous id, and one shuffle on that key pairs
+    neighbours (at most two rows per key).
+    """
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", T.sql_tokens(F.col("text")).alias("tk"))
+    both = docs.select(F.explode(F.array(
+        F.struct(F.col("doc_id").alias("k"), F.lit(0).alias("r"), F.col("tk")),
+        F.struct((F.col("doc_id") - 1).alias("k"), F.lit(1).alias("r"), F.col("tk")),
+    )).alias("e")).select("e.*")
+    pairs = both.groupBy("k").agg(
+        F.first(F.when(F.col("r") == 0, F.col("tk")), ignorenulls=True).alias("ta"),
+        F.first(F.when(F.col("r") == 1, F.col("tk")), ignorenulls=True).alias("tb"),
+    ).where(F.col("ta").isNotNull() & F.col("tb").isNotNull())
+    return pairs.select(F.col("k").alias("doc_id"), (F.col("k") + 1).alias("next_doc_id"),
+                        T.jaccard_sets("ta", "tb").alias("token_jaccard"))
 
 
 @register("semantic_score", _q(*O.BASE) + f"""
