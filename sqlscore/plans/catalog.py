@@ -404,7 +404,8 @@ def q_score_distinct(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
 
     def score_fn(keys: DataFrame) -> DataFrame:
-        k = keys.withColumn(C.SQL, T.extract_sql(F.col("text")))
+        k = keys.withColumn("_s1", T.extract_sql_stage1(F.col("text")))
+        k = C.with_syntax_columns(k.withColumn(C.SQL, T.extract_sql_stage2(F.col("_s1"))))
         s, _ = C.syntax_scorer()(k)
         return k.withColumn("syntax_score", s)
 
