@@ -725,3 +725,45 @@ def q_write_eval_summary(spark, sf_dir):
     path = os.path.join(ensure_checkpoint_dir(spark), "eval_summary", uuid.uuid4().hex)
     write_eval_summary(summary, path)
     return spark.read.schema(summary.schema).json(path)
+
+
+# ---- X1: real execution ---------------------------------------------------------------------
+
+@register("run_query_batch", _q(O.CANDIDATES) + r"""
+, rr AS (
+  SELECT c.sample_id, c.gen_idx, 'ref' AS side, o.o_orderkey AS cell
+  FROM candidates c JOIN orders o ON o.o_custkey = c.sample_id
+  UNION ALL
+  SELECT c.sample_id, c.gen_idx, 'gen' AS side,
+    CASE WHEN c.v = 6 AND o.o_orderkey % 2 = 0 THEN o.o_orderkey + 1000000 ELSE o.o_orderkey END AS cell
+  FROM candidates c JOIN orders o ON o.o_custkey = c.sample_id
+  WHERE c.v NOT IN (7, 8) AND NOT (c.v = 5 AND o.o_orderkey % 3 = 0)),
+cnt AS (SELECT sample_id, gen_idx, count(*) FILTER (WHERE side = 'gen') AS gen_rows,
+               count(*) FILTER (WHERE side = 'ref') AS ref_rows FROM rr GROUP BY sample_id, gen_idx),
+mk AS (SELECT sample_id, gen_idx, cell, max(CAST(side = 'gen' AS INTEGER)) AS g, max(CAST(side = 'ref' AS INTEGER)) AS r
+       FROM rr GROUP BY sample_id, gen_idx, cell),
+ov AS (SELECT sample_id, gen_idx, sum(g * r) AS inter, count(*) AS uni FROM mk GROUP BY sample_id, gen_idx),
+m AS (SELECT c.sample_id, c.gen_idx, c.v NOT IN (7, 8) AS gen_success, true AS ref_success,
+             CASE WHEN c.v IN (7, 8) THEN 0 ELSE coalesce(cnt.gen_rows, 0) END AS gen_rows, coalesce(cnt.ref_rows, 0) AS ref_rows,
+             coalesce(ov.inter, 0) AS inter, coalesce(ov.uni, 0) AS uni
+      FROM candidates c LEFT JOIN cnt USING (sample_id, gen_idx) LEFT JOIN ov USING (sample_id, gen_idx)),
+x AS (SELECT *, gen_success AND ref_success AND gen_rows = ref_rows AND inter = uni AS exact_match,
+        CASE WHEN NOT (gen_success AND ref_success) THEN CAST(0 AS DOUBLE)
+             WHEN gen_rows <> ref_rows THEN (least(gen_rows, ref_rows) / greatest(gen_rows, ref_rows)) * CAST(0.3 AS DOUBLE)
+             WHEN inter = uni THEN CAST(1 AS DOUBLE) ELSE inter / uni END AS similarity FROM m)
+SELECT sample_id, gen_idx, gen_success, ref_success, CAST(gen_rows AS BIGINT) AS gen_rows, CAST(ref_rows AS BIGINT) AS ref_rows,
+  exact_match, similarity,
+  CASE WHEN NOT gen_success THEN CAST(-0.6 AS DOUBLE) WHEN exact_match THEN CAST(1 AS DOUBLE)
+       ELSE similarity * CAST(0.7 AS DOUBLE) - CAST(0.3 AS DOUBLE) END AS execution_score
+FROM x""")
+def q_run_query_batch(spark, sf_dir):
+    """X1 end to end: every distinct candidate and reference query executed
+    against the driver tables (one lateral job per query template), then
+    compared and scored (X2/X3/X7)."""
+    from ..sources.executor import execute_candidates
+    from ..sources.tables import register_tables
+    register_tables(spark, sf_dir)
+    df = execute_candidates(spark, texted(spark, sf_dir), KEYS)
+    s, _ = C.execution_scorer()(df)
+    return df.select(*KEYS, "gen_success", "ref_success", "gen_rows", "ref_rows", "exact_match", "similarity",
+                     s.alias("execution_score"))
