@@ -1,0 +1,5 @@
+"""Streaming entry points (the scoring rules applied to streaming DataFrames)."""
+
+from .scoring import reward_monitor_stream, score_stream, score_stream_with_execution
+
+__all__ = ["reward_monitor_stream", "score_stream", "score_stream_with_execution"]
