@@ -209,8 +209,12 @@ class _Runner:
                 self.failures.append((qid, False, err, cls, time.perf_counter() - t0))
 
     # -- a template group ------------------------------------------------------------
-    def run_template(self, tpl: str, members: DataFrame, slot_stats: list, n: int = 1) -> bool:
-        """Run all members of one template as one lateral job; False → fall back."""
+    def run_template(self, tpl: str, members: DataFrame, slot_stats: list, probe: tuple[str, str]):
+        """Plan one template as a lateral join and verify it on one member.
+
+        Returns ``(rows DataFrame, view name)`` ready to write, or ``None`` when
+        the template must fall back to single runs.
+        """
         body, _, kinds_txt = tpl.rpartition("\n--kinds:")
         kinds = kinds_txt.split(",") if kinds_txt else []
         varying, text = [], body
@@ -224,7 +228,7 @@ class _Runner:
                 text = text.replace(marker, f"__params.__p{k}")
                 varying.append((k, typ))
         if FORBIDDEN.search(text):
-            return False
+            return None
         view = "__params_" + uuid.uuid4().hex[:12]
         pcols = [F.get(F.col("slot_val"), k).cast(typ).alias(f"__p{k}") for k, typ in varying]
         members.select(F.col("query_id").alias("__qid"), *pcols).createOrReplaceTempView(view)
@@ -234,19 +238,45 @@ class _Runner:
             out = self._capped(self._with_cells(self.spark.sql(lateral), True, None))
             # verify one member against its own execution: a decorrelation
             # that changes results sends the whole template to the slow path
-            probe = members.select("query_id", "query").first()
             got = [r["cells"] for r in self._run_tagged(
-                lambda: out.where(F.col("query_id") == probe["query_id"]).orderBy("row_idx").collect(),
+                lambda: out.where(F.col("query_id") == probe[0]).orderBy("row_idx").collect(),
                 self.p.timeout_seconds)]
-            if got != self.single_rows(probe["query_id"], probe["query"]):
-                return False
-            budget = self.p.timeout_seconds * max(1, n)
-            self._run_tagged(lambda: out.write.mode("append").parquet(self.rows_path), budget)
-            return True
+            if got != self.single_rows(probe[0], probe[1]):
+                raise ValueError("lateral result differs from single run")
+            return out, view
+        except Exception:  # noqa: BLE001
+            self.spark.catalog.dropTempView(view)
+            return None
+
+    def write_templates(self, ready: list) -> list:
+        """Write verified templates in one job; on failure, one by one.
+
+        Returns the indexes (into ``ready``) that could not be written.
+        """
+        if not ready:
+            return []
+        n = sum(x[2] for x in ready)
+        budget = self.p.timeout_seconds * max(1, n)
+        try:
+            union = ready[0][0]
+            for out, _, _ in ready[1:]:
+                union = union.unionByName(out)
+            self._run_tagged(lambda: union.write.mode("append").parquet(self.rows_path), budget)
+            bad = []
         except Exception:  # noqa: BLE001
-            return False
-        finally:
+            bad = []
+            if len(ready) > 1:
+                for i, (out, _, m) in enumerate(ready):
+                    try:
+                        self._run_tagged(lambda: out.write.mode("append").parquet(self.rows_path),
+                                         self.p.timeout_seconds * max(1, m))
+                    except Exception:  # noqa: BLE001
+                        bad.append(i)
+            else:
+                bad = [0]
+        for _, view, _ in ready:
             self.spark.catalog.dropTempView(view)
+        return bad
 
     def flush(self) -> None:
         with self.lock:
@@ -277,22 +307,32 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
         t0 = time.perf_counter()
         t = t.checkpoint(eager=True)        # one tokenisation, stable under retries
         LOG.info("templatized in %.2fs", time.perf_counter() - t0)
-        groups = t.groupBy("template").agg(F.count(F.lit(1)).alias("n"))
+        groups = t.groupBy("template").agg(F.count(F.lit(1)).alias("n"),
+                                           F.min_by(F.struct("query_id", "query"), "query_id").alias("probe"))
         stats = (t.select("template", F.posexplode("slot_val").alias("k", "v"), "slot_raw")
                  .groupBy("template", "k")
                  .agg(F.count_distinct("v").alias("nd"), F.min(F.get(F.col("slot_raw"), F.col("k"))).alias("raw")))
         stats = stats.groupBy("template").agg(F.array_sort(F.collect_list(F.struct("k", "nd", "raw"))).alias("slots"))
         plan = groups.where(F.col("n") > 1).join(stats, "template", "left").orderBy(F.desc("n"))
         failed: list[str] = []
+        ready: list = []
         for row in plan.toLocalIterator():      # one row per shared template, streamed
             members = t.where(F.col("template") == row["template"]).select("query_id", "query", "slot_val")
-            slot_stats = [(s["nd"], s["raw"]) for s in (row["slots"] or [])]
+            slot_stats = [(x["nd"], x["raw"]) for x in (row["slots"] or [])]
             t1 = time.perf_counter()
-            if runner.run_template(row["template"], members, slot_stats, row["n"]):
-                LOG.info("template with %d members ran in %.2fs", row["n"], time.perf_counter() - t1)
-            else:
-                LOG.info("template with %d members falls back to single runs", row["n"])
+            got = runner.run_template(row["template"], members, slot_stats, (row["probe"][0], row["probe"][1]))
+            LOG.info("template with %d members planned in %.2fs (%s)", row["n"], time.perf_counter() - t1,
+                     "ok" if got else "fallback")
+            if got is None:
                 failed.append(row["template"])
+                continue
+            ready.append((got[0], got[1], row["n"], row["template"]))
+            if len(ready) >= 32:                # bounded union per write job
+                failed += [ready[i][3] for i in runner.write_templates([r[:3] for r in ready])]
+                ready = []
+        t1 = time.perf_counter()
+        failed += [ready[i][3] for i in runner.write_templates([r[:3] for r in ready])]
+        LOG.info("templates written in %.2fs", time.perf_counter() - t1)
         # singletons and fallen-back templates: one streamed pass over their members
         alone = groups.where(F.col("n") == 1).select("template")
         if failed:
