@@ -165,20 +165,20 @@ class _Runner:
         result: dict = {}
 
         def target():
-            self.spark.addTag(tag)
+            sc.addJobTag(tag)
             try:
                 result["v"] = fn()
             except Exception as e:  # noqa: BLE001
                 result["e"] = e
             finally:
-                self.spark.removeTag(tag)
+                sc.removeJobTag(tag)
 
         from pyspark import InheritableThread
         t = InheritableThread(target=target)
         t.start()
         t.join(seconds)
         if t.is_alive():
-            self.spark.interruptTag(tag)
+            sc.cancelJobsWithTag(tag)
             t.join()
             raise TimeoutError("Query execution timed out")
         if "e" in result:

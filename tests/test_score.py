@@ -137,3 +137,13 @@ def test_score_distinct_matches_direct(spark):
     direct = fn(docs)
     assert via.select("doc_id", "n").exceptAll(direct.select("doc_id", "n")).count() == 0
     assert via.count() == docs.count()
+
+
+def test_pandas_scorer_registered_by_name(spark):
+    def longer(prompt, completion, answer):
+        return (completion.str.len() >= answer.str.len()).map({True: 1.0, False: -1.0})
+
+    C.register_scorer("longer", C.pandas_scorer(longer, "longer"))
+    df = spark.createDataFrame([("SELECT 1", "SELECT 1"), ("S", "SELECT 1")], "completion string, answer string")
+    out = C.apply_scorer(df, C.score_by_type("longer"))
+    assert [r["score"] for r in out.orderBy(F.length("completion").desc()).collect()] == [1.0, -1.0]
