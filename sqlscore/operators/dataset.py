@@ -81,9 +81,22 @@ def prepare_splits(df: DataFrame, id_col: str, params: DataParams = DataParams()
     return train_test_split(sub, id_col, frac, params.seed, split_col, total=n)
 
 
+TOP_K_LIMIT = 1_000_000   # slices ending below this use a bounded top-k, not a full sort
+
+
 def holdout_slice(df: DataFrame, order_col: str, start: int, end: int, pos_col: str | None = None) -> DataFrame:
-    """Rows at positions [start, end) of source order (ascending ``order_col``)."""
-    ranked = exact_positions(df, [F.col(order_col)], "_pos")
+    """Rows at positions [start, end) of source order (ascending ``order_col``).
+
+    ``end`` ≤ 1M: ``orderBy().limit(end)`` (per-partition top-k, then one
+    bounded merge) and positions inside those rows; larger slices get exact
+    global positions (range-partitioned sort + offsets).
+    """
+    if end <= TOP_K_LIMIT:
+        head = df.orderBy(F.col(order_col)).limit(end)
+        w = Window.orderBy(F.col(order_col))   # at most TOP_K_LIMIT rows
+        ranked = head.withColumn("_pos", F.row_number().over(w) - 1)
+    else:
+        ranked = exact_positions(df, [F.col(order_col)], "_pos")
     out = ranked.where((F.col("_pos") >= start) & (F.col("_pos") < end))
     return out.withColumnRenamed("_pos", pos_col) if pos_col else out.drop("_pos")
 

@@ -45,6 +45,7 @@ TOKEN_RE = (r"(--[^\n]*|/\*.*?\*/|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)"
 TOKEN_RE_S = "(?s)" + TOKEN_RE
 FORBIDDEN = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
 ROWS_SCHEMA = "query_id string, row_idx int, cells array<string>"
+FAIL_SCHEMA = "query_id string, success boolean, error string, error_class string, seconds double"
 LOG = logging.getLogger("sqlscore.executor")
 MARK = "\u0001"   # slot marker in template text (cannot occur in SQL text)
 
@@ -136,6 +137,7 @@ class _Runner:
         self.fail_path = os.path.join(out_dir, "failures")
         self.lock = threading.Lock()
         self.failures: list[tuple] = []
+        self.n_single = 0
 
     # -- one query ------------------------------------------------------------------
     @staticmethod
@@ -279,10 +281,15 @@ class _Runner:
         return bad
 
     def flush(self) -> None:
+        """Append buffered single-run rows and statuses (bounded buffers)."""
         with self.lock:
             rows, self._pending = self._pending, []
+            fails, self.failures = self.failures, []
+            self.n_single += len(fails)
         if rows:
             self.spark.createDataFrame(rows, ROWS_SCHEMA).write.mode("append").parquet(self.rows_path)
+        if fails:
+            self.spark.createDataFrame(fails, FAIL_SCHEMA).write.mode("append").parquet(self.fail_path)
 
     _pending: list
 
@@ -305,7 +312,11 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
             .dropDuplicates(["query_id"])
         t = templatize(q, "query")
         t0 = time.perf_counter()
-        t = t.checkpoint(eager=True)        # one tokenisation, stable under retries
+        # one tokenisation, written sorted by template: lineage is cut, and the
+        # per-template member filters below prune parquet row groups by min/max
+        t_path = os.path.join(base, "templates")
+        t.repartitionByRange("template").sortWithinPartitions("template").write.parquet(t_path)
+        t = spark.read.parquet(t_path)
         LOG.info("templatized in %.2fs", time.perf_counter() - t0)
         groups = t.groupBy("template").agg(F.count(F.lit(1)).alias("n"),
                                            F.min_by(F.struct("query_id", "query"), "query_id").alias("probe"))
@@ -344,15 +355,13 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
                 _run_singles(runner, singles, params)
                 singles = []
         _run_singles(runner, singles, params)
-        LOG.info("%d single runs", len(runner.failures))
+        LOG.info("%d single runs", runner.n_single)
     finally:
         spark.conf.set("spark.sql.runSQLOnFiles", old)
     rows = spark.read.schema(ROWS_SCHEMA).parquet(runner.rows_path) if _exists(spark, runner.rows_path) \
         else spark.createDataFrame([], ROWS_SCHEMA)
-    fails = spark.createDataFrame(runner.failures or [], "query_id string, success boolean, error string, "
-                                  "error_class string, seconds double")
-    fails.write.mode("overwrite").parquet(runner.fail_path)
-    fails = spark.read.parquet(runner.fail_path)
+    fails = spark.read.schema(FAIL_SCHEMA).parquet(runner.fail_path) if _exists(spark, runner.fail_path) \
+        else spark.createDataFrame([], FAIL_SCHEMA)
     counts = rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
     ex = t.select("query_id").join(fails, "query_id", "left").join(counts, "query_id", "left")
     cap = params.max_result_rows

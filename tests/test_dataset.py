@@ -77,3 +77,20 @@ def test_checks(spark):
     r = D.non_empty_fields(df).first()
     assert (r["empty_prompt"], r["empty_answer"]) == (1, 1)
     assert D.non_empty_dataset(df.where("false")).first()["has_rows"] is False
+
+
+def test_exact_positions_any_order(spark):
+    o = orders(spark).repartition(7)
+    got = R.exact_positions(o, [F.col("o_custkey"), F.col("o_orderkey")], "pos")
+    want = [r["o_orderkey"] for r in o.orderBy("o_custkey", "o_orderkey").collect()]
+    rows = got.orderBy("pos").collect()
+    assert [r["pos"] for r in rows] == list(range(len(want)))
+    assert [r["o_orderkey"] for r in rows] == want
+
+
+def test_large_slice_uses_exact_positions(spark, monkeypatch):
+    monkeypatch.setattr(D, "TOP_K_LIMIT", 10)
+    o = orders(spark)
+    sl = D.holdout_slice(o, "o_orderkey", 100, 110, "pos").orderBy("pos").collect()
+    want = o.orderBy("o_orderkey").collect()[100:110]
+    assert [r["o_orderkey"] for r in sl] == [r["o_orderkey"] for r in want]
