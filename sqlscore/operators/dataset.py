@@ -76,6 +76,12 @@ def prepare_splits(df: DataFrame, id_col: str, params: DataParams = DataParams()
     total = df.count()
     want = params.train_size + params.test_size
     sub = take_subset(df, id_col, want, params.seed, params.shuffle, total)
+    if want < total:
+        # cut lineage between the two exact cuts: the split reads the subset
+        # three times (counts, plain rows, boundary bucket)
+        from ..session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        sub = sub.checkpoint(eager=True)
     n = min(want, total)
     frac = params.test_size / (params.train_size + params.test_size)
     return train_test_split(sub, id_col, frac, params.seed, split_col, total=n)

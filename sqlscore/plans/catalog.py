@@ -263,13 +263,13 @@ SELECT sample_id, gen_idx, CAST(inter AS BIGINT) AS inter, CAST(uni AS BIGINT) A
   CASE WHEN uni > 0 THEN inter / uni ELSE CAST(0 AS DOUBLE) END AS jaccard
 FROM matched WHERE gen_success AND ref_success AND gen_rows = ref_rows AND gen_rows > 0""")
 def q_set_match(spark, sf_dir):
+    """X3 for pairs that reach the set comparison (both ran, equal non-zero counts)."""
     cands = FX.candidates(spark, sf_dir)
-    rows = FX.result_rows(spark, sf_dir, cands)
-    counts = X.side_counts(rows, KEYS)
-    eligible = cands.join(counts, KEYS).where(
-        "gen_success AND ref_success AND gen_rows = ref_rows AND gen_rows > 0").select(*KEYS)
-    ov = X.set_overlap(rows.join(eligible, KEYS, "left_semi"), KEYS)
-    return ov.select(*KEYS, _big(F.col("inter")).alias("inter"), _big(F.col("uni")).alias("uni"),
+    stats = X.pair_stats(FX.result_rows(spark, sf_dir, cands), KEYS)
+    flags = cands.select(*KEYS, "gen_success", "ref_success")
+    ok = stats.join(flags, KEYS).where(
+        "gen_success AND ref_success AND gen_rows = ref_rows AND gen_rows > 0")
+    return ok.select(*KEYS, _big(F.col("inter")).alias("inter"), _big(F.col("uni")).alias("uni"),
                      (F.col("inter") == F.col("uni")).alias("sets_equal"),
                      F.when(F.col("uni") > 0, F.col("inter") / F.col("uni")).otherwise(F.lit(0.0)).alias("jaccard"))
 

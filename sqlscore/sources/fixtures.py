@@ -89,18 +89,24 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def result_rows(spark: SparkSession, sf_dir: str, cands: DataFrame | None = None) -> DataFrame:
-    """Rows each side returns: ``sample_id, gen_idx, side, cell``."""
+    """Rows each side returns: ``sample_id, gen_idx, side, cell``.
+
+    One join of candidates with orders; both sides come out of it through a
+    two-element explode (no second join, no second pass over orders).
+    """
     c = cands if cands is not None else candidates(spark, sf_dir)
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     keyed = c.select("sample_id", "gen_idx", "v", "gen_success", "ref_success")
     joined = keyed.join(orders, orders.o_custkey == keyed.sample_id)
-    ok = F.col("o_orderkey")
-    ref = joined.where("ref_success").select("sample_id", "gen_idx", F.lit("ref").alias("side"), ok.alias("cell"))
-    gen = joined.where(F.col("gen_success") & ~((F.col("v") == 5) & (ok % 3 == 0))).select(
-        "sample_id", "gen_idx", F.lit("gen").alias("side"),
-        F.when((F.col("v") == 6) & (ok % 2 == 0), ok + 1000000).otherwise(ok).alias("cell"),
+    ok, v = F.col("o_orderkey"), F.col("v")
+    gen_cell = F.when((v == 6) & (ok % 2 == 0), ok + 1000000).otherwise(ok)
+    gen_keep = F.col("gen_success") & ~((v == 5) & (ok % 3 == 0))
+    sides = F.array(
+        F.struct(F.lit("ref").alias("side"), ok.alias("cell"), F.col("ref_success").alias("keep")),
+        F.struct(F.lit("gen").alias("side"), gen_cell.alias("cell"), gen_keep.alias("keep")),
     )
-    return ref.unionByName(gen)
+    out = joined.select("sample_id", "gen_idx", F.inline(sides))
+    return out.where("keep").drop("keep")
 
 
 def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
