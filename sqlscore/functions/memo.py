@@ -1,0 +1,25 @@
+"""Reuse of built Column expressions.
+
+Building a large expression tree costs one JVM round trip per node. The
+scoring expressions depend only on column names and parameters, so they are
+built once per SparkContext and reused by every query that needs them.
+"""
+
+from __future__ import annotations
+
+import functools
+
+
+def per_context(fn):
+    """Memoise ``fn(*hashable_args)`` per active SparkContext."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args):
+        from pyspark import SparkContext
+        sc = SparkContext._active_spark_context
+        key = (id(sc), id(getattr(sc, "_jsc", None)), args)
+        if key not in cache:
+            cache[key] = fn(*args)
+        return cache[key]
+    return wrapper

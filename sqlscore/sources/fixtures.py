@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.memo import per_context
 from .tables import read_table
 
 # ---- fixed values (fixture recipe) -------------------------------------------
@@ -44,28 +45,34 @@ def completion_for(v: Column, ref: Column) -> Column:
 
 def candidates(spark: SparkSession, sf_dir: str, generations: int = 4) -> DataFrame:
     cust = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("sample_id"))
-    g = cust.select("sample_id", F.explode(F.sequence(F.lit(0), F.lit(generations - 1))).alias("gen_idx"))
-    g = g.withColumns({
+    gen, cols = _candidate_exprs(generations)
+    return cust.select("sample_id", gen).withColumns(cols[0]).select(*cols[1])
+
+
+@per_context
+def _candidate_exprs(generations: int):
+    gen = F.explode(F.sequence(F.lit(0), F.lit(generations - 1))).alias("gen_idx")
+    stage = {
         "v": (F.col("sample_id") + F.col("gen_idx")) % N_VARIANTS,
         "ref": F.concat(F.lit(REF_PREFIX), F.col("sample_id").cast("string")),
-    })
+    }
     v, ref = F.col("v"), F.col("ref")
-    completion = completion_for(v, ref)
     gen_error = (
         F.when(v == 7, F.lit("SQL error: syntax error"))
         .when(v == 8, F.lit("SQL error: empty query"))
         .when(v == 9, F.lit("Query execution timed out"))
     )
-    return g.select(
+    out = [
         "sample_id", "gen_idx", "v",
         F.concat(F.lit("Which orders did customer "), F.col("sample_id").cast("string"), F.lit(" place?")).alias("question"),
         F.lit(CONTEXT_DDL).alias("context"),
         ref.alias("answer"),
-        completion.alias("completion"),
+        completion_for(v, ref).alias("completion"),
         (~v.isin(7, 8, 9)).alias("gen_success"),
         gen_error.alias("gen_error"),
         (v != 10).alias("ref_success"),
-    )
+    ]
+    return gen, (stage, out)
 
 
 def candidates_wide(spark: SparkSession, sf_dir: str, generations: int = 4) -> DataFrame:

@@ -13,8 +13,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame (parquet: pushdown and pruning apply)."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One driver table as a DataFrame (parquet: pushdown and pruning apply).
+
+    The driver tables are read-only, so the DataFrame (and its file listing)
+    is reused per session.
+    """
+    key = (id(spark._jsparkSession), os.path.join(sf_dir, f"{name}.parquet"))
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(key[1])
+    return df
+
+
+_TABLES: dict = {}
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
