@@ -275,14 +275,18 @@ def q_set_match(spark, sf_dir):
 
 
 def _indexed_rows(spark, sf_dir) -> DataFrame:
-    """Result rows with a row index: each side returns its rows ordered by cell."""
+    """Result rows with a row index: each side returns its rows ordered by cell,
+    capped at ``max_result_rows`` like an execution. The ``row_number() <= cap``
+    filter is planned with a partial group limit before the shuffle, so a
+    candidate with a huge result never moves whole."""
     from pyspark.sql import Window
     rows = FX.result_rows(spark, sf_dir)
     w = Window.partitionBy("sample_id", "gen_idx", "side").orderBy("cell")
-    return rows.withColumn("row_idx", F.row_number().over(w))
+    return rows.withColumn("row_idx", F.row_number().over(w)).where(F.col("row_idx") <= ScoreParams().max_result_rows)
 
 
-ORDERED = """, indexed AS (SELECT *, row_number() OVER (PARTITION BY sample_id, gen_idx, side ORDER BY cell) AS row_idx FROM result_rows),
+ORDERED = """, indexed0 AS (SELECT *, row_number() OVER (PARTITION BY sample_id, gen_idx, side ORDER BY cell) AS row_idx FROM result_rows),
+indexed AS (SELECT * FROM indexed0 WHERE row_idx <= 1000),
 g AS (SELECT * FROM indexed WHERE side = 'gen'), r AS (SELECT * FROM indexed WHERE side = 'ref'),
 om AS (SELECT coalesce(g.sample_id, r.sample_id) AS sample_id, coalesce(g.gen_idx, r.gen_idx) AS gen_idx,
               bool_and(g.cell IS NOT DISTINCT FROM r.cell AND g.cell IS NOT NULL) AS ordered_match

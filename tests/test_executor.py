@@ -73,3 +73,18 @@ def test_empty_result(spark, views):
 def test_timeout(spark, views):
     ex, _ = run(spark, [("slow", "SELECT sum(hash(id)) FROM range(100000000000)")], timeout_seconds=1.0)
     assert ex["slow"]["success"] is False and ex["slow"]["error"] == "Query execution timed out"
+
+
+def test_cap_is_a_partial_group_limit(spark, views):
+    """A query holding most rows is cut per task before the shuffle."""
+    from sqlscore.sources.executor import ExecParams, _Runner
+    r = _Runner(spark, "/tmp/unused", ExecParams(max_result_rows=10))
+    cells = spark.table("orders").select(
+        F.when(F.col("o_custkey") > 0, F.lit("hot")).otherwise(F.col("o_orderkey").cast("string")).alias("query_id"),
+        F.array(F.col("o_orderkey").cast("string")).alias("cells"))
+    capped = r._capped(cells)
+    plan = capped._jdf.queryExecution().executedPlan().toString()
+    capped.collect()
+    final = capped._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan + final
+    assert capped.where("query_id = 'hot'").count() == 11
