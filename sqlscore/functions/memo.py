@@ -8,6 +8,17 @@ built once per SparkContext and reused by every query that needs them.
 from __future__ import annotations
 
 import functools
+import uuid
+
+
+def token(obj) -> str:
+    """A unique id stored on ``obj`` (a new context or session gets a new one,
+    so cached JVM references never outlive the JVM objects they point into)."""
+    t = getattr(obj, "_sqlscore_token", None)
+    if t is None:
+        t = uuid.uuid4().hex
+        obj._sqlscore_token = t
+    return t
 
 
 def per_context(fn):
@@ -18,7 +29,7 @@ def per_context(fn):
     def wrapper(*args):
         from pyspark import SparkContext
         sc = SparkContext._active_spark_context
-        key = (id(sc), id(getattr(sc, "_jsc", None)), args)
+        key = (token(sc), args)
         if key not in cache:
             cache[key] = fn(*args)
         return cache[key]

@@ -18,7 +18,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     The driver tables are read-only, so the DataFrame (and its file listing)
     is reused per session.
     """
-    key = (id(spark._jsparkSession), os.path.join(sf_dir, f"{name}.parquet"))
+    from ..functions.memo import token
+    key = (token(spark), os.path.join(sf_dir, f"{name}.parquet"))
     df = _TABLES.get(key)
     if df is None:
         df = _TABLES[key] = spark.read.parquet(key[1])
