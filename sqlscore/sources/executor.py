@@ -410,15 +410,30 @@ def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str],
         with_schema.select(F.col("_rk").alias("query_id"), F.col(REF).alias("query")))
     ex, rows = run_query_batch(spark, qs, params=params, out_dir=out_dir)
     g = ex.select(F.col("query_id").alias("_gk"), F.col("success").alias("gen_success"),
-                  F.col("error").alias("gen_error"), F.col("truncated").alias("gen_truncated"))
+                  F.col("error").alias("gen_error"), F.col("row_count").alias("gen_rows"),
+                  F.col("truncated").alias("gen_truncated"))
     r = ex.select(F.col("query_id").alias("_rk"), F.col("success").alias("ref_success"),
-                  F.col("error").alias("ref_error"))
-    status = c.join(g, "_gk", "left").join(r, "_rk", "left").withColumns({
+                  F.col("error").alias("ref_error"), F.col("row_count").alias("ref_rows"))
+    # compare once per distinct (generated, reference) pair; rows move only for
+    # pairs that both ran, differ in text and have equal non-zero counts
+    pairs = c.select("_gk", "_rk").dropDuplicates().join(g, "_gk", "left").join(r, "_rk", "left").withColumns({
         "gen_success": F.coalesce(F.col("gen_success"), F.lit(False)),
         "ref_success": F.coalesce(F.col("ref_success"), F.lit(False)),
+        "gen_rows": F.coalesce(F.col("gen_rows"), F.lit(0)),
+        "ref_rows": F.coalesce(F.col("ref_rows"), F.lit(0)),
     })
-    ck = c.select(*keys, "_gk", "_rk")
-    long = (ck.join(rows.withColumnRenamed("query_id", "_gk"), "_gk").select(*keys, F.lit("gen").alias("side"), "cells")
-            .unionByName(ck.join(rows.withColumnRenamed("query_id", "_rk"), "_rk")
-                         .select(*keys, F.lit("ref").alias("side"), "cells")))
-    return X.compare_pairs(status, long, keys, row_col="cells").drop("_gk", "_rk")
+    same = F.col("_gk") == F.col("_rk")
+    need = pairs.where(F.col("gen_success") & F.col("ref_success") & ~same
+                       & (F.col("gen_rows") == F.col("ref_rows")) & (F.col("gen_rows") > 0)).select("_gk", "_rk")
+    long = (need.join(rows.withColumnRenamed("query_id", "_gk"), "_gk").select("_gk", "_rk", F.lit("gen").alias("side"), "cells")
+            .unionByName(need.join(rows.withColumnRenamed("query_id", "_rk"), "_rk")
+                         .select("_gk", "_rk", F.lit("ref").alias("side"), "cells")))
+    stats = X.pair_stats(long, ["_gk", "_rk"], row_col="cells").select("_gk", "_rk", "inter", "uni")
+    out = pairs.join(stats, ["_gk", "_rk"], "left")
+    # identical query text: the two result sets are the same set
+    inter = F.when(same, F.lit(1)).otherwise(F.col("inter"))
+    uni = F.when(same, F.lit(1)).otherwise(F.col("uni"))
+    exact, sim = X.match_columns(F.col("gen_success"), F.col("ref_success"), F.col("gen_rows"), F.col("ref_rows"),
+                                 inter, uni)
+    out = out.withColumns({"exact_match": exact, "similarity": sim}).drop("inter", "uni")
+    return c.join(out, ["_gk", "_rk"], "left").drop("_gk", "_rk")
