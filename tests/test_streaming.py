@@ -44,3 +44,25 @@ def test_reward_monitor_stream(spark):
     q.stop()
     rows = spark.table("monitor").collect()
     assert sum(r["num_generations"] for r in rows) <= 100 and len(rows) >= 1
+
+
+def test_foreach_batch_execution_sink(spark):
+    from conftest import SF001
+
+    from sqlscore.sources.tables import register_tables
+    from sqlscore.streaming import score_stream_with_execution
+    register_tables(spark, SF001, ["orders"])
+    base = tempfile.mkdtemp(prefix="sqlscore-fb-")
+    src = os.path.join(base, "in")
+    cands = FX.candidates(spark, SF001).where("sample_id <= 20").drop("gen_success", "gen_error", "ref_success")
+    cands.write.parquet(src)
+    stream = spark.readStream.schema(cands.schema).parquet(src)
+    out = os.path.join(base, "out")
+    q = score_stream_with_execution(stream, ["sample_id", "gen_idx"], out, os.path.join(base, "ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    got = spark.read.parquet(out)
+    assert got.count() == cands.count()
+    by_v = {r["v"]: r["score"] for r in got.join(cands.select("sample_id", "gen_idx", "v"), ["sample_id", "gen_idx"])
+            .groupBy("v").agg(F.max("score").alias("score")).collect()}
+    assert by_v[0] == 1.0 and by_v[7] < 0
