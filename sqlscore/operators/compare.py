@@ -23,22 +23,6 @@ def side_counts(rows: DataFrame, keys: list[str], side_col: str = "side") -> Dat
     )
 
 
-def set_overlap(rows: DataFrame, keys: list[str], side_col: str = "side", row_col: str = "cell") -> DataFrame:
-    """Distinct-row overlap per key: ``inter`` = rows in both sets, ``uni`` = rows in either.
-
-    ``groupBy(key, row)`` deduplicates each side and marks membership; the
-    second ``groupBy(key)`` sums it. Both are partial aggregates.
-    """
-    marked = rows.groupBy(*keys, row_col).agg(
-        F.max((F.col(side_col) == "gen").cast("int")).alias("in_gen"),
-        F.max((F.col(side_col) == "ref").cast("int")).alias("in_ref"),
-    )
-    return marked.groupBy(*keys).agg(
-        F.sum(F.col("in_gen") * F.col("in_ref")).alias("inter"),
-        F.count(F.lit(1)).alias("uni"),
-    )
-
-
 def match_columns(gen_ok, ref_ok, gen_rows, ref_rows, inter, uni):
     """X2+X3 as columns: ``(exact_match, similarity)``.
 
