@@ -264,8 +264,9 @@ def score_range_check(scored: DataFrame, score: str = "score", strict: bool = Fa
     s = F.col(score)
     bad = ~s.between(-1.0, 1.0)
     if strict:
-        scored = scored.withColumn("_chk", F.when(bad, F.raise_error(
-            F.concat(F.lit("Reward score "), s.cast("string"), F.lit(" must be in [-1, 1]")))))
+        # the check sits inside the counted expression so it cannot be pruned
+        msg = F.concat(F.lit("Reward score "), s.cast("string"), F.lit(" must be in [-1, 1]"))
+        bad = F.when(bad, F.coalesce(F.raise_error(msg).cast("boolean"), F.lit(True))).otherwise(F.lit(False))
     return scored.agg(F.count_if(bad).alias("out_of_range"), F.count(F.lit(1)).alias("num_scores"))
 
 

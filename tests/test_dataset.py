@@ -94,3 +94,9 @@ def test_large_slice_uses_exact_positions(spark, monkeypatch):
     sl = D.holdout_slice(o, "o_orderkey", 100, 110, "pos").orderBy("pos").collect()
     want = o.orderBy("o_orderkey").collect()[100:110]
     assert [r["o_orderkey"] for r in sl] == [r["o_orderkey"] for r in want]
+
+
+def test_non_empty_first_only(spark):
+    df = spark.createDataFrame([(2, "p", "a"), (1, "", "a")], "id long, prompt string, answer string")
+    assert D.non_empty_fields(df, first_only=True, order_col="id").first()["empty_prompt"] == 1
+    assert D.non_empty_fields(df).first()["num_rows"] == 2

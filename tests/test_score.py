@@ -147,3 +147,24 @@ def test_pandas_scorer_registered_by_name(spark):
     df = spark.createDataFrame([("SELECT 1", "SELECT 1"), ("S", "SELECT 1")], "completion string, answer string")
     out = C.apply_scorer(df, C.score_by_type("longer"))
     assert [r["score"] for r in out.orderBy(F.length("completion").desc()).collect()] == [1.0, -1.0]
+
+
+def test_sample_rewards_keep_lists(spark):
+    df = spark.createDataFrame([(1, 1, 0.5), (1, 0, 1.0), (2, 0, -0.2)], "sample_id long, gen_idx int, score double")
+    r = {x["sample_id"]: x for x in E.sample_rewards(df, ["sample_id"], keep_lists=True).collect()}
+    assert r[1]["rewards"] == [1.0, 0.5] and r[1]["best_reward"] == 1.0 and r[1]["mean_reward"] == 0.75
+    assert r[2]["num_generations"] == 1
+
+
+def test_score_range_strict_fails(spark):
+    from pyspark.errors import PySparkException
+    from pyspark.sql.utils import AnalysisException  # noqa: F401
+
+    from sqlscore.operators import dataset as D
+    ok = spark.createDataFrame([(0.5,), (-1.0,)], "score double")
+    assert D.score_range_check(ok, strict=True).first()["out_of_range"] == 0
+    bad = spark.createDataFrame([(0.5,), (1.5,)], "score double")
+    assert D.score_range_check(bad).first()["out_of_range"] == 1
+    with pytest.raises(Exception) as e:
+        D.score_range_check(bad, strict=True).collect()
+    assert "must be in [-1, 1]" in str(e.value) or isinstance(e.value, PySparkException)
