@@ -45,6 +45,7 @@ TOKEN_RE = (r"(--[^\n]*|/\*.*?\*/|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)"
 TOKEN_RE_S = "(?s)" + TOKEN_RE
 FORBIDDEN = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
 ROWS_SCHEMA = "query_id string, row_idx int, cells array<string>"
+TPL_ROWS_SCHEMA = ROWS_SCHEMA + ", tpl int"
 FAIL_SCHEMA = "query_id string, success boolean, error string, error_class string, seconds double"
 LOG = logging.getLogger("sqlscore.executor")
 MARK = "\u0001"   # slot marker in template text (cannot occur in SQL text)
@@ -135,6 +136,8 @@ class _Runner:
         self.spark, self.out, self.p = spark, out_dir, params
         self.rows_path = os.path.join(out_dir, "rows")
         self.fail_path = os.path.join(out_dir, "failures")
+        self.tpl_path = os.path.join(out_dir, "template_rows")
+        self.rejected: list[int] = []
         self.lock = threading.Lock()
         self.failures: list[tuple] = []
         self.n_single = 0
@@ -211,11 +214,11 @@ class _Runner:
                 self.failures.append((qid, False, err, cls, time.perf_counter() - t0))
 
     # -- a template group ------------------------------------------------------------
-    def run_template(self, tpl: str, members: DataFrame, slot_stats: list, probe: tuple[str, str]):
-        """Plan one template as a lateral join and verify it on one member.
+    def run_template(self, tpl: str, members: DataFrame, slot_stats: list, tpl_id: int):
+        """Plan one template as a lateral join over its members.
 
-        Returns ``(rows DataFrame, view name)`` ready to write, or ``None`` when
-        the template must fall back to single runs.
+        Returns ``(rows DataFrame with a tpl column, view name)``, or ``None``
+        when the template cannot be planned (it then falls back to single runs).
         """
         body, _, kinds_txt = tpl.rpartition("\n--kinds:")
         kinds = kinds_txt.split(",") if kinds_txt else []
@@ -238,46 +241,62 @@ class _Runner:
             lateral = (f"SELECT __params.__qid, __q.* FROM {view} AS __params, "
                        f"LATERAL ({self._wrap(text)}) __q")
             out = self._capped(self._with_cells(self.spark.sql(lateral), True, None))
-            # verify one member against its own execution: a decorrelation
-            # that changes results sends the whole template to the slow path
-            got = [r["cells"] for r in self._run_tagged(
-                lambda: out.where(F.col("query_id") == probe[0]).orderBy("row_idx").collect(),
-                self.p.timeout_seconds)]
-            if got != self.single_rows(probe[0], probe[1]):
-                raise ValueError("lateral result differs from single run")
-            return out, view
+            return out.withColumn("tpl", F.lit(tpl_id)), view
         except Exception:  # noqa: BLE001
             self.spark.catalog.dropTempView(view)
             return None
 
-    def write_templates(self, ready: list) -> list:
-        """Write verified templates in one job; on failure, one by one.
+    def write_templates(self, ready: list) -> list[int]:
+        """Write planned templates (one job, partitioned by template id), then
+        verify each on its probe member against a single run of that member:
+        a decorrelation that changes results must not go unnoticed.
 
-        Returns the indexes (into ``ready``) that could not be written.
+        ``ready`` items are ``(rows, view, n_members, tpl_id, probe)``. Returns
+        the template ids to run one query at a time instead; their partitions
+        are excluded when the rows are read.
         """
         if not ready:
             return []
         n = sum(x[2] for x in ready)
-        budget = self.p.timeout_seconds * max(1, n)
+        written, bad = [], []
         try:
             union = ready[0][0]
-            for out, _, _ in ready[1:]:
-                union = union.unionByName(out)
-            self._run_tagged(lambda: union.write.mode("append").parquet(self.rows_path), budget)
-            bad = []
+            for item in ready[1:]:
+                union = union.unionByName(item[0])
+            self._run_tagged(lambda: union.write.mode("append").partitionBy("tpl").parquet(self.tpl_path),
+                             self.p.timeout_seconds * max(1, n))
+            written = list(ready)
         except Exception:  # noqa: BLE001
-            bad = []
-            if len(ready) > 1:
-                for i, (out, _, m) in enumerate(ready):
-                    try:
-                        self._run_tagged(lambda: out.write.mode("append").parquet(self.rows_path),
-                                         self.p.timeout_seconds * max(1, m))
-                    except Exception:  # noqa: BLE001
-                        bad.append(i)
-            else:
-                bad = [0]
-        for _, view, _ in ready:
-            self.spark.catalog.dropTempView(view)
+            for item in ready:
+                try:
+                    if len(ready) == 1:
+                        raise RuntimeError("single template failed")
+                    self._run_tagged(lambda: item[0].write.mode("append").partitionBy("tpl").parquet(self.tpl_path),
+                                     self.p.timeout_seconds * max(1, item[2]))
+                    written.append(item)
+                except Exception:  # noqa: BLE001
+                    bad.append(item[3])
+        finally:
+            for item in ready:
+                self.spark.catalog.dropTempView(item[1])
+        if written:
+            ids = [item[3] for item in written]
+            probes = [item[4][0] for item in written]
+            got: dict = {}
+            back = (self.spark.read.schema(TPL_ROWS_SCHEMA).parquet(self.tpl_path)
+                    .where(F.col("tpl").isin(ids) & F.col("query_id").isin(probes)))
+            for r in back.orderBy("tpl", "row_idx").collect():      # ≤ (cap + 1) rows per template
+                got.setdefault((r["tpl"], r["query_id"]), []).append(r["cells"])
+
+            def check(item):
+                try:
+                    want = self.single_rows(item[4][0], item[4][1])
+                except Exception:  # noqa: BLE001
+                    return item[3]
+                return None if got.get((item[3], item[4][0]), []) == want else item[3]
+            with ThreadPoolExecutor(max_workers=self.p.parallelism) as pool:
+                bad += [x for x in pool.map(check, written) if x is not None]
+        self.rejected.extend(bad)
         return bad
 
     def flush(self) -> None:
@@ -328,23 +347,23 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
         plan = groups.where(F.col("n") > 1).join(stats, "template", "left").orderBy(F.desc("n"))
         failed: list[str] = []
         ready: list = []
-        for row in plan.toLocalIterator():      # one row per shared template, streamed
+        by_id: dict[int, str] = {}
+        for tpl_id, row in enumerate(plan.toLocalIterator()):     # one row per shared template, streamed
             members = t.where(F.col("template") == row["template"]).select("query_id", "query", "slot_val")
             slot_stats = [(x["nd"], x["raw"]) for x in (row["slots"] or [])]
-            t1 = time.perf_counter()
-            got = runner.run_template(row["template"], members, slot_stats, (row["probe"][0], row["probe"][1]))
-            LOG.info("template with %d members planned in %.2fs (%s)", row["n"], time.perf_counter() - t1,
-                     "ok" if got else "fallback")
+            got = runner.run_template(row["template"], members, slot_stats, tpl_id)
             if got is None:
                 failed.append(row["template"])
                 continue
-            ready.append((got[0], got[1], row["n"], row["template"]))
+            by_id[tpl_id] = row["template"]
+            ready.append((got[0], got[1], row["n"], tpl_id, (row["probe"][0], row["probe"][1])))
             if len(ready) >= 32:                # bounded union per write job
-                failed += [ready[i][3] for i in runner.write_templates([r[:3] for r in ready])]
+                failed += [by_id[i] for i in runner.write_templates(ready)]
                 ready = []
         t1 = time.perf_counter()
-        failed += [ready[i][3] for i in runner.write_templates([r[:3] for r in ready])]
-        LOG.info("templates written in %.2fs", time.perf_counter() - t1)
+        failed += [by_id[i] for i in runner.write_templates(ready)]
+        LOG.info("%d templates written and verified (%d rejected) in %.2fs", len(by_id), len(runner.rejected),
+                 time.perf_counter() - t1)
         # singletons and fallen-back templates: one streamed pass over their members
         alone = groups.where(F.col("n") == 1).select("template")
         if failed:
@@ -361,6 +380,11 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
         spark.conf.set("spark.sql.runSQLOnFiles", old)
     rows = spark.read.schema(ROWS_SCHEMA).parquet(runner.rows_path) if _exists(spark, runner.rows_path) \
         else spark.createDataFrame([], ROWS_SCHEMA)
+    if _exists(spark, runner.tpl_path):
+        tpl_rows = spark.read.schema(TPL_ROWS_SCHEMA).parquet(runner.tpl_path)
+        if runner.rejected:
+            tpl_rows = tpl_rows.where(~F.col("tpl").isin(runner.rejected))     # partition pruning
+        rows = rows.unionByName(tpl_rows.select("query_id", "row_idx", "cells"))
     fails = spark.read.schema(FAIL_SCHEMA).parquet(runner.fail_path) if _exists(spark, runner.fail_path) \
         else spark.createDataFrame([], FAIL_SCHEMA)
     counts = rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))

@@ -88,3 +88,15 @@ def test_cap_is_a_partial_group_limit(spark, views):
     final = capped._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan + final
     assert capped.where("query_id = 'hot'").count() == 11
+
+
+def test_verification_catches_wrong_decorrelation(spark, views):
+    """A LIMIT inside the template plus an int slot compared with a bigint column
+    is planned wrongly by the lateral decorrelation in this Spark version; the
+    probe check must send the template to single runs, which are right."""
+    keys = [r["o_custkey"] for r in spark.table("orders").groupBy("o_custkey").count()
+            .where("count >= 5").orderBy("o_custkey").limit(6).collect()]
+    items = [(f"k{k}", f"SELECT o_orderkey FROM orders WHERE o_custkey = {k} LIMIT 3") for k in keys]
+    ex, rows = run(spark, items)
+    assert all(ex[f"k{k}"]["success"] and ex[f"k{k}"]["row_count"] == 3 for k in keys)
+    assert rows.count() == 3 * len(keys)
