@@ -395,7 +395,11 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
                    F.when(F.coalesce(F.col("success"), F.lit(True)), F.least(n, F.lit(cap))).otherwise(F.lit(0))
                    .cast("bigint").alias("row_count"),
                    (n > cap).alias("truncated"))
-    return ex, rows.where(F.col("row_idx") <= cap)
+    # one row per distinct query, read twice by callers (generated and
+    # reference side): written once under the run folder
+    ex_path = os.path.join(base, "executions")
+    ex.write.parquet(ex_path)
+    return spark.read.parquet(ex_path), rows.where(F.col("row_idx") <= cap)
 
 
 def _run_singles(runner: _Runner, singles: list[tuple[str, str]], params: ExecParams) -> None:
