@@ -348,6 +348,7 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
         failed: list[str] = []
         ready: list = []
         by_id: dict[int, str] = {}
+        n_templates = 0
         for tpl_id, row in enumerate(plan.toLocalIterator()):     # one row per shared template, streamed
             members = t.where(F.col("template") == row["template"]).select("query_id", "query", "slot_val")
             slot_stats = [(x["nd"], x["raw"]) for x in (row["slots"] or [])]
@@ -357,12 +358,14 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "qu
                 continue
             by_id[tpl_id] = row["template"]
             ready.append((got[0], got[1], row["n"], tpl_id, (row["probe"][0], row["probe"][1])))
-            if len(ready) >= 32:                # bounded union per write job
+            if len(ready) >= 32:                # bounded union per write job (and bounded by_id)
                 failed += [by_id[i] for i in runner.write_templates(ready)]
-                ready = []
+                n_templates += len(ready)
+                ready, by_id = [], {}
         t1 = time.perf_counter()
         failed += [by_id[i] for i in runner.write_templates(ready)]
-        LOG.info("%d templates written and verified (%d rejected) in %.2fs", len(by_id), len(runner.rejected),
+        n_templates += len(ready)
+        LOG.info("%d templates written and verified (%d rejected) in %.2fs", n_templates, len(runner.rejected),
                  time.perf_counter() - t1)
         # singletons and fallen-back templates: one streamed pass over their members
         alone = groups.where(F.col("n") == 1).select("template")
