@@ -43,6 +43,8 @@ from ..session import ensure_checkpoint_dir
 TOKEN_RE = (r"(--[^\n]*|/\*.*?\*/|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)"
             r"|('(?:[^'\\]|\\.|'')*'|(?<![\w.$])\d+(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w.$]))")
 TOKEN_RE_S = "(?s)" + TOKEN_RE
+STRUCTURAL_BEFORE = (r"(?i)\b(limit|offset|interval|tablesample|date|timestamp|timestamp_ntz|timestamp_ltz|x)"
+                     r"[\t\n\x0B\f\r ]*\(?[\t\n\x0B\f\r ]*$")
 FORBIDDEN = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
 ROWS_SCHEMA = "query_id string, row_idx int, cells array<string>"
 TPL_ROWS_SCHEMA = ROWS_SCHEMA + ", tpl int"
@@ -75,10 +77,13 @@ def templatize(df: DataFrame, sql_col: str = "query") -> DataFrame:
     lits = F.regexp_extract_all(s, F.lit(TOKEN_RE_S), 2)
     gaps = F.split(s, TOKEN_RE_S, -1)
     d = df.withColumns({"_toks": toks, "_lits": lits, "_gaps": gaps})
-    # a literal with a backslash escape stays inline (its value needs the lexer)
-    is_slot = lambda x: (x != "") & ~x.contains("\\")
+    # stays inline: a literal with a backslash escape (its value needs the
+    # lexer) and a structural literal that Spark needs as a constant (LIMIT n,
+    # INTERVAL '1' DAY, DATE '…', X'…') — those become part of the template key
+    structural = lambda i: F.coalesce(F.get(F.col("_gaps"), i).rlike(STRUCTURAL_BEFORE), F.lit(False))
+    is_slot = lambda x, i: (x != "") & ~x.contains("\\") & ~structural(i)
     d = d.withColumn("_slot_no", F.transform(
-        F.col("_lits"), lambda x, i: F.when(is_slot(x), F.size(F.filter(F.slice(F.col("_lits"), 1, i), is_slot)))))
+        F.col("_lits"), lambda x, i: F.when(is_slot(x, i), F.size(F.filter(F.slice(F.col("_lits"), 1, i), is_slot)))))
     piece = lambda g, i: F.concat(g, F.when(
         i < F.size(F.col("_toks")),
         F.when(F.get(F.col("_slot_no"), i).isNotNull(),

@@ -100,3 +100,27 @@ def test_verification_catches_wrong_decorrelation(spark, views):
     ex, rows = run(spark, items)
     assert all(ex[f"k{k}"]["success"] and ex[f"k{k}"]["row_count"] == 3 for k in keys)
     assert rows.count() == 3 * len(keys)
+
+
+def test_structural_literals_stay_in_template(spark):
+    df = spark.createDataFrame([("a", "SELECT x FROM t WHERE y = 7 ORDER BY x LIMIT 5"),
+                                ("b", "SELECT x FROM t WHERE d > DATE '2020-01-01' + INTERVAL 3 DAYS")],
+                               "id string, query string")
+    t = {r["id"]: r for r in templatize(df).collect()}
+    assert t["a"]["slot_raw"] == ["7"] and "LIMIT 5" in t["a"]["template"]
+    assert t["b"]["slot_raw"] == [] and "DATE '2020-01-01'" in t["b"]["template"]
+
+
+def test_limit_shape_runs_as_one_template(spark, views, caplog):
+    import logging
+    segs = [r["c_mktsegment"] for r in spark.table("customer").select("c_mktsegment").distinct().collect()]
+    items = [(s, f"SELECT c_custkey FROM customer WHERE c_mktsegment = '{s}' ORDER BY c_custkey LIMIT 3")
+             for s in segs]
+    with caplog.at_level(logging.INFO, logger="sqlscore.executor"):
+        ex, rows = run(spark, items)
+    assert any("1 templates written and verified (0 rejected)" in m for m in caplog.messages)
+    for s in segs:
+        want = [r[0] for r in spark.sql(f"SELECT c_custkey FROM customer WHERE c_mktsegment = '{s}' "
+                                        "ORDER BY c_custkey LIMIT 3").collect()]
+        got = sorted(int(r["cells"][0][2:]) for r in rows.where(F.col("query_id") == s).collect())
+        assert ex[s]["row_count"] == len(want) and got == sorted(want)
