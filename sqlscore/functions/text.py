@@ -104,11 +104,15 @@ def token_count(sql) -> Column:
     """Top-level non-blank tokens.
 
     Strings, quoted names and comments count as one token each, ``;`` is a token
-    of its own, everything else is split on whitespace.
+    of its own, everything else is split on whitespace. The unit regex runs
+    only when a quote or comment marker is present; splitting the trimmed text
+    leaves no empty tokens, so no per-element filter is needed.
     """
-    s = F.regexp_replace(_col(sql), TOKEN_UNITS, " L ")
-    s = F.regexp_replace(s, ";", " ; ")
-    return F.size(F.filter(F.split(s, f"{WS}+"), lambda t: t != ""))
+    c = _col(sql)
+    has_units = c.contains("'") | c.contains('"') | c.contains("--") | c.contains("/*")
+    s = F.when(has_units, F.regexp_replace(c, TOKEN_UNITS, " L ")).otherwise(c)
+    s = py_strip(F.replace(s, F.lit(";"), F.lit(" ; ")))
+    return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, f"{WS}+")))
 
 
 def keyword_count(sql, keywords=SQL_KEYWORDS) -> Column:
@@ -161,8 +165,10 @@ def normalize_sql(sql) -> Column:
 
 
 def tokens(norm) -> Column:
-    """Distinct whitespace tokens of a normalised text, the empty token dropped."""
-    return F.array_distinct(F.filter(F.split(_col(norm), " "), lambda t: t != ""))
+    """Distinct whitespace tokens of a normalised text (collapsed and stripped,
+    so only the empty text yields an empty token, which is dropped)."""
+    n = _col(norm)
+    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.split(n, " ")))
 
 
 def sql_tokens(sql) -> Column:
