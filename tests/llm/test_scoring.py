@@ -1,0 +1,399 @@
+"""Fingerprints, mixing, language model, toxicity, decontamination, surrogates, extraction, pipeline."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from sqlscore.llm import decontamination, fingerprints, html_extract, lm_scoring, mixing, pii, toxicity
+
+SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def order(i):
+    return -(2 ** 63) if i is None else i
+
+
+# ---- fingerprints ---------------------------------------------------------------------
+
+def test_edited_pairs_match_brute_force(make_docs, corpus):
+    rows = [r for r in corpus if r != corpus[3]] + [corpus[3]]
+    seq = sorted(((order(r[0]), r[1] or "") for r in rows), key=lambda x: (-x[0], x[1]))
+    want = Counter()
+    for k, (i, t) in enumerate(seq):
+        nxt = seq[(k + 1) % len(seq)][1]
+        cut = len(t) // 3
+        want[(i, len(t), hashlib.sha256((t[:len(t) - cut] + nxt[:cut]).encode()).hexdigest())] += 1
+    for block in (300, 10 ** 6):
+        got = fingerprints.edited_pairs(make_docs(rows), block_bytes=block).collect()
+        assert Counter((order(r["doc_id"]), r["n_chars"], r["edited_sha256"]) for r in got) == want
+    texts = {}
+    for r in got:
+        texts.setdefault((r["n_chars"], r["fingerprint"]), set()).add(r["doc_id"])
+        assert 0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1
+    assert max(map(len, texts.values())) >= 10  # the exact copies share one fingerprint
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab é😀", max_size=60), st.text(alphabet="ab é😀", max_size=60), st.data())
+def test_common_extension_is_exact(a, b, data):
+    i, j = data.draw(st.integers(0, len(a))), data.draw(st.integers(0, len(b)))
+    n = 0
+    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+        n += 1
+    pa, pb = (fingerprints.prefix_array(fingerprints.code_points(t)) for t in (a, b))
+    assert fingerprints.common_extension(pa, i, pb, j) == n
+
+
+def test_likeness_grows_with_the_common_part():
+    rng = random.Random(3)
+    base = "".join(rng.choice("abcdef ") for _ in range(5000))
+    f = fingerprints.Fingerprint.of
+    near = [fingerprints.likeness(f(base), f(base[:k] + "".join(rng.choice("xyz") for _ in range(5000 - k)))) for k in (0, 1000, 2500, 4900)]
+    assert near == sorted(near) and near[0] < 0.01 and near[3] > 0.85
+    assert fingerprints.likeness(f(base), f(base)) == 1.0 and fingerprints.likeness(f(""), f("")) == 1.0 and fingerprints.likeness(f(""), f("a")) == 0.0
+    again = fingerprints.Fingerprint.parse(str(f(base)))
+    assert str(again) == str(f(base)) and fingerprints.likeness(again, f(base[:2500])) == fingerprints.likeness(f(base), f(base[:2500]))
+
+
+# ---- mixing ---------------------------------------------------------------------------
+
+def brute_mix(rows):
+    size = [len(WORD.findall(r[1] or "")) for r in rows]
+    total = Counter()
+    for r, n in zip(rows, size):
+        total[r[2]] += n
+    names = sorted(total, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    full, left = set(), 1.5 * sum(size)
+    while True:
+        rest = [s for s in names if s not in full]
+        level = (left / sum(weight[s] for s in rest)) if rest else 0
+        over = [s for s in rest if level * weight[s] > 2 * total[s] + 1e-9]
+        if not over:
+            break
+        full.update(over)
+        left -= sum(2 * total[s] for s in over)
+    return size, total, {s: 2.0 * total[s] if s in full else level * weight[s] for s in names}
+
+
+def test_mixing_matches_brute_force(make_docs, corpus):
+    size, total, target = brute_mix(corpus)
+    got = mixing.mix_sources(make_docs(corpus)).collect()
+    assert len(got) == len(corpus)
+    taken = Counter()
+    for r in got:
+        assert r["source_size"] == total[r["source"]] and r["target"] == pytest.approx(target[r["source"]])
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        assert r["taken"] == r["epochs"] * r["size"] + r["last_words"]
+        taken[r["source"]] += r["taken"]
+    for s in total:
+        assert taken[s] == math.floor(target[s] + 1e-9)
+
+
+def test_mixed_rows_hold_the_taken_words(make_docs, corpus):
+    rows = [r for r in corpus[:-1] if r[0] is not None]
+    docs = make_docs(rows)
+    plan = {r["doc_id"]: r for r in mixing.mix_sources(docs).collect()}
+    out = mixing.mixed_rows(docs).collect()
+    words = Counter()
+    for r in out:
+        words[r["doc_id"]] += len(WORD.findall(r["text"]))
+    assert {i: p["taken"] for i, p in plan.items() if p["taken"]} == dict(words)
+
+
+def test_mixing_reruns_agree_and_empty_tables(make_docs, corpus):
+    docs = make_docs(corpus)
+    a, b = (Counter(map(tuple, mixing.mix_sources(d).collect())) for d in (docs, docs.repartition(7)))
+    assert a == b
+    assert mixing.mix_sources(docs.where("false")).collect() == []
+    assert {r["taken"] for r in mixing.mix_sources(docs.where("trim(text) = ''")).collect()} == {0}
+
+
+# ---- language model -------------------------------------------------------------------
+
+def test_scores_against_brute_force(make_docs, corpus):
+    held = lambda i: zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2
+    low = lambda t: ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in WORD.findall(t or "")] + ["\n"]
+    train = Counter(w for r in corpus if not held(r[0]) for w in low(r[1]))
+    n, v = sum(train.values()), len(train)
+    got = lm_scoring.score_documents(make_docs(corpus)).collect()
+    want = Counter()
+    for r in corpus:
+        w = low(r[1])
+        want[(order(r[0]), held(r[0]), len(w), sum(train[x] > 0 for x in w), n, round(sum(math.log10((train[x] + 1) / (n + v + 1)) for x in w), 5))] += 1
+    assert Counter((order(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in got) == want
+    assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)
+
+
+def test_word_probabilities_sum_to_at_most_one():
+    words = [b"ab", b"abc", b"b", b"\n", b"abcdefgh", b"abcdxyz"]
+    counts = np.array([5, 3, 2, 4, 6, 1])
+    n0, n1 = np.zeros(int(lm_scoring.OFFSETS[-1])), np.zeros(int(lm_scoring.OFFSETS[-1]))
+    lm_scoring._add_tables(n0, n1, words, counts)
+    refined = np.tile(lm_scoring._sigmoid(-12 + (np.arange(lm_scoring.STEPS) + 0.5) * 24 / lm_scoring.STEPS), (lm_scoring.GATES, 1))
+    model = lm_scoring.Model(n0, n1, lm_scoring.first_weights(), refined, 21, 6)
+    every = words + [bytes([97 + i, 97 + j]) for i in range(26) for j in range(26)] + [bytes([97 + i]) for i in range(26)]
+    every = sorted(set(every))
+    assert sum(10 ** model.log10(every, words, counts)) <= 1 + 1e-9
+    known = model.log10(words, words, counts)
+    assert known.sum() > model.log10([b"zq", b"zqc", b"q", b"zqcdefgh", b"zqcdxyz", b"w"], words, counts).sum()
+
+
+def test_model_beats_unigrams_on_held_out_documents(spark):
+    got = lm_scoring.score_documents(spark.read.parquet(f"{SF01}/documents.parquet")).where("held_out").toPandas()
+    assert len(got) > 50 and got["score"].sum() > got["base_score"].sum()
+
+
+def test_model_without_training_documents(make_docs):
+    held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 7 == 2)
+    r = lm_scoring.score_documents(make_docs([(held, "a b")])).collect()[0]
+    assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) == (True, 3, 0, 0, 0.0) and r["score"] < 0
+    assert lm_scoring.score_documents(make_docs([(held, "a")]).where("false")).collect() == []
+
+
+# ---- toxicity -------------------------------------------------------------------------
+
+def test_toxicity_on_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"{SF01}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    got = {r["doc_id"]: r for r in toxicity.score_documents(docs, model).collect()}
+    truth = [(r["doc_id"], r["toxic"]) for r in labels.collect() if got[r["doc_id"]]["held_out"]]
+    assert all(g["held_out"] == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= g["score"] <= 1 for i, g in got.items())
+    assert sum(got[i]["predicted"] for i, y in truth if not y) <= 0.02 * len(truth)
+    assert np.mean([got[i]["score"] for i, y in truth if y]) > 5 * np.mean([got[i]["score"] for i, y in truth if not y])
+
+
+def test_toxicity_corner_cases(spark, make_docs, corpus):
+    docs = make_docs(corpus)
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    one = spark.createDataFrame([(r[0], 1, 0) for r in corpus if r[0] is not None] + [(None, 1, None)], "doc_id long, quality int, toxic int")
+    for labels, most in ((none, 0.5), (one, 0.1)):
+        got = toxicity.score_documents(docs, toxicity.train(docs, labels)).collect()
+        assert len(got) == len(corpus) and len({r["score"] for r in got}) == 1 and got[0]["score"] <= most
+    kept = toxicity.reject_toxic(docs, one)
+    assert kept.columns == docs.columns and kept.count() == len(corpus)
+    assert toxicity.score_documents(docs.where("false"), toxicity.train(docs.where("false"), none)).collect() == []
+
+
+def test_obfuscated_terms_are_seen():
+    f = dict(zip(toxicity.FEATURES, toxicity.text_features("You are an 1d10t, a m.o.r.o.n and a w***e. IDIOTS!")))
+    assert f["terms"] == 1 and f["leet_terms"] == 1 and f["apart_terms"] == 1 and f["masked_rate"] > 0 and f["near_you"] >= 1
+    assert toxicity.text_features("") == [0.0] * len(toxicity.FEATURES)
+    assert toxicity.text_features("classic assessment of grapes")[0] == 0
+
+
+# ---- decontamination -------------------------------------------------------------------
+
+def norm(t):
+    return [w for w in re.split(r"[^\w]+|_+", (t or "").lower()) if w]
+
+
+def similarity(a, b):
+    ca, cb = (Counter(tuple(x[k:k + 5]) for k in range(len(x) - 4)) for x in (a, b))
+    both = sum((ca & cb).values())
+    return both / (sum(ca.values()) + sum(cb.values()) - both) if ca and cb else 0.0
+
+
+def test_leaks_match_brute_force(spark, make_docs):
+    rng = random.Random(9)
+    vocab = [f"w{k}" for k in range(300)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.choice([3, 5, 20, 30, 40])))) for k in range(20)]
+    items += [(100, items[4][1]), (101, None), (102, ""), (103, "a b a b a b a b a b a b a b a b")]
+    rows = []
+    for d in range(80):
+        w = [rng.choice(vocab) for _ in range(rng.choice([0, 4, 30, 200]))]
+        if d % 2:
+            part = items[d % 24][1] or ""
+            p = part.split()
+            for _ in range(d % 7):
+                if p:
+                    p[rng.randrange(len(p))] = rng.choice(vocab)
+            if d % 5 == 0 and len(p) > 10:
+                del p[4]
+            w[len(w) // 2:len(w) // 2] = [x.upper() + "," for x in p]
+        rows.append((d, " ".join(w)))
+    rows += [(200, None), (None, items[3][1]), rows[1], (1, "other text of the same id")]
+    got = decontamination.find_leaks(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()
+    want = {}
+    for i, t, *_ in rows:
+        w = norm(t)
+        for k, x in items:
+            y = norm(x)
+            if len(y) < 5:
+                continue
+            best = max((similarity(w[s:s + len(y)], y) for s in range(max(1, len(w) - len(y) + 1))), default=0)
+            if best >= 0.8:
+                want[(i, k)] = max(best, want.get((i, k), 0))
+    assert {(r["doc_id"], r["item_id"]): pytest.approx(r["similarity"]) for r in got} == want and len(want) > 15
+    assert all(r["distance"] <= decontamination.RADIUS for r in got)
+
+
+def test_hamming_index_finds_all_pairs(spark):
+    rng = random.Random(2)
+    left = [(k, rng.getrandbits(64) - 2 ** 63) for k in range(60)]
+    right = []
+    for k, fp in left[:40]:
+        x = fp & (2 ** 64 - 1)
+        for b in rng.sample(range(64), rng.choice([0, 5, 20, 23, 24, 30])):
+            x ^= 1 << b
+        right.append((k, x - 2 ** 64 if x >= 2 ** 63 else x))
+    got = decontamination.within_radius(spark.createDataFrame(left, "a long, fp long"), spark.createDataFrame(right, "b long, fp long"), ["a"], ["b"])
+    want = {(a, b, bin((x ^ y) & (2 ** 64 - 1)).count("1")) for a, x in left for b, y in right}
+    assert {tuple(r) for r in got.collect()} == {w for w in want if w[2] <= decontamination.RADIUS}
+
+
+def test_leaking_documents_are_dropped(spark, make_docs):
+    item = " ".join(f"q{k}" for k in range(12))
+    docs = make_docs([(1, "clean words only " * 5), (2, "x " + item + " y"), (3, None), (None, "")])
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    kept = decontamination.drop_leaking(docs, bench)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {1, 3, None}
+    assert decontamination.drop_leaking(docs, bench.where("false")).count() == 4
+    assert decontamination.find_leaks(docs.where("false"), bench).collect() == []
+
+
+# ---- surrogates -----------------------------------------------------------------------
+
+TEXTS = [
+    (1, "mail jo.81@mail7.example.com or call +1 (407) 555-7710 now; card 4225 0392 9567 8253."),
+    (2, "Jo.81@mail7.example.com again, and ann@mail7.example.com at 126.40.69.100 and 126.40.69.10."),
+    (3, 'token = "681c09b8e90e7e8c9575180f595f646cf2969054" and "681C09B8E90E7E8C9575180F595F646CF2969054"!!'),
+    (4, "Mrs. Jane Miller met Mr. Miller and Frau Ольга Петрова; SSN 123-45-6789, call +1%%% (407)### 555-7710"),
+    (5, "DE89 3704 0044 0532 0130 00 is an account, 4111111111111111 is a card. Version 2.0. In 2024, 300 pages."),
+    (6, "no data here"), (7, None), (8, ""), (1, "mail jo.81@mail7.example.com or call +1 (407) 555-7710 now; card 4225 0392 9567 8253."),
+]
+
+
+@pytest.fixture(scope="module")
+def replaced(make_docs):
+    return sorted((r["doc_id"], r["text"], r["n_entities"]) for r in pii.replace_entities(make_docs(TEXTS), "k").collect() if r["text"])
+
+
+def test_surrogates_hide_all_values(replaced):
+    text = " ".join(t for _, t, _ in replaced)
+    for value in ("jo.81", "Jo.81", "mail7.example.com", "407", "7710", "4225 0392", "126.40.69", "681c09b8", "681C09B8", "Jane", "Miller",
+                  "Ольга", "Петрова", "123-45", "3704 0044", "4111111111111111"):
+        assert value not in text, value
+    assert [n for _, _, n in replaced] == [3, 3, 4, 2, 5, 2, 0]
+
+
+def test_surrogates_keep_format_and_coreference(replaced):
+    by = {i: t for i, t, _ in replaced}
+    assert re.fullmatch(r"mail [a-z]{2}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com or call \+1 \(\d{3}\) \d{3}-\d{4} now; card \d{4} \d{4} \d{4} \d{4}\.", by[1])
+    local, domain = re.search(r"mail (\S+)@(\S+) or", by[1]).groups()
+    again = re.match(r"(\S+)@(\S+) again, and (\S+)@(\S+) at (\S+) and (\S+)\.$", by[2]).groups()
+    assert (again[0].lower(), again[1], again[3]) == (local, domain, domain) and again[2] != local
+    assert again[4] != again[5] and all(0 <= int(x) <= 255 for ip in again[4:] for x in ip.split("."))
+    a, b = re.findall(r'"([0-9a-fA-F]{40})"', by[3])
+    assert a == a.lower() and b == a.upper()
+    m = re.match(r"Mrs\. (\w+) (\w+) met Mr\. (\w+) and Frau (\w+) (\w+); SSN \d{3}-\d\d-\d{4}, call \+1%%% \((\d{3})\)### (\d{3}-\d{4})$", by[4])
+    assert m[1] in pii.NAMES["latin_F"].split() and m[2] == m[3] and m[4] in pii.NAMES["cyrillic_F"].split() and re.search("[а-я]", m[5])
+    assert f"+1 ({m[6]}) {m[7]}" in by[1]
+    card = re.search(r"(\d{16}) is a card", by[5])[1]
+    assert sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(card))) % 10 == 0
+    assert by[5].endswith("Version 2.0. In 2024, 300 pages.") and by[5].startswith("DE")
+
+
+def test_surrogates_stay_distinct(make_docs, spark):
+    names = [(k, f"Dr. Aaa{chr(97 + k % 26)}{chr(97 + k // 26)} Bbb{chr(97 + k % 26)}{chr(97 + k // 26)} wrote") for k in range(120)]
+    got = pii.replace_entities(make_docs(names), "k").collect()
+    assert len({r["text"] for r in got}) == 120  # more persons than names in the lists
+    values = spark.createDataFrame([("SSN", f"{k:02d}") for k in range(40)], "type string, norm string")
+    table = pii.assign(values, "k").collect()
+    assert len({r["surrogate"] for r in table}) == 40 and not {r["surrogate"] for r in table} & {r["norm"] for r in table}
+
+
+def test_surrogates_null_empty_and_key(make_docs):
+    docs = make_docs(TEXTS)
+    got = pii.replace_entities(docs, "k").collect()
+    assert len(got) == len(TEXTS) and {r["text"] for r in got if r["doc_id"] in (7, 8)} == {None, ""}
+    other = {r["text"] for r in pii.replace_entities(docs, "other key").where("n_entities > 0").collect()}
+    assert not other & {r["text"] for r in got}
+    assert pii.replace_entities(docs.where("false"), "k").collect() == []
+
+
+# ---- extraction -----------------------------------------------------------------------
+
+PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
+<header><a href="/">Site</a></header><nav><ul><li><a href="/a">One</a></li><li><a href="/b">Two</a></li></ul></nav><!-- x -->
+<div class="cookie notice">We use cookies.</div><div class="ad">Buy this now.</div>
+<article><h1>Title &amp; more</h1><p>First   <b>bold</b>
+ paragraph.<p>Second &lt;one&gt; caf&eacute;.</p><div class="ads">Buy more.</div><ul><li>Point</li></ul></article>
+<aside class="sidebar"><p>Related story here.</p></aside><form><label>Name</label><input><button>Send</button></form>
+<section id="comments"><div class="comment"><p>I liked the second paragraph very much.</p></div></section>
+<footer>&copy; 2024 Site</footer></body></html>"""
+
+
+@pytest.fixture(scope="module")
+def field(spark):
+    return html_extract.train(spark.read.parquet(f"{SF01}/pages.parquet"))
+
+
+def test_extraction_of_a_full_page(field):
+    assert html_extract.extract_text(PAGE, field) == "Title & more\nFirst bold paragraph.\nSecond <one> café.\nPoint"
+
+
+def test_extraction_of_the_pages(spark, field):
+    got = html_extract.extract_pages(spark.read.parquet(f"{SF01}/pages.parquet"), field)
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF01}/pages.parquet").collect()}
+    for r in got.collect():
+        blocks = html_extract.leaf_blocks(pages[r["page_id"]])
+        assert r["text"] == "\n".join(b.text for b in blocks if any(t == "article" for t, _ in b.stack))
+
+
+def test_extraction_corner_cases(spark, field):
+    pages = spark.createDataFrame([(1, "u", None), (2, None, ""), (2, None, ""), (None, "u", "<p>"), (3, "u", "<!-- open <p>x</p>"), (4, "u", "<script>a")],
+                                  "page_id long, url string, html string")
+    assert [r["text"] for r in html_extract.extract_pages(pages, field).collect()] == [""] * 6
+    assert html_extract.extract_pages(pages.where("false"), field).collect() == []
+    assert html_extract.train(pages.where("false")).decode([]) == []
+
+
+def test_viterbi_is_the_best_labelling():
+    rng = random.Random(4)
+    for _ in range(20):
+        n = rng.randint(1, 7)
+        w = {str(k): rng.gauss(0, 2) for k in range(n)}
+        f = html_extract.Field(w, np.array([[rng.gauss(0, 1) for _ in range(2)] for _ in range(2)]), np.array([rng.gauss(0, 1), rng.gauss(0, 1)]))
+
+        def value(y):
+            return f.start[y[0]] + sum(w[str(k)] for k in range(n) if y[k]) + sum(f.transition[y[k], y[k + 1]] for k in range(n - 1))
+        best = max(([(m >> k) & 1 for k in range(n)] for m in range(2 ** n)), key=value)
+        assert value(f.decode([[str(k)] for k in range(n)])) == pytest.approx(value(best))
+
+
+# ---- pipeline -------------------------------------------------------------------------
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near duplicates", "benchmark decontamination", "mixing"]
+    from test_dedup import brute_components, brute_lines
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    now = docs
+    steps = []
+    for name, stage in corpus_pipeline.STAGES:
+        before, now = now, stage(spark, now, SF001).checkpoint()
+        steps.append((name, before, now))
+        assert now.columns == docs.columns or name == "mixing"
+    rows = [[(r["doc_id"], r["text"], r["source"]) for r in d.collect()] for _, d, _ in steps] + [[(r["doc_id"], r["text"], r["source"]) for r in now.collect()]]
+    assert sorted((i, t) for i, t, _ in rows[2]) == sorted((i, t) for i, _, _, t in brute_lines(rows[1]))
+    keep = {i for i, _, c in brute_components(rows[2], 5, 80) if c == i}
+    assert {i for i, *_ in rows[3]} == keep
+    items = [norm(r["text"]) for r in spark.read.parquet(f"{SF001}/benchmark.parquet").collect()]
+    leak = {i for i, t, _ in rows[3] for y in items if len(y) >= 5
+            and any(similarity(norm(t)[s:s + len(y)], y) >= 0.8 for s in range(max(1, len(norm(t)) - len(y) + 1)))}
+    assert {i for i, *_ in rows[4]} == {i for i, *_ in rows[3]} - leak
+    size, total, target = brute_mix(rows[4])
+    taken = Counter()
+    for r in now.collect():
+        taken[r["source"]] += r["taken"]
+    assert {s: taken[s] for s in total} == {s: math.floor(target[s] + 1e-9) for s in total}
