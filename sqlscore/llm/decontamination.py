@@ -72,8 +72,13 @@ def _gram_arrays(df: DataFrame, keys: list[str], width: int) -> DataFrame:
 
 
 def _grams(df: DataFrame, keys: list[str], width: int) -> DataFrame:
-    """``keys, pos, gram, n_grams``: one row a shingle."""
-    return _gram_arrays(df, keys, width).select(*keys, F.size("_g").alias("n_grams"), F.posexplode("_g").alias("pos", "gram"))
+    """``keys, pos, gram, n_grams``: one row a shingle.
+
+    The outer form of explode: for the inner one the optimizer adds a filter on the array's size
+    below the projections and so puts the word splitting into the lambda, once per word.
+    """
+    return (_gram_arrays(df, keys, width).select(*keys, F.size("_g").alias("n_grams"), F.posexplode_outer("_g").alias("pos", "gram"))
+            .where("gram is not null"))
 
 
 def simhash(grams: DataFrame, keys: list[str]) -> DataFrame:
@@ -156,7 +161,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     own = _gram_arrays(text.join(windows.select(*doc).distinct(), doc, "left_semi").dropDuplicates(doc), doc, width)
     window_grams = (own.join(windows, doc)
                     .select(*pair, "start", "n_item",
-                            F.explode(F.slice("_g", F.col("start") + 1, F.col("n_item").cast("int"))).alias("gram")).checkpoint())
+                            F.explode_outer(F.slice("_g", F.col("start") + 1, F.col("n_item").cast("int"))).alias("gram")).checkpoint())
     counted = window_grams.groupBy(*pair, "start", "n_item", "gram").agg(F.count("*").alias("in_window"))
     window_fp = simhash(window_grams, pair + ["start"])
     item_fp = simhash(grams.select("item", "gram"), ["item"])
