@@ -5,9 +5,13 @@ closing blank, a byte bit by bit from the top; the end token is coded as a line
 predicted by several contexts at once, each with counts of zeros and ones from the training
 documents:
 
-* *prefix*: all bytes of the word so far and the bits of this byte. The first ``TRIE_FROM`` bytes use a
-  hashed table; deeper prefixes are counted exactly, next to the words that share them;
-* *order 3, 2, 1*: the last bytes inside the word, in hashed tables of fixed size.
+* *prefix*: all bytes of the word so far and the bits of this byte. The first bytes use a hashed
+  table; deeper prefixes are counted next to the words that share them;
+* *order 4, 3, 2, 1*: the last bytes inside the word, in hashed tables of fixed size.
+
+All but order 4 also know the *state* of the text: the group (language) that the words read so far
+speak for most, by a hashed table of word counts per group. The state depends on earlier words only, so it
+adapts to each text as the text is read, and the product over the tokens stays a probability.
 
 The predictions are mixed in the logistic domain by weights chosen by a gate (the bit's place
 and how often the prefix was seen), learned online: mini-batches of training words in a random
@@ -16,17 +20,19 @@ probability (per gate and probability step, the observed rate of ones). The prod
 bits is the probability of the word, so all words have probabilities that sum to at most one; no
 word is impossible. The score of a text is the sum of the log10 probabilities of its tokens.
 
-Jobs: (1) words and counts of the training documents, added up per word: a table of buckets, in
-which words with the same first bytes stand together; (2) hashed tables and, bucket by bucket,
-the weights and the adaptive table, summed over buckets; (3) blocks of documents ask the buckets
-for the words they hold and get the log probability and the training count of each; every distinct
-word of a bucket is evaluated once; (4) blocks add up.
+Jobs: (1) the counts of (state, word) tokens of the training documents, whose state is their own group: a
+table of buckets, in which words with the same first bytes stand together; (2) from it the word counts
+per group, hashed; (3) hashed tables and, bucket by bucket, the weights and the adaptive table, summed over buckets; (4) blocks of documents
+ask the buckets for the tokens they hold and get the log probability and the training count of each; every
+distinct token of a bucket is evaluated once; (5) blocks add up.
 
-Scale: the table of words grows with the corpus and is spread over buckets by the first bytes. What
-reaches the driver and is broadcast has a fixed size: ``sum(TABLES)`` slots of counts, and the weights.
+Scale: the table of tokens grows with the corpus and is spread over buckets by the first bytes. What
+reaches the driver and is broadcast has a fixed size: ``sum(2 ** TABLE_BITS)`` slots of counts,
+``STATE_SLOTS`` times ``GROUPS`` word counts, and the weights.
 
 Cases: null and empty texts have the end token only; without training documents all counts
-are 0 and every bit has probability 1/2; rows with equal ids are scored (and learned) each.
+are 0 and every bit has probability 1/2; rows with equal ids are scored (and learned) each; without a
+group column, or where it is null, a text belongs to group 0.
 """
 
 from __future__ import annotations
@@ -39,20 +45,27 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, bucket_of, mix64, pieces, restore_id, salted_crc, split_words, text_bytes
-from .common import block_of, documents
+from .common import (BLOCK_BYTES, MIN_ID, block_of, bucket_of, documents, mix64, pieces, restore_id, salted_crc,
+                     text_bytes)
 from .exchange import runs
 
 END = b"\n"
-TRIE_FROM = 4
-#: log2 of the slots of the hashed tables: prefix, order 3, order 2, order 1.
-TABLE_BITS = (18, 19, 18, 16)
+TRIE_FROM = 5
+#: log2 of the slots of the hashed tables: prefix, order 4, 3, 2, 1.
+TABLE_BITS = (18, 20, 19, 18, 16)
 OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])])
-INPUTS = 5  # prefix, order 3, 2, 1, bias
+TABLES = len(TABLE_BITS)
+INPUTS = TABLES + 1  # and a bias
+#: Groups that states tell apart (the most frequent ones; the rest is group 0), hashed word slots of the state table.
+GROUPS, STATE_SLOTS = 8, 1 << 16
+#: State of the first token of a text.
+UNKNOWN = 15
 CONFIDENCE = (1, 2, 4, 16)
 GATES = 8 * (len(CONFIDENCE) + 1)
 STEPS = 24
 BATCH = 4096
+#: Characters that a worker splits at once.
+PIECE = 2_000_000
 #: Text bytes that share one bucket of words.
 BUCKET_BYTES = 8_000_000
 
@@ -73,10 +86,87 @@ def _unpack(raw: bytes) -> list[bytes]:
     return raw.split(b" ") if raw else []
 
 
+def _texts(texts: list[str]) -> Iterator[slice]:
+    """Slices of about ``PIECE`` characters."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > PIECE:
+            yield slice(lo, i + 1)
+            lo, size = i + 1, 0
+    if lo < len(texts):
+        yield slice(lo, len(texts))
+
+
+class _Places(dict):
+    """Numbers new keys in order of arrival."""
+
+    def __missing__(self, key):
+        n = self[key] = len(self)
+        return n
+
+
+def _split(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct words, place of every token among them, tokens of each text); each text ends with the end token."""
+    place = _Places()
+    words: list[bytes] = []
+    counts = np.empty(len(texts), np.int64)
+    for i, t in enumerate(texts):
+        before = len(words)
+        words += t.encode("utf-8", "surrogatepass").lower().split()
+        words.append(END)
+        counts[i] = len(words) - before
+    code = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+    return list(place), code, counts
+
+
+def _distinct(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, place of every key) of keys below ``size``."""
+    used = np.zeros(size, bool)
+    used[keys] = True
+    return np.flatnonzero(used), (np.cumsum(used) - 1)[keys]
+
+
+def _name(words: list[bytes], keys: np.ndarray) -> list[bytes]:
+    return [bytes([65 + c % 16]) + words[c // 16] for c in keys.tolist()]
+
+
+def _slots_of(words: list[bytes]) -> np.ndarray:
+    import xxhash
+    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).astype(np.int64) & (STATE_SLOTS - 1)
+
+
+def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(distinct tokens, place of every token among them, tokens of each text).
+
+    A token is the state as one byte and the word. ``groups``: log probability of each word slot in each group.
+    """
+    words, code, counts = _split(texts)
+    if not len(code):
+        return [], code, counts
+    table = groups[_slots_of(words)]
+    first = np.cumsum(counts) - counts
+    start = np.repeat(first, counts)
+    best = state = None
+    for z in range(groups.shape[1]):
+        gain = table[:, z][code].astype(np.float64)
+        upto = np.cumsum(gain) - gain  # of the earlier words
+        upto -= upto[start]
+        if best is None:
+            best, state = upto, np.zeros(len(code), np.int64)
+        else:
+            better = upto > best
+            state[better] = z
+            best = np.maximum(best, upto)
+    state[first] = UNKNOWN
+    both, place = _distinct(code * 16 + state, 16 * len(words))
+    return _name(words, both), place, counts
+
+
 def _deal(words: list[bytes], buckets: int) -> list[tuple[int, list[int]]]:
-    """Indices of the words by bucket; words with the same first bytes share one."""
+    """Indices of the tokens by bucket; words with the same first bytes share one, in all states."""
     import xxhash
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w[:TRIE_FROM]) for w in words), np.uint64, len(words))
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w[1:TRIE_FROM]) for w in words), np.uint64, len(words))
     b = bucket_of(h, buckets).astype(np.int64)
     order = np.argsort(b, kind="stable")
     at = runs(b[order])
@@ -100,10 +190,14 @@ class _Bytes:
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(b), inverse)]))
         first = self.starts[self.word]
         self.prefix = mix64((total[:-1] - total[first]) * back[first] + self.pos.astype(np.uint64) * _K[1])
-        last = [np.where(self.pos >= k, np.concatenate([np.zeros(k, np.uint64), self.byte[:-k]]), np.uint64(0)) for k in (1, 2, 3)]
-        one = last[0]
-        two = one | (last[1] << np.uint64(8))
-        self.orders = [two | (last[2] << np.uint64(16)) | np.uint64(3 << 24), two | np.uint64(2 << 24), one | np.uint64(1 << 24)]
+        order, known = [], np.zeros(len(b), np.uint64)
+        state = self.byte[first] << np.uint64(40)
+        for k in (1, 2, 3, 4):
+            byte = np.where(self.pos > k, np.concatenate([np.zeros(k, np.uint64), self.byte[:-k]])[:len(b)], np.uint64(0))
+            known = known | (byte << np.uint64(8 * (k - 1)))
+            order.append(mix64(known + (state if k < 4 else np.uint64(0)) + np.uint64(k << 48)))
+        self.orders = order[::-1]
+        self.coded = self.pos > 0  # the state itself is not coded
         self.deep = np.flatnonzero(self.pos >= TRIE_FROM)
         self.shallow = np.flatnonzero(self.pos < TRIE_FROM)
 
@@ -113,63 +207,95 @@ class _Bytes:
         return node, ((self.byte >> np.uint64(7 - k)) & np.uint64(1)).astype(np.int64)
 
     def slots(self, k: int, node) -> list[np.ndarray]:
-        """Slots of the four tables in the joint array; the prefix table only for the first bytes."""
+        """Slots of the tables in the joint array; the prefix table only for the first bytes."""
         out = []
+        step = node * _K[2]
         for t, c in enumerate([self.prefix[self.shallow]] + self.orders):
-            n = node[self.shallow] if t == 0 else node
-            h = mix64(c * _K[1] + n * _K[2])
+            h = (c + (step[self.shallow] if t == 0 else step)) * _K[0]
             out.append((h >> np.uint64(64 - TABLE_BITS[t])).astype(np.int64) + OFFSETS[t])
         return out
 
     def deep_keys(self, node) -> np.ndarray:
-        return mix64(self.prefix[self.deep] + node[self.deep] * _K[2])
+        h = (self.prefix[self.deep] + node[self.deep] * _K[2]) * _K[0]
+        return h ^ (h >> np.uint64(32))
 
 
-def _add_tables(n0: np.ndarray, n1: np.ndarray, words: list[bytes], counts: np.ndarray) -> None:
+def _add_tables(n: np.ndarray, words: list[bytes], counts: np.ndarray) -> None:
+    """Add the words to the tables: ``n[slot, bit]``."""
     b = _Bytes(words)
-    c = counts[b.word].astype(np.float64)
+    c = (counts[b.word] * b.coded).astype(np.float64)
+    flat = n.reshape(-1)
     for k in range(8):
         node, bit = b.bit(k)
         for t, slot in enumerate(b.slots(k, node)):
-            own_bit, own_c = (bit[b.shallow], c[b.shallow]) if t == 0 else (bit, c)
-            lo, hi = OFFSETS[t], OFFSETS[t + 1]
-            n1[lo:hi] += np.bincount(slot - lo, weights=own_c * own_bit, minlength=hi - lo)
-            n0[lo:hi] += np.bincount(slot - lo, weights=own_c * (1 - own_bit), minlength=hi - lo)
+            at = b.shallow if t == 0 else slice(None)
+            np.add.at(flat, 2 * slot + bit[at], c[at])
+
+
+def _log_odds(n: np.ndarray) -> np.ndarray:
+    return np.log((n[..., 1] + np.float32(0.02)) / (n[..., 0] + np.float32(0.02)))
 
 
-def _inputs(query: _Bytes, known: _Bytes, counts: np.ndarray, n0: np.ndarray, n1: np.ndarray, leave_out: bool):
-    """For every bit place: (inputs, gate, bit) of the query's bytes; ``leave_out`` takes one token of each word out."""
-    c = counts[known.word[known.deep]].astype(np.float64)
+class _Deep:
+    """Counts of the deep prefixes of some words at one bit place: slots by hash, told apart by the whole key."""
+
+    def __init__(self, known: _Bytes, k: int, c: np.ndarray):
+        node, bit = known.bit(k)
+        keys = known.deep_keys(node)
+        self.bits = max(10, (4 * len(keys)).bit_length())
+        at = self.slot(keys)
+        self.key = np.zeros(1 << self.bits, np.uint64)
+        self.key[at] = keys
+        own = self.key[at] == keys  # where two prefixes meet in a slot, one of them has it
+        self.n = np.zeros((1 << self.bits, 2), np.float32)
+        np.add.at(self.n.reshape(-1), (2 * at + bit[known.deep])[own], c[own])
+
+    def slot(self, keys):
+        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys) -> np.ndarray:
+        at = self.slot(keys)
+        return self.n[at] * (self.key[at] == keys)[:, None]
+
+
+def _inputs(query: _Bytes, known: _Bytes, counts: np.ndarray, tables: np.ndarray, leave_out: bool):
+    """For every bit place: (inputs, gate, bit) of the query's bytes.
+
+    ``tables``: counts (slot, bit) if ``leave_out``, which takes one token of each word out; else the log odds by slot.
+    """
+    c = counts[known.word[known.deep]].astype(np.float32)
     for k in range(8):
         node, bit = query.bit(k)
-        zero, one = np.zeros((4, len(bit))), np.zeros((4, len(bit)))
-        for t, slot in enumerate(query.slots(k, node)):
-            at = query.shallow if t == 0 else slice(None)
-            zero[t, at], one[t, at] = n0[slot], n1[slot]
-        if len(known.deep):
-            known_node, known_bit = known.bit(k)
-            keys, code = np.unique(known.deep_keys(known_node), return_inverse=True)
-            ones = np.bincount(code, weights=c * known_bit[known.deep], minlength=len(keys))
-            both = np.bincount(code, weights=c, minlength=len(keys))
-            if len(query.deep):
-                want = query.deep_keys(node)
-                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-                hit = keys[at] == want
-                one[0, query.deep] = np.where(hit, ones[at], 0)
-                zero[0, query.deep] = np.where(hit, both[at] - ones[at], 0)
+        x = np.empty((INPUTS, len(bit)), np.float32)
+        own = np.zeros((len(bit), 2), np.float32)
+        own[np.arange(len(bit)), bit] = 1
+        slots = query.slots(k, node)
+        if leave_out:
+            for t, slot in enumerate(slots):
+                if t:
+                    x[t] = _log_odds(np.maximum(tables[slot] - own, 0))
+        else:
+            for t, slot in enumerate(slots):
+                if t:
+                    x[t] = tables[slot, 0]
+        prefix = np.zeros((len(bit), 2), np.float32)
+        prefix[query.shallow] = tables[slots[0]] if leave_out else 0
+        if len(query.deep) and len(known.deep):
+            prefix[query.deep] = _Deep(known, k, c).find(query.deep_keys(node))
         if leave_out:
-            one = np.maximum(one - bit, 0)
-            zero = np.maximum(zero - (1 - bit), 0)
-        x = np.empty((INPUTS, len(bit)))
-        x[:4] = np.log((one + 0.02) / (zero + 0.02))
-        x[4] = 0.3
-        seen = one[0] + zero[0]
+            prefix = np.maximum(prefix - own, 0)
+        x[0] = _log_odds(prefix)
+        seen = prefix.sum(1)
+        if not leave_out:
+            x[0, query.shallow] = tables[slots[0], 0]
+            seen[query.shallow] = tables[slots[0], 1]
+        x[TABLES] = 0.3
         gate = k * (len(CONFIDENCE) + 1) + np.searchsorted(CONFIDENCE, seen, side="right")
         yield x, gate, bit
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 1 / (1 + np.exp(-np.clip(x, -15, 15)))
 
 
 def _step(dot):
@@ -179,28 +305,35 @@ def _step(dot):
 
 def first_weights() -> np.ndarray:
     w = np.zeros((GATES, INPUTS))
-    w[:, :4] = (0.6, 0.2, 0.1, 0.1)
+    w[:, :TABLES] = (0.5, 0.2, 0.15, 0.1, 0.05)
     return w
 
 
-def _learn(words: list[bytes], counts: np.ndarray, n0, n1):
+def _mix(weights: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
+    out = weights[:, 0][gate] * x[0]
+    for i in range(1, INPUTS):
+        out += weights[:, i][gate] * x[i]
+    return out
+
+
+def _learn(words: list[bytes], counts: np.ndarray, tables: np.ndarray):
     """Online pass over the words of a bucket: (weights, tokens per gate, ones and all of the adaptive table)."""
     order = np.random.default_rng(17).permutation(len(words))
     words, counts = [words[i] for i in order], counts[order]
     b = _Bytes(words)
     weights, seen = first_weights(), np.zeros(GATES)
     ones, every = np.zeros((GATES, STEPS)), np.zeros((GATES, STEPS))
-    c = counts[b.word].astype(np.float64)
-    for x, gate, bit in _inputs(b, b, counts, n0, n1, True):
+    c = counts[b.word] * b.coded.astype(np.float64)
+    for x, gate, bit in _inputs(b, b, counts, tables, True):
         for n, lo in enumerate(range(0, len(bit), BATCH)):
             s = slice(lo, lo + BATCH)
-            g, w = gate[s], weights[gate[s]]
-            gap = (bit[s] - _sigmoid((w.T * x[:, s]).sum(0))) * c[s]
+            g = gate[s]
+            gap = (bit[s] - _sigmoid(_mix(weights, g, x[:, s]))) * c[s]
             mass = np.bincount(g, weights=c[s], minlength=GATES)
             rate = 0.3 / (1 + n / 50) / np.maximum(mass, 1) / 8
             for i in range(INPUTS):
                 weights[:, i] += rate * np.bincount(g, weights=gap * x[i, s], minlength=GATES)
-        dot = (weights[gate].T * x).sum(0)
+        dot = _mix(weights, gate, x)
         cell = gate * STEPS + _step(dot)
         ones += np.bincount(cell, weights=c * bit, minlength=GATES * STEPS).reshape(GATES, STEPS)
         every += np.bincount(cell, weights=c, minlength=GATES * STEPS).reshape(GATES, STEPS)
@@ -209,42 +342,71 @@ def _learn(words: list[bytes], counts: np.ndarray, n0, n1):
 
 
 class Model:
-    """Counts of the hashed tables, mixing weights and the adaptive table."""
+    """Log odds (and how often seen) of the hashed tables, mixing weights and the adaptive table."""
+
+    def __init__(self, tables: np.ndarray, weights: np.ndarray, refined: np.ndarray):
+        self.tables, self.weights, self.refined = tables, weights.astype(np.float32), refined
 
-    def __init__(self, n0, n1, weights, refined, tokens: int, distinct: int):
-        self.n0, self.n1, self.weights, self.refined = n0, n1, weights, refined
-        self.tokens, self.distinct = tokens, distinct
+    @staticmethod
+    def scoring_tables(n: np.ndarray) -> np.ndarray:
+        return np.stack([_log_odds(n), n.sum(1)], axis=1).astype(np.float32)
 
-    def log10(self, words: list[bytes], known: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each word; ``known``: the training words with the same first bytes."""
+    def log10(self, words: list[bytes], known: "_Bytes", counts: np.ndarray) -> np.ndarray:
+        """log10 probability of each token; ``known``: the training tokens with the same first bytes."""
         if not words:
             return np.empty(0)
         q = _Bytes(words)
         out = np.zeros(len(q.byte))
-        for x, gate, bit in _inputs(q, _Bytes(known), counts, self.n0, self.n1, False):
-            dot = (self.weights[gate].T * x).sum(0)
+        for x, gate, bit in _inputs(q, known, counts, self.tables, False):
+            dot = _mix(self.weights, gate, x)
             p = 0.5 * _sigmoid(dot) + 0.5 * self.refined[gate, _step(dot)]
-            out += np.log10(np.where(bit == 1, p, 1 - p))
-        return np.add.reduceat(out, q.starts)
+            out += np.log(np.where(bit == 1, p, 1 - p))
+        return np.add.reduceat(np.where(q.coded, out, 0), q.starts) / math.log(10)
+
+
+def _group_table(table: DataFrame) -> np.ndarray:
+    """log probability of each word slot in each group, from the table of training tokens."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        n = np.zeros(STATE_SLOTS * GROUPS, np.int64)
+        for pdf in batches:
+            for raw, counts in zip(pdf["words"], pdf["counts"]):
+                words, c = _unpack(raw), np.frombuffer(counts, np.int64)
+                group = np.fromiter((w[0] - 65 for w in words), np.int64, len(words))
+                told = group < GROUPS
+                np.add.at(n, (_slots_of([w[1:] for w in words]) * GROUPS + group)[told], c[told])
+        at = np.flatnonzero(n)
+        yield pd.DataFrame({"i": at, "n": n[at]})
+    n = np.zeros(STATE_SLOTS * GROUPS)
+    rows = table.mapInPandas(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
+    n[rows["i"].to_numpy()] = rows["n"].to_numpy()  # STATE_SLOTS * GROUPS numbers at most
+    n = n.reshape(STATE_SLOTS, GROUPS)
+    spoken = np.flatnonzero(n.sum(0))
+    n = n[:, :spoken.max(initial=0) + 1]
+    table_ = np.log((n + 0.05) / (n.sum(0) + 0.05 * STATE_SLOTS))
+    table_[:, n.sum(0) == 0] = -50.0  # a group without texts is no state
+    return table_.astype(np.float32)
 
 
 def _corpus_words(docs: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, words, counts``: one row a bucket, of the training documents' tokens."""
+    """``bucket, words, counts``: one row a bucket, of the training documents' tokens (the state is the document's group)."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from collections import Counter
-        c: Counter = Counter()
+        total: dict[bytes, int] = {}
 
         def rows():
-            words = list(c)
-            n = np.fromiter(c.values(), np.int64, len(words))
-            c.clear()
+            words, n = list(total), np.fromiter(total.values(), np.int64, len(total))
+            total.clear()
             return pd.DataFrame([(b, _pack([words[i] for i in at]), n[at].tobytes()) for b, at in _deal(words, buckets)],
                                 columns=["bucket", "words", "counts"])
         for pdf in batches:
-            for text in pdf["text"]:
-                c.update(split_words([text], fold=True)[0])
-                c[END] += 1
-                if len(c) > 400_000:  # bounded memory; the counts are added up later
+            texts, group = list(pdf["text"]), pdf["group"].to_numpy(np.int64)
+            for s in _texts(texts):
+                words, code, counts = _split(texts[s])
+                state = np.repeat(group[s], counts)
+                state[np.cumsum(counts) - counts] = UNKNOWN
+                both, place = _distinct(code * 16 + state, 16 * len(words))
+                for w, n in zip(_name(words, both), np.bincount(place, minlength=len(both)).tolist()):
+                    total[w] = total.get(w, 0) + n
+                if len(total) > 400_000:  # bounded memory; the counts are added up later
                     yield rows()
         yield rows()
 
@@ -256,95 +418,107 @@ def _corpus_words(docs: DataFrame, buckets: int) -> DataFrame:
         words = sorted(total)
         return pd.DataFrame([(int(pdf["bucket"].iloc[0]), _pack(words), np.array([total[w] for w in words], np.int64).tobytes())],
                             columns=["bucket", "words", "counts"])
-    return docs.select("text").mapInPandas(count, WORDS).groupBy("bucket").applyInPandas(add, WORDS)
+    return docs.select("text", "group").mapInPandas(count, WORDS).groupBy("bucket").applyInPandas(add, WORDS)
 
 
-def _sum_tables(table: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the hashed tables over all buckets (a fixed number of slots)."""
+def _sum_tables(table: DataFrame, parts: int) -> np.ndarray:
+    """Counts (slot, bit) of the hashed tables over all buckets (a fixed number of slots)."""
     size = int(OFFSETS[-1])
     width = -(-size // parts)
-    schema = "part int, slots binary, zeros binary, ones binary"
+    schema = "part int, slots binary, counts binary"
 
     def local(batches):
-        n0, n1 = np.zeros(size), np.zeros(size)
+        n = np.zeros((size, 2))
         for pdf in batches:
             for words, counts in zip(pdf["words"], pdf["counts"]):
-                _add_tables(n0, n1, _unpack(words), np.frombuffer(counts, np.int64))
-        at = np.flatnonzero(n0 + n1)
-        rows = []
-        for lo, hi in zip(s := runs(at // width), np.append(s[1:], len(at))):
-            i = at[lo:hi]
-            rows.append((int(i[0] // width), i.astype("<u4").tobytes(), n0[i].astype("<f8").tobytes(), n1[i].astype("<f8").tobytes()))
-        yield pd.DataFrame(rows, columns=["part", "slots", "zeros", "ones"])
+                _add_tables(n, _unpack(words), np.frombuffer(counts, np.int64))
+        at = np.flatnonzero(n.sum(1))
+        s = runs(at // width)
+        rows = [(int(at[lo] // width), at[lo:hi].astype("<u4").tobytes(), n[at[lo:hi]].astype("<f8").tobytes())
+                for lo, hi in zip(s, np.append(s[1:], len(at)))]
+        yield pd.DataFrame(rows, columns=["part", "slots", "counts"])
 
     def add(pdf):
         lo = int(pdf["part"].iloc[0]) * width
-        n0, n1 = np.zeros(width), np.zeros(width)
-        for s, z, o in zip(pdf["slots"], pdf["zeros"], pdf["ones"]):
-            i = np.frombuffer(s, "<u4").astype(np.int64) - lo
-            n0[i] += np.frombuffer(z, "<f8")
-            n1[i] += np.frombuffer(o, "<f8")
-        at = np.flatnonzero(n0 + n1)
-        return pd.DataFrame([(int(pdf["part"].iloc[0]), (at + lo).astype("<u4").tobytes(), n0[at].tobytes(), n1[at].tobytes())],
-                            columns=["part", "slots", "zeros", "ones"])
-    n0, n1 = np.zeros(size), np.zeros(size)
-    summed = table.mapInPandas(local, schema).groupBy("part").applyInPandas(add, schema)
-    for r in summed.toLocalIterator():  # sum(TABLES) slots in all
-        i = np.frombuffer(r["slots"], "<u4")
-        n0[i], n1[i] = np.frombuffer(r["zeros"], "<f8"), np.frombuffer(r["ones"], "<f8")
-    return n0.astype(np.float32), n1.astype(np.float32)
-
-
-def train(table: DataFrame, buckets: int) -> Model:
-    """Fit the model on the table of training words."""
-    spark = table.sparkSession
-    n0, n1 = _sum_tables(table, max(64, buckets))
-    counts = spark.sparkContext.broadcast((n0, n1))  # fixed size
+        n = np.zeros((width, 2))
+        for s, c in zip(pdf["slots"], pdf["counts"]):
+            n[np.frombuffer(s, "<u4").astype(np.int64) - lo] += np.frombuffer(c, "<f8").reshape(-1, 2)
+        at = np.flatnonzero(n.sum(1))
+        return pd.DataFrame([(int(pdf["part"].iloc[0]), (at + lo).astype("<u4").tobytes(), n[at].astype("<f4").tobytes())],
+                            columns=["part", "slots", "counts"])
+    n = np.zeros((size, 2), np.float32)
+    for r in table.mapInPandas(local, schema).groupBy("part").applyInPandas(add, schema).toLocalIterator():  # OFFSETS[-1] slots in all
+        n[np.frombuffer(r["slots"], "<u4")] = np.frombuffer(r["counts"], "<f4").reshape(-1, 2)
+    return n
+
+
+def train(table: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+    """Fit on the table of training tokens: (scoring tables, weights, adaptive table, tokens, distinct words)."""
+    n = _sum_tables(table, max(64, buckets))
+    shared = table.sparkSession.sparkContext.broadcast(n)  # fixed size
     size = GATES * (INPUTS + 1 + 2 * STEPS)
 
     def learn(batches):
-        a, b = counts.value
         total = np.zeros(size)
         tokens = distinct = 0
         for pdf in batches:
-            for raw, n in zip(pdf["words"], pdf["counts"]):
-                words, c = _unpack(raw), np.frombuffer(n, np.int64)
+            for raw, c in zip(pdf["words"], pdf["counts"]):
+                words, c = _unpack(raw), np.frombuffer(c, np.int64)
                 if not words:
                     continue
-                tokens, distinct = tokens + int(c.sum()), distinct + len(words)
-                w, seen, ones, every = _learn(words, c, a, b)
+                tokens, distinct = tokens + int(c.sum()), distinct + len({w[1:] for w in words})
+                w, seen, ones, every = _learn(words, c, shared.value)
                 total += np.concatenate([(w * seen[:, None]).ravel(), seen, ones.ravel(), every.ravel()])
         yield pd.DataFrame({"i": np.arange(size + 2), "v": np.concatenate([total, [tokens, distinct]])})
     sums = table.mapInPandas(learn, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()  # fixed size
     v = np.zeros(size + 2)
     v[sums["i"].to_numpy()] = np.round(sums["v"].to_numpy(), 3)
-    cut = np.cumsum([GATES * INPUTS, GATES, GATES * STEPS])
-    w, seen, ones, every = np.split(v[:size], cut)
+    w, seen, ones, every = np.split(v[:size], np.cumsum([GATES * INPUTS, GATES, GATES * STEPS]))
     w, seen = w.reshape(GATES, INPUTS), seen[:, None]
     weights = np.where(seen > 0, w / np.maximum(seen, 1), first_weights()).round(6)
     centre = _sigmoid(-12 + (np.arange(STEPS) + 0.5) * 24 / STEPS)
     refined = (ones.reshape(GATES, STEPS) + 4 * centre) / (every.reshape(GATES, STEPS) + 4)
-    return Model(n0, n1, weights, np.clip(refined, 1e-6, 1 - 1e-6), int(v[size]), int(v[size + 1]))
+    return Model.scoring_tables(n), weights, np.clip(refined, 1e-6, 1 - 1e-6), int(v[size]), int(v[size + 1])
+
+
+def _grouped(docs: DataFrame, group_col: str | None, train) -> DataFrame:
+    """Add ``group`` 0..GROUPS-1: the most frequent values of the column among the training rows, in order."""
+    if group_col is None or group_col not in docs.columns:
+        return docs.withColumn("group", F.lit(0))
+    value = F.col(group_col).cast("string")
+    top = (docs.where(train & value.isNotNull()).groupBy(value.alias("v")).agg(F.count("*").alias("n"))
+           .orderBy(F.desc("n"), "v").limit(GROUPS - 1).collect())
+    group = F.lit(0)
+    for k, r in enumerate(top):
+        group = F.when(value == r["v"], k + 1).otherwise(group)
+    return docs.withColumn("group", F.coalesce(group, F.lit(0)))
 
 
-def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, held_out: int = 2) -> DataFrame:
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", group_col: str | None = "lang",
+                    folds: int = 7, held_out: int = 2) -> DataFrame:
     """Per document ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte``.
 
     Learns from the documents whose crc32(id) modulo ``folds`` is not ``held_out``.
     ``base_score`` is the add-one unigram score of the same tokens.
     """
-    d = documents(docs, id_col, text_col)
-    total = text_bytes(d)
+    columns = documents(docs, id_col, text_col)
+    total = text_bytes(columns)
     buckets, blocks = pieces(total, BUCKET_BYTES), pieces(total, BLOCK_BYTES)
-    table = _corpus_words(d.where(salted_crc("doc_id", folds) != held_out), buckets).checkpoint()
-    fitted = train(table, buckets)
-    tokens, distinct = fitted.tokens, fitted.distinct
-    shared = d.sparkSession.sparkContext.broadcast((fitted.n0, fitted.n1, fitted.weights, fitted.refined))  # fixed size
-
-    dealt = d.withColumn("held_out", salted_crc("doc_id", folds) == held_out).withColumn("block", block_of(blocks, "doc_id"))
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(MIN_ID)).alias("doc_id")
+    extra = [F.col(group_col).alias("_group")] if group_col in docs.columns else []
+    d = docs.select(key, F.coalesce(F.col(text_col), F.lit("")).alias("text"), *extra)
+    learns = salted_crc("doc_id", folds) != held_out
+    training = _grouped(d, "_group", learns).where(learns).select("text", "group")
+    table = _corpus_words(training, buckets).checkpoint()
+    states = d.sparkSession.sparkContext.broadcast(_group_table(table))  # fixed size
+    *fitted, n_train, n_distinct = train(table, buckets)
+    shared = d.sparkSession.sparkContext.broadcast(fitted)  # fixed size
+
+    dealt = d.select("doc_id", "text").withColumn("held_out", salted_crc("doc_id", folds) == held_out).withColumn("block", block_of(blocks, "doc_id"))
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        words = list(set(split_words(list(pdf["text"]), fold=True)[0]) | {END})
+        texts = list(pdf["text"])
+        words = sorted({w for s in _texts(texts) for w in _tokens(texts[s], states.value)[0]})
         name = int(pdf["block"].iloc[0])
         return pd.DataFrame([(b, name, _pack([words[i] for i in at])) for b, at in _deal(words, buckets)],
                             columns=["bucket", "block", "words"])
@@ -353,22 +527,25 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         words, counts = [], np.empty(0, np.int64)
         if len(known):
             words, counts = _unpack(known["words"].iloc[0]), np.frombuffer(known["counts"].iloc[0], np.int64)
-        model = Model(*shared.value, tokens, distinct)
+        model = Model(*shared.value)
         sent = [_unpack(raw) for raw in asked["words"]]
-        distinct: dict[bytes, int] = {}
+        place: dict[bytes, int] = {}
         for s in sent:
             for w in s:
-                distinct.setdefault(w, len(distinct))
-        names = list(distinct)
+                place.setdefault(w, len(place))
+        names = list(place)
         logs = np.empty(len(names), np.float32)
+        learned = _Bytes(words)
         for at in range(0, len(names), 50_000):  # bounded memory
             part = names[at:at + 50_000]
-            logs[at:at + len(part)] = model.log10(part, words, counts)
-        have = dict(zip(words, counts.tolist()))
-        c = np.fromiter((have.get(w, 0) for w in names), np.int64, len(names))
+            logs[at:at + len(part)] = model.log10(part, learned, counts)
+        have: dict[bytes, int] = {}
+        for w, n in zip(words, counts.tolist()):  # of the word in all states
+            have[w[1:]] = have.get(w[1:], 0) + n
+        c = np.fromiter((have.get(w[1:], 0) for w in names), np.int64, len(names))
         rows = []
         for block, raw, s in zip(asked["block"], asked["words"], sent):
-            i = np.fromiter((distinct[w] for w in s), np.int64, len(s))
+            i = np.fromiter((place[w] for w in s), np.int64, len(s))
             rows.append((block, raw, logs[i].tobytes(), c[i].tobytes()))
         return pd.DataFrame(rows, columns=["block", "words", "logs", "counts"])
 
@@ -382,18 +559,21 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 place[w] = len(place)
         logs = np.concatenate([np.frombuffer(x, np.float32) for x in answers["logs"]]).astype(np.float64)
         counts = np.concatenate([np.frombuffer(x, np.int64) for x in answers["counts"]])
-        base = np.log10((counts + 1) / (tokens + distinct + 1))
-        words, n = split_words(list(pdf["text"]), fold=True)
-        i = np.fromiter((place[w] for w in words), np.int64, len(words))
-        row = np.repeat(np.arange(len(pdf)), n)
-
-        def total_of(v):
-            return np.bincount(row, weights=v[i], minlength=len(pdf)) + v[place[END]]
-        score = total_of(logs)
-        size = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 for t in pdf["text"]])
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "n_tokens": n + 1,
-                             "n_known": total_of((counts > 0).astype(np.float64)).astype(np.int64),
-                             "train_tokens": tokens, "base_score": total_of(base), "score": score,
+        base = np.log10((counts + 1) / (n_train + n_distinct + 1))
+        texts = list(pdf["text"])
+        sums = np.zeros((3, len(texts)))
+        n = np.empty(len(texts), np.int64)
+        for s in _texts(texts):
+            tokens, code, n[s] = _tokens(texts[s], states.value)
+            i = np.fromiter((place[w] for w in tokens), np.int64, len(tokens))[code]
+            row = np.repeat(np.arange(s.start, s.stop), n[s])
+            for k, v in enumerate((logs, base, (counts > 0).astype(np.float64))):
+                sums[k] += np.bincount(row, weights=v[i], minlength=len(texts))
+        score = sums[0]
+        size = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])
+        return pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "n_tokens": n,
+                             "n_known": np.rint(sums[2]).astype(np.int64),
+                             "train_tokens": n_train, "base_score": sums[1], "score": score,
                              "bits_per_byte": -score / math.log10(2) / size})
     asked = dealt.groupBy("block").applyInPandas(ask, REQUEST)
     answers = asked.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(reply, REPLY)

@@ -126,8 +126,8 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           & (word_count(text) == F.col("_n")))
     copies = F.concat(F.when(F.col("_epochs") > 0, F.sequence(F.lit(1), F.col("_epochs").cast("int"))).otherwise(F.array().cast("array<int>")),
                       F.when(F.col("_last") > 0, F.array((F.col("_epochs") + 1).cast("int"))).otherwise(F.array().cast("array<int>")))
-    cut = F.regexp_extract(text, F.concat(F.lit(r"^([\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+){"),
-                                          F.col("_last").cast("string"), F.lit("})")), 1)
+    pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))  # the words with the blanks before them
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_last").cast("int")), "")
     partial = (F.col("epoch") > F.col("_epochs")) & (F.col("_last") < F.col("_n"))
     out = docs.join(plan, on).withColumn("epoch", F.explode(copies))
     return out.withColumn(text_col, F.when(partial, cut).otherwise(text)).drop("_i", "_s", "_n", "_epochs", "_last")
