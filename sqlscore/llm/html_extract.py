@@ -151,6 +151,8 @@ def block_features(b: Block, place: str) -> list[str]:
         words.update(w)
     out += ["in:" + t for t in tags]
     out += ["word:" + w for w in words]
+    if b.stack:
+        out += ["near:" + w for w in set(b.stack[-1][1])]
     out.append("own:" + (b.stack[-1][0] if b.stack else "none"))
     n = len(b.text)
     out.append(f"len:{min(10, n.bit_length())}")
@@ -199,7 +201,7 @@ class Field:
         return out[::-1]
 
 
-def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 150, penalty: float = 0.02, rate: float = 0.3) -> Field:
+def fit(pages: list[tuple[list[list[str]], list[int]]], rounds: int = 200, penalty: float = 0.02, rate: float = 0.3) -> Field:
     """Weights by gradient ascent (Adam steps) on the penalised log-likelihood; forward-backward over all pages at once."""
     names: dict[str, int] = {}
     longest = max(len(f) for f, _ in pages)
@@ -260,7 +262,7 @@ _OTHER = {
                 '<section class="recommended more" data-label="0">|</section>', '<aside class="share social" data-label="0">|</aside>'],
     "notice": ['<div class="cookie notice" data-label="0">|</div>', '<div id="cookie-banner" role="dialog" data-label="0">|</div>', '<div class="alert message popup" data-label="0">|</div>',
                '<div class="newsletter subscribe" data-label="0">|</div>', '<div class="consent gdpr modal" data-label="0">|</div>'],
-    "advert": ['<div class="ad" data-label="0">|</div>', '<div class="ads advert advertisement" data-label="0">|</div>', '<div id="sponsor" class="promo" data-label="0">|</div>',
+    "advert": ['<div class="ad" data-label="0">|</div>', '<div class="ads" data-label="0">|</div>', '<aside class="advertisement" data-label="0">|</aside>', '<div class="ads advert advertisement" data-label="0">|</div>', '<div id="sponsor" class="promo" data-label="0">|</div>',
                '<ins class="adsbygoogle banner-ad" data-label="0">|</ins>'],
     "form": ['<form data-label="0">|</form>', '<form class="search" data-label="0">|</form>', '<div class="login signup" data-label="0"><form>|</form></div>'],
     "comments": ['<section id="comments" data-label="0">|</section>', '<div class="comments comment-list" data-label="0">|</div>', '<ol class="commentlist" data-label="0">|</ol>',
@@ -281,6 +283,8 @@ def _fill_other(kind: str, frame: str, text, rng: random.Random) -> str:
     else:
         tag = rng.choice(["p", "div", "p", "span", "li", "h3"])
         inner = "".join(f"<{tag}>{text(rng.randint(2, 40))}</{tag}>" for _ in range(rng.randint(1, 3)))
+        if rng.random() < 0.4:
+            inner = text(rng.randint(2, 30))
     return frame.replace("|", inner)
 
 
@@ -293,7 +297,7 @@ def compose_page(paragraphs: list[str], text, rng: random.Random) -> str:
         tag = "h1" if i == 0 and rng.random() < 0.5 else rng.choice(["p"] * 6 + ["li", "blockquote", "div", "h2", "td"])
         p = html_module.escape(p)
         parts.append(f"<ul><li>{p}</li></ul>" if tag == "li" else f"<table><tr><td>{p}</td></tr></table>" if tag == "td" else f"<{tag}>{p}</{tag}>")
-        if rng.random() < 0.05:
+        if rng.random() < 0.2:
             parts.append(other(rng.choice(["advert", "notice", "sidebar"])))
     before = [other(k) for k in _BEFORE if rng.random() < 0.4]
     after = [other(k) for k in _AFTER if rng.random() < 0.4]
@@ -334,7 +338,7 @@ def labelled_pages(sample: list[str], variants: int = 3, seed: int = 11) -> list
     return [(f[:200], y[:200]) for f, y in out if f]
 
 
-def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 150,
+def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 100,
           max_chars: int = 100_000) -> Field:
     """Fit the field on labelled pages made from at most ``max_pages`` pages (the smallest by md5 of the id).
 

@@ -18,10 +18,13 @@ closed; qualifying groups are opened and their members compared exactly.
    pairs of a chunk are compared; the links give first components, which join the
    chunks of a large group through the pivot.
 3. *Matrix.* Components, again in chunks, are the groups now. Tokens are ordered by rarity
-   (how often blocks asked for them, then the hash); linked sets share a token of
-   their first ``n - need + 1``, so the matrix is kept for these prefix tokens only.
-   A node meets the groups of *other* components, that hold one of its prefix tokens and
-   a fitting size; the bound on the whole union decides which it opens.
+   (how often blocks asked for them, then the hash), tokens of one document first. Of two linked
+   sets the smaller one, of m tokens, has ``2 * THRESHOLD * m / (100 + THRESHOLD)`` in common with the
+   other, so it is entered under its few first tokens only, and the larger one, which needs
+   ``THRESHOLD / 100`` of its own, looks up its first tokens: they share one. Sets of which too
+   much is unshared have no such token left and are not entered at all. A node meets the groups
+   of *other* components that hold a token it looks up, with a fitting size and enough shared tokens;
+   the bound on the whole union decides which it opens.
 4. The links of steps 2 and 3 give the components.
 
 Only pairs that could still join two components are ever compared, so a group of
@@ -49,7 +52,9 @@ THRESHOLD = 85
 CHUNK = 128
 _BASE = 0x9E3779B97F4A7C15
 
-FOUND = "doc_id long, n_shingles long, node long, size int, least long, tokens binary, weights binary"
+FOUND = "doc_id long, n_shingles long, node long, size int, least long, tokens binary"
+#: A list of ids is broadcast if it was counted and has at most this many rows.
+BROADCAST_ROWS = 500_000
 
 
 def need(n, threshold: int = THRESHOLD):
@@ -57,6 +62,11 @@ def need(n, threshold: int = THRESHOLD):
     return -(-threshold * n // 100)
 
 
+def need_smaller(n, threshold: int = THRESHOLD):
+    """Common tokens that a set of n tokens needs with any partner that is not smaller."""
+    return -(-2 * threshold * n // (100 + threshold))
+
+
 def linked(common, n, m, threshold: int = THRESHOLD):
     return 100 * common >= threshold * (n + m - common)
 
@@ -109,16 +119,17 @@ def _candidates(pdf: pd.DataFrame, answers: pd.DataFrame, buckets: int, width: i
     rows, seen = [], set()
     for i, (doc, n) in enumerate(zip(pdf["doc_id"], s.sizes.tolist())):
         if not n or shared[i] < need(n, threshold):
-            rows.append((doc, n, 0, None, None, None, None))
+            rows.append((doc, n, 0, None, None, None))
             continue
         own = slice(int(ends[i] - n), int(ends[i]))
         node = xxhash.xxh3_64_intdigest(s.tokens[own].tobytes()) >> 1 or 1
-        rows.append((doc, n, node, None, None, None, None))
+        rows.append((doc, n, node, None, None, None))
         if node not in seen:
             seen.add(node)
             m = weights[own] > 0
             t = s.tokens[own][m]
-            rows.append((None, None, node, n, int(t[0] >> np.uint64(1)), t.tobytes(), weights[own][m].tobytes()))
+            least = int(t[0] >> np.uint64(1))
+            rows.append((None, None, node, n, least, t[np.lexsort((t, weights[own][m]))].tobytes()))  # rarest first
     out = pd.DataFrame(rows, columns=columns)
     for c in ("doc_id", "n_shingles", "size", "least"):
         out[c] = out[c].astype("Int64")
@@ -158,7 +169,7 @@ class _Postings:
 
 
 def _load(pdf: pd.DataFrame) -> list[np.ndarray]:
-    return [np.frombuffer(t, "<u8") for t in pdf["tokens"]]
+    return [np.sort(np.frombuffer(t, "<u8")) for t in pdf["tokens"]]
 
 
 def _chunk_links(pdf: pd.DataFrame, threshold: int) -> pd.DataFrame:
@@ -200,17 +211,20 @@ def _open_groups(group: pd.DataFrame, queries: pd.DataFrame, threshold: int) ->
 
 
 def _prefixes(batches, threshold: int):
-    """(node, token) of the prefix tokens: rarest first, enough to share one with any partner."""
+    """(node, shared, token, entered) of the first tokens: those a node looks up, and whether it is entered under them."""
     for pdf in batches:
-        nodes, tokens = [], []
-        for node, n, t, w in zip(pdf["node"], pdf["size"].to_numpy(np.int64), _load(pdf), pdf["weights"]):
-            order = np.lexsort((t, np.frombuffer(w, np.uint8)))
+        parts = []
+        for node, n, raw in zip(pdf["node"], pdf["size"].to_numpy(np.int64), pdf["tokens"]):
+            t = np.frombuffer(raw, "<i8")
             k = max(0, len(t) - int(need(n, threshold)) + 1)
-            own = t[order[:k]]
-            nodes += [node] * len(own)
-            tokens.append(own)
-        t = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
-        yield pd.DataFrame({"node": np.array(nodes, np.int64), "token": t})
+            entered = max(0, len(t) - int(need_smaller(n, threshold)) + 1)
+            parts.append(pd.DataFrame({"node": node, "shared": len(t), "token": t[:k], "entered": np.arange(min(k, len(t))) < entered}))
+        yield pd.concat(parts) if parts else pd.DataFrame({"node": [], "shared": [], "token": [], "entered": []})
+
+
+def _hinted(ids: DataFrame) -> DataFrame:
+    """Broadcast a materialised list of ids if it is short enough, counted."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
 
 
 def _chunks(rows: DataFrame, key: str) -> DataFrame:
@@ -233,35 +247,34 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         lambda d, s: _candidates(d, s, buckets, shingle, threshold), FOUND).checkpoint()
     per_doc = found.where("doc_id is not null").select("doc_id", "n_shingles", "node")
     nodes = (found.where("size is not null").groupBy("node")
-             .agg(*[F.first(c).alias(c) for c in ("size", "least", "tokens", "weights")]).checkpoint())
+             .agg(*[F.first(c).alias(c) for c in ("size", "least", "tokens")]).checkpoint())
 
     # groups of similar nodes: links inside the chunks, which meet in the group's pivot
     members = nodes.select("node", "size", "least", "tokens")
     pieces = _chunks(members, "least")
     whole = pieces.groupBy("least").agg(F.min("node").alias("node"), F.count("*").alias("_n")).where(F.col("_n") > CHUNK)
-    pivots = (whole.select("least", "node").join(members.drop("least"), "node")
-              .join(pieces.select("least", "chunk").distinct(), "least").select("least", "chunk", "node", "size", "tokens"))
+    whole = (whole.select("least", "node").join(pieces.select("least", "chunk").distinct(), "least")).checkpoint()
+    pivots = members.drop("least").join(_hinted(whole), "node").select("least", "chunk", "node", "size", "tokens")
     first = (pieces.select("least", "chunk", "node", "size", "tokens").unionByName(pivots)
              .groupBy("least", "chunk").applyInPandas(lambda pdf: _chunk_links(pdf, threshold), "a long, b long").checkpoint())
     groups = connected_components(first.unionByName(nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))))
 
     # the token-group matrix of the prefix tokens; nodes meet groups of other components
     placed = _chunks(nodes.select("node", "size").join(groups, "node"), "component").checkpoint()
-    prefix = nodes.select("node", "size", "tokens", "weights").mapInPandas(
-        lambda b: _prefixes(b, threshold), "node long, token long").join(placed, "node")
-    prefix = prefix.select("token", "node", "size", "component", "chunk")
-    several = (prefix.groupBy("token").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
-               .where("_a < _b").select("token"))
-    prefix = prefix.join(several, "token")
-    matrix = prefix.groupBy("token", "component", "chunk").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    meets = (prefix.select("token", "node", "size", F.col("component").alias("_own")).join(matrix, "token")
-             .where((F.col("_own") < F.col("component"))
-                    & (F.lit(100) * F.col("high") >= F.lit(threshold) * F.col("size"))
-                    & (F.lit(100) * F.col("size") >= F.lit(threshold) * F.col("low")))
-             .select("node", "component", "chunk").distinct())
-    queries = meets.join(nodes.select("node", "size", "tokens"), "node")
-    opened = placed.select("node", "component", "chunk").join(nodes.select("node", "size", "tokens"), "node")
-    opened = opened.join(meets.select("component", "chunk").distinct(), ["component", "chunk"])
+    prefix = nodes.select("node", "size", "tokens").mapInPandas(
+        lambda b: _prefixes(b, threshold), "node long, shared int, token long, entered boolean").join(placed, "node")
+    entered = prefix.where("entered").groupBy("token", "component", "chunk").agg(
+        F.min("size").alias("low"), F.max("size").alias("high"), F.max("shared").alias("most"))
+    n, low, high = F.col("size"), F.col("low"), F.col("high")
+    meets = (prefix.select("token", "node", "size", "shared", F.col("component").alias("_own")).join(entered, "token")
+             .where((F.col("_own") != F.col("component")) & (n >= low) & (F.lit(100) * high >= F.lit(threshold) * n)
+                    & (F.lit(100 + threshold) * F.least("shared", "most") >= F.lit(threshold) * (n + low)))
+             .select("node", "component", "chunk").distinct().checkpoint())
+    tokens = nodes.select("node", "size", "tokens")
+    wanted = meets.select("component", "chunk").distinct()
+    inside = placed.select("node", "component", "chunk").join(wanted, ["component", "chunk"]).checkpoint()
+    queries = tokens.join(_hinted(meets), "node")
+    opened = tokens.join(_hinted(inside), "node").select(*[F.col(c).alias(c) for c in ("component", "chunk", "node", "size", "tokens")])
     second = (opened.groupBy("component", "chunk").cogroup(queries.groupBy("component", "chunk"))
               .applyInPandas(lambda g, q: _open_groups(g, q, threshold), "a long, b long"))
     return per_doc, nodes, first.unionByName(second.checkpoint())

@@ -54,7 +54,7 @@ WEAK = frozenset("ass die rat pig hate kill fool freak garbage useless trash clo
 
 _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "€": "e"})
 _ENDING = r"(?:s|es|y|ed|ing)?"
-_APART = re.compile(r"(?<![^\W_])[^\W\d_](?:[.\-_* ][^\W\d_]){2,}(?![^\W_])")
+_APART = re.compile(r"(?<![^\W_])[^\W\d_](?:(?:[.\-_*][^\W\d_]){2,}|(?: [^\W\d_]){3,})(?![^\W_])")
 _MASKED = re.compile(r"(?<![^\W_])[^\W\d_]+[*#]+[^\W\d_]+(?![^\W_])")
 _CAPS_WORD = re.compile(r"\b[A-Z]{3,}\b")
 _YOU = re.compile(r"(?<![^\W_])(?:" + "|".join(sorted(SECOND_PERSON, key=len, reverse=True)) + r")(?![^\W_])")
@@ -113,7 +113,8 @@ def text_features(text: str, stems: tuple[str, ...] = ()) -> list[float]:
     leet = [h for h in _find_terms(low.translate(_LEET), stems)[0] if h[0] not in plain] if (count[48:58].any() or count[64] or count[36] or "€" in low) else []
     apart = 0
     for m in _APART.finditer(low):
-        apart += len(_find_terms(re.sub(r"[.\-_* ]", "", m.group()), stems)[0])
+        joined = re.sub(r"[.\-_* ]", "", m.group())
+        apart += sum(not is_stem and len(term) > 3 for _, (term, is_stem) in _automaton(stems)[0].iter(joined))
     spots = sorted({s for s, _ in strong} | {s for s, _ in leet} | {s for s, _ in learned})
     near = sum(1 for s in spots if _YOU.search(low, max(0, s - NEAR), s + NEAR))
     peak = 0
