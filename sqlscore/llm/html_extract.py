@@ -295,6 +295,8 @@ def compose_page(paragraphs: list[str], text, rng: random.Random) -> str:
     parts = []
     for i, p in enumerate(paragraphs):
         tag = "h1" if i == 0 and rng.random() < 0.5 else rng.choice(["p"] * 6 + ["li", "blockquote", "div", "h2", "td"])
+        if i and rng.random() < 0.2:
+            p = " ".join(p.split()[:rng.randint(1, 4)])
         p = html_module.escape(p)
         parts.append(f"<ul><li>{p}</li></ul>" if tag == "li" else f"<table><tr><td>{p}</td></tr></table>" if tag == "td" else f"<{tag}>{p}</{tag}>")
         if rng.random() < 0.2:
