@@ -5,9 +5,10 @@ with different column types compare the way the scoring rule expects:
 numbers compare by value (``1 == 1.0``), NULL equals NULL, ``1 != '1'``.
 
 * NULL → NULL element
-* integral numbers and integral-valued floats → ``n:<integer>``
-* other numbers → ``n:<plain decimal, trailing zeros removed>``
-* booleans → ``n:1`` / ``n:0`` (True == 1 in the rule's host language)
+* numbers → ``n:<sign><digits>e<exponent>``, the shortest decimal form: digits
+  without zeros at either end, so equal values of any numeric type agree and
+  no digit is lost (``1``, ``1.0`` and ``1e0`` are ``n:1e0``)
+* booleans → the numbers 1 and 0 (True == 1 in the rule's host language)
 * strings → ``s:<text>``; binary → ``b:<hex>``; dates/timestamps → ``t:<iso>``
 * anything else (arrays, maps, structs) → ``j:<json>``
 """
@@ -21,33 +22,32 @@ from pyspark.sql import types as T
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _plain_decimal(c: Column) -> Column:
-    # decimal(38,10) prints without exponent; trailing zeros and dot removed
-    s = c.cast("decimal(38,10)").cast("string")
-    s = F.regexp_replace(s, "(\\.[0-9]*?)0+$", "$1")
-    return F.regexp_replace(s, "\\.$", "")
+def _number(text: Column) -> Column:
+    """``<sign><digits>e<exponent>`` of a printed number (plain or with an exponent)."""
+    low = F.lower(text)
+    sign = F.when(low.startswith("-"), "-").otherwise("")
+    body = F.regexp_replace(F.substring_index(low, "e", 1), "^[+-]", "")
+    power = F.when(low.contains("e"), F.substring_index(low, "e", -1)).otherwise("0").try_cast("int")
+    whole = F.substring_index(body, ".", 1)
+    part = F.when(body.contains("."), F.substring_index(body, ".", -1)).otherwise("")
+    digits = F.ltrim(F.concat(whole, part), F.lit("0"))
+    kept = F.rtrim(digits, F.lit("0"))
+    exponent = power - F.length(part) + F.length(digits) - F.length(kept)
+    return (F.when(power.isNull() | ~body.rlike("^[0-9]"), text)  # NaN, Infinity
+            .when(kept == "", F.lit("0e0"))
+            .otherwise(F.concat(sign, kept, F.lit("e"), exponent.cast("string"))))
 
 
 def cell(c: Column, dtype: T.DataType) -> Column:
     """Tagged string for one value of type ``dtype``."""
     if isinstance(dtype, T.NullType):
         return F.lit(None).cast("string")
-    if isinstance(dtype, _INTEGRAL):
-        return F.concat(F.lit("n:"), c.cast("string"))
     if isinstance(dtype, T.BooleanType):
-        return F.concat(F.lit("n:"), c.cast("int").cast("string"))
-    if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        d = c.cast("double")
-        integral = (F.floor(d) == d) & (F.abs(d) < F.lit(9.0e15))
-        special = F.isnan(d) | (F.abs(d) == F.lit(float("inf")))
-        body = (
-            F.when(special, d.cast("string"))
-            .when(integral, d.cast("bigint").cast("string"))
-            .otherwise(F.coalesce(_plain_decimal(d), d.cast("string")))
-        )
-        return F.concat(F.lit("n:"), body)
-    if isinstance(dtype, T.DecimalType):
-        return F.concat(F.lit("n:"), _plain_decimal(c))
+        return F.concat(F.lit("n:"), _number(c.cast("int").cast("string")))
+    if isinstance(dtype, T.FloatType):
+        return F.concat(F.lit("n:"), _number(c.cast("double").cast("string")))
+    if isinstance(dtype, (*_INTEGRAL, T.DoubleType, T.DecimalType)):
+        return F.concat(F.lit("n:"), _number(c.cast("string")))  # a double prints its shortest round-trip form
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
         return F.concat(F.lit("s:"), c.cast("string"))
     if isinstance(dtype, T.BinaryType):

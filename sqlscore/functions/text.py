@@ -17,15 +17,12 @@ from ..params import SQL_KEYWORDS
 
 WS = "[\\t\\n\\x0B\\f\\r ]"
 WS_CHARS = " \t\n\x0b\x0c\r"
-# Literal-aware comment pattern: a quoted string is matched (group 1) and put
-# back, a comment is matched without group 1 and dropped. The string branch is
-# written as an unrolled loop so long literals do not recurse in Java regex.
-STRING_LIT = "'[^']*(?:''[^']*)*'"
-DQUOTE_IDENT = '"[^"]*(?:""[^"]*)*"'
-COMMENT = "--[^\\n]*|/\\*.*?\\*/"
-COMMENT_KEEP_STRINGS = f"(?s)({STRING_LIT})|{COMMENT}"
-# One placeholder per literal/quoted name/comment when counting tokens.
-TOKEN_UNITS = f"(?s){STRING_LIT}|{DQUOTE_IDENT}|{COMMENT}"
+# Units that belong together: a string literal, a quoted name, a comment. The
+# quantifiers are possessive, so texts of any length match without recursion.
+STRING_LIT = "'[^']*+(?:''[^']*+)*+'"
+DQUOTE_IDENT = '"[^"]*+(?:""[^"]*+)*+"'
+COMMENT = "--[^\\n]*+|/\\*(?s:.*?)\\*/"
+UNITS = f"{STRING_LIT}|{DQUOTE_IDENT}|{COMMENT}"
 THINK_BLOCK = "(?s)<think>.*?</think>"
 ANSWER_BLOCK = "(?s)<answer>(.*?)</answer>"
 SQL_FENCE = f"(?is)```sql{WS}+(.*?){WS}+```"
@@ -109,8 +106,7 @@ def token_count(sql) -> Column:
     leaves no empty tokens, so no per-element filter is needed.
     """
     c = _col(sql)
-    has_units = c.contains("'") | c.contains('"') | c.contains("--") | c.contains("/*")
-    s = F.when(has_units, F.regexp_replace(c, TOKEN_UNITS, " L ")).otherwise(c)
+    s = F.when(has_units(c), F.regexp_replace(c, UNITS, " L ")).otherwise(c)
     s = py_strip(F.replace(s, F.lit(";"), F.lit(" ; ")))
     return F.when(s == "", F.lit(0)).otherwise(F.size(F.split(s, f"{WS}+")))
 
@@ -140,28 +136,30 @@ def quality_from_counts(n_tokens, n_keywords) -> Column:
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), base + bonus))
 
 
-def drop_comments(sql) -> Column:
-    """``--`` and ``/* */`` comments removed, string literals kept intact."""
-    c = _col(sql)
-    return F.when(c.contains("--") | c.contains("/*"), F.regexp_replace(c, COMMENT_KEEP_STRINGS, "$1")).otherwise(c)
+def has_units(c: Column) -> Column:
+    """Whether a quote or comment marker occurs (cheaper than the pattern on long plain texts)."""
+    return c.contains("'") | c.contains('"') | c.contains("--") | c.contains("/*")
 
 
-def fold_case(sql) -> Column:
-    """Lower-case everything outside single-quoted literals (even split parts)."""
+def fold_outside(sql) -> Column:
+    """Every comment becomes one blank; everything outside string literals and quoted names is lower-cased."""
     c = _col(sql)
-    parts = F.split(c, "'", -1)
-    folded = F.array_join(F.transform(parts, lambda x, i: F.when(i % 2 == 0, F.lower(x)).otherwise(x)), "'")
-    return F.when(c.contains("'"), folded).otherwise(F.lower(c))
+    units = F.regexp_extract_all(c, F.lit(UNITS), F.lit(0))
+    gaps = F.split(c, UNITS, -1)
+    unit = F.transform(units, lambda u: F.when(u.startswith("--") | u.startswith("/*"), F.lit(" ")).otherwise(u))
+    woven = F.array_join(F.transform(F.arrays_zip(gaps.alias("g"), unit.alias("u")),
+                                     lambda z: F.concat(F.lower(z["g"]), F.coalesce(z["u"], F.lit("")))), "")
+    return F.when(has_units(c), woven).otherwise(F.lower(c))
 
 
 def normalize_sql(sql) -> Column:
-    """Drop comments (not inside string literals), fold case outside
-    literals, collapse whitespace, strip.
+    """Comments become a blank, case is folded outside string literals and
+    quoted names, whitespace is collapsed, strip.
 
     Case is folded to lower for keywords and names alike; the normalised text
     is only compared, so one direction suffices.
     """
-    return py_strip(F.regexp_replace(fold_case(drop_comments(sql)), f"{WS}+", " "))
+    return py_strip(F.regexp_replace(fold_outside(sql), f"{WS}+", " "))
 
 
 def tokens(norm) -> Column:
@@ -173,7 +171,7 @@ def tokens(norm) -> Column:
 
 def sql_tokens(sql) -> Column:
     """``tokens(normalize_sql(sql))`` without building the normalised string."""
-    return F.array_distinct(F.filter(F.split(fold_case(drop_comments(sql)), f"{WS}+"), lambda t: t != ""))
+    return F.array_distinct(F.filter(F.split(fold_outside(sql), f"{WS}+"), lambda t: t != ""))
 
 
 def jaccard_sets(a, b) -> Column:

@@ -4,9 +4,10 @@ Result rows arrive as ``(key..., side, row)`` where ``side`` is ``'gen'`` or
 ``'ref'`` and ``row`` is any groupable value (a bigint cell, or the
 ``array<string>`` of canonical cells from :mod:`sqlscore.functions.cells`).
 
-Plan shape, chosen for skew: both aggregations are partial (map-side)
-aggregates, so a key that holds a third of all rows is combined before the
-shuffle; no per-key collect, no window over a key, no pair enumeration.
+Plan shape, chosen for skew: counts per key and side are partial (map-side)
+aggregates; rows are grouped by (key, row), which spreads a key that holds a
+third of all rows over all tasks (distinct rows are not combined before that
+shuffle). No per-key collect, no window over a key, no pair enumeration.
 """
 
 from __future__ import annotations
@@ -71,17 +72,22 @@ def pair_stats(rows: DataFrame, keys: list[str], side_col: str = "side", row_col
 def compare_pairs(status: DataFrame, rows: DataFrame, keys: list[str], side_col: str = "side",
                   row_col: str = "cell", gen_ok: str = "gen_success", ref_ok: str = "ref_success") -> DataFrame:
     """X2/X3 for many pairs: ``status`` (one row per key with the two success
-    flags) ⟕ :func:`pair_stats` → ``gen_rows, ref_rows, exact_match, similarity``.
+    flags) and the result rows → ``gen_rows, ref_rows, exact_match, similarity``.
 
-    A side with no rows counts 0, so "both empty" stays an exact match. Rows
-    are read once; both aggregates are partial, so a key holding a large share
-    of all rows is combined before each shuffle.
+    Rows are counted per key and side first (partial sums, nothing but counts
+    moves). Only pairs that both ran and have equal, non-zero counts can need
+    the rows themselves; theirs alone enter the shuffle of :func:`pair_stats`.
+    A side with no rows counts 0, so "both empty" stays an exact match.
     """
-    stats = pair_stats(rows, keys, side_col, row_col)
-    out = status.join(stats, keys, "left").withColumns({
+    counts = side_counts(rows, keys, side_col)
+    out = status.join(counts, keys, "left").withColumns({
         "gen_rows": F.coalesce(F.col("gen_rows"), F.lit(0)).cast("bigint"),
         "ref_rows": F.coalesce(F.col("ref_rows"), F.lit(0)).cast("bigint"),
     })
+    open_pairs = (status.select(*keys, F.col(gen_ok).alias("_g_ok"), F.col(ref_ok).alias("_r_ok")).join(counts, keys)
+                  .where(F.col("_g_ok") & F.col("_r_ok") & (F.col("gen_rows") == F.col("ref_rows")) & (F.col("gen_rows") > 0)).select(*keys))
+    stats = pair_stats(rows.join(open_pairs, keys, "left_semi"), keys, side_col, row_col).select(*keys, "inter", "uni")
+    out = out.join(stats, keys, "left")
     exact, sim = match_columns(F.col(gen_ok), F.col(ref_ok), F.col("gen_rows"), F.col("ref_rows"),
                                F.col("inter"), F.col("uni"))
     return out.withColumns({"exact_match": exact, "similarity": sim}).drop("inter", "uni")

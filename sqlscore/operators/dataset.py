@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import preview, truncate_long
+from ..functions.text import preview, py_strip, truncate_long
 from ..params import (
     CHATML_GENERATION_PROMPT, CHATML_MESSAGE, PROMPT_TEMPLATE, SYSTEM_PROMPT, XML_FORMAT_SUFFIX, DataParams,
 )
@@ -87,22 +87,12 @@ def prepare_splits(df: DataFrame, id_col: str, params: DataParams = DataParams()
     return train_test_split(sub, id_col, frac, params.seed, split_col, total=n)
 
 
-TOP_K_LIMIT = 1_000_000   # slices ending below this use a bounded top-k, not a full sort
-
-
 def holdout_slice(df: DataFrame, order_col: str, start: int, end: int, pos_col: str | None = None) -> DataFrame:
     """Rows at positions [start, end) of source order (ascending ``order_col``).
 
-    ``end`` ≤ 1M: ``orderBy().limit(end)`` (per-partition top-k, then one
-    bounded merge) and positions inside those rows; larger slices get exact
-    global positions (range-partitioned sort + offsets).
+    Exact global positions: range-partitioned sort of the keys, offsets per partition.
     """
-    if end <= TOP_K_LIMIT:
-        head = df.orderBy(F.col(order_col)).limit(end)
-        w = Window.orderBy(F.col(order_col))   # at most TOP_K_LIMIT rows
-        ranked = head.withColumn("_pos", F.row_number().over(w) - 1)
-    else:
-        ranked = exact_positions(df, [F.col(order_col)], "_pos")
+    ranked = exact_positions(df, [F.col(order_col)], "_pos")
     out = ranked.where((F.col("_pos") >= start) & (F.col("_pos") < end))
     return out.withColumnRenamed("_pos", pos_col) if pos_col else out.drop("_pos")
 
@@ -126,7 +116,7 @@ def _positions_within(df: DataFrame, id_col: str, seed: int, split_col: str, pos
     w = Window.partitionBy(split_col).orderBy("_hb").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offs = counts.withColumn("_start", F.sum("_n").over(w) - F.col("_n")).drop("_n", split_col)
     wr = Window.partitionBy("_hb").orderBy(F.col("_h"), F.col(id_col))
-    out = d.join(F.broadcast(offs), "_hb").withColumn(pos_col, F.col("_start") + F.row_number().over(wr) - 1)
+    out = d.join(offs, "_hb").withColumn(pos_col, F.col("_start") + F.row_number().over(wr) - 1)
     return out.drop("_h", "_hb", "_start")
 
 
@@ -250,7 +240,7 @@ def non_empty_fields(df: DataFrame, fields=("prompt", "answer"), first_only: boo
         if order_col is None:
             raise ValueError("first_only needs order_col")
         d = df.orderBy(order_col).limit(1)
-    aggs = [F.count_if(F.coalesce(F.trim(F.col(f)), F.lit("")) == "").alias(f"empty_{f}") for f in fields]
+    aggs = [F.count_if(F.coalesce(py_strip(F.col(f)), F.lit("")) == "").alias(f"empty_{f}") for f in fields]
     return d.agg(F.count(F.lit(1)).alias("num_rows"), *aggs)
 
 
@@ -265,7 +255,7 @@ def score_range_check(scored: DataFrame, score: str = "score", strict: bool = Fa
     bad = ~s.between(-1.0, 1.0)
     if strict:
         # the check sits inside the counted expression so it cannot be pruned
-        msg = F.concat(F.lit("Reward score "), s.cast("string"), F.lit(" must be in [-1, 1]"))
+        msg = F.concat(F.lit("score outside the range -1 to 1: "), s.cast("string"))
         bad = F.when(bad, F.coalesce(F.raise_error(msg).cast("boolean"), F.lit(True))).otherwise(F.lit(False))
     return scored.agg(F.count_if(bad).alias("out_of_range"), F.count(F.lit(1)).alias("num_scores"))
 

@@ -16,19 +16,22 @@ def explode_generations(df: DataFrame, generated: str = "generated", out: str =
 
 
 def sample_rewards(scored: DataFrame, sample_key: list[str], score: str = "score", gen_idx: str = "gen_idx",
-                   keep_lists: bool = False, digits: int | None = 6) -> DataFrame:
+                   keep_lists: bool = False, generation: str = "completion") -> DataFrame:
     """Best and mean reward per sample (and generation count).
 
-    ``keep_lists`` adds the rewards and generations in generation order, as the
-    per-sample detail record holds them; lists are bounded by the number of
+    ``keep_lists`` adds the rewards and the generations in generation order, as
+    the per-sample detail record holds them; lists are bounded by the number of
     generations per sample, which is a job parameter.
     """
     mean = F.avg(score)
     aggs = [F.max(score).alias("best_reward"),
-            (F.round(mean, digits) if digits is not None else mean).alias("mean_reward"),
+            mean.alias("mean_reward"),
             F.count(F.lit(1)).alias("num_generations")]
     if keep_lists:
-        ordered = F.array_sort(F.collect_list(F.struct(F.col(gen_idx).alias("i"), F.col(score).alias("r"))))
+        text = F.col(generation) if generation in scored.columns else F.lit(None).cast("string")
+        ordered = F.array_sort(F.collect_list(F.struct(F.col(gen_idx).alias("i"), F.col(score).alias("r"), text.alias("g"))))
+        if generation in scored.columns:
+            aggs.append(F.transform(ordered, lambda x: x["g"]).alias("generated"))
         aggs.append(F.transform(ordered, lambda x: x["r"]).alias("rewards"))
     return scored.groupBy(*sample_key).agg(*aggs)
 
@@ -40,16 +43,17 @@ def success_flags(best: str = "best_reward", success: float = SUCCESS_THRESHOLD,
     return b > F.lit(success), b > F.lit(perfect)
 
 
-def evaluation_summary(per_sample: DataFrame, digits: int = 6, success: float = SUCCESS_THRESHOLD,
+def evaluation_summary(per_sample: DataFrame, digits: int | None = None, success: float = SUCCESS_THRESHOLD,
                        perfect: float = PERFECT_THRESHOLD) -> DataFrame:
     """One row — sample count, generations per sample, mean and sample
     standard deviation of best and of mean rewards, success and perfect rates.
 
     A single global aggregate (partial per task, one small final merge).
-    Floats are rounded to ``digits`` because summation order is not fixed.
+    ``digits`` rounds the floats (their summation order is not fixed); by default
+    they stay as they are.
     """
     ok, top = success_flags("best_reward", success, perfect)
-    r = lambda c: F.round(c, digits)
+    r = lambda c: c if digits is None else F.round(c, digits)
     return per_sample.agg(
         F.count(F.lit(1)).alias("num_samples"),
         F.max("num_generations").alias("num_generations_per_sample"),
@@ -62,10 +66,11 @@ def evaluation_summary(per_sample: DataFrame, digits: int = 6, success: float =
     )
 
 
-def reward_monitor(scored: DataFrame, group_cols: list[str], score: str = "score", digits: int = 6) -> DataFrame:
+def reward_monitor(scored: DataFrame, group_cols: list[str], score: str = "score", digits: int | None = None) -> DataFrame:
     """M1: ``reward/mean`` and ``reward/std`` of generations per group (run, step …)."""
+    r = lambda c: c if digits is None else F.round(c, digits)
     return scored.groupBy(*group_cols).agg(
-        F.round(F.avg(score), digits).alias("reward_mean"),
-        F.round(F.stddev_samp(score), digits).alias("reward_std"),
+        r(F.avg(score)).alias("reward_mean"),
+        r(F.stddev_samp(score)).alias("reward_std"),
         F.count(F.lit(1)).alias("num_generations"),
     )

@@ -79,3 +79,16 @@ def exact_positions(df: DataFrame, order: list, out_col: str) -> DataFrame:
     local = F.col("_mid") - F.shiftleft(F.col("_p"), 33)
     out = tagged.withColumn("_p", part).join(F.broadcast(offs), "_p")  # one row per partition
     return out.withColumn(out_col, F.col("_off") + local).drop("_mid", "_p", "_off")
+
+
+def group_positions(df: DataFrame, keys: list[str], order: list, out_col: str) -> DataFrame:
+    """1-based position of every row inside its group, for any order and any group size.
+
+    One range-partitioned sort by (keys, order); the position in the group is the
+    global position minus the group's smallest one, so a group that holds most
+    rows is spread over many partitions.
+    """
+    cols = [F.col(c) if isinstance(c, str) else c for c in (*keys, *order)]
+    placed = exact_positions(df, cols, "_pos")
+    first = placed.groupBy(*keys).agg(F.min("_pos").alias("_first"))
+    return placed.join(first, keys).withColumn(out_col, F.col("_pos") - F.col("_first") + 1).drop("_pos", "_first")

@@ -20,6 +20,7 @@ from ..operators import compare as X
 from ..operators import dataset as D
 from ..operators import evaluate as E
 from ..operators import score as C
+from ..operators.ranking import group_positions
 from ..params import DataParams, EvalParams, ScoreParams
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as FX
@@ -51,15 +52,16 @@ def texted(spark, sf_dir, params: ScoreParams = ScoreParams()) -> DataFrame:
     return C.with_sql_columns(FX.candidates(spark, sf_dir), params=params)
 
 
-def outcome(spark, sf_dir, params: ScoreParams = ScoreParams()) -> DataFrame:
+def outcome(spark, sf_dir, params: ScoreParams = ScoreParams(), cands: DataFrame | None = None) -> DataFrame:
     """Candidates with shared text columns ⟕ X2/X3 comparison of their result rows."""
-    cands = FX.candidates(spark, sf_dir)
+    cands = FX.candidates(spark, sf_dir) if cands is None else cands
     rows = FX.result_rows(spark, sf_dir, cands)
     return X.compare_pairs(C.with_sql_columns(cands, params=params), rows, KEYS)
 
 
-def scored(spark, sf_dir, params: ScoreParams = ScoreParams(), details: bool = False) -> DataFrame:
-    df = outcome(spark, sf_dir, params)
+def scored(spark, sf_dir, params: ScoreParams = ScoreParams(), details: bool = False,
+           cands: DataFrame | None = None) -> DataFrame:
+    df = outcome(spark, sf_dir, params, cands)
     cols = {}
     for name, scorer in C.sql_components(params):
         s, _ = scorer(df)
@@ -80,6 +82,17 @@ def per_sample(spark, sf_dir) -> DataFrame:
     return E.sample_rewards(scored(spark, sf_dir), ["sample_id"])
 
 
+def _prompt_sql() -> str:
+    from ..params import PROMPT_TEMPLATE
+    q, c = "{question}", "{context}"
+    head, rest = PROMPT_TEMPLATE.split(q)
+    middle, tail = rest.split(c)
+    return f"{O.lit(head)} || question || {O.lit(middle)} || context || {O.lit(tail)}"
+
+
+PROMPT_SQL = _prompt_sql()
+
+
 def _q(*ctes: str) -> str:
     return O.with_ctes(*ctes)
 
@@ -87,13 +100,13 @@ def _q(*ctes: str) -> str:
 # ---- T: text functions -----------------------------------------------------------------
 
 @register("strip_think", _q(O.CANDIDATES) + f"""
-SELECT sample_id, gen_idx, regexp_replace(completion, {O.lit(T.THINK_BLOCK)}, '', 'g') AS stripped FROM candidates""")
+SELECT sample_id, gen_idx, regexp_replace(completion, {O.lit(O.THINK_BLOCK)}, '', 'g') AS stripped FROM candidates""")
 def q_strip_think(spark, sf_dir):
     return FX.candidates(spark, sf_dir).select(*KEYS, T.strip_think("completion").alias("stripped"))
 
 
 @register("unwrap_answer", _q(O.CANDIDATES) + f"""
-SELECT sample_id, gen_idx, regexp_replace(completion, {O.lit(T.ANSWER_BLOCK)}, '\\1', 'g') AS unwrapped FROM candidates""")
+SELECT sample_id, gen_idx, regexp_replace(completion, {O.lit(O.ANSWER_BLOCK)}, '\\1', 'g') AS unwrapped FROM candidates""")
 def q_unwrap_answer(spark, sf_dir):
     return FX.candidates(spark, sf_dir).select(*KEYS, T.unwrap_answer("completion").alias("unwrapped"))
 
@@ -149,8 +162,8 @@ def q_normalize_sql(spark, sf_dir):
 
 
 @register("normalize_sql_documents", f"""
-WITH d1 AS (SELECT doc_id, {O.drop_comments('text')} AS c FROM documents)
-SELECT doc_id, md5({O.fold_collapse('c')}) AS norm_md5, CAST(length({O.fold_collapse('c')}) AS BIGINT) AS norm_len FROM d1""")
+WITH d1 AS (SELECT doc_id, {O.normalize('text')} AS c FROM documents)
+SELECT doc_id, md5(c) AS norm_md5, CAST(length(c) AS BIGINT) AS norm_len FROM d1""")
 def q_normalize_sql_documents(spark, sf_dir):
     """T10 over whole documents (long texts, apostrophes, dashes)."""
     n = T.normalize_sql(F.col("text"))
@@ -164,28 +177,26 @@ def q_token_jaccard(spark, sf_dir):
 
 
 @register("token_jaccard_documents", f"""
-WITH d1 AS (SELECT doc_id, {O.drop_comments('text')} AS c FROM documents),
-d2 AS (SELECT doc_id, {O.tokens(O.fold_collapse('c'))} AS tk FROM d1)
+WITH d1 AS (SELECT doc_id, {O.normalize('text')} AS c FROM documents),
+d2 AS (SELECT doc_id, {O.tokens('c')} AS tk FROM d1)
 SELECT a.doc_id, b.doc_id AS next_doc_id, {O.jaccard('a.tk', 'b.tk')} AS token_jaccard
 FROM d2 a JOIN d2 b ON b.doc_id = a.doc_id + 1""")
 def q_token_jaccard_documents(spark, sf_dir):
     """T11 between each document and the next one by doc_id.
 
-    Tokens are computed once per document; each token set is emitted under
-    its own id and under the previous id, and one shuffle on that key pairs
-    neighbours (at most two rows per key).
+    Documents meet in blocks of 1,000 consecutive ids; only the first document
+    of a block is sent to the block before as well. Inside a block ``lead``
+    finds the neighbour, so token sets move once and no aggregate holds them.
     """
+    from pyspark.sql import Window
     docs = read_table(spark, sf_dir, "documents").select("doc_id", T.sql_tokens(F.col("text")).alias("tk"))
-    both = docs.select(F.explode(F.array(
-        F.struct(F.col("doc_id").alias("k"), F.lit(0).alias("r"), F.col("tk")),
-        F.struct((F.col("doc_id") - 1).alias("k"), F.lit(1).alias("r"), F.col("tk")),
-    )).alias("e")).select("e.*")
-    pairs = both.groupBy("k").agg(
-        F.first(F.when(F.col("r") == 0, F.col("tk")), ignorenulls=True).alias("ta"),
-        F.first(F.when(F.col("r") == 1, F.col("tk")), ignorenulls=True).alias("tb"),
-    ).where(F.col("ta").isNotNull() & F.col("tb").isNotNull())
-    return pairs.select(F.col("k").alias("doc_id"), (F.col("k") + 1).alias("next_doc_id"),
-                        T.jaccard_sets("ta", "tb").alias("token_jaccard"))
+    block = F.floor(F.col("doc_id") / 1000)
+    blocks = F.when(F.pmod("doc_id", F.lit(1000)) == 0, F.array(block, block - 1)).otherwise(F.array(block))
+    dealt = docs.select("doc_id", "tk", block.alias("own"), F.explode(blocks).alias("b"))
+    w = Window.partitionBy("b").orderBy("doc_id")
+    pairs = dealt.withColumns({"next_doc_id": F.lead("doc_id").over(w), "next_tk": F.lead("tk").over(w)})
+    return (pairs.where((F.col("own") == F.col("b")) & (F.col("next_doc_id") == F.col("doc_id") + 1))
+            .select("doc_id", "next_doc_id", T.jaccard_sets("tk", "next_tk").alias("token_jaccard")))
 
 
 @register("semantic_score", _q(*O.BASE) + f"""
@@ -275,18 +286,19 @@ def q_set_match(spark, sf_dir):
 
 
 def _indexed_rows(spark, sf_dir) -> DataFrame:
-    """Result rows with a row index: each side returns its rows ordered by cell,
-    capped at ``max_result_rows`` like an execution. The ``row_number() <= cap``
-    filter is planned with a partial group limit before the shuffle, so a
-    candidate with a huge result never moves whole."""
-    from pyspark.sql import Window
-    rows = FX.result_rows(spark, sf_dir)
-    w = Window.partitionBy("sample_id", "gen_idx", "side").orderBy("cell")
-    return rows.withColumn("row_idx", F.row_number().over(w)).where(F.col("row_idx") <= ScoreParams().max_result_rows)
-
-
-ORDERED = """, indexed0 AS (SELECT *, row_number() OVER (PARTITION BY sample_id, gen_idx, side ORDER BY cell) AS row_idx FROM result_rows),
-indexed AS (SELECT * FROM indexed0 WHERE row_idx <= 1000),
+    """Result rows with a row index: the reference returns its rows by order key, the candidate by
+    order date and key, so equal row sets can differ in order. Whole results, no window per pair."""
+    rows = FX.result_rows(spark, sf_dir, with_date=True)
+    by = F.when(F.col("side") == "ref", F.lit("")).otherwise(F.col("o_orderdate").cast("string"))
+    keyed = rows.select(*KEYS, "side", "cell", by.alias("_by"), "o_orderkey")
+    return group_positions(keyed, KEYS + ["side"], ["_by", "o_orderkey"], "row_idx")
+
+
+ORDERED = """, dated AS (SELECT r.*, o.o_orderdate, o.o_orderkey
+  FROM result_rows r JOIN candidates c USING (sample_id, gen_idx)
+  JOIN orders o ON o.o_orderkey = CASE WHEN r.side = 'gen' AND c.v = 6 AND r.cell % 2 = 0 THEN r.cell - 1000000 ELSE r.cell END),
+indexed AS (SELECT *, row_number() OVER (PARTITION BY sample_id, gen_idx, side
+                ORDER BY CASE WHEN side = 'ref' THEN '' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END, o_orderkey) AS row_idx FROM dated),
 g AS (SELECT * FROM indexed WHERE side = 'gen'), r AS (SELECT * FROM indexed WHERE side = 'ref'),
 om AS (SELECT coalesce(g.sample_id, r.sample_id) AS sample_id, coalesce(g.gen_idx, r.gen_idx) AS gen_idx,
               bool_and(g.cell IS NOT DISTINCT FROM r.cell AND g.cell IS NOT NULL) AS ordered_match
@@ -328,6 +340,34 @@ def q_compare_results(spark, sf_dir):
     return X.compare_results(g, r)
 
 
+LARGE_PAIRS = """
+WITH r AS (SELECT 'fewer' AS pair, 'ref' AS side, l_orderkey * 10 + l_linenumber AS cell FROM lineitem
+  UNION ALL SELECT 'fewer', 'gen', l_orderkey * 10 + l_linenumber FROM lineitem WHERE l_orderkey % 4 <> 0
+  UNION ALL SELECT 'last', 'ref', l_orderkey * 10 + l_linenumber FROM lineitem
+  UNION ALL SELECT 'last', 'gen', CASE WHEN l_orderkey * 10 + l_linenumber = (SELECT max(l_orderkey * 10 + l_linenumber) FROM lineitem)
+                                       THEN -1 ELSE l_orderkey * 10 + l_linenumber END FROM lineitem),
+n AS (SELECT pair, count(*) FILTER (WHERE side = 'gen') AS gen_rows, count(*) FILTER (WHERE side = 'ref') AS ref_rows FROM r GROUP BY pair),
+c AS (SELECT pair, cell, count(DISTINCT side) AS k FROM r GROUP BY pair, cell),
+j AS (SELECT pair, count(*) FILTER (WHERE k = 2) AS inter, count(*) AS uni FROM c GROUP BY pair)
+SELECT pair, gen_rows, ref_rows, gen_rows = ref_rows AND inter = uni AS exact_match,
+  CASE WHEN gen_rows <> ref_rows THEN (least(gen_rows, ref_rows) / greatest(gen_rows, ref_rows)) * CAST(0.3 AS DOUBLE)
+       WHEN inter = uni THEN CAST(1 AS DOUBLE) ELSE inter / uni END AS similarity
+FROM n JOIN j USING (pair)"""
+
+
+@register("compare_large_results", LARGE_PAIRS)
+def q_compare_large_results(spark, sf_dir):
+    """X2/X3 on results of whole-table size: one side has fewer rows; one row differs, the last."""
+    line = read_table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("cell"), "l_orderkey")
+    top = line.agg(F.max("cell").alias("top"))
+    ref = line.select(F.lit("ref").alias("side"), "cell")
+    fewer = ref.unionByName(line.where(F.col("l_orderkey") % 4 != 0).select(F.lit("gen").alias("side"), "cell"))
+    changed = line.crossJoin(F.broadcast(top)).select(F.lit("gen").alias("side"), F.when(F.col("cell") == F.col("top"), F.lit(-1)).otherwise(F.col("cell")).cast("bigint").alias("cell"))
+    rows = fewer.withColumn("pair", F.lit("fewer")).unionByName(ref.unionByName(changed).withColumn("pair", F.lit("last")))
+    status = rows.select("pair").distinct().withColumns({"gen_success": F.lit(True), "ref_success": F.lit(True)})
+    return X.compare_pairs(status, rows, ["pair"]).select("pair", "gen_rows", "ref_rows", "exact_match", "similarity")
+
+
 @register("execution_score", _q(*O.SCORED_BASE) + """
 SELECT sample_id, gen_idx, execution_score, exact_match, similarity, gen_rows, ref_rows FROM scored""")
 def q_execution_score(spark, sf_dir):
@@ -413,31 +453,26 @@ def q_score_distinct(spark, sf_dir):
         s, _ = C.syntax_scorer()(k)
         return k.withColumn("syntax_score", s)
 
-    return C.score_distinct(docs, ["text"], score_fn, ["syntax_score"]).select("doc_id", "syntax_score")
+    return C.score_distinct(docs, "doc_id", ["text"], score_fn, ["syntax_score"]).select("doc_id", "syntax_score")
 
 
-CACHE_SQL = """
-WITH per_key AS (SELECT text, min(doc_id) AS first_doc, count(*) AS n FROM documents GROUP BY text),
-ranked AS (SELECT *, row_number() OVER (ORDER BY first_doc) <= {cap} AS retained FROM per_key),
-agg AS (SELECT count(*) FILTER (WHERE retained) AS cache_size,
-               CAST(coalesce(sum(n - 1) FILTER (WHERE retained), 0) AS BIGINT) AS cache_hits,
-               CAST(sum(n) AS BIGINT) AS calls FROM ranked)
-SELECT cache_size, cache_hits, calls - cache_hits AS cache_misses,
-       CASE WHEN calls > 0 THEN cache_hits / calls ELSE CAST(0 AS DOUBLE) END AS hit_rate FROM agg"""
+DUPLICATE_SQL = """
+SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS calls, count(*) AS distinct_keys,
+       CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS repeats,
+       CASE WHEN sum(n) > 0 THEN sum(n - 1) / sum(n) ELSE CAST(0 AS DOUBLE) END AS repeat_rate FROM per_key"""
 
 
-@register("cache_stats", CACHE_SQL.format(cap=10000))
-def q_cache_stats(spark, sf_dir):
-    """D2 with the default cache size over documents in doc_id (arrival) order."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return C.cache_stats(docs, ["text"], ["doc_id"], 10000)
+@register("duplicate_stats", "WITH per_key AS (SELECT text, count(*) AS n FROM documents GROUP BY text)" + DUPLICATE_SQL)
+def q_duplicate_stats(spark, sf_dir):
+    """D2 over all documents: how many scorings the distinct texts save."""
+    return C.duplicate_stats(read_table(spark, sf_dir, "documents"), ["text"])
 
 
-@register("cache_stats_bounded", CACHE_SQL.format(cap=100))
-def q_cache_stats_bounded(spark, sf_dir):
-    """D2 with a 100-entry cache: later distinct texts never get in."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return C.cache_stats(docs, ["text"], ["doc_id"], 100)
+@register("duplicate_stats_candidates", _q(O.CANDIDATES) + """
+, per_key AS (SELECT question, completion, answer, context, count(*) AS n FROM candidates GROUP BY ALL)""" + DUPLICATE_SQL)
+def q_duplicate_stats_candidates(spark, sf_dir):
+    """D2 over all candidates, keyed by the scorer's four inputs."""
+    return C.duplicate_stats(FX.candidates(spark, sf_dir), ["question", "completion", "answer", "context"])
 
 
 @register("distinct_executions", _q(*O.BASE) + """
@@ -459,9 +494,21 @@ def q_explode_generations(spark, sf_dir):
     return E.explode_generations(wide, "generated", "completion", "gen_idx").select("sample_id", "gen_idx", "completion")
 
 
-@register("sample_rewards", _q(*O.SCORED_BASE, O.PER_SAMPLE) + "SELECT * FROM per_sample")
+@register("sample_rewards", _q(*O.SCORED_BASE, O.PER_SAMPLE) + "SELECT * REPLACE (round(mean_reward, 6) AS mean_reward) FROM per_sample")
 def q_sample_rewards(spark, sf_dir):
-    return per_sample(spark, sf_dir)
+    return per_sample(spark, sf_dir).withColumn("mean_reward", F.round("mean_reward", 6))
+
+
+@register("evaluation_record", _q(*O.SCORED_BASE) + f"""
+SELECT sample_id, substring({{PROMPT_SQL}}, 1, 100) || '...' AS prompt, min(answer) AS answer,
+  list(completion ORDER BY gen_idx) AS generated, list(score ORDER BY gen_idx) AS rewards,
+  max(score) AS best_reward, round(avg(score), 6) AS mean_reward
+FROM final GROUP BY sample_id, 2""".replace("{PROMPT_SQL}", PROMPT_SQL))
+def q_evaluation_record(spark, sf_dir):
+    """E2 in full: prompt preview, answer, generations and rewards in order, best and mean."""
+    df = D.build_prompt(scored(spark, sf_dir)).withColumn("prompt", T.preview(F.col("prompt"), 100, ellipsis=True))
+    out = E.sample_rewards(df, ["sample_id", "prompt", "answer"], keep_lists=True)
+    return out.withColumn("mean_reward", F.round("mean_reward", 6)).drop("num_generations")
 
 
 @register("evaluation_summary", _q(*O.SCORED_BASE, O.PER_SAMPLE) + """
@@ -471,7 +518,7 @@ SELECT count(*) AS num_samples, max(num_generations) AS num_generations_per_samp
   round(avg(CAST(best_reward > 0.5 AS DOUBLE)), 6) AS success_rate, round(avg(CAST(best_reward > 0.95 AS DOUBLE)), 6) AS perfect_rate
 FROM per_sample""")
 def q_evaluation_summary(spark, sf_dir):
-    return E.evaluation_summary(per_sample(spark, sf_dir))
+    return E.evaluation_summary(per_sample(spark, sf_dir), digits=6)
 
 
 @register("success_filter", _q(*O.SCORED_BASE, O.PER_SAMPLE) + """
@@ -486,7 +533,7 @@ SELECT gen_idx, round(avg(score), 6) AS reward_mean, round(stddev_samp(score), 6
 FROM final GROUP BY gen_idx""")
 def q_reward_monitor(spark, sf_dir):
     """M1: reward mean/std per generation step."""
-    return E.reward_monitor(scored(spark, sf_dir), ["gen_idx"])
+    return E.reward_monitor(scored(spark, sf_dir), ["gen_idx"], digits=6)
 
 
 @register("score_range_check", _q(*O.SCORED_BASE) + """
@@ -497,15 +544,15 @@ def q_score_range_check(spark, sf_dir):
 
 @register("top_results", _q(*O.SCORED_BASE) + """
 , firsts AS (SELECT * FROM final WHERE gen_idx = 0)
-SELECT sample_id, substring('Question: ' || question || chr(10) || chr(10) || 'Schema:' || chr(10) || context || chr(10) || chr(10)
-       || 'Generate the SQL query to answer this question.', 1, 100) || '...' AS prompt,
+SELECT sample_id, substring({PROMPT_SQL}, 1, 100) || '...' AS prompt,
        answer, completion AS first_generation, score AS first_reward
-FROM firsts ORDER BY sample_id LIMIT 5""")
+FROM firsts ORDER BY sample_id LIMIT 5""".replace("{PROMPT_SQL}", PROMPT_SQL))
 def q_top_results(spark, sf_dir):
     """The first ``show_samples`` detail rows (a top-k report)."""
-    k = EvalParams().show_samples
-    df = D.build_prompt(scored(spark, sf_dir).where(F.col("gen_idx") == 0))
-    return df.orderBy("sample_id").limit(k).select(
+    first = FX.candidates(spark, sf_dir).where(F.col("gen_idx") == 0)
+    ids = first.select("sample_id").orderBy("sample_id").limit(EvalParams().show_samples)  # a report of so many rows
+    df = D.build_prompt(scored(spark, sf_dir, cands=first.join(F.broadcast(ids), "sample_id", "left_semi")))
+    return df.select(
         "sample_id", T.preview(F.col("prompt"), 100, ellipsis=True).alias("prompt"), "answer",
         F.col("completion").alias("first_generation"), F.col("score").alias("first_reward"))
 
@@ -600,10 +647,6 @@ def q_sample_preview(spark, sf_dir):
 
 # ---- P: formatting -----------------------------------------------------------------------
 
-PROMPT_SQL = ("'Question: ' || question || chr(10) || chr(10) || 'Schema:' || chr(10) || context || chr(10) || chr(10) "
-              "|| 'Generate the SQL query to answer this question.'")
-
-
 @register("build_prompt", _q(O.SAMPLES) + f"SELECT sample_id, {PROMPT_SQL} AS prompt, answer, context, question AS original_question FROM samples")
 def q_build_prompt(spark, sf_dir):
     return D.build_prompt(FX.samples(spark, sf_dir)).select("sample_id", "prompt", "answer", "context", "original_question")
@@ -725,7 +768,7 @@ SELECT count(*) AS num_samples, max(num_generations) AS num_generations_per_samp
 FROM per_sample""")
 def q_write_eval_summary(spark, sf_dir):
     """Write the summary as JSON, read it back (schema given, not inferred)."""
-    summary = E.evaluation_summary(per_sample(spark, sf_dir))
+    summary = E.evaluation_summary(per_sample(spark, sf_dir), digits=6)
     path = os.path.join(ensure_checkpoint_dir(spark), "eval_summary", uuid.uuid4().hex)
     write_eval_summary(summary, path)
     return spark.read.schema(summary.schema).json(path)
@@ -766,8 +809,7 @@ def q_run_query_batch(spark, sf_dir):
     compared and scored (X2/X3/X7)."""
     from ..sources.executor import execute_candidates
     from ..sources.tables import register_tables
-    register_tables(spark, sf_dir)
-    df = execute_candidates(spark, texted(spark, sf_dir), KEYS)
+    df = execute_candidates(spark, texted(spark, sf_dir), KEYS, lambda s: register_tables(s, sf_dir))
     s, _ = C.execution_scorer()(df)
     return df.select(*KEYS, "gen_success", "ref_success", "gen_rows", "ref_rows", "exact_match", "similarity",
                      s.alias("execution_score"))

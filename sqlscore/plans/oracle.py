@@ -7,12 +7,19 @@ arithmetic are cast to DOUBLE so the IEEE operations match Spark's exactly.
 
 from __future__ import annotations
 
-from ..functions.text import (
-    ANSWER_BLOCK, COMMENT_KEEP_STRINGS, FORMAT_LAYOUT, PLAIN_FENCE, SQL_FENCE, THINK_BLOCK, TOKEN_UNITS, WS,
-)
 from ..params import SQL_KEYWORDS
 
 
+# Patterns written from the rules, in RE2 syntax (the library has its own, in Java syntax).
+WS = r"[ \t\n\r\f\v]"
+THINK_BLOCK = r"(?s)<think>.*?</think>"
+ANSWER_BLOCK = r"(?s)<answer>(.*?)</answer>"
+SQL_FENCE = r"(?is)```sql[ \t\n\r\f\v]+(.*?)[ \t\n\r\f\v]+```"
+PLAIN_FENCE = r"(?s)```[ \t\n\r\f\v]+(.*?)[ \t\n\r\f\v]+```"
+FORMAT_LAYOUT = (r"(?s)\A[ \t\n\r\f\v]*<think>.*?</think>[ \t\n\r\f\v]*<answer>.*?</answer>[ \t\n\r\f\v]*\z")
+UNIT = r"""(?s)'(?:[^']|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*.*?\*/"""
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -38,14 +45,11 @@ def extract_stage2(s: str) -> str:
                  f"WHEN contains({s}, '```') THEN {keep(PLAIN_FENCE)} ELSE {s} END)")
 
 
-def drop_comments(e: str) -> str:
-    return f"regexp_replace({e}, {lit(COMMENT_KEEP_STRINGS)}, '\\1', 'g')"
-
-
-def fold_collapse(e: str) -> str:
-    folded = (f"array_to_string(list_transform(string_split({e}, ''''), "
-              f"lambda x, i: CASE WHEN i % 2 = 1 THEN lower(x) ELSE x END), '''')")
-    return strip(f"regexp_replace({folded}, {lit(WS + '+')}, ' ', 'g')")
+def normalize(e: str) -> str:
+    units, gaps = f"regexp_extract_all({e}, {lit(UNIT)})", f"regexp_split_to_array({e}, {lit(UNIT)})"
+    woven = (f"array_to_string(list_transform({gaps}, lambda g, i: lower(g) || coalesce("
+             f"CASE WHEN starts_with({units}[i], '--') OR starts_with({units}[i], '/*') THEN ' ' ELSE {units}[i] END, '')), '')")
+    return strip(f"regexp_replace({woven}, {lit(WS + '+')}, ' ', 'g')")
 
 
 def tokens(e: str) -> str:
@@ -58,7 +62,7 @@ def jaccard(ta: str, tb: str) -> str:
 
 
 def token_count(e: str) -> str:
-    s = f"replace(regexp_replace({e}, {lit(TOKEN_UNITS)}, ' L ', 'g'), ';', ' ; ')"
+    s = f"replace(regexp_replace({e}, {lit(UNIT)}, ' L ', 'g'), ';', ' ; ')"
     return f"len(list_filter(regexp_split_to_array({s}, {lit(WS + '+')}), lambda t: t <> ''))"
 
 
@@ -132,8 +136,7 @@ def text_stages(src: str, completion: str = "completion", answer: str = "answer"
     return f"""{p}x1 AS (SELECT *, {extract_stage1(completion)} AS _s1 FROM {src}),
 {p}x2 AS (SELECT * EXCLUDE (_s1), {extract_stage2('_s1')} AS sql, {strip(answer)} AS ref_sql,
          {extract_schema(f"coalesce({context}, '')")} AS schema FROM {p}x1),
-{p}x3 AS (SELECT *, {drop_comments('sql')} AS _gc, {drop_comments('ref_sql')} AS _rc FROM {p}x2),
-{p}x4 AS (SELECT * EXCLUDE (_gc, _rc), {fold_collapse('_gc')} AS gen_norm, {fold_collapse('_rc')} AS ref_norm FROM {p}x3),
+{p}x4 AS (SELECT *, {normalize('sql')} AS gen_norm, {normalize('ref_sql')} AS ref_norm FROM {p}x2),
 {p}texted AS (SELECT *, {tokens('gen_norm')} AS gen_tokens, {tokens('ref_norm')} AS ref_tokens FROM {p}x4)"""
 
 
@@ -190,5 +193,5 @@ def with_ctes(*ctes: str) -> str:
 BASE = [CANDIDATES, RESULT_ROWS, text_stages("candidates")]
 SCORED_BASE = BASE + [OUTCOME, SCORED]
 PER_SAMPLE = """per_sample AS (
-  SELECT sample_id, max(score) AS best_reward, round(avg(score), 6) AS mean_reward, count(*) AS num_generations
+  SELECT sample_id, max(score) AS best_reward, avg(score) AS mean_reward, count(*) AS num_generations
   FROM final GROUP BY sample_id)"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -42,11 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the cluster's ``spark.checkpoint.dir``; set a scratch one only if unset.
 
     On a cluster this must be a shared folder (HDFS/S3/...), which the cluster
-    configuration names; the local fallback exists for tests and ``local[*]``.
+    configuration names. Only a ``local`` master gets a scratch folder when it
+    is unset; elsewhere executors could not see each other's files, so a
+    missing setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
+    if not path and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="sqlscore-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", path)

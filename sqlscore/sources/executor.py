@@ -2,62 +2,56 @@
 
 Model-written queries differ mostly in literals. Each distinct query is turned
 into a *template* (literals replaced by typed slots) inside Spark; queries
-sharing a template run as **one** job: a parameter table of the members joined
-``LATERAL`` to the template, so Catalyst decorrelates it into an ordinary
-(broadcast or shuffle) join and pushes the per-query row cap below the shuffle.
-Slots whose value is the same for every member are put back as literals, so
-``LIMIT 5`` or ``% 3`` never become parameters.
-
-Only distinct templates reach the driver (streamed, not collected at once);
-query texts and result rows stay in Spark and are written to a table under
-``spark.checkpoint.dir`` (a shared folder on a cluster). A template whose
-lateral form does not analyse or fails at run time falls back to executing its
-members one by one, each under a cancellable job tag with a timeout; those
-results are bounded by the row cap.
-
-Safety: the query is wrapped as ``SELECT * FROM (<sql>) __t`` (DDL/DML and
-multi-statement text become parse errors), reading files directly through SQL
-is disabled for the run, and JVM-reflection functions are refused.
+sharing a template run as **one** query: a parameter table of the members joined
+``LATERAL`` to the template, which Catalyst decorrelates into an ordinary join.
+Slots whose value is the same for every member are put back as literals. Up to
+``UNION`` templates are written by one job. Whole results are kept: no row cap and
+no time limit, so an outcome depends neither on the data's size nor on the load.
+
+Only distinct templates reach the driver (streamed); query texts and result rows
+stay in Spark, in tables under ``spark.checkpoint.dir``. A job that fails is split:
+first by template, then the members of a template in halves by their hash, until the
+members that fail stand alone; everything else keeps its rows.
+
+A template with LIMIT or OFFSET, or one that does not analyse in lateral form, runs
+with its members' own texts, ``UNION`` of them in one job.
+
+Safety: the text is parsed alone first (a single query statement), the parsed plan's
+functions and tables are checked (no JVM reflection; only the tables that the row's
+schema declares), and it runs in a session of its own, with the intended views only,
+without reading files by path and without variable substitution.
 """
 
 from __future__ import annotations
 
-import logging
 import os
 import re
-import threading
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from py4j.java_gateway import is_instance_of
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cells import row_cells
 from ..functions.text import WS_CHARS
+from ..params import SQL_ERROR_PREFIX
 from ..session import ensure_checkpoint_dir
 
 # protected tokens (group 1) and literal slots (group 2); Spark lexer rules:
-# strings take '' and backslash escapes, numbers must not touch a name.
-TOKEN_RE = (r"(--[^\n]*|/\*.*?\*/|\"(?:[^\"\\]|\\.)*\"|`[^`]*`)"
-            r"|('(?:[^'\\]|\\.|'')*'|(?<![\w.$])\d+(?:\.\d+)?(?:[eE][+-]?\d+)?(?![\w.$]))")
-TOKEN_RE_S = "(?s)" + TOKEN_RE
+# strings take '' and backslash escapes, numbers must not touch a name. The
+# quantifiers are possessive: literals of any length match without recursion.
+TOKEN_RE_S = (r"(?s)(--[^\n]*+|/\*.*?\*/|\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|`[^`]*+`)"
+              r"|('[^'\\]*+(?:(?:\\.|'')[^'\\]*+)*+'|(?<![\w.$])\d++(?:\.\d++)?(?:[eE][+-]?\d++)?(?![\w.$]))")
 STRUCTURAL_BEFORE = (r"(?i)\b(limit|offset|interval|tablesample|date|timestamp|timestamp_ntz|timestamp_ltz|x)"
                      r"[\t\n\x0B\f\r ]*\(?[\t\n\x0B\f\r ]*$")
-FORBIDDEN = re.compile(r"\b(reflect|java_method|try_reflect)\s*\(", re.IGNORECASE)
-ROWS_SCHEMA = "query_id string, row_idx int, cells array<string>"
-TPL_ROWS_SCHEMA = ROWS_SCHEMA + ", tpl int"
-FAIL_SCHEMA = "query_id string, success boolean, error string, error_class string, seconds double"
-LOG = logging.getLogger("sqlscore.executor")
+FORBIDDEN = frozenset({"reflect", "java_method", "try_reflect"})
+ROWS_SCHEMA = "query_id string, cells array<string>"
+ERROR_SCHEMA = "query_id string, error string, error_class string"
 MARK = "\u0001"   # slot marker in template text (cannot occur in SQL text)
-
-
-@dataclass(frozen=True)
-class ExecParams:
-    max_result_rows: int = 1000
-    timeout_seconds: float = 5.0
-    parallelism: int = 4
+UNION = 32        # queries written by one job
+SALTS = 64        # files of a template's members
 
 
 def clean_query(sql: Column) -> Column:
@@ -132,323 +126,289 @@ def _error_class(exc: Exception) -> str:
     return c or type(exc).__name__
 
 
-def _message(exc: Exception) -> str:
-    return str(exc).strip().splitlines()[0][:500] if str(exc).strip() else type(exc).__name__
-
-
-class _Runner:
-    def __init__(self, spark: SparkSession, out_dir: str, params: ExecParams):
-        self.spark, self.out, self.p = spark, out_dir, params
-        self.rows_path = os.path.join(out_dir, "rows")
-        self.fail_path = os.path.join(out_dir, "failures")
-        self.tpl_path = os.path.join(out_dir, "template_rows")
-        self.rejected: list[int] = []
-        self.lock = threading.Lock()
-        self.failures: list[tuple] = []
-        self.n_single = 0
-
-    # -- one query ------------------------------------------------------------------
-    @staticmethod
-    def _wrap(body: str) -> str:
-        return f"SELECT * FROM (\n{body}\n) __t"
-
-    def _capped(self, cells: DataFrame) -> DataFrame:
-        """Keep the first cap + 1 rows per query in cells order (the extra row
-        only flags truncation). ``row_number() <= k`` is planned with a partial
-        group limit before the shuffle, so a huge result never moves whole."""
-        w = Window.partitionBy("query_id").orderBy("cells")
-        return cells.withColumn("row_idx", F.row_number().over(w)) \
-            .where(F.col("row_idx") <= self.p.max_result_rows + 1).select("query_id", "row_idx", "cells")
-
-    def _with_cells(self, df: DataFrame, has_qid: bool, qid_value: str | None) -> DataFrame:
-        """``query_id, cells`` from a result; columns are taken by position."""
-        n = len(df.columns) - (1 if has_qid else 0)
-        pos = df.toDF(*((["__qid"] if has_qid else []) + [f"_c{i}" for i in range(n)]))
-        cells = row_cells(pos.select(*[f"_c{i}" for i in range(n)]))
-        qid = F.col("__qid") if has_qid else F.lit(qid_value)
-        return pos.select(qid.alias("query_id"), cells.alias("cells"))
-
-    def _run_tagged(self, fn, seconds: float):
-        """Run ``fn`` (which triggers Spark jobs) under a job tag; cancel on timeout."""
-        sc = self.spark.sparkContext
-        tag = "sqlscore-" + uuid.uuid4().hex
-        result: dict = {}
-
-        def target():
-            sc.addJobTag(tag)
-            try:
-                result["v"] = fn()
-            except Exception as e:  # noqa: BLE001
-                result["e"] = e
-            finally:
-                sc.removeJobTag(tag)
-
-        from pyspark import InheritableThread
-        t = InheritableThread(target=target)
-        t.start()
-        t.join(seconds)
-        if t.is_alive():
-            sc.cancelJobsWithTag(tag)
-            t.join()
-            raise TimeoutError("Query execution timed out")
-        if "e" in result:
-            raise result["e"]
-        return result.get("v")
-
-    def single_rows(self, qid: str, sql: str) -> list:
-        """Result cells of one query: at most cap + 1 rows in cells order."""
-        out = self._with_cells(self.spark.sql(self._wrap(sql)), False, qid)
-        top = out.orderBy("cells").limit(self.p.max_result_rows + 1).select("cells")
-        return [r["cells"] for r in self._run_tagged(lambda: top.collect(), self.p.timeout_seconds)]
-
-    def run_single(self, qid: str, sql: str) -> None:
-        t0 = time.perf_counter()
+# ---- checks on the parsed plan ------------------------------------------------------
+
+class Refused(Exception):
+    """A query that parses but may not run."""
+
+    def __init__(self, error_class: str, text: str):
+        super().__init__(text)
+        self.error_class = error_class
+
+
+def _seq(s) -> list:
+    return [s.apply(i) for i in range(s.size())]
+
+
+def _plan_nodes(gateway, plan) -> Iterator:
+    """All nodes of a parsed plan: operators, expressions, subqueries and common table expressions."""
+    stack = [plan]
+    while stack:
+        node = stack.pop()
+        yield node
+        name = node.getClass().getSimpleName()
+        stack += _seq(node.children())
+        if is_instance_of(gateway, node, "org.apache.spark.sql.catalyst.plans.QueryPlan"):
+            stack += _seq(node.expressions())
+        if name in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"):
+            stack.append(node.plan())
+        if name == "UnresolvedWith":
+            stack += [r._2() for r in _seq(node.cteRelations())]
+
+
+def check_query(session: SparkSession, text: str, tables: list[str] | None) -> bool:
+    """Parse ``text`` alone and check it; True if it cuts its result (LIMIT, OFFSET).
+
+    Raises the parser's error, or :class:`Refused`.
+    """
+    if not text:
+        raise Refused("PARSE_EMPTY_STATEMENT", "empty query")
+    plan = session._jsparkSession.sessionState().sqlParser().parseQuery(text)
+    nodes = [(n.getClass().getSimpleName(), n) for n in _plan_nodes(session.sparkContext._gateway, plan)]
+    inner = {r._1().lower() for k, n in nodes if k == "UnresolvedWith" for r in _seq(n.cteRelations())}
+    allowed = None if tables is None else {t.lower() for t in tables}
+    for kind, node in nodes:
+        if kind == "UnresolvedFunction" and _seq(node.nameParts())[-1].lower() in FORBIDDEN:
+            raise Refused("FUNCTION_NOT_ALLOWED", f"function {_seq(node.nameParts())[-1]} is not allowed")
+        if kind == "UnresolvedRelation":
+            parts = [p.lower() for p in _seq(node.multipartIdentifier())]
+            if len(parts) == 1 and parts[0] in inner:
+                continue
+            if len(parts) != 1 or (allowed is not None and parts[0] not in allowed):
+                raise Refused("TABLE_OR_VIEW_NOT_FOUND", f"no such table: {'.'.join(parts)}")
+    return any(k in ("GlobalLimit", "LocalLimit", "Limit", "Offset", "Tail") for k, _ in nodes)
+
+
+def _describe(exc: Exception) -> tuple[str, str]:
+    """(whole error text, error class)."""
+    own = getattr(exc, "error_class", None)
+    return SQL_ERROR_PREFIX + (str(exc).strip() or type(exc).__name__), own or _error_class(exc)
+
+
+# ---- the run ---------------------------------------------------------------------------
+
+def _wrap(body: str) -> str:
+    return f"SELECT * FROM (\n{body}\n) __t"
+
+
+def _cells(df: DataFrame, query_id: str | None) -> DataFrame:
+    """``query_id, cells`` of a result; columns by position (the first is the id if none is given)."""
+    own = 0 if query_id is not None else 1
+    pos = df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+    values = [f"_c{i}" for i in range(own, len(df.columns))]
+    return pos.select((F.lit(query_id) if query_id is not None else F.col("_c0")).alias("query_id"), row_cells(pos.select(*values)).alias("cells"))
+
+
+class _Run:
+    """One batch: the session, the folder, and what was written and what failed."""
+
+    def __init__(self, session: SparkSession, folder: str):
+        self.session, self.folder = session, folder
+        self.paths: list[str] = []
+        self.errors: list[tuple[str, str, str]] = []
+        self.error_paths: list[str] = []
+        self.seconds: list[tuple[int, float]] = []
+
+    def write(self, rows: DataFrame) -> None:
+        path = os.path.join(self.folder, "rows", f"{len(self.paths)}-{uuid.uuid4().hex[:8]}")
+        rows.write.parquet(path)
+        self.paths.append(path)
+
+    def fail(self, query_id: str, exc: Exception) -> None:
+        self.errors.append((query_id, *_describe(exc)))
+        if len(self.errors) >= 1000:
+            self.flush()
+
+    def flush(self) -> None:
+        if self.errors:
+            path = os.path.join(self.folder, "errors", uuid.uuid4().hex)
+            self.session.createDataFrame(self.errors, ERROR_SCHEMA).write.parquet(path)
+            self.error_paths.append(path)
+            self.errors = []
+
+    # a job is a list of parts; a part builds rows for the members of one hash class
+    def write_parts(self, parts: list["_Part"]) -> None:
+        """Write the parts with one job; if it fails, halve it."""
+        if not parts:
+            return
         try:
-            if not sql:
-                raise ValueError("empty query")
-            if FORBIDDEN.search(sql):
-                raise PermissionError("function not allowed: reflect/java_method")
-            rows = self.single_rows(qid, sql)
-            with self.lock:
-                self.failures.append((qid, True, None, None, time.perf_counter() - t0))
-                self._pending.extend((qid, i, c) for i, c in enumerate(rows, 1))
-        except Exception as e:  # noqa: BLE001
-            err = "Query execution timed out" if isinstance(e, TimeoutError) else f"SQL error: {_message(e)}"
-            cls = "TIMEOUT" if isinstance(e, TimeoutError) else _error_class(e)
-            with self.lock:
-                self.failures.append((qid, False, err, cls, time.perf_counter() - t0))
-
-    # -- a template group ------------------------------------------------------------
-    def run_template(self, tpl: str, members: DataFrame, slot_stats: list, tpl_id: int):
-        """Plan one template as a lateral join over its members.
-
-        Returns ``(rows DataFrame with a tpl column, view name)``, or ``None``
-        when the template cannot be planned (it then falls back to single runs).
-        """
-        body, _, kinds_txt = tpl.rpartition("\n--kinds:")
-        kinds = kinds_txt.split(",") if kinds_txt else []
-        varying, text = [], body
-        for k in range(len(kinds)):
-            n_distinct, raw = slot_stats[k]
-            typ = _slot_type(kinds[k])
-            marker = f"{MARK}{k}{MARK}"
-            if n_distinct == 1 or typ is None:
-                text = text.replace(marker, raw)
+            rows = [p.rows() for p in parts]
+            union = rows[0]
+            for r in rows[1:]:
+                union = union.unionByName(r)
+            t0 = time.perf_counter()
+            self.write(union)
+            spent = (time.perf_counter() - t0) / sum(p.n for p in parts)
+            self.seconds += [(p.group, spent) for p in parts]
+        except Exception as e:  # noqa: BLE001 - any failure of a query is an outcome
+            if len(parts) > 1:
+                half = len(parts) // 2
+                self.write_parts(parts[:half])
+                self.write_parts(parts[half:])
             else:
-                text = text.replace(marker, f"__params.__p{k}")
-                varying.append((k, typ))
-        if FORBIDDEN.search(text):
-            return None
+                for smaller in parts[0].split(self, e):
+                    self.write_parts([smaller])
+
+
+class _Part:
+    """Some members of one template: those whose hash is ``rest`` modulo ``modulus``; or one text."""
+
+    def __init__(self, run: _Run, group: int, members: DataFrame | None, text: str, slots: list, n: int,
+                 query_id: str | None = None, modulus: int = 1, rest: int = 0):
+        self.run, self.group, self.members, self.text, self.slots, self.n = run, group, members, text, slots, n
+        self.query_id, self.modulus, self.rest = query_id, modulus, rest
+
+    def mine(self) -> DataFrame:
+        return self.members.where(F.pmod(F.xxhash64("query_id"), F.lit(self.modulus)) == self.rest) if self.modulus > 1 else self.members
+
+    def rows(self) -> DataFrame:
+        session = self.run.session
+        if self.query_id is not None:
+            return _cells(session.sql(_wrap(self.text)), self.query_id)
         view = "__params_" + uuid.uuid4().hex[:12]
-        pcols = [F.get(F.col("slot_val"), k).cast(typ).alias(f"__p{k}") for k, typ in varying]
-        members.select(F.col("query_id").alias("__qid"), *pcols).createOrReplaceTempView(view)
-        try:
-            lateral = (f"SELECT __params.__qid, __q.* FROM {view} AS __params, "
-                       f"LATERAL ({self._wrap(text)}) __q")
-            out = self._capped(self._with_cells(self.spark.sql(lateral), True, None))
-            return out.withColumn("tpl", F.lit(tpl_id)), view
-        except Exception:  # noqa: BLE001
-            self.spark.catalog.dropTempView(view)
-            return None
-
-    def write_templates(self, ready: list) -> list[int]:
-        """Write planned templates (one job, partitioned by template id), then
-        verify each on its probe member against a single run of that member:
-        a decorrelation that changes results must not go unnoticed.
-
-        ``ready`` items are ``(rows, view, n_members, tpl_id, probe)``. Returns
-        the template ids to run one query at a time instead; their partitions
-        are excluded when the rows are read.
-        """
-        if not ready:
-            return []
-        n = sum(x[2] for x in ready)
-        written, bad = [], []
+        columns = [F.get(F.col("slot_val"), k).cast(kind).alias(f"__p{k}") for k, kind in self.slots]
+        self.mine().select(F.col("query_id").alias("__qid"), *columns).createOrReplaceTempView(view)
         try:
-            union = ready[0][0]
-            for item in ready[1:]:
-                union = union.unionByName(item[0])
-            self._run_tagged(lambda: union.write.mode("append").partitionBy("tpl").parquet(self.tpl_path),
-                             self.p.timeout_seconds * max(1, n))
-            written = list(ready)
-        except Exception:  # noqa: BLE001
-            for item in ready:
-                try:
-                    if len(ready) == 1:
-                        raise RuntimeError("single template failed")
-                    self._run_tagged(lambda: item[0].write.mode("append").partitionBy("tpl").parquet(self.tpl_path),
-                                     self.p.timeout_seconds * max(1, item[2]))
-                    written.append(item)
-                except Exception:  # noqa: BLE001
-                    bad.append(item[3])
+            return _cells(session.sql(f"SELECT __params.__qid, __q.* FROM {view} AS __params, LATERAL ({_wrap(self.text)}) __q"), None)
         finally:
-            for item in ready:
-                self.spark.catalog.dropTempView(item[1])
-        if written:
-            ids = [item[3] for item in written]
-            probes = [item[4][0] for item in written]
-            got: dict = {}
-            back = (self.spark.read.schema(TPL_ROWS_SCHEMA).parquet(self.tpl_path)
-                    .where(F.col("tpl").isin(ids) & F.col("query_id").isin(probes)))
-            for r in back.orderBy("tpl", "row_idx").collect():      # ≤ (cap + 1) rows per template
-                got.setdefault((r["tpl"], r["query_id"]), []).append(r["cells"])
-
-            def check(item):
-                try:
-                    want = self.single_rows(item[4][0], item[4][1])
-                except Exception:  # noqa: BLE001
-                    return item[3]
-                return None if got.get((item[3], item[4][0]), []) == want else item[3]
-            with ThreadPoolExecutor(max_workers=self.p.parallelism) as pool:
-                bad += [x for x in pool.map(check, written) if x is not None]
-        self.rejected.extend(bad)
-        return bad
-
-    def flush(self) -> None:
-        """Append buffered single-run rows and statuses (bounded buffers)."""
-        with self.lock:
-            rows, self._pending = self._pending, []
-            fails, self.failures = self.failures, []
-            self.n_single += len(fails)
-        if rows:
-            self.spark.createDataFrame(rows, ROWS_SCHEMA).write.mode("append").parquet(self.rows_path)
-        if fails:
-            self.spark.createDataFrame(fails, FAIL_SCHEMA).write.mode("append").parquet(self.fail_path)
+            session.catalog.dropTempView(view)
 
-    _pending: list
+    def split(self, run: _Run, exc: Exception) -> list["_Part"]:
+        if self.query_id is not None:
+            run.fail(self.query_id, exc)
+            return []
+        if self.n <= 1:
+            for r in self.mine().select("query_id", "query").toLocalIterator():  # one member
+                run.fail(r["query_id"], exc)
+            return []
+        out = []
+        for rest in (self.rest, self.rest + self.modulus):
+            part = _Part(run, self.group, self.members, self.text, self.slots, 0, None, 2 * self.modulus, rest)
+            part.n = part.mine().count()
+            if part.n:
+                out.append(part)
+        return out
 
 
-def run_query_batch(spark: SparkSession, queries: DataFrame, query_id: str = "query_id", sql: str = "query",
-                    params: ExecParams = ExecParams(), out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[SparkSession], None], query_id: str = "query_id",
+                    sql: str = "query", tables: str | None = None, out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Execute every distinct query; return ``(executions, rows)``.
 
-    ``executions``: query_id, success, error, error_class, row_count, truncated.
-    ``rows``: query_id, row_idx, cells (at most ``max_result_rows`` per query).
-    The views the queries name must be registered in ``spark`` beforehand.
+    ``executions``: query_id, success, error, error_class, row_count, seconds (its share of the
+    job that ran it). ``rows``: query_id, cells, whole results. ``views`` registers the views on the
+    session it is given; ``tables`` names an array column with the tables a query may read (NULL: all).
     """
     base = out_dir or os.path.join(ensure_checkpoint_dir(spark), "executions", uuid.uuid4().hex)
-    runner = _Runner(spark, base, params)
-    runner._pending = []
-    old = spark.conf.get("spark.sql.runSQLOnFiles", "true")
-    spark.conf.set("spark.sql.runSQLOnFiles", "false")
-    try:
-        q = queries.select(F.col(query_id).cast("string").alias("query_id"), clean_query(F.col(sql)).alias("query")) \
-            .dropDuplicates(["query_id"])
-        t = templatize(q, "query")
-        t0 = time.perf_counter()
-        # one tokenisation, written sorted by template: lineage is cut, and the
-        # per-template member filters below prune parquet row groups by min/max
-        # (hash-partitioned, sorted in each file: no sampling pass as for a range sort)
-        t_path = os.path.join(base, "templates")
-        t.repartition("template").sortWithinPartitions("template").write.parquet(t_path)
-        t = spark.read.parquet(t_path)
-        LOG.info("templatized in %.2fs", time.perf_counter() - t0)
-        groups = t.groupBy("template").agg(F.count(F.lit(1)).alias("n"),
-                                           F.min_by(F.struct("query_id", "query"), "query_id").alias("probe"))
-        stats = (t.select("template", F.posexplode("slot_val").alias("k", "v"), "slot_raw")
-                 .groupBy("template", "k")
-                 .agg(F.count_distinct("v").alias("nd"), F.min(F.get(F.col("slot_raw"), F.col("k"))).alias("raw")))
-        stats = stats.groupBy("template").agg(F.array_sort(F.collect_list(F.struct("k", "nd", "raw"))).alias("slots"))
-        plan = groups.where(F.col("n") > 1).join(stats, "template", "left").orderBy(F.desc("n"))
-        failed: list[str] = []
-        ready: list = []
-        by_id: dict[int, str] = {}
-        n_templates = 0
-        for tpl_id, row in enumerate(plan.toLocalIterator()):     # one row per shared template, streamed
-            members = t.where(F.col("template") == row["template"]).select("query_id", "query", "slot_val")
-            slot_stats = [(x["nd"], x["raw"]) for x in (row["slots"] or [])]
-            got = runner.run_template(row["template"], members, slot_stats, tpl_id)
-            if got is None:
-                failed.append(row["template"])
-                continue
-            by_id[tpl_id] = row["template"]
-            ready.append((got[0], got[1], row["n"], tpl_id, (row["probe"][0], row["probe"][1])))
-            if len(ready) >= 32:                # bounded union per write job (and bounded by_id)
-                failed += [by_id[i] for i in runner.write_templates(ready)]
-                n_templates += len(ready)
-                ready, by_id = [], {}
-        t1 = time.perf_counter()
-        failed += [by_id[i] for i in runner.write_templates(ready)]
-        n_templates += len(ready)
-        LOG.info("%d templates written and verified (%d rejected) in %.2fs", n_templates, len(runner.rejected),
-                 time.perf_counter() - t1)
-        # singletons and fallen-back templates: one streamed pass over their members
-        alone = groups.where(F.col("n") == 1).select("template")
-        if failed:
-            alone = alone.unionByName(spark.createDataFrame([(x,) for x in failed], "template string"))
-        singles: list[tuple[str, str]] = []
-        for m in t.join(alone, "template", "left_semi").select("query_id", "query").toLocalIterator():
-            singles.append((m["query_id"], m["query"]))
-            if len(singles) >= 256:
-                _run_singles(runner, singles, params)
-                singles = []
-        _run_singles(runner, singles, params)
-        LOG.info("%d single runs", runner.n_single)
-    finally:
-        spark.conf.set("spark.sql.runSQLOnFiles", old)
-    rows = spark.read.schema(ROWS_SCHEMA).parquet(runner.rows_path) if _exists(spark, runner.rows_path) \
-        else spark.createDataFrame([], ROWS_SCHEMA)
-    if _exists(spark, runner.tpl_path):
-        tpl_rows = spark.read.schema(TPL_ROWS_SCHEMA).parquet(runner.tpl_path)
-        if runner.rejected:
-            tpl_rows = tpl_rows.where(~F.col("tpl").isin(runner.rejected))     # partition pruning
-        rows = rows.unionByName(tpl_rows.select("query_id", "row_idx", "cells"))
-    fails = spark.read.schema(FAIL_SCHEMA).parquet(runner.fail_path) if _exists(spark, runner.fail_path) \
-        else spark.createDataFrame([], FAIL_SCHEMA)
+    session = spark.newSession()
+    session.conf.set("spark.sql.runSQLOnFiles", "false")
+    session.conf.set("spark.sql.variable.substitute", "false")
+    views(session)
+    run = _Run(session, base)
+    allowed = F.array_join(F.array_sort(F.col(tables)), ",") if tables else F.lit(None).cast("string")
+    q = queries.select(F.col(query_id).cast("string").alias("query_id"), clean_query(F.col(sql)).alias("query"),
+                       allowed.alias("tables")).dropDuplicates(["query_id"])
+    t = templatize(q, "query").withColumn("grp", F.xxhash64("template", F.coalesce("tables", F.lit("*"))))
+    path = os.path.join(base, "templates")
+    # sorted by group inside salted files: the member filters below skip row groups by min and max,
+    # and a shape that most queries share is spread over SALTS tasks
+    salt = F.pmod(F.xxhash64("query_id"), F.lit(SALTS))
+    t.repartition("grp", salt).sortWithinPartitions("grp").write.parquet(path)
+    t = session.read.parquet(path)
+    stats = (t.select("grp", F.posexplode("slot_val").alias("k", "v"), "slot_raw")
+             .groupBy("grp", "k").agg(F.min("v").alias("_lo"), F.max("v").alias("_hi"), F.min(F.get(F.col("slot_raw"), F.col("k"))).alias("raw"))
+             .groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("k", (F.col("_lo") != F.col("_hi")).alias("varies"), "raw"))).alias("slots")))
+    groups = t.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.min("template").alias("template"), F.min("tables").alias("tables"),
+                                  F.min_by("query", "query_id").alias("probe"), F.min("query_id").alias("probe_id"))
+    refused: list[tuple[int, str, str]] = []
+    ready: list[_Part] = []
+
+    def add(part: _Part) -> None:
+        nonlocal ready
+        ready.append(part)
+        if len(ready) >= UNION:
+            run.write_parts(ready)
+            ready = []
+
+    for g in groups.join(stats, "grp", "left").toLocalIterator():  # one row a shape, streamed
+        try:
+            names = None if g["tables"] is None else [x for x in g["tables"].split(",") if x]
+            cuts = check_query(session, g["probe"], names)
+        except Exception as e:  # noqa: BLE001 - members share the structure, hence the outcome
+            refused.append((g["grp"], *_describe(e)))
+            continue
+        if g["n"] == 1:
+            add(_Part(run, g["grp"], None, g["probe"], [], 1, g["probe_id"]))
+            continue
+        body, _, kinds = g["template"].rpartition("\n--kinds:")
+        text, slots = body, []
+        for k, (slot, kind) in enumerate(zip(g["slots"] or [], kinds.split(",") if kinds else [])):
+            spark_type = _slot_type(kind)
+            if slot["varies"] and spark_type is not None and not cuts:
+                text = text.replace(f"{MARK}{k}{MARK}", f"__params.__p{k}")
+                slots.append((k, spark_type))
+            elif not slot["varies"]:
+                text = text.replace(f"{MARK}{k}{MARK}", slot["raw"])
+        members = t.where(F.col("grp") == g["grp"]).select("query_id", "query", "slot_val")
+        part = _Part(run, g["grp"], members, text, slots, g["n"])
+        try:
+            if MARK in text:
+                raise ValueError("a slot that varies has to stay a literal")
+            part.rows()  # analysis only
+        except Exception:  # noqa: BLE001 - not as a parameter: each member by its own text
+            for m in members.select("query_id", "query").toLocalIterator():
+                add(_Part(run, g["grp"], None, m["query"], [], 1, m["query_id"]))
+            continue
+        add(part)
+    run.write_parts(ready)
+    run.flush()
+
+    rows = session.read.schema(ROWS_SCHEMA).parquet(*run.paths) if run.paths else session.createDataFrame([], ROWS_SCHEMA)
+    errors = session.read.schema(ERROR_SCHEMA).parquet(*run.error_paths) if run.error_paths else session.createDataFrame([], ERROR_SCHEMA)
+    by_group = session.createDataFrame(refused, "grp long, g_error string, g_class string")
+    spent = session.createDataFrame(run.seconds, "grp long, seconds double").groupBy("grp").agg(F.max("seconds").alias("seconds"))
     counts = rows.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
-    ex = t.select("query_id").join(fails, "query_id", "left").join(counts, "query_id", "left")
-    cap = params.max_result_rows
-    n = F.coalesce(F.col("_n"), F.lit(0))
-    ex = ex.select("query_id", F.coalesce(F.col("success"), F.lit(True)).alias("success"), "error", "error_class",
-                   F.when(F.coalesce(F.col("success"), F.lit(True)), F.least(n, F.lit(cap))).otherwise(F.lit(0))
-                   .cast("bigint").alias("row_count"),
-                   (n > cap).alias("truncated"))
-    # one row per distinct query, read twice by callers (generated and
-    # reference side): written once under the run folder
+    ex = (t.select("query_id", "grp").join(by_group, "grp", "left").join(spent, "grp", "left")
+          .join(errors, "query_id", "left").join(counts, "query_id", "left"))
+    error, kind = F.coalesce("error", "g_error"), F.coalesce("error_class", "g_class")
+    ex = ex.select("query_id", error.isNull().alias("success"), error.alias("error"), kind.alias("error_class"),
+                   F.when(error.isNull(), F.coalesce("_n", F.lit(0))).otherwise(0).cast("bigint").alias("row_count"), "seconds")
     ex_path = os.path.join(base, "executions")
-    ex.write.parquet(ex_path)
-    return spark.read.parquet(ex_path), rows.where(F.col("row_idx") <= cap)
-
-
-def _run_singles(runner: _Runner, singles: list[tuple[str, str]], params: ExecParams) -> None:
-    if not singles:
-        return
-    with ThreadPoolExecutor(max_workers=params.parallelism) as pool:
-        list(pool.map(lambda a: runner.run_single(*a), singles))
-    runner.flush()
+    ex.write.parquet(ex_path)  # read by both sides of the comparison
+    return spark.read.parquet(ex_path), (spark.read.schema(ROWS_SCHEMA).parquet(*run.paths) if run.paths else spark.createDataFrame([], ROWS_SCHEMA))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def declared_tables(schema: Column) -> Column:
+    """Names of the tables that a schema text creates, lower case."""
+    names = F.regexp_extract_all(F.lower(schema), F.lit(r"create\s+(?:temporary\s+|temp\s+)?table\s+(?:if\s+not\s+exists\s+)?[`\"\[]?(\w+)"), F.lit(1))
+    return F.array_distinct(names)
 
 
-def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str],
-                       params: ExecParams = ExecParams(), out_dir: str | None = None) -> DataFrame:
+def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str], views: Callable[[SparkSession], None],
+                       out_dir: str | None = None) -> DataFrame:
     """X1 → X2/X3 for scored candidates (output of ``with_sql_columns``).
 
-    Distinct (query, schema) pairs are executed once (D3, keyed by T15); every
-    candidate gets ``gen_success, gen_error, ref_success`` and the comparison
-    of its two result sets. Candidates without a schema are not executed.
+    Distinct (query, schema) pairs are executed once (D3, keyed by T15) and see only the
+    tables that their schema declares; every candidate gets ``gen_success, gen_error,
+    gen_error_class, gen_seconds, ref_success`` and the comparison of its two result sets.
+    Candidates without a schema are not executed.
     """
     from ..functions.schema import execution_key, has_schema
     from ..operators import compare as X
     from ..operators.score import REF, SCHEMA, SQL
 
-    c = texted.drop("gen_success", "gen_error", "ref_success", "ref_error", "exact_match", "similarity",
-                    "gen_rows", "ref_rows")
+    c = texted.drop("gen_success", "gen_error", "gen_error_class", "gen_seconds", "ref_success", "ref_error", "exact_match",
+                    "similarity", "gen_rows", "ref_rows")
     c = c.withColumns({"_gk": execution_key(F.col(SQL), F.col(SCHEMA)),
                        "_rk": execution_key(F.col(REF), F.col(SCHEMA))})
     ensure_checkpoint_dir(spark)
     c = c.checkpoint(eager=True)   # the regex projection is used three times below
-    with_schema = c.where(has_schema(F.col(SCHEMA)))
-    qs = with_schema.select(F.col("_gk").alias("query_id"), F.col(SQL).alias("query")).unionByName(
-        with_schema.select(F.col("_rk").alias("query_id"), F.col(REF).alias("query")))
-    ex, rows = run_query_batch(spark, qs, params=params, out_dir=out_dir)
+    with_schema = c.where(has_schema(F.col(SCHEMA))).withColumn("_tables", declared_tables(F.col(SCHEMA)))
+    qs = with_schema.select(F.col("_gk").alias("query_id"), F.col(SQL).alias("query"), "_tables").unionByName(
+        with_schema.select(F.col("_rk").alias("query_id"), F.col(REF).alias("query"), "_tables"))
+    ex, rows = run_query_batch(spark, qs, views, tables="_tables", out_dir=out_dir)
     g = ex.select(F.col("query_id").alias("_gk"), F.col("success").alias("gen_success"),
-                  F.col("error").alias("gen_error"), F.col("row_count").alias("gen_rows"),
-                  F.col("truncated").alias("gen_truncated"))
+                  F.col("error").alias("gen_error"), F.col("error_class").alias("gen_error_class"),
+                  F.col("seconds").alias("gen_seconds"), F.col("row_count").alias("gen_rows"))
     r = ex.select(F.col("query_id").alias("_rk"), F.col("success").alias("ref_success"),
                   F.col("error").alias("ref_error"), F.col("row_count").alias("ref_rows"))
     # compare once per distinct (generated, reference) pair; rows move only for

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.memo import per_context
 from .tables import read_table
 
 # ---- fixed values (fixture recipe) -------------------------------------------
@@ -49,7 +48,6 @@ def candidates(spark: SparkSession, sf_dir: str, generations: int = 4) -> DataFr
     return cust.select("sample_id", gen).withColumns(cols[0]).select(*cols[1])
 
 
-@per_context
 def _candidate_exprs(generations: int):
     gen = F.explode(F.sequence(F.lit(0), F.lit(generations - 1))).alias("gen_idx")
     stage = {
@@ -95,14 +93,15 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def result_rows(spark: SparkSession, sf_dir: str, cands: DataFrame | None = None) -> DataFrame:
+def result_rows(spark: SparkSession, sf_dir: str, cands: DataFrame | None = None, with_date: bool = False) -> DataFrame:
     """Rows each side returns: ``sample_id, gen_idx, side, cell``.
 
     One join of candidates with orders; both sides come out of it through a
     two-element explode (no second join, no second pass over orders).
     """
     c = cands if cands is not None else candidates(spark, sf_dir)
-    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    more = ["o_orderdate"] if with_date else []
+    orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", *more)
     keyed = c.select("sample_id", "gen_idx", "v", "gen_success", "ref_success")
     joined = keyed.join(orders, orders.o_custkey == keyed.sample_id)
     ok, v = F.col("o_orderkey"), F.col("v")
@@ -112,7 +111,8 @@ def result_rows(spark: SparkSession, sf_dir: str, cands: DataFrame | None = None
         F.struct(F.lit("ref").alias("side"), ok.alias("cell"), F.col("ref_success").alias("keep")),
         F.struct(F.lit("gen").alias("side"), gen_cell.alias("cell"), gen_keep.alias("keep")),
     )
-    out = joined.select("sample_id", "gen_idx", F.inline(sides))
+    kept = ["o_orderkey", "o_orderdate"] if with_date else []
+    out = joined.select("sample_id", "gen_idx", *kept, F.inline(sides))
     return out.where("keep").drop("keep")
 
 

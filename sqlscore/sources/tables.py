@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,20 +11,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table as a DataFrame (parquet: pushdown and pruning apply).
-
-    The driver tables are read-only, so the DataFrame (and its file listing)
-    is reused per session.
-    """
-    from ..functions.memo import token
-    key = (token(spark), os.path.join(sf_dir, f"{name}.parquet"))
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(key[1])
-    return df
-
-
-_TABLES: dict = {}
+    """One driver table as a DataFrame (parquet: pushdown and pruning apply), listed anew on every call."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

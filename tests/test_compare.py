@@ -16,6 +16,28 @@ def test_compare_results_string_not_number(spark):
     assert X.compare_results(g, r).first()["exact_match"] is False
 
 
+def test_cells_keep_every_digit(spark):
+    def cell(sql):
+        from sqlscore.functions.cells import row_cells
+        df = spark.sql(f"SELECT {sql} AS v")
+        return df.select(row_cells(df).alias("c")).first()["c"][0]
+    assert cell("1e-11D") != cell("0.0D") and cell("CAST(0 AS DOUBLE)") == cell("0") == cell("-0.0D")
+    assert cell("CAST('0.123456789012' AS DECIMAL(20,12))") != cell("CAST('0.123456789013' AS DECIMAL(20,12))")
+    assert cell("1e30D") == cell("CAST('1000000000000000000000000000000' AS DECIMAL(38,0))")
+    assert cell("CAST('99999999999999999999999999999999999999' AS DECIMAL(38,0))") == "n:99999999999999999999999999999999999999e0"
+    assert cell("1") == cell("1.0D") == cell("1.00") == cell("true") == "n:1e0" and cell("'1'") == "s:1"
+    assert cell("-2.50") == cell("-2.5D") == "n:-25e-1" and cell("double('NaN')") == "n:NaN"
+
+
+def test_unequal_counts_use_whole_results(spark):
+    rows = spark.range(1500).selectExpr("0 AS k", "'ref' AS side", "id AS cell").unionByName(
+        spark.range(1100).selectExpr("0 AS k", "'gen' AS side", "id AS cell"))
+    status = spark.sql("SELECT 0 AS k, true AS gen_success, true AS ref_success")
+    row = X.compare_pairs(status, rows, ["k"]).first()
+    assert (row["gen_rows"], row["ref_rows"], row["exact_match"]) == (1100, 1500, False)
+    assert abs(row["similarity"] - 0.3 * 1100 / 1500) < 1e-12
+
+
 def test_compare_results_failed_side(spark):
     g = spark.createDataFrame([(1,)], "x int")
     row = X.compare_results(g, g, ref_ok=False).first()

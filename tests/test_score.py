@@ -118,12 +118,18 @@ def test_evaluation_rates(spark):
     assert one["best_reward_std"] is None
 
 
-def test_cache_stats_bounded(spark):
+def test_duplicate_stats(spark):
     calls = spark.createDataFrame([(i, k) for i, k in enumerate("aabcbca")], "t long, k string")
-    unb = C.cache_stats(calls, ["k"], ["t"], None).first()
-    assert (unb["cache_size"], unb["cache_hits"], unb["cache_misses"]) == (3, 4, 3)
-    b = C.cache_stats(calls, ["k"], ["t"], 2).first()     # c never cached: misses on both calls
-    assert (b["cache_size"], b["cache_hits"], b["cache_misses"]) == (2, 3, 4)
+    row = C.duplicate_stats(calls, ["k"]).first()
+    assert (row["calls"], row["distinct_keys"], row["repeats"]) == (7, 3, 4) and row["repeat_rate"] == pytest.approx(4 / 7)
+    assert tuple(C.duplicate_stats(calls.where("false"), ["k"]).first()) == (0, 0, 0, 0.0)
+
+
+def test_means_are_not_rounded(spark):
+    scored = spark.createDataFrame([(1, 0, "a", 0.1234567), (1, 1, "b", 0.7654323)], "sample_id long, gen_idx int, completion string, score double")
+    row = E.sample_rewards(scored, ["sample_id"], keep_lists=True).first()
+    assert row["mean_reward"] == pytest.approx((0.1234567 + 0.7654323) / 2, abs=1e-12)
+    assert row["generated"] == ["a", "b"] and row["rewards"] == [0.1234567, 0.7654323]
 
 
 def test_score_distinct_matches_direct(spark):
@@ -133,7 +139,7 @@ def test_score_distinct_matches_direct(spark):
 
     def fn(k):
         return k.withColumn("n", F.length(T.normalize_sql(F.col("text"))))
-    via = C.score_distinct(docs, ["text"], fn, ["n"])
+    via = C.score_distinct(docs, "doc_id", ["text"], fn, ["n"])
     direct = fn(docs)
     assert via.select("doc_id", "n").exceptAll(direct.select("doc_id", "n")).count() == 0
     assert via.count() == docs.count()

@@ -49,6 +49,20 @@ def test_normalize_hand_case(spark):
     assert one(spark, T.normalize_sql, src) == "select a from t where x='It''s -- B'"
 
 
+def test_comments_and_quoted_names(spark):
+    assert one(spark, T.normalize_sql, "SELECT a/*c*/FROM T") == "select a from t"
+    assert one(spark, T.normalize_sql, 'SELECT "a--b" AS X') == 'select "a--b" as x'
+    assert one(spark, T.normalize_sql, 'SELECT "It\'s" AS A, B FROM T') == 'select "It\'s" as a, b from t'
+    assert one(spark, T.normalize_sql, "SELECT 'A' -- it's\n, B") == "select 'A' , b"
+    assert one(spark, T.normalize_sql, "SELECT 'open") == "select 'open"
+
+
+def test_long_literals_do_not_recurse(spark):
+    long = "SELECT '" + "x" * 100_000 + "' || '" + "''" * 50_000 + '\' || "' + "y" * 100_000 + '" /* ' + "z" * 100_000 + " */ FROM T"
+    assert one(spark, T.token_count, long) == 9
+    assert one(spark, T.normalize_sql, long).endswith(" from t")
+
+
 def test_normalize_idempotent_on_documents(spark):
     from conftest import SF001
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
