@@ -7,9 +7,9 @@ documents:
 
 * *prefix*: all bytes of the word so far and the bits of this byte. The first bytes use a hashed
   table; deeper prefixes are counted next to the words that share them;
-* *order 4, 3, 2, 1*: the last bytes inside the word, in hashed tables of fixed size.
+* *order 4, 3, 2*: the last bytes inside the word, in hashed tables of fixed size.
 
-All but order 4 also know the *state* of the text: the group (language) that the words read so far
+Prefix and order 2 also know the *state* of the text: the group (language) that the words read so far
 speak for most, by a hashed table of word counts per group. The state depends on earlier words only, so it
 adapts to each text as the text is read, and the product over the tokens stays a probability.
 
@@ -51,8 +51,8 @@ from .exchange import runs
 
 END = b"\n"
 TRIE_FROM = 5
-#: log2 of the slots of the hashed tables: prefix, order 4, 3, 2, 1.
-TABLE_BITS = (18, 20, 19, 18, 16)
+#: log2 of the slots of the hashed tables: prefix, order 4, 3, 2.
+TABLE_BITS = (18, 20, 19, 18)
 OFFSETS = np.concatenate([[0], np.cumsum([1 << b for b in TABLE_BITS])])
 TABLES = len(TABLE_BITS)
 INPUTS = TABLES + 1  # and a bias
@@ -147,17 +147,15 @@ def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarr
     table = groups[_slots_of(words)]
     first = np.cumsum(counts) - counts
     start = np.repeat(first, counts)
-    best = state = None
-    for z in range(groups.shape[1]):
-        gain = table[:, z][code].astype(np.float64)
-        upto = np.cumsum(gain) - gain  # of the earlier words
-        upto -= upto[start]
-        if best is None:
-            best, state = upto, np.zeros(len(code), np.int64)
-        else:
-            better = upto > best
-            state[better] = z
-            best = np.maximum(best, upto)
+    state, best = np.zeros(len(code), np.int64), np.zeros(len(code))
+    for z in range(1, groups.shape[1]):  # lead of group z over group 0 on the earlier words
+        gain = np.ascontiguousarray(table[:, z] - table[:, 0], np.float64)[code]
+        lead = np.cumsum(gain)
+        lead -= gain
+        lead -= lead[start]
+        better = lead > best
+        state[better] = z
+        best[better] = lead[better]
     state[first] = UNKNOWN
     both, place = _distinct(code * 16 + state, 16 * len(words))
     return _name(words, both), place, counts
@@ -195,8 +193,8 @@ class _Bytes:
         for k in (1, 2, 3, 4):
             byte = np.where(self.pos > k, np.concatenate([np.zeros(k, np.uint64), self.byte[:-k]])[:len(b)], np.uint64(0))
             known = known | (byte << np.uint64(8 * (k - 1)))
-            order.append(mix64(known + (state if k < 4 else np.uint64(0)) + np.uint64(k << 48)))
-        self.orders = order[::-1]
+            order.append(known + (state if k < 3 else np.uint64(0)) + np.uint64(k << 48))
+        self.orders = [mix64(order[3]), mix64(order[2]), mix64(order[1])]
         self.coded = self.pos > 0  # the state itself is not coded
         self.deep = np.flatnonzero(self.pos >= TRIE_FROM)
         self.shallow = np.flatnonzero(self.pos < TRIE_FROM)
@@ -305,7 +303,7 @@ def _step(dot):
 
 def first_weights() -> np.ndarray:
     w = np.zeros((GATES, INPUTS))
-    w[:, :TABLES] = (0.5, 0.2, 0.15, 0.1, 0.05)
+    w[:, :TABLES] = (0.5, 0.25, 0.15, 0.1)
     return w
 
 
@@ -517,7 +515,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = d.select("doc_id", "text").withColumn("held_out", salted_crc("doc_id", folds) == held_out).withColumn("block", block_of(blocks, "doc_id"))
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = list(pdf["text"])
+        texts = list(pdf.sort_values(["doc_id", "text"])["text"])  # one order, so that sums and states agree with add_up
         words = sorted({w for s in _texts(texts) for w in _tokens(texts[s], states.value)[0]})
         name = int(pdf["block"].iloc[0])
         return pd.DataFrame([(b, name, _pack([words[i] for i in at])) for b, at in _deal(words, buckets)],
@@ -553,6 +551,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         columns = [c.split()[0] for c in RESULT.split(", ")]
         if pdf.empty:
             return pd.DataFrame({c: [] for c in columns})
+        pdf = pdf.sort_values(["doc_id", "text"])
         place: dict[bytes, int] = {}
         for raw in answers["words"]:
             for w in _unpack(raw):
@@ -571,7 +570,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 sums[k] += np.bincount(row, weights=v[i], minlength=len(texts))
         score = sums[0]
         size = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])
-        return pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "n_tokens": n,
+        return pd.DataFrame({"doc_id": pdf["doc_id"].array, "held_out": pdf["held_out"].array, "n_tokens": n,
                              "n_known": np.rint(sums[2]).astype(np.int64),
                              "train_tokens": n_train, "base_score": sums[1], "score": score,
                              "bits_per_byte": -score / math.log10(2) / size})
