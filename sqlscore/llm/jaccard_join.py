@@ -250,12 +250,12 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
              .agg(*[F.first(c).alias(c) for c in ("size", "least", "tokens")]).checkpoint())
 
     # groups of similar nodes: links inside the chunks, which meet in the group's pivot
-    members = nodes.select("node", "size", "least", "tokens")
-    pieces = _chunks(members, "least")
+    members = nodes.select("node", "size", "tokens")
+    pieces = _chunks(nodes.select("node", "least"), "least").checkpoint()  # ids only: a large group is cut before its tokens move
     whole = pieces.groupBy("least").agg(F.min("node").alias("node"), F.count("*").alias("_n")).where(F.col("_n") > CHUNK)
     whole = (whole.select("least", "node").join(pieces.select("least", "chunk").distinct(), "least")).checkpoint()
-    pivots = members.drop("least").join(_hinted(whole), "node").select("least", "chunk", "node", "size", "tokens")
-    first = (pieces.select("least", "chunk", "node", "size", "tokens").unionByName(pivots)
+    pivots = members.join(_hinted(whole), "node").select("least", "chunk", "node", "size", "tokens")
+    first = (members.join(_hinted(pieces), "node").select("least", "chunk", "node", "size", "tokens").unionByName(pivots)
              .groupBy("least", "chunk").applyInPandas(lambda pdf: _chunk_links(pdf, threshold), "a long, b long").checkpoint())
     groups = connected_components(first.unionByName(nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))))
 
