@@ -20,8 +20,6 @@ and a key held by a third of all documents costs its bucket one entry per block.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +32,9 @@ BLOCK_BYTES = 4_000_000
 
 MIN_ID = -(2 ** 63)
 
+#: A list of ids is broadcast if it was counted and has at most this many rows.
+BROADCAST_ROWS = 500_000
+
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The two columns the operators read, without nulls: ``doc_id`` (null: ``MIN_ID``) and ``text`` (null: empty)."""
@@ -120,5 +121,6 @@ def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)
+def hinted(ids: DataFrame) -> DataFrame:
+    """Broadcast a materialised list of ids if it has at most ``BROADCAST_ROWS`` rows, counted; else leave it to the planner."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

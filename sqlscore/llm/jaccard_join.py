@@ -43,7 +43,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIN_ID, hash_words, mix64, restore_id, split_words, window_sums
+from .common import MIN_ID, hash_words, hinted, mix64, restore_id, split_words, window_sums
 from .components import connected_components
 from .exchange import Layout, SharedLookup, runs, shared_keys
 
@@ -53,8 +53,6 @@ CHUNK = 128
 _BASE = 0x9E3779B97F4A7C15
 
 FOUND = "doc_id long, n_shingles long, node long, size int, least long, tokens binary"
-#: A list of ids is broadcast if it was counted and has at most this many rows.
-BROADCAST_ROWS = 500_000
 
 
 def need(n, threshold: int = THRESHOLD):
@@ -222,11 +220,6 @@ def _prefixes(batches, threshold: int):
         yield pd.concat(parts) if parts else pd.DataFrame({"node": [], "shared": [], "token": [], "entered": []})
 
 
-def _hinted(ids: DataFrame) -> DataFrame:
-    """Broadcast a materialised list of ids if it is short enough, counted."""
-    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
-
-
 def _chunks(rows: DataFrame, key: str) -> DataFrame:
     """Add ``chunk``: groups of ``key`` cut by the node's hash into pieces of about CHUNK members."""
     count = rows.groupBy(key).agg(F.count("*").alias("_n"))
@@ -254,8 +247,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     pieces = _chunks(nodes.select("node", "least"), "least").checkpoint()  # ids only: a large group is cut before its tokens move
     whole = pieces.groupBy("least").agg(F.min("node").alias("node"), F.count("*").alias("_n")).where(F.col("_n") > CHUNK)
     whole = (whole.select("least", "node").join(pieces.select("least", "chunk").distinct(), "least")).checkpoint()
-    pivots = members.join(_hinted(whole), "node").select("least", "chunk", "node", "size", "tokens")
-    first = (members.join(_hinted(pieces), "node").select("least", "chunk", "node", "size", "tokens").unionByName(pivots)
+    pivots = members.join(hinted(whole), "node").select("least", "chunk", "node", "size", "tokens")
+    first = (members.join(hinted(pieces), "node").select("least", "chunk", "node", "size", "tokens").unionByName(pivots)
              .groupBy("least", "chunk").applyInPandas(lambda pdf: _chunk_links(pdf, threshold), "a long, b long").checkpoint())
     groups = connected_components(first.unionByName(nodes.select(F.col("node").alias("a"), F.col("node").alias("b"))))
 
@@ -273,8 +266,8 @@ def join_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     tokens = nodes.select("node", "size", "tokens")
     wanted = meets.select("component", "chunk").distinct()
     inside = placed.select("node", "component", "chunk").join(wanted, ["component", "chunk"]).checkpoint()
-    queries = tokens.join(_hinted(meets), "node")
-    opened = tokens.join(_hinted(inside), "node").select(*[F.col(c).alias(c) for c in ("component", "chunk", "node", "size", "tokens")])
+    queries = tokens.join(hinted(meets), "node")
+    opened = tokens.join(hinted(inside), "node").select(*[F.col(c).alias(c) for c in ("component", "chunk", "node", "size", "tokens")])
     second = (opened.groupBy("component", "chunk").cogroup(queries.groupBy("component", "chunk"))
               .applyInPandas(lambda g, q: _open_groups(g, q, threshold), "a long, b long"))
     return per_doc, nodes, first.unionByName(second.checkpoint())
