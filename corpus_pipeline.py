@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sqlscore.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
+from sqlscore.llm.common import hinted
 from sqlscore.session import ensure_checkpoint_dir
 
 #: Near duplicates: five-word shingles, similarity 0.8 or more.
@@ -29,10 +30,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; of repeated rows one."""
     names = jaccard_join.link_components(docs, shingle=SHINGLE, threshold=SIMILARITY)
-    stay = names.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_stay")).distinct()
-    rows = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    return rows.withColumn("_n", F.row_number().over(same)).where("_n = 1").drop("_n")
+    gone = (names.groupBy(F.col("doc_id").alias("_gone")).agg(F.max(F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("_stays"))
+            .where("not _stays").select("_gone").checkpoint())
+    rows = docs.join(hinted(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    # repeated rows: only they are shuffled
+    key = [F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_s")]
+    repeated = rows.select(*key).groupBy("_d", "_s").count().where("count > 1").select("_d", "_s").checkpoint()
+    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_s"))
+    first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    again = rows.join(hinted(repeated), on, "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return rows.join(hinted(repeated), on, "left_anti").unionByName(again)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
