@@ -158,7 +158,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                .select(*pair, "start", "n_item").checkpoint())
 
     # SimHash of the windows (cut out of the documents' shingles) and of the items
-    own = _gram_arrays(text.join(windows.select(*doc).distinct(), doc, "left_semi").dropDuplicates(doc), doc, width)
+    few = hinted(windows.select(*doc).distinct().checkpoint())
+    own = _gram_arrays(text.join(few, doc, "left_semi").dropDuplicates(doc), doc, width)
     window_grams = (own.join(windows, doc)
                     .select(*pair, "start", "n_item",
                             F.explode_outer(F.slice("_g", F.col("start") + 1, F.col("n_item").cast("int"))).alias("gram")).checkpoint())
