@@ -48,15 +48,12 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their share of the mix: ``size, source_size, target, epochs, last_words, taken``."""
-    share = mixing.mix_sources(docs)
-    key = ["doc_id", "source", "size"]
-    rest = ["source_size", "target", "epochs", "last_words", "taken"]
-    share = share.groupBy(*key).agg(*[F.max(c).alias(c) for c in rest])  # rows equal in the key: the largest share
-    share = share.select(*[F.col(c).alias(f"_{c}") for c in key], *rest)
-    rows = docs.withColumn("size", mixing.word_count(F.col("text")))
-    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in key]
-    return rows.join(share, on).drop(*[f"_{c}" for c in key])
+    """The mix: one row per copy taken, the last one cut at the budget; ``n_chars`` follows.
+
+    Adds ``epoch`` (number of the copy), ``size, source_size, target, epochs, last_words`` of the document and
+    ``taken``, the words of this copy.
+    """
+    return mixing.mixed_rows(docs, shares=True).withColumn("n_chars", F.length("text").cast("long"))
 
 
 STAGES = [("toxicity", drop_toxic), ("line dedup", drop_lines), ("near duplicates", drop_near_duplicates),

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, hinted
 
 #: Weights of the sources in code point order, repeating; the budget as a fraction of all words.
 WEIGHTS = (5, 2, 1)
@@ -111,23 +111,35 @@ def prefix_cut(sized: DataFrame, weights=WEIGHTS, budget=BUDGET, repeats: int =
 
 
 def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-               **options) -> DataFrame:
+               shares: bool = False, **options) -> DataFrame:
     """The mix itself: the columns of ``docs`` and ``epoch``; one row per copy taken.
 
     A last, partial copy keeps the words up to the cut with the blanks between them.
-    Documents of which nothing is taken do not appear. Equal ids are joined on (id, source,
-    size); if such rows are cut differently, each gets the largest of their shares.
+    Documents of which nothing is taken do not appear. Rows equal in (id, source, size) have a
+    share each: they are numbered by their text, the shares by size. ``shares`` adds ``size,
+    source_size, target, epochs, last_words`` of the document and ``taken``, the words of this copy.
     """
-    mix = mix_sources(docs, id_col, text_col, source_col, **options).where("taken > 0")
-    plan = (mix.groupBy("doc_id", "source", "size").agg(F.max("epochs").alias("_epochs"), F.max("last_words").alias("_last"))
-            .select(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), F.col("size").alias("_n"), "_epochs", "_last"))
+    extras = ["size", "source_size", "target", "epochs", "last_words"]
+    alike = Window.partitionBy("doc_id", "source", "size")
+    mix = (mix_sources(docs, id_col, text_col, source_col, **options)
+           .withColumn("_of", F.count("*").over(alike)).withColumn("_nth", F.row_number().over(alike.orderBy(F.desc("taken")))))
+    plan = (mix.where("taken > 0").select(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), "_of", "_nth",
+                                          *[F.col(c).alias(f"_{c}") for c in extras]).checkpoint())
     text = F.col(text_col)
-    on = (F.col(id_col).eqNullSafe(F.col("_i")) & F.col(source_col).cast("string").eqNullSafe(F.col("_s"))
-          & (word_count(text) == F.col("_n")))
+    key = [F.col(id_col), F.col(source_col).cast("string"), word_count(text)]
+    on = key[0].eqNullSafe(F.col("_i")) & key[1].eqNullSafe(F.col("_s")) & (key[2] == F.col("_size"))
+    one = docs.join(plan.where("_of = 1").drop("_of", "_nth"), on)
+    # rows equal in the key: only they are numbered
+    repeated = plan.where("_of > 1")
+    several = (docs.join(hinted(repeated.where("_nth = 1").select("_i", "_s", "_size")), on, "left_semi")
+               .withColumn("_row", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(text), text))))
+    several = several.join(repeated, on & (F.col("_row") == F.col("_nth"))).drop("_row", "_of", "_nth")
     copies = F.concat(F.when(F.col("_epochs") > 0, F.sequence(F.lit(1), F.col("_epochs").cast("int"))).otherwise(F.array().cast("array<int>")),
-                      F.when(F.col("_last") > 0, F.array((F.col("_epochs") + 1).cast("int"))).otherwise(F.array().cast("array<int>")))
+                      F.when(F.col("_last_words") > 0, F.array((F.col("_epochs") + 1).cast("int"))).otherwise(F.array().cast("array<int>")))
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))  # the words with the blanks before them
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_last").cast("int")), "")
-    partial = (F.col("epoch") > F.col("_epochs")) & (F.col("_last") < F.col("_n"))
-    out = docs.join(plan, on).withColumn("epoch", F.explode(copies))
-    return out.withColumn(text_col, F.when(partial, cut).otherwise(text)).drop("_i", "_s", "_n", "_epochs", "_last")
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_last_words").cast("int")), "")
+    partial = (F.col("epoch") > F.col("_epochs")) & (F.col("_last_words") < F.col("_size"))
+    out = one.unionByName(several).withColumn("epoch", F.explode(copies))
+    out = out.withColumn(text_col, F.when(partial, cut).otherwise(text)).withColumn("_taken", F.when(partial, F.col("_last_words")).otherwise(F.col("_size")))
+    share = [F.col(f"_{c}").alias(c) for c in [*extras, "taken"]] if shares else []
+    return out.select(*docs.columns, "epoch", *share)

@@ -110,6 +110,29 @@ def test_mixed_rows_hold_the_taken_words(make_docs, corpus):
     assert {i: p["taken"] for i, p in plan.items() if p["taken"]} == dict(words)
 
 
+def test_pipeline_stage_writes_the_mix_out(spark, make_docs, corpus):
+    import corpus_pipeline
+    alike = [(7000, f"{w} b c d e", "again") for w in "pqrstuv"]  # equal in the key, the cut among them
+    part = [(8000 + k, "a b c d e", "aabbc"[k % 5]) for k in range(30)] + [(8100 + k, "f g h i j", "c") for k in range(14)]  # c: 90 of 100 words
+    for rows in (alike, corpus, part):
+        size, total, target = brute_mix(rows)
+        docs = make_docs(rows)
+        plan = mixing.mix_sources(docs).collect()
+        words, copies = Counter(), Counter()
+        for r in corpus_pipeline.mix(spark, docs, "").collect():
+            n = len(WORD.findall(r["text"]))
+            assert r["taken"] == n > 0 and r["n_chars"] == len(r["text"])
+            words[r["source"]] += n
+            copies[r["doc_id"], r["source"], r["size"]] += n
+        assert {s: words[s] for s in total} == {s: math.floor(target[s] + 1e-9) for s in total}
+        want = Counter()
+        for r in plan:
+            want[r["doc_id"], r["source"], r["size"]] += r["taken"]
+        assert copies == +want and any(r["taken"] > r["size"] for r in plan)
+    assert any(r["size"] and not r["taken"] for r in plan)
+    assert corpus_pipeline.mix(spark, docs.where("false"), "").collect() == []
+
+
 def test_mixing_reruns_agree_and_empty_tables(make_docs, corpus):
     docs = make_docs(corpus)
     a, b = (Counter(map(tuple, mixing.mix_sources(d).collect())) for d in (docs, docs.repartition(7)))
