@@ -128,7 +128,7 @@ def text_features(text: str, stems: tuple[str, ...] = ()) -> list[float]:
     letters = upper + int(count[97:123].sum()) + 1
     signs = int(count[33:48].sum() + count[58:65].sum() + count[91:97].sum() + count[123:127].sum())
     return [float(len(strong)), len(strong) / n, float(len({t for _, t in strong})),
-            float(len(learned)), len(learned) / n, float(len({text[s:s + 24].split()[0] for s, _ in learned})), float(peak), (len(hits) - len(strong)) / n,
+            float(len(learned)), len(learned) / n, float(len({low[s:s + 24].split()[0] for s, _ in learned})), float(peak), (len(hits) - len(strong)) / n,
             float(near), near / n, float(len(leet)), float(apart), masked / n, upper / letters,
             len(_CAPS_WORD.findall(text)) / n if upper else 0.0, count[33] / size, count[63] / size, signs / size,
             float(count[48:58].sum()) / size, math.log1p(n), size / n]

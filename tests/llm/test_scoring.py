@@ -217,6 +217,12 @@ def test_obfuscated_terms_are_seen():
     assert toxicity.text_features("classic assessment of grapes")[0] == 0
 
 
+def test_letters_that_grow_in_lower_case():
+    at = toxicity.FEATURES.index("distinct_learned")
+    assert toxicity.text_features("İ" * 40 + " grumbles", ("grumb",))[at] == 1  # one letter, two in lower case
+    assert toxicity.text_features("İ" * 9 + " grumbles grumbler, then nothing follows", ("grumb",))[at] == 2
+
+
 # ---- decontamination -------------------------------------------------------------------
 
 def norm(t):
