@@ -19,6 +19,9 @@ and gender (from the title).
 Collision check: surrogates of one type must differ from each other and from every value of that
 type seen in the corpus; of a colliding set the smallest value keeps its surrogate, the others
 draw again, until none collide. So distinct values stay distinct, and no surrogate is a real value.
+From the second draw on names get initials. After ``DRAWS`` draws local parts, domain labels and secrets
+leave their length by a hashed suffix that grows with every draw; telephone and social security numbers
+get the free numbers of their length by rank, and a suffix only when none is left.
 
 Scale: texts without any digit, ``@``, title or mark of a secret are passed through in the scan. Only the texts with
 entities are shuffled, once, to meet their surrogates. The table of distinct values is an
@@ -33,6 +36,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sqlscore.operators.ranking import group_positions
+
 # Detection patterns, in order of precedence.
 TITLES_F = r"Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Srta|г-жа|Госпожа|Κυρία|κα"
 TITLES_M = r"Mr|Sir|Herr|Monsieur|Señor|Sr|г-н|Господин|Κύριος|κ"
@@ -73,6 +78,13 @@ NAMES = {
     "greek_family": "Αλεξίου Βλάχου Γεωργίου Δήμου Ζώη Ιωάννου Κόκκινου Λάμπρου Μακρή Νικολάου Παππά Ρήγα Σταύρου Χρήστου",
 }
 
+#: Draws at the length of the value; types that then get a suffix, with the class of its characters.
+DRAWS = 8
+SUFFIX = {"EMAIL": "x", "DOMAIN": "x", "SECRET": "x", "HEX": "a"}
+#: Types of fixed length; they get a suffix after twice as many draws. Of these, the ones whose free codes are dealt by rank.
+NUMBERS = ("PHONE", "SSN", "CARD", "CARD_LUHN", "IBAN")
+RANKED = ("PHONE", "SSN")
+
 _PART = "array<struct<lead:string,type:string,norm:string,surface:string>>"
 
 
@@ -153,12 +165,16 @@ def draw(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
 
     def octet(k):
         return (F.conv(F.substring(stream, 4 * k + 1, 4), 16, 10).cast("int") % 254 + 1).cast("string")
-    filled = _fill(norm, stream, kind == "HEX")
+    top = F.when(kind == "DOMAIN", F.concat(F.lit("."), F.substring_index(norm, ".", -1))).otherwise("")
+    suffix = F.when(kind.isin(*NUMBERS), F.repeat(F.lit("0"), F.greatest(attempt - 2 * DRAWS, F.lit(0))))
+    for name, char in SUFFIX.items():
+        suffix = suffix.when(kind == name, F.repeat(F.lit(char), F.greatest(attempt - DRAWS, F.lit(0))))
+    shape = F.concat(F.substr(norm, F.lit(1), F.length(norm) - F.length(top)), suffix.otherwise(""))
+    filled = _fill(shape, stream, kind == "HEX")
     body = F.substr(filled, F.lit(1), F.length(filled) - 1)
     check = ((F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
-    top = F.concat(F.lit("."), F.substring_index(norm, ".", -1))
     out = (F.when(kind == "IP", F.concat_ws(".", *[octet(k) for k in range(4)]))
-           .when(kind == "DOMAIN", F.concat(F.substr(filled, F.lit(1), F.length(norm) - F.length(top)), top))
+           .when(kind == "DOMAIN", F.concat(filled, top))
            .when(kind == "CARD_LUHN", F.concat(body, check)))
     more = F.when(attempt > 0, F.concat(F.lit(" "), F.upper(F.substr(F.translate(stream, "0123456789", "ghijklmnop"), F.lit(11), F.floor((attempt + 1) / 2).cast("int"))))).otherwise("")
     for name, words in NAMES.items():  # after a collision a name gets initials
@@ -166,35 +182,70 @@ def draw(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     return out.otherwise(filled)
 
 
-def assign(values: DataFrame, key: str, most_rounds: int = 40) -> DataFrame:
-    """``type, norm, surrogate`` for the distinct ``type, norm`` rows: distinct and unlike any real value."""
+def _by_rank(open_: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """``type, surrogate, norm``: the free numbers of each length, in a keyed order, dealt to the open values of that length.
+
+    A value is open after ``DRAWS`` draws only if most numbers of its length are taken, so the numbers are a few times the values.
+    """
+    left = open_.where(F.col("type").isin(*RANKED) & F.col("norm").rlike("^[0-9]{1,9}$")).withColumn("_len", F.length("norm"))
+    spaces = sorted(map(tuple, left.select("type", "_len").distinct().collect()))  # at most nine lengths a type
+    out = open_.select("type", F.col("norm").alias("surrogate"), "norm").where("false")
+
+    def placed(rows: DataFrame, kind: str, value: str) -> DataFrame:
+        order = F.md5(F.concat_ws("\x1f", F.lit(key), F.lit(kind), F.col(value)).cast("binary"))
+        return group_positions(rows.withColumn("type", F.lit(kind)).withColumn("_order", order), ["type"], ["_order", value], "_nth")
+    for kind, n in spaces:
+        codes = open_.sparkSession.range(10 ** n).select(F.lpad(F.col("id").cast("string"), n, "0").alias("surrogate"))
+        free = codes.join(taken.where(F.col("type") == kind).select("surrogate"), "surrogate", "left_anti")
+        need = left.where((F.col("type") == kind) & (F.col("_len") == n)).select("norm")
+        dealt = placed(need, kind, "norm").select("type", "norm", "_nth").join(placed(free, kind, "surrogate").select("surrogate", "_nth"), "_nth")
+        out = out.unionByName(dealt.select("type", "surrogate", "norm"))
+    return out
+
+
+def assign(values: DataFrame, key: str, most_rounds: int = 100) -> DataFrame:
+    """``type, norm, surrogate`` for the distinct ``type, norm`` rows: distinct and unlike any real value.
+
+    All types but IP leave a full space of their length, so an error needs a corpus with about half of all IP addresses.
+    """
     open_ = values.select("type", "norm").distinct().withColumn("_try", F.lit(0)).checkpoint()
     real = open_.select("type", F.col("norm").alias("surrogate"))
     done = None
-    for _ in range(most_rounds):
-        drawn = open_.withColumn("surrogate", draw(F.col("type"), F.col("norm"), F.col("_try"), key))
+    for attempt in range(most_rounds):
         taken = real if done is None else real.unionByName(done.select("type", "surrogate"))
+        drawn = open_.withColumn("surrogate", draw(F.col("type"), F.col("norm"), F.col("_try"), key))
         free = drawn.join(taken, ["type", "surrogate"], "left_anti")
-        won = free.groupBy("type", "surrogate").agg(F.min("norm").alias("norm")).checkpoint()
+        won = free.groupBy("type", "surrogate").agg(F.min("norm").alias("norm"))
+        won = (_by_rank(open_, taken, key) if attempt == DRAWS else won).checkpoint()
         done = won if done is None else done.unionByName(won)
         open_ = (open_.join(won.select("type", "norm"), ["type", "norm"], "left_anti")
-                 .withColumn("_try", F.col("_try") + 1).checkpoint())
+                 .withColumn("_try", F.lit(attempt + 1)).checkpoint())
         if open_.limit(1).count() == 0:
             return done.select("type", "norm", "surrogate")
-    raise ValueError(f"some values have no free surrogate after {most_rounds} draws")
+    raise ValueError(f"some IP addresses have no free surrogate after {most_rounds} draws")
 
 
 def dress(surface: Column, kind: Column, surrogate: Column) -> Column:
-    """Put a surrogate into the layout and case of the part it replaces."""
-    loose = kind.isin("PHONE", "SSN", "CARD", "CARD_LUHN", "IBAN")  # the normal form has no separators
+    """Put a surrogate into the layout and case of the part it replaces; a suffix stands at the end, before a top-level domain."""
+    loose = kind.isin(*NUMBERS)  # the normal form has no separators
+    size = F.length(F.when(loose, F.regexp_replace(surface, r"[^\p{L}\p{N}]+", "")).otherwise(F.lower(surface)))
+    extra = F.greatest(F.length(surrogate) - size, F.lit(0))
+    top = F.when(kind == "DOMAIN", F.length(F.substring_index(surface, ".", -1)) + 1).otherwise(0)
+    at = size - top
+    short = F.when(extra > 0, F.concat(F.substr(surrogate, F.lit(1), at), F.substr(surrogate, at + extra + 1))).otherwise(surrogate)
+    suffix = F.substr(surrogate, at + 1, extra)
+    suffix = F.when((surface == F.upper(surface)) & (surface != F.lower(surface)), F.upper(suffix)).otherwise(suffix)
     chars = F.split(surface, "")
     upto = F.transform(chars, lambda c, i: F.size(F.filter(F.slice(chars, F.lit(1), i + 1), lambda x: x.rlike(r"[\p{L}\p{N}]"))))
     cased = F.transform(F.arrays_zip(chars.alias("c"), upto.alias("i")), lambda z, k: F.when(
-        z["c"].rlike(r"[\p{L}\p{N}]"), F.substr(surrogate, F.when(loose, z["i"]).otherwise(k + 1), F.lit(1))).otherwise(z["c"]))
+        z["c"].rlike(r"[\p{L}\p{N}]"), F.substr(short, F.when(loose, z["i"]).otherwise(k + 1), F.lit(1))).otherwise(z["c"]))
     upper = F.transform(F.arrays_zip(chars.alias("c"), cased.alias("s")),
                         lambda z: F.when(z["c"].rlike(r"\p{Lu}"), F.upper(z["s"])).otherwise(z["s"]))
     name = F.when(surface == F.upper(surface), F.upper(surrogate)).otherwise(F.initcap(surrogate))
-    return (F.when(kind == "IP", surrogate).when(kind.rlike("_(?:F|M|N|family)$"), name).otherwise(F.array_join(upper, "")))
+    plain = F.array_join(upper, "")
+    longer = F.concat(F.substr(plain, F.lit(1), F.length(surface) - top), suffix, F.substr(plain, F.length(surface) - top + 1))
+    return (F.when(kind == "IP", surrogate).when(kind.rlike("_(?:F|M|N|family)$"), name)
+            .when(extra > 0, longer).otherwise(plain))
 
 
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
