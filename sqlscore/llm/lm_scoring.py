@@ -235,25 +235,40 @@ def _log_odds(n: np.ndarray) -> np.ndarray:
 
 
 class _Deep:
-    """Counts of the deep prefixes of some words at one bit place: slots by hash, told apart by the whole key."""
+    """Exact counts of the deep prefixes of some words at one bit place: slots by hash, told apart by the whole key.
+
+    Where prefixes meet in a slot, one has it and the others go on to a further, smaller table.
+    """
 
     def __init__(self, known: _Bytes, k: int, c: np.ndarray):
         node, bit = known.bit(k)
-        keys = known.deep_keys(node)
-        self.bits = max(10, (4 * len(keys)).bit_length())
-        at = self.slot(keys)
-        self.key = np.zeros(1 << self.bits, np.uint64)
-        self.key[at] = keys
-        own = self.key[at] == keys  # where two prefixes meet in a slot, one of them has it
-        self.n = np.zeros((1 << self.bits, 2), np.float32)
-        np.add.at(self.n.reshape(-1), (2 * at + bit[known.deep])[own], c[own])
-
-    def slot(self, keys):
-        return (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        keys, bit = known.deep_keys(node), bit[known.deep]
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        while not self.levels or len(keys):
+            size = 1 << max(10, (4 * len(keys)).bit_length())
+            at = self.slot(keys, len(self.levels), size)
+            key = np.zeros(size, np.uint64)
+            key[at] = keys
+            own = key[at] == keys
+            n = np.zeros((size, 2), np.float32)
+            np.add.at(n.reshape(-1), (2 * at + bit)[own], c[own])
+            self.levels.append((key, n))
+            keys, bit, c = keys[~own], bit[~own], c[~own]
+
+    @staticmethod
+    def slot(keys, level: int, size: int):
+        step = np.uint64(pow(int(_K[1]), level, 2 ** 64))
+        return ((keys * step) >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
     def find(self, keys) -> np.ndarray:
-        at = self.slot(keys)
-        return self.n[at] * (self.key[at] == keys)[:, None]
+        out = np.zeros((len(keys), 2), np.float32)
+        left = np.arange(len(keys))
+        for level, (key, n) in enumerate(self.levels):
+            at = self.slot(keys[left], level, len(key))
+            same = key[at] == keys[left]
+            out[left[same]] = n[at[same]]
+            left = left[~same]
+        return out
 
 
 def _inputs(query: _Bytes, known: _Bytes, counts: np.ndarray, tables: np.ndarray, leave_out: bool):

@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sqlscore.llm import decontamination, fingerprints, html_extract, lm_scoring, mixing, pii, toxicity
+from sqlscore.llm.common import mix64
 
 SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -174,6 +175,21 @@ def test_word_probabilities_sum_to_at_most_one():
     assert known.sum() > model.log10(strange, learned, counts).sum()
 
 
+def test_deep_prefixes_keep_all_counts():
+    rng = random.Random(8)
+    words = sorted({b"A" + bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(3000)})
+    known = lm_scoring._Bytes(words)
+    c = (1 + known.word[known.deep] % 7).astype(np.float32)
+    for k in range(8):
+        node, bit = known.bit(k)
+        keys = known.deep_keys(node)
+        names, place = np.unique(keys, return_inverse=True)
+        want = np.zeros((len(names), 2))
+        np.add.at(want, (place, bit[known.deep]), c)
+        deep = lm_scoring._Deep(known, k, c)
+        assert np.array_equal(deep.find(names), want) and not deep.find(mix64(names)).any()
+
+
 def test_model_beats_unigrams_on_held_out_documents(spark):
     got = lm_scoring.score_documents(spark.read.parquet(f"{SF01}/documents.parquet")).where("held_out").toPandas()
     assert len(got) > 50 and got["score"].sum() > got["base_score"].sum()
