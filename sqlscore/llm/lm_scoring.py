@@ -18,15 +18,23 @@ and how often the prefix was seen), learned online: mini-batches of training wor
 order, each word predicted by counts without itself. An adaptive table then refines the mixed
 probability (per gate and probability step, the observed rate of ones). The product over the
 bits is the probability of the word, so all words have probabilities that sum to at most one; no
-word is impossible. The score of a text is the sum of the log10 probabilities of its tokens.
+word is impossible.
+
+Contexts of words: the counts of the word after the previous word, and after the previous two, are
+interpolated with that probability p, in turn: ``(count + K * p) / (count of the context + K)`` with the
+constants ``CONTEXT``. The start of a text is a context like a word. The sum over all words stays at most
+one. These counts are exact (64-bit keys). The bit predictors themselves see one word only.
+The score of a text is the sum of the log10 probabilities of its tokens.
 
 Jobs: (1) the counts of (state, word) tokens of the training documents, whose state is their own group: a
 table of buckets, in which words with the same first bytes stand together; (2) from it the word counts
 per group, hashed; (3) hashed tables and, bucket by bucket, the weights and the adaptive table, summed over buckets; (4) blocks of documents
 ask the buckets for the tokens they hold and get the log probability and the training count of each; every
-distinct token of a bucket is evaluated once; (5) blocks add up.
+distinct token of a bucket is evaluated once; they ask the buckets of contexts for the counts of the word pairs
+and triples they hold; (5) blocks add up.
 
-Scale: the table of tokens grows with the corpus and is spread over buckets by the first bytes. What
+Scale: the table of tokens grows with the corpus and is spread over buckets by the first bytes, the counts of
+pairs and triples over buckets by their keys. What
 reaches the driver and is broadcast has a fixed size: ``sum(2 ** TABLE_BITS)`` slots of counts,
 ``STATE_SLOTS`` times ``GROUPS`` word counts, and the weights.
 
@@ -47,7 +55,7 @@ from pyspark.sql import functions as F
 
 from .common import (BLOCK_BYTES, MIN_ID, block_of, bucket_of, documents, mix64, pieces, restore_id, salted_crc,
                      text_bytes)
-from .exchange import runs
+from .exchange import runs, split_buckets
 
 END = b"\n"
 TRIE_FROM = 5
@@ -69,6 +77,11 @@ PIECE = 2_000_000
 #: Text bytes that share one bucket of words.
 BUCKET_BYTES = 8_000_000
 
+#: Weight of the shorter context, after one word and after two (chosen on a fifth of the training documents of sf0.01).
+CONTEXT = (1024.0, 1.0)
+#: Text bytes that share one bucket of pairs and triples; keys that a counting task holds before it passes them on.
+CONTEXT_BYTES, HELD_KEYS = 2_000_000, 4_000_000
+
 WORDS = "bucket int, words binary, counts binary"
 REQUEST = "bucket int, block int, words binary"
 REPLY = "block int, words binary, logs binary, counts binary"
@@ -136,14 +149,85 @@ def _slots_of(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).astype(np.int64) & (STATE_SLOTS - 1)
 
 
-def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct tokens, place of every token among them, tokens of each text).
+def _after(values: np.ndarray, counts: np.ndarray, start) -> np.ndarray:
+    """The value of the token before, ``start`` for the first token of a text."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[np.cumsum(counts) - counts] = start
+    return out
+
+
+def _contexts(words: list[bytes], code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of (previous word, word) and of (previous two, word) of every token; a text's first token has start marks before it."""
+    import xxhash
+    if not len(code):
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))[code]
+    pair = mix64(mix64(_after(h, counts, _K[2]) ^ _K[0]) * _K[1] + h)
+    return pair, mix64(mix64(_after(pair, counts, _K[2]) ^ _K[1]) * _K[0] + h)
+
+
+def _context_rows(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """(bucket, slice) of sorted keys; buckets of contexts have negative numbers."""
+    for b, at in split_buckets(keys, buckets):
+        yield -1 - b, at
+
+
+def _corpus_contexts(docs: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, words, counts``: keys and counts of the training documents' pairs and triples, in several rows a bucket."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[np.ndarray] = []
+
+        def rows():
+            keys, n = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pd.DataFrame([(b, keys[at].tobytes(), n[at].astype("<u4").tobytes()) for b, at in _context_rows(keys, buckets)],
+                                columns=["bucket", "words", "counts"])
+        for pdf in batches:
+            texts = list(pdf["text"])
+            for s in _texts(texts):
+                held += _contexts(*_split(texts[s]))
+                if sum(map(len, held)) > HELD_KEYS:  # bounded memory; the counts are added up later
+                    yield rows()
+        if held:
+            yield rows()
+    return docs.select("text").mapInPandas(count, WORDS)
+
+
+def _count_contexts(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+    """A bucket of contexts answers the blocks: the training count of each key."""
+    keys, place = np.unique(np.frombuffer(b"".join(known["words"]), np.uint64), return_inverse=True)
+    n = np.bincount(place, weights=np.frombuffer(b"".join(known["counts"]), "<u4"), minlength=len(keys)).astype(np.int64)
+    rows = []
+    for block, raw in zip(asked["block"], asked["words"]):
+        rows.append((block, raw, b"", _find(keys, n, np.frombuffer(raw, np.uint64)).astype("<u4").tobytes()))
+    return pd.DataFrame(rows, columns=["block", "words", "logs", "counts"])
+
+
+def _find(keys: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Counts ``n`` of the sorted ``keys`` at the wanted ones, 0 where there is none."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, n[at], 0)
+
+
+def interpolate(p: np.ndarray, before: np.ndarray, pair: np.ndarray, triple: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Probability of every token from that of its word ``p`` and the training counts of the word before it, the pair and the triple."""
+    first, second = CONTEXT
+    p = (pair + first * p) / (before + first)
+    both = _after(pair, counts, 0)  # the pair before; a first token has no second context
+    return (np.where(both > 0, triple, 0) + second * p) / (both + second)
+
+
+def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """(distinct tokens, place of every token among them, tokens of each text, keys of pairs and triples).
 
     A token is the state as one byte and the word. ``groups``: log probability of each word slot in each group.
     """
     words, code, counts = _split(texts)
     if not len(code):
-        return [], code, counts
+        return [], code, counts, _contexts(words, code, counts)
     table = groups[_slots_of(words)]
     first = np.cumsum(counts) - counts
     start = np.repeat(first, counts)
@@ -158,7 +242,7 @@ def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarr
         best[better] = lead[better]
     state[first] = UNKNOWN
     both, place = _distinct(code * 16 + state, 16 * len(words))
-    return _name(words, both), place, counts
+    return _name(words, both), place, counts, _contexts(words, code, counts)
 
 
 def _deal(words: list[bytes], buckets: int) -> list[tuple[int, list[int]]]:
@@ -523,6 +607,8 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     learns = salted_crc("doc_id", folds) != held_out
     training = _grouped(d, "_group", learns).where(learns).select("text", "group")
     table = _corpus_words(training, buckets).checkpoint()
+    context_buckets = pieces(total, CONTEXT_BYTES)
+    contexts = _corpus_contexts(training, context_buckets)
     states = d.sparkSession.sparkContext.broadcast(_group_table(table))  # fixed size
     *fitted, n_train, n_distinct = train(table, buckets)
     shared = d.sparkSession.sparkContext.broadcast(fitted)  # fixed size
@@ -531,14 +617,22 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         texts = list(pdf.sort_values(["doc_id", "text"])["text"])  # one order, so that sums and states agree with add_up
-        words = sorted({w for s in _texts(texts) for w in _tokens(texts[s], states.value)[0]})
+        found, keys = set(), []
+        for s in _texts(texts):
+            tokens, _, _, pairs = _tokens(texts[s], states.value)
+            found.update(tokens)
+            keys += pairs
+        words, keys = sorted(found), np.unique(np.concatenate(keys))
         name = int(pdf["block"].iloc[0])
-        return pd.DataFrame([(b, name, _pack([words[i] for i in at])) for b, at in _deal(words, buckets)],
+        return pd.DataFrame([(b, name, _pack([words[i] for i in at])) for b, at in _deal(words, buckets)]
+                            + [(b, name, keys[at].tobytes()) for b, at in _context_rows(keys, context_buckets)],
                             columns=["bucket", "block", "words"])
 
     def reply(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         words, counts = [], np.empty(0, np.int64)
-        if len(known):
+        if len(asked) and asked["bucket"].iloc[0] < 0:
+            return _count_contexts(asked, known)
+        if len(asked) and len(known):
             words, counts = _unpack(known["words"].iloc[0]), np.frombuffer(known["counts"].iloc[0], np.int64)
         model = Model(*shared.value)
         sent = [_unpack(raw) for raw in asked["words"]]
@@ -567,6 +661,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if pdf.empty:
             return pd.DataFrame({c: [] for c in columns})
         pdf = pdf.sort_values(["doc_id", "text"])
+        of_words = answers["logs"].map(len) > 0
+        pairs, answers = answers[~of_words], answers[of_words]
+        keys, n_keys = np.frombuffer(b"".join(pairs["words"]), np.uint64), np.frombuffer(b"".join(pairs["counts"]), "<u4")
+        order = np.argsort(keys)
+        keys, n_keys = keys[order], n_keys[order].astype(np.int64)
         place: dict[bytes, int] = {}
         for raw in answers["words"]:
             for w in _unpack(raw):
@@ -578,11 +677,14 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sums = np.zeros((3, len(texts)))
         n = np.empty(len(texts), np.int64)
         for s in _texts(texts):
-            tokens, code, n[s] = _tokens(texts[s], states.value)
+            tokens, code, n[s], (pair, triple) = _tokens(texts[s], states.value)
             i = np.fromiter((place[w] for w in tokens), np.int64, len(tokens))[code]
             row = np.repeat(np.arange(s.start, s.stop), n[s])
-            for k, v in enumerate((logs, base, (counts > 0).astype(np.float64))):
-                sums[k] += np.bincount(row, weights=v[i], minlength=len(texts))
+            seen = counts[i]
+            # a text starts as often as it ends
+            p = interpolate(10.0 ** logs[i], _after(seen, n[s], seen[n[s][0] - 1]), _find(keys, n_keys, pair), _find(keys, n_keys, triple), n[s])
+            for k, v in enumerate((np.log10(p), base[i], seen > 0)):
+                sums[k] += np.bincount(row, weights=v, minlength=len(texts))
         score = sums[0]
         size = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])
         return pd.DataFrame({"doc_id": pdf["doc_id"].array, "held_out": pdf["held_out"].array, "n_tokens": n,
@@ -590,5 +692,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              "train_tokens": n_train, "base_score": sums[1], "score": score,
                              "bits_per_byte": -score / math.log10(2) / size})
     asked = dealt.groupBy("block").applyInPandas(ask, REQUEST)
-    answers = asked.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(reply, REPLY)
+    answers = asked.groupBy("bucket").cogroup(table.unionByName(contexts).groupBy("bucket")).applyInPandas(reply, REPLY)
     return restore_id(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, RESULT))

@@ -175,6 +175,43 @@ def test_word_probabilities_sum_to_at_most_one():
     assert known.sum() > model.log10(strange, learned, counts).sum()
 
 
+def test_order_of_words_counts(make_docs):
+    rng = random.Random(6)
+    held = lambda i: zlib.crc32(str(i).encode()) % 7 == 2
+    ids = [i for i in range(400) if not held(i)][:200]
+    nouns, verbs = (["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(30)] for _ in range(2))
+
+    def fluent():
+        return " ".join(f"the {n} {verbs[nouns.index(n)]} and" for n in rng.choices(nouns, k=12)).split()
+    text = fluent()
+    a, b = [i for i in range(400) if held(i)][:2]
+    got = {r["doc_id"]: r for r in lm_scoring.score_documents(make_docs(
+        [(i, " ".join(fluent())) for i in ids] + [(a, " ".join(text)), (b, " ".join(rng.sample(text, len(text))))])).collect()}
+    assert got[a]["base_score"] == pytest.approx(got[b]["base_score"]) and got[a]["score"] > got[b]["score"] + 10
+
+
+def test_context_probabilities_sum_to_at_most_one():
+    texts = ["a b a c", "a b", "c c c", ""]
+    words, code, counts = lm_scoring._split(texts)
+    pair, triple = (Counter(k.tolist()) for k in lm_scoring._contexts(words, code, counts))
+    n = Counter(words[c] for c in code)
+    for before in ([], ["a"], ["a", "b"], ["c", "c"], ["x", "a"], ["x", "x"]):
+        total = 0.0
+        for w in ["a", "b", "c", "x"]:
+            text = " ".join(before + [w])
+            v, c, m = lm_scoring._split([text])
+            ks = lm_scoring._contexts(v, c, m)
+            at = [np.array([t[k] for k in ks[j].tolist()], np.int64) for j, t in enumerate((pair, triple))]
+            seen = np.array([n[v[x]] for x in c])
+            total += lm_scoring.interpolate(np.full(len(c), 0.2), lm_scoring._after(seen, m, seen[-1]), *at, m)[len(before)]
+        v, c, m = lm_scoring._split([" ".join(before)])
+        ks = lm_scoring._contexts(v, c, m)
+        at = [np.array([t[k] for k in ks[j].tolist()], np.int64) for j, t in enumerate((pair, triple))]
+        seen = np.array([n[v[x]] for x in c])
+        total += lm_scoring.interpolate(np.full(len(c), 0.2), lm_scoring._after(seen, m, seen[-1]), *at, m)[-1]
+        assert total == pytest.approx(1)
+
+
 def test_deep_prefixes_keep_all_counts():
     rng = random.Random(8)
     words = sorted({b"A" + bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(3000)})
