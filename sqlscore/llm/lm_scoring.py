@@ -23,15 +23,15 @@ word is impossible.
 Contexts of words: the counts of the word after the previous word, and after the previous two, are
 interpolated with that probability p, in turn: ``(count + K * p) / (count of the context + K)`` with the
 constants ``CONTEXT``. The start of a text is a context like a word. The sum over all words stays at most
-one. These counts are exact (64-bit keys). The bit predictors themselves see one word only.
+one. These counts are kept by bucket and 48 bits of the key, and nothing is dropped. The bit predictors themselves see one word only.
 The score of a text is the sum of the log10 probabilities of its tokens.
 
 Jobs: (1) the counts of (state, word) tokens of the training documents, whose state is their own group: a
 table of buckets, in which words with the same first bytes stand together; (2) from it the word counts
 per group, hashed; (3) hashed tables and, bucket by bucket, the weights and the adaptive table, summed over buckets; (4) blocks of documents
 ask the buckets for the tokens they hold and get the log probability and the training count of each; every
-distinct token of a bucket is evaluated once; they ask the buckets of contexts for the counts of the word pairs
-and triples they hold; (5) blocks add up.
+distinct token of a bucket is evaluated once; they send the buckets of contexts the keys of the word pairs
+and triples they hold, with their own training counts, and get the sums; (5) blocks add up.
 
 Scale: the table of tokens grows with the corpus and is spread over buckets by the first bytes, the counts of
 pairs and triples over buckets by their keys. What
@@ -79,11 +79,11 @@ BUCKET_BYTES = 8_000_000
 
 #: Weight of the shorter context, after one word and after two (chosen on a fifth of the training documents of sf0.01).
 CONTEXT = (1024.0, 1.0)
-#: Text bytes that share one bucket of pairs and triples; keys that a counting task holds before it passes them on.
-CONTEXT_BYTES, HELD_KEYS = 2_000_000, 4_000_000
+#: Text bytes that share one bucket of pairs and triples.
+CONTEXT_BYTES = 2_000_000
 
 WORDS = "bucket int, words binary, counts binary"
-REQUEST = "bucket int, block int, words binary"
+REQUEST = "bucket int, block int, words binary, counts binary"
 REPLY = "block int, words binary, logs binary, counts binary"
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double, bits_per_byte double")
@@ -167,41 +167,24 @@ def _contexts(words: list[bytes], code: np.ndarray, counts: np.ndarray) -> tuple
     return pair, mix64(mix64(_after(pair, counts, _K[2]) ^ _K[1]) * _K[0] + h)
 
 
-def _context_rows(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
-    """(bucket, slice) of sorted keys; buckets of contexts have negative numbers."""
+def _context_rows(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, keys, counts) of sorted keys, 48 bits of each; buckets of contexts have negative numbers."""
+    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
     for b, at in split_buckets(keys, buckets):
-        yield -1 - b, at
+        yield -1 - b, low[at].tobytes(), counts[at].astype("<u4").tobytes()
 
 
-def _corpus_contexts(docs: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, words, counts``: keys and counts of the training documents' pairs and triples, in several rows a bucket."""
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[np.ndarray] = []
-
-        def rows():
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            return pd.DataFrame([(b, keys[at].tobytes(), n[at].astype("<u4").tobytes()) for b, at in _context_rows(keys, buckets)],
-                                columns=["bucket", "words", "counts"])
-        for pdf in batches:
-            texts = list(pdf["text"])
-            for s in _texts(texts):
-                held += _contexts(*_split(texts[s]))
-                if sum(map(len, held)) > HELD_KEYS:  # bounded memory; the counts are added up later
-                    yield rows()
-        if held:
-            yield rows()
-    return docs.select("text").mapInPandas(count, WORDS)
-
-
-def _count_contexts(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-    """A bucket of contexts answers the blocks: the training count of each key."""
-    keys, place = np.unique(np.frombuffer(b"".join(known["words"]), np.uint64), return_inverse=True)
-    n = np.bincount(place, weights=np.frombuffer(b"".join(known["counts"]), "<u4"), minlength=len(keys)).astype(np.int64)
-    rows = []
-    for block, raw in zip(asked["block"], asked["words"]):
-        rows.append((block, raw, b"", _find(keys, n, np.frombuffer(raw, np.uint64)).astype("<u4").tobytes()))
-    return pd.DataFrame(rows, columns=["block", "words", "logs", "counts"])
+def _count_contexts(asked: pd.DataFrame) -> pd.DataFrame:
+    """A bucket of contexts adds up the counts of all blocks and answers each with the sums, in the order of its keys."""
+    size = asked["words"].map(len).to_numpy() // 6
+    low = np.zeros((size.sum(), 8), np.uint8)
+    low[:, :6] = np.frombuffer(b"".join(asked["words"]), np.uint8).reshape(-1, 6)
+    keys, place = np.unique(low.reshape(-1).view("<u8"), return_inverse=True)
+    n = np.bincount(place, weights=np.frombuffer(b"".join(asked["counts"]), "<u4"), minlength=len(keys))
+    sums = np.split(n[place].astype("<u4"), np.cumsum(size)[:-1])
+    name = int(-1 - asked["bucket"].iloc[0]).to_bytes(4, "big")  # in the order of the buckets
+    return pd.DataFrame([(block, name, b"", x.tobytes()) for block, x in zip(asked["block"], sums)],
+                        columns=["block", "words", "logs", "counts"])
 
 
 def _find(keys: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
@@ -608,7 +591,6 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     training = _grouped(d, "_group", learns).where(learns).select("text", "group")
     table = _corpus_words(training, buckets).checkpoint()
     context_buckets = pieces(total, CONTEXT_BYTES)
-    contexts = _corpus_contexts(training, context_buckets)
     states = d.sparkSession.sparkContext.broadcast(_group_table(table))  # fixed size
     *fitted, n_train, n_distinct = train(table, buckets)
     shared = d.sparkSession.sparkContext.broadcast(fitted)  # fixed size
@@ -616,22 +598,26 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dealt = d.select("doc_id", "text").withColumn("held_out", salted_crc("doc_id", folds) == held_out).withColumn("block", block_of(blocks, "doc_id"))
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
-        texts = list(pdf.sort_values(["doc_id", "text"])["text"])  # one order, so that sums and states agree with add_up
-        found, keys = set(), []
+        pdf = pdf.sort_values(["doc_id", "text"])  # one order, so that sums and states agree with add_up
+        texts, learned = list(pdf["text"]), ~pdf["held_out"].to_numpy(bool)
+        found, keys, learns = set(), [], []
         for s in _texts(texts):
-            tokens, _, _, pairs = _tokens(texts[s], states.value)
+            tokens, _, n, pairs = _tokens(texts[s], states.value)
             found.update(tokens)
             keys += pairs
-        words, keys = sorted(found), np.unique(np.concatenate(keys))
+            learns += [np.repeat(learned[s], n)] * 2
+        words = sorted(found)
+        keys, place = np.unique(np.concatenate(keys), return_inverse=True)
+        counts = np.bincount(place, weights=np.concatenate(learns), minlength=len(keys))
         name = int(pdf["block"].iloc[0])
-        return pd.DataFrame([(b, name, _pack([words[i] for i in at])) for b, at in _deal(words, buckets)]
-                            + [(b, name, keys[at].tobytes()) for b, at in _context_rows(keys, context_buckets)],
-                            columns=["bucket", "block", "words"])
+        return pd.DataFrame([(b, name, _pack([words[i] for i in at]), b"") for b, at in _deal(words, buckets)]
+                            + [(b, name, raw, c) for b, raw, c in _context_rows(keys, counts, context_buckets)],
+                            columns=["bucket", "block", "words", "counts"])
 
     def reply(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         words, counts = [], np.empty(0, np.int64)
         if len(asked) and asked["bucket"].iloc[0] < 0:
-            return _count_contexts(asked, known)
+            return _count_contexts(asked)
         if len(asked) and len(known):
             words, counts = _unpack(known["words"].iloc[0]), np.frombuffer(known["counts"].iloc[0], np.int64)
         model = Model(*shared.value)
@@ -663,9 +649,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         pdf = pdf.sort_values(["doc_id", "text"])
         of_words = answers["logs"].map(len) > 0
         pairs, answers = answers[~of_words], answers[of_words]
-        keys, n_keys = np.frombuffer(b"".join(pairs["words"]), np.uint64), np.frombuffer(b"".join(pairs["counts"]), "<u4")
-        order = np.argsort(keys)
-        keys, n_keys = keys[order], n_keys[order].astype(np.int64)
+        n_keys = np.frombuffer(b"".join(pairs.sort_values("words")["counts"]), "<u4").astype(np.int64)
         place: dict[bytes, int] = {}
         for raw in answers["words"]:
             for w in _unpack(raw):
@@ -676,8 +660,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         texts = list(pdf["text"])
         sums = np.zeros((3, len(texts)))
         n = np.empty(len(texts), np.int64)
-        for s in _texts(texts):
-            tokens, code, n[s], (pair, triple) = _tokens(texts[s], states.value)
+        parts = [(s, *_tokens(texts[s], states.value)) for s in _texts(texts)]
+        keys = np.unique(np.concatenate([k for *_, pairs in parts for k in pairs]))  # as asked for
+        for s, tokens, code, n[s], (pair, triple) in parts:
             i = np.fromiter((place[w] for w in tokens), np.int64, len(tokens))[code]
             row = np.repeat(np.arange(s.start, s.stop), n[s])
             seen = counts[i]
@@ -692,5 +677,5 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                              "train_tokens": n_train, "base_score": sums[1], "score": score,
                              "bits_per_byte": -score / math.log10(2) / size})
     asked = dealt.groupBy("block").applyInPandas(ask, REQUEST)
-    answers = asked.groupBy("bucket").cogroup(table.unionByName(contexts).groupBy("bucket")).applyInPandas(reply, REPLY)
+    answers = asked.groupBy("bucket").cogroup(table.groupBy("bucket")).applyInPandas(reply, REPLY)
     return restore_id(dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, RESULT))
