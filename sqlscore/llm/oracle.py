@@ -70,4 +70,52 @@ SELECT s.doc_id, len(s.g)::BIGINT AS n_shingles, least(s.doc_id, coalesce(min(re
 FROM s LEFT JOIN reach ON reach.a = s.doc_id GROUP BY s.doc_id, len(s.g)
 """
 
-ORACLE = {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op8_mixing": OP8, "op10_jaccard_join": OP10}
+OP11 = r"""
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS s
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT a, b, s FROM p WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5),
+neg AS (SELECT pos.a, pos.b, pos.s, p.b AS n, p.s AS ns,
+               row_number() OVER (PARTITION BY pos.a, pos.b ORDER BY p.s DESC, p.b) AS rank
+        FROM pos JOIN p ON p.a = pos.a AND NOT p.same AND 30 * pos.s <= 100 * p.s AND 100 * p.s <= 90 * pos.s)
+SELECT a AS anchor_id, b AS positive_id, rank::INTEGER AS rank, n AS negative_id, s AS positive_score, ns AS negative_score
+FROM neg WHERE rank <= 10
+"""
+
+OP13 = r"""
+WITH RECURSIVE steps(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM steps WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS t FROM steps WHERE k = 8),
+d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+sw AS (SELECT w, count(*) AS n FROM dw GROUP BY w),
+tw AS (SELECT w, count(*) AS n FROM b GROUP BY w),
+word AS (SELECT w, hex(encode(w)) AS h FROM (SELECT w FROM sw UNION SELECT w FROM tw)),
+crc AS (SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda i:
+                (16 * (instr('0123456789ABCDEF', h[2 * i + 1]) - 1) + instr('0123456789ABCDEF', h[2 * i + 2]) - 1)::BIGINT)),
+              lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM word, tab),
+tot AS (SELECT bucket, coalesce(sum(sw.n), 0) AS s, coalesce(sum(tw.n), 0) AS t
+        FROM crc LEFT JOIN sw USING (w) LEFT JOIN tw USING (w) GROUP BY bucket),
+al AS (SELECT sum(s)::DOUBLE AS sa, sum(t)::DOUBLE AS ta FROM tot),
+gain AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sa + 10000) / ((s + 1)::DOUBLE * (ta + 10000))))::BIGINT AS g FROM tot, al),
+wt AS (SELECT doc_id, sum(g)::BIGINT AS weight FROM dw JOIN crc USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+h AS (SELECT doc_id, len(ws)::BIGINT AS n_features,
+             ('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT AS h FROM d),
+sc AS (SELECT h.doc_id, n_features, coalesce(weight, 0) AS weight,
+              coalesce(weight, 0) + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+       FROM h LEFT JOIN wt USING (doc_id)),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+             count(*) OVER (PARTITION BY n_features >= 20) AS n FROM sc)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= 10 * n // 100 THEN r END AS rank FROM o
+"""
+
+ORACLE = {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op8_mixing": OP8, "op10_jaccard_join": OP10,
+          "op11_hard_negatives": OP11, "op13_resampling": OP13}

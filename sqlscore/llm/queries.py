@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontamination, fingerprints, html_extract, jaccard_join, line_dedup, lm_scoring, mixing, pii,
-               substring_dedup, toxicity)
+from . import (decontamination, fingerprints, hard_negatives, html_extract, jaccard_join, line_dedup, lm_scoring, mixing,
+               packing, pii, resampling, substring_dedup, toxicity)
 
 #: Key of the surrogates of the registered query (a deployment brings its own secret).
 PII_KEY = "surrogate-key-1"
@@ -72,5 +72,26 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.link_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors; rows divisible by seven carry the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    mined = hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+    return mined.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all packed sequences."""
+    packed = packing.pack_documents(_table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents drawn by their likeness to the benchmark texts."""
+    drawn = resampling.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_lm_scoring, op3_pii_surrogates, op4_line_dedup, op5_toxicity,
-                                   op6_decontamination, op7_fingerprints, op8_mixing, op9_html_extraction, op10_jaccard_join)}
+                                   op6_decontamination, op7_fingerprints, op8_mixing, op9_html_extraction, op10_jaccard_join, op11_hard_negatives,
+                                   op12_packing, op13_resampling)}
