@@ -2,9 +2,9 @@
 prompt and chat formatting (P1–P6) and data-quality checks (V1–V5).
 
 Order everywhere comes from ``md5(id:seed[:salt])`` — reproducible and
-independent of partitioning, unlike ``rand(seed)``. Exact cuts use the hash
-bucket counts of :mod:`sqlscore.operators.ranking`; nothing is ranked in a
-single partition.
+independent of partitioning, unlike ``rand(seed)``. Exact cuts, slices and single
+rows come from counts (:mod:`sqlscore.operators.selection`); positions of all rows
+from :mod:`sqlscore.operators.ranking`. Nothing is ranked in a single partition.
 """
 
 from __future__ import annotations
@@ -18,7 +18,8 @@ from ..functions.text import preview, py_strip, truncate_long
 from ..params import (
     CHATML_GENERATION_PROMPT, CHATML_MESSAGE, PROMPT_TEMPLATE, SYSTEM_PROMPT, XML_FORMAT_SUFFIX, DataParams,
 )
-from .ranking import exact_positions, first_k_flag, hash_positions, seeded_hash
+from .ranking import hash_positions, seeded_hash
+from .selection import hash_cut, hash_row, slice_rows, upto
 
 SHUFFLE_SALT = ""
 SPLIT_SALT = "split"
@@ -32,20 +33,19 @@ def seeded_shuffle(df: DataFrame, id_col: str, seed: int = 42, pos_col: str = "s
     return hash_positions(d, "_h", id_col, pos_col).drop("_h")
 
 
-def take_subset(df: DataFrame, id_col: str, n: int, seed: int = 42, shuffle: bool = True,
-                total: int | None = None) -> DataFrame:
-    """R2: the first ``n`` rows of the (shuffled) source, only if the source is larger.
+def take_subset(df: DataFrame, id_col: str, n: int, seed: int = 42, shuffle: bool = True) -> DataFrame:
+    """R2: the first ``n`` rows of the (shuffled) source, all if there are no more.
 
+    Shuffled, the cut is found in the counts of hash buckets, and one filter keeps the rows up to it.
     Without shuffle "first" means ascending ``id_col`` (source order).
     """
-    if total is None:
-        total = df.count()
-    if n >= total:
-        return df
-    if shuffle:
-        d = df.withColumn("_h", seeded_hash(id_col, seed, SHUFFLE_SALT))
-        return first_k_flag(d, "_h", id_col, n, "_keep").where("_keep").drop("_keep", "_h")
-    return holdout_slice(df, id_col, 0, n)
+    if not shuffle:
+        return holdout_slice(df, id_col, 0, n)
+    if n <= 0:
+        return df.limit(0)
+    h = seeded_hash(id_col, seed, SHUFFLE_SALT)
+    cut = hash_cut(df, id_col, h, n)
+    return df if cut is None else upto(df, id_col, h, cut, "_keep").where("_keep").drop("_keep")
 
 
 def split_sizes(n: int, test_fraction: float) -> tuple[int, int]:
@@ -54,47 +54,41 @@ def split_sizes(n: int, test_fraction: float) -> tuple[int, int]:
     return n - n_test, n_test
 
 
-def train_test_split(df: DataFrame, id_col: str, test_fraction: float, seed: int = 42,
-                     split_col: str = "split", total: int | None = None) -> DataFrame:
+def _n_test(test_fraction: float):
+    return lambda total: F.ceil(F.lit(float(test_fraction)) * total.cast("double")).cast("long")
+
+
+def train_test_split(df: DataFrame, id_col: str, test_fraction: float, seed: int = 42, split_col: str = "split") -> DataFrame:
     """Exact-size seeded split; adds ``split`` ('train' / 'test').
 
     The test rows are the first ``ceil(n·fraction)`` rows in a second salted
-    hash order — sizes are exact, unlike ``randomSplit``.
+    hash order — sizes are exact, unlike ``randomSplit``. The cut comes from the counts of
+    hash buckets, which also give the total; the split itself is one comparison per row.
     """
-    if total is None:
-        total = df.count()
-    _, n_test = split_sizes(total, test_fraction)
-    d = df.withColumn("_h", seeded_hash(id_col, seed, SPLIT_SALT))
-    flagged = first_k_flag(d, "_h", id_col, n_test, "_test")
-    return flagged.withColumn(split_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))) \
-        .drop("_test", "_h")
+    h = seeded_hash(id_col, seed, SPLIT_SALT)
+    cut = hash_cut(df, id_col, h, _n_test(test_fraction))
+    if cut is None:
+        return df.withColumn(split_col, F.lit("train"))
+    return upto(df, id_col, h, cut, "_test").withColumn(split_col, F.when(F.col("_test"), F.lit("test")).otherwise(F.lit("train"))).drop("_test")
 
 
 def prepare_splits(df: DataFrame, id_col: str, params: DataParams = DataParams(),
                    split_col: str = "split") -> DataFrame:
-    """S1 pipeline: optional shuffle → subset of train+test rows → exact split."""
-    total = df.count()
+    """S1 pipeline: optional shuffle → subset of train+test rows → exact split.
+
+    ``df`` should be a table: its ids are read once for each level of the two cuts.
+    """
     want = params.train_size + params.test_size
-    sub = take_subset(df, id_col, want, params.seed, params.shuffle, total)
-    if want < total:
-        # cut lineage between the two exact cuts: the split reads the subset
-        # three times (counts, plain rows, boundary bucket)
-        from ..session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(df.sparkSession)
-        sub = sub.checkpoint(eager=True)
-    n = min(want, total)
-    frac = params.test_size / (params.train_size + params.test_size)
-    return train_test_split(sub, id_col, frac, params.seed, split_col, total=n)
+    sub = take_subset(df, id_col, want, params.seed, params.shuffle)
+    return train_test_split(sub, id_col, params.test_size / want, params.seed, split_col)
 
 
 def holdout_slice(df: DataFrame, order_col: str, start: int, end: int, pos_col: str | None = None) -> DataFrame:
     """Rows at positions [start, end) of source order (ascending ``order_col``).
 
-    Exact global positions: range-partitioned sort of the keys, offsets per partition.
+    The boundary keys come from a histogram of the key; a range filter, which reaches the scan, does the rest.
     """
-    ranked = exact_positions(df, [F.col(order_col)], "_pos")
-    out = ranked.where((F.col("_pos") >= start) & (F.col("_pos") < end))
-    return out.withColumnRenamed("_pos", pos_col) if pos_col else out.drop("_pos")
+    return slice_rows(df, order_col, start, end, pos_col)
 
 
 def cap_samples(df: DataFrame, order_col: str, n: int) -> DataFrame:
@@ -120,15 +114,36 @@ def _positions_within(df: DataFrame, id_col: str, seed: int, split_col: str, pos
     return out.drop("_h", "_hb", "_start")
 
 
-def sample_preview(df: DataFrame, id_col: str, split: str, index: int, seed: int = 42,
-                   split_col: str = "split", max_chars: int = 200) -> DataFrame:
-    """The row at (split, index); strings over ``max_chars`` are cut with ``...``."""
-    ranked = _positions_within(df.where(F.col(split_col) == split), id_col, seed, split_col, "_idx")
-    row = ranked.where(F.col("_idx") == index).drop("_idx")
+def _preview(row: DataFrame, max_chars: int) -> DataFrame:
     return row.select(*[truncate_long(F.col(f.name), max_chars).alias(f.name) if f.dataType.simpleString() == "string"
                         else F.col(f.name) for f in row.schema.fields])
 
 
+def sample_preview(df: DataFrame, id_col: str, split: str, index: int, seed: int = 42,
+                   split_col: str = "split", max_chars: int = 200) -> DataFrame:
+    """The row at (split, index); strings over ``max_chars`` are cut with ``...``.
+
+    Two passes over the ids (counts of hash buckets, then of the ids of one bucket) and one fetch by id.
+    """
+    rows = df.where(F.col(split_col) == split)
+    return _preview(hash_row(rows, id_col, seeded_hash(id_col, seed, SPLIT_SALT), index), max_chars)
+
+
+def split_preview(df: DataFrame, id_col: str, test_fraction: float, split: str, index: int, seed: int = 42,
+                  split_col: str = "split", max_chars: int = 200) -> DataFrame:
+    """R6 over a table that is not split yet: the row that :func:`train_test_split` would place at (split, index).
+
+    The test rows lead the split order, so a train row's place in it is its index after them: no split is made.
+    """
+    n_test = _n_test(test_fraction)
+    inside = {"test": lambda total: F.when(F.lit(index) < n_test(total), F.lit(index)).otherwise(total),
+              "train": lambda total: n_test(total) + F.lit(index)}
+    if split not in inside or index < 0:
+        return _preview(df.limit(0).withColumn(split_col, F.lit(split)), max_chars)
+    row = hash_row(df, id_col, seeded_hash(id_col, seed, SPLIT_SALT), inside[split])
+    return _preview(row.withColumn(split_col, F.lit(split)), max_chars)
+
+
 def split_counts(df: DataFrame, split_col: str = "split") -> DataFrame:
     """Rows per split."""
     return df.groupBy(split_col).agg(F.count(F.lit(1)).alias("num_rows"))

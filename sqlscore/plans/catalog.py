@@ -641,8 +641,7 @@ FROM t WHERE split = 'train' AND idx = 0""")
 def q_sample_preview(spark, sf_dir):
     """Row 0 of the train split of documents, long strings cut at 200 chars."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    split = D.train_test_split(docs, "doc_id", 0.2, _DP.seed)
-    return D.sample_preview(split, "doc_id", "train", 0, _DP.seed).select("doc_id", "text", "split")
+    return D.split_preview(docs, "doc_id", 0.2, "train", 0, _DP.seed).select("doc_id", "text", "split")
 
 
 # ---- P: formatting -----------------------------------------------------------------------
