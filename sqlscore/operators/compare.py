@@ -4,10 +4,10 @@ Result rows arrive as ``(key..., side, row)`` where ``side`` is ``'gen'`` or
 ``'ref'`` and ``row`` is any groupable value (a bigint cell, or the
 ``array<string>`` of canonical cells from :mod:`sqlscore.functions.cells`).
 
-Plan shape, chosen for skew: counts per key and side are partial (map-side)
-aggregates; rows are grouped by (key, row), which spreads a key that holds a
-third of all rows over all tasks (distinct rows are not combined before that
-shuffle). No per-key collect, no window over a key, no pair enumeration.
+Plan shape, chosen for skew: one pass over the rows; they are grouped by (key, row),
+which spreads a key that holds a third of all rows over all tasks (distinct rows are
+not combined before that shuffle), then by key on the counts. No per-key collect, no
+window over a key, no pair enumeration.
 """
 
 from __future__ import annotations
@@ -51,11 +51,11 @@ def match_columns(gen_ok, ref_ok, gen_rows, ref_rows, inter, uni):
 
 
 def pair_stats(rows: DataFrame, keys: list[str], side_col: str = "side", row_col: str = "cell") -> DataFrame:
-    """Counts and distinct-row overlap per key in one pass over the rows.
+    """Counts and overlap per key in one pass over the rows.
 
-    ``groupBy(key, row)`` counts each side (map-side combined), then
-    ``groupBy(key)`` sums: ``gen_rows``, ``ref_rows``, ``inter`` (rows present
-    on both sides) and ``uni`` (distinct rows on either side).
+    ``groupBy(key, row)`` counts each side (map-side combined), then ``groupBy(key)`` sums: ``gen_rows``,
+    ``ref_rows``, ``inter`` (rows present on both sides) and ``uni`` (distinct rows on either side); for multisets
+    ``bag_inter`` (sum of the smaller counts) and ``bag_uni`` (sum of the larger counts).
     """
     per_row = rows.groupBy(*keys, row_col).agg(
         F.count_if(F.col(side_col) == "gen").alias("_g"),
@@ -66,31 +66,30 @@ def pair_stats(rows: DataFrame, keys: list[str], side_col: str = "side", row_col
         F.sum("_r").alias("ref_rows"),
         F.count_if((F.col("_g") > 0) & (F.col("_r") > 0)).alias("inter"),
         F.count(F.lit(1)).alias("uni"),
+        F.sum(F.least("_g", "_r")).alias("bag_inter"),
+        F.sum(F.greatest("_g", "_r")).alias("bag_uni"),
     )
 
 
 def compare_pairs(status: DataFrame, rows: DataFrame, keys: list[str], side_col: str = "side",
-                  row_col: str = "cell", gen_ok: str = "gen_success", ref_ok: str = "ref_success") -> DataFrame:
+                  row_col: str = "cell", gen_ok: str = "gen_success", ref_ok: str = "ref_success",
+                  multiset: bool = False) -> DataFrame:
     """X2/X3 for many pairs: ``status`` (one row per key with the two success
-    flags) and the result rows → ``gen_rows, ref_rows, exact_match, similarity``.
+    flags) and the result rows → ``gen_rows, ref_rows, exact_match, similarity, empty_match``.
 
-    Rows are counted per key and side first (partial sums, nothing but counts
-    moves). Only pairs that both ran and have equal, non-zero counts can need
-    the rows themselves; theirs alone enter the shuffle of :func:`pair_stats`.
-    A side with no rows counts 0, so "both empty" stays an exact match.
+    The rows are read once (:func:`pair_stats`). A side with no rows counts 0, so "both empty" stays an exact
+    match; ``empty_match`` tells these pairs apart. The rule compares sets of rows; ``multiset`` compares how
+    often each row occurs instead (``[a, a, b]`` is then not ``[a, b, b]``), with the multiset Jaccard as similarity.
     """
-    counts = side_counts(rows, keys, side_col)
-    out = status.join(counts, keys, "left").withColumns({
+    inter, uni = ("bag_inter", "bag_uni") if multiset else ("inter", "uni")
+    stats = pair_stats(rows, keys, side_col, row_col).select(*keys, "gen_rows", "ref_rows", F.col(inter).alias("_inter"), F.col(uni).alias("_uni"))
+    out = status.join(stats, keys, "left").withColumns({
         "gen_rows": F.coalesce(F.col("gen_rows"), F.lit(0)).cast("bigint"),
         "ref_rows": F.coalesce(F.col("ref_rows"), F.lit(0)).cast("bigint"),
     })
-    open_pairs = (status.select(*keys, F.col(gen_ok).alias("_g_ok"), F.col(ref_ok).alias("_r_ok")).join(counts, keys)
-                  .where(F.col("_g_ok") & F.col("_r_ok") & (F.col("gen_rows") == F.col("ref_rows")) & (F.col("gen_rows") > 0)).select(*keys))
-    stats = pair_stats(rows.join(open_pairs, keys, "left_semi"), keys, side_col, row_col).select(*keys, "inter", "uni")
-    out = out.join(stats, keys, "left")
-    exact, sim = match_columns(F.col(gen_ok), F.col(ref_ok), F.col("gen_rows"), F.col("ref_rows"),
-                               F.col("inter"), F.col("uni"))
-    return out.withColumns({"exact_match": exact, "similarity": sim}).drop("inter", "uni")
+    exact, sim = match_columns(F.col(gen_ok), F.col(ref_ok), F.col("gen_rows"), F.col("ref_rows"), F.col("_inter"), F.col("_uni"))
+    empty = F.col(gen_ok) & F.col(ref_ok) & (F.col("gen_rows") == 0) & (F.col("ref_rows") == 0)
+    return out.withColumns({"exact_match": exact, "similarity": sim, "empty_match": empty}).drop("_inter", "_uni")
 
 
 def ordered_match(rows: DataFrame, keys: list[str], side_col: str = "side", idx_col: str = "row_idx",
@@ -122,8 +121,8 @@ def results_equal(status: DataFrame, rows: DataFrame, keys: list[str], side_col:
 
 
 def compare_results(gen: DataFrame, ref: DataFrame, gen_ok: bool = True, ref_ok: bool = True,
-                    order_matters: bool = False, order_by: list[str] | None = None) -> DataFrame:
-    """Two DataFrames → one row ``exact_match, similarity, gen_rows, ref_rows``.
+                    order_matters: bool = False, order_by: list[str] | None = None, multiset: bool = False) -> DataFrame:
+    """Two DataFrames → one row ``exact_match, similarity, gen_rows, ref_rows``; ``multiset`` as in :func:`compare_pairs`.
 
     Columns are compared by position; rows become canonical cell arrays
     (1 = 1.0, NULL = NULL, 1 ≠ '1'). Unordered mode is the X2/X3 rule; ordered
@@ -142,7 +141,7 @@ def compare_results(gen: DataFrame, ref: DataFrame, gen_ok: bool = True, ref_ok:
     status = rows.sparkSession.range(1).select(
         F.lit(0).alias("_pair"), F.lit(gen_ok).alias("gen_success"), F.lit(ref_ok).alias("ref_success"))
     if not order_matters:
-        out = compare_pairs(status, rows, ["_pair"], row_col="cells")
+        out = compare_pairs(status, rows, ["_pair"], row_col="cells", multiset=multiset)
         return out.select("exact_match", "similarity", "gen_rows", "ref_rows")
     if not order_by:
         raise ValueError("order_matters=True needs order_by columns")

@@ -340,6 +340,46 @@ def q_compare_results(spark, sf_dir):
     return X.compare_results(g, r)
 
 
+LINE_PAIRS = """
+st AS (SELECT o_orderkey, true AS gen_success, o_orderkey % 10 <> 9 AS ref_success FROM orders),
+li AS (SELECT l_orderkey AS o_orderkey, l_linenumber, l_returnflag FROM lineitem WHERE l_quantity > 10),
+rr AS (SELECT o_orderkey, 'ref' AS side, l_returnflag AS cell FROM li UNION ALL
+       SELECT o_orderkey, 'gen', CASE WHEN l_linenumber % 3 = 1 THEN 'A' ELSE l_returnflag END FROM li
+       WHERE NOT (o_orderkey % 7 = 0 AND l_linenumber = 2)),
+pr AS (SELECT o_orderkey, cell, count(*) FILTER (WHERE side = 'gen') AS g, count(*) FILTER (WHERE side = 'ref') AS r FROM rr GROUP BY ALL),
+ag AS (SELECT o_orderkey, sum(g) AS gen_rows, sum(r) AS ref_rows, count(*) FILTER (WHERE g > 0 AND r > 0) AS inter, count(*) AS uni,
+              sum(least(g, r)) AS bag_inter, sum(greatest(g, r)) AS bag_uni FROM pr GROUP BY o_orderkey),
+j AS (SELECT o_orderkey, gen_success AND ref_success AS ok, coalesce(gen_rows, 0)::BIGINT AS gen_rows, coalesce(ref_rows, 0)::BIGINT AS ref_rows,
+             coalesce(inter, 0) AS i, coalesce(uni, 0) AS u, coalesce(bag_inter, 0) AS bi, coalesce(bag_uni, 0) AS bu
+      FROM st LEFT JOIN ag USING (o_orderkey))"""
+
+
+def _line_pairs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders as pairs: flags of their lines on the one side, altered ones on the other."""
+    status = read_table(spark, sf_dir, "orders").select("o_orderkey", F.lit(True).alias("gen_success"), (F.col("o_orderkey") % 10 != 9).alias("ref_success"))
+    lines = read_table(spark, sf_dir, "lineitem").where("l_quantity > 10").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_returnflag")
+    n = F.col("l_linenumber")
+    gen = F.when(n % 3 == 1, F.lit("A")).otherwise(F.col("l_returnflag"))
+    sides = F.array(F.struct(F.lit("ref").alias("side"), F.col("l_returnflag").alias("cell"), F.lit(True).alias("keep")),
+                    F.struct(F.lit("gen").alias("side"), gen.alias("cell"), (~((F.col("o_orderkey") % 7 == 0) & (n == 2))).alias("keep")))
+    return status, lines.select("o_orderkey", F.inline(sides)).where("keep").drop("keep")
+
+
+@register("multiset_match", f"""WITH {LINE_PAIRS}
+SELECT o_orderkey, gen_rows, ref_rows, ok AND gen_rows = ref_rows AND bi = bu AS exact_match,
+       CASE WHEN NOT ok THEN CAST(0 AS DOUBLE)
+            WHEN gen_rows <> ref_rows THEN (least(gen_rows, ref_rows) / greatest(gen_rows, ref_rows)) * CAST(0.3 AS DOUBLE)
+            WHEN bi = bu THEN CAST(1 AS DOUBLE) ELSE bi / bu END AS similarity,
+       ok AND gen_rows = 0 AND ref_rows = 0 AS empty_match, ok AND gen_rows = ref_rows AND i = u AS set_match
+FROM j""")
+def q_multiset_match(spark, sf_dir):
+    """X3 on multisets beside the set rule, empty pairs told apart."""
+    status, rows = _line_pairs(spark, sf_dir)
+    bags = X.compare_pairs(status, rows, ["o_orderkey"], multiset=True)
+    sets = X.compare_pairs(status, rows, ["o_orderkey"]).select("o_orderkey", F.col("exact_match").alias("set_match"))
+    return bags.join(sets, "o_orderkey").select("o_orderkey", "gen_rows", "ref_rows", "exact_match", "similarity", "empty_match", "set_match")
+
+
 LARGE_PAIRS = """
 WITH r AS (SELECT 'fewer' AS pair, 'ref' AS side, l_orderkey * 10 + l_linenumber AS cell FROM lineitem
   UNION ALL SELECT 'fewer', 'gen', l_orderkey * 10 + l_linenumber FROM lineitem WHERE l_orderkey % 4 <> 0
@@ -485,6 +525,24 @@ def q_distinct_executions(spark, sf_dir):
     return C.distinct_executions(both, "q", "s")
 
 
+@register("failing_scorer", """
+SELECT doc_id, CASE WHEN text IS NOT NULL AND source IS NOT NULL AND regexp_matches(text, '[0-9]')
+                    THEN CAST(regexp_extract(text, '[0-9]') AS DOUBLE) / 10 ELSE CAST(-1 AS DOUBLE) END AS score,
+       text IS NOT NULL AND source IS NOT NULL AND regexp_matches(text, '[0-9]') AS scored,
+       CASE WHEN NOT regexp_matches(coalesce(text, ''), '[0-9]') THEN 'AttributeError' END AS error_kind
+FROM documents""")
+def q_failing_scorer(spark, sf_dir):
+    """C4 with a scorer that raises: a Python rule over whole texts that fails on those without a digit."""
+    import re
+
+    def first_digit(prompt, completion, answer):
+        return completion.map(lambda t: int(re.search("[0-9]", t).group()) / 10)  # None has no group
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("completion"), F.col("source").alias("answer"))
+    out = C.apply_scorer(docs, C.pandas_scorer(first_digit, "first_digit")())
+    return out.select("doc_id", "score", "scored", F.substring_index("details.error", ":", 1).alias("error_kind"))
+
+
 # ---- E / M / V7: evaluation ------------------------------------------------------------
 
 @register("explode_generations", _q(O.CANDIDATES) + "SELECT sample_id, CAST(gen_idx AS INTEGER) AS gen_idx, completion FROM candidates")

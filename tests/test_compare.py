@@ -62,3 +62,24 @@ def test_hot_key_is_combined_before_shuffle(spark):
     assert "Partial" in plan or "partial" in plan
     hot = st.where("k = 0").first()
     assert (hot["gen_rows"], hot["ref_rows"], hot["uni"], hot["inter"]) == (75_000, 75_000, 1000, 1000)
+
+
+def test_multisets_are_compared_by_count_and_empty_pairs_are_told_apart(spark):
+    status = spark.createDataFrame([(1, True, True), (2, True, True), (3, True, True), (4, True, False), (5, True, True)],
+                                   "k int, gen_success boolean, ref_success boolean")
+    rows = spark.createDataFrame([(k, side, c) for k, gen, ref in ((1, "aab", "abb"), (2, "aab", "baa"), (5, "aa", "ab"))
+                                  for side, cells in (("gen", gen), ("ref", ref)) for c in cells], "k int, side string, cell string")
+    sets = {r["k"]: r for r in X.compare_pairs(status, rows, ["k"]).collect()}
+    bags = {r["k"]: r for r in X.compare_pairs(status, rows, ["k"], multiset=True).collect()}
+    assert sets[1]["exact_match"] and not bags[1]["exact_match"] and bags[1]["similarity"] == 2 / 4
+    assert bags[2]["exact_match"] and bags[2]["similarity"] == 1.0 and bags[5]["similarity"] == 1 / 3
+    assert bags[3]["exact_match"] and bags[3]["empty_match"] and not bags[4]["empty_match"] and not bags[2]["empty_match"]
+
+
+def test_comparison_reads_its_rows_once(spark):
+    from conftest import SF001
+    orders = spark.read.parquet(f"{SF001}/orders.parquet")
+    rows = orders.selectExpr("o_custkey AS k", "CASE WHEN o_orderkey % 2 = 0 THEN 'gen' ELSE 'ref' END AS side", "o_orderkey AS cell")
+    status = spark.read.parquet(f"{SF001}/customer.parquet").selectExpr("c_custkey AS k", "true AS gen_success", "true AS ref_success")
+    plan = X.compare_pairs(status, rows, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2

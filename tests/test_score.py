@@ -174,3 +174,49 @@ def test_score_range_strict_fails(spark):
     with pytest.raises(Exception) as e:
         D.score_range_check(bad, strict=True).collect()
     assert "must be in [-1, 1]" in str(e.value) or isinstance(e.value, PySparkException)
+
+
+def test_distinct_scoring_returns_every_row_once(spark):
+    rows = [(1, "a"), (1, "a"), (2, "b"), (2, "a"), (None, "c"), (None, "c"), (None, "a"), (3, None), (4, None), (5, "")]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    calls = spark.sparkContext.accumulator(0)
+
+    def score(keys):
+        def count(batches):
+            for b in batches:
+                calls.add(len(b))
+                yield b.assign(n=b["text"].map(lambda t: -1 if t is None else len(t)))
+        return keys.mapInPandas(count, "_kd string, text string, n long")
+    got = C.score_distinct(df, "id", ["text"], score, ["n"]).collect()
+    assert sorted(((r["id"], r["text"], r["n"]) for r in got), key=str) == sorted(((i, t, -1 if t is None else len(t)) for i, t in rows), key=str)
+
+
+def test_scorer_that_raises_on_some_of_many_rows(spark):
+    """C4: the rows at fault score -1.0 and are not counted; the others keep their scores."""
+    def brittle(prompt, completion, answer):
+        return completion.map(lambda t: 1 / int(t))
+    df = spark.range(10_000).selectExpr("id", "CASE WHEN id % 997 = 3 THEN 'x' WHEN id % 2500 = 0 THEN '0' ELSE cast(id AS string) END AS completion", "'a' AS answer")
+    out = C.apply_scorer(df, C.pandas_scorer(brittle)())
+    bad = {r["id"]: r["details"]["error"].split(":")[0] for r in out.where("not scored").collect()}
+    assert bad == {**{i: "ValueError" for i in range(3, 10_000, 997)}, **{i: "ZeroDivisionError" for i in range(0, 10_000, 2500)}}
+    assert out.where("not scored and score <> -1.0").count() == 0
+    assert out.where("scored and (score <> 1 / cast(completion as double) or details.error is not null)").count() == 0
+    stats = C.reward_statistics(out).first()
+    assert stats["call_count"] == 10_000 - len(bad)
+
+
+def test_isolation_calls_few_times_and_refuses_wrong_sizes():
+    import pandas as pd
+    calls = []
+
+    def fn(x):
+        calls.append(len(x))
+        if (x == 77).any():
+            raise RuntimeError("no")
+        return x * 2.0
+    scores, errors = C.isolate(fn, [pd.Series(range(1024), index=range(5, 1029))])
+    assert errors.notna().sum() == 1 and errors.iloc[77] == "RuntimeError: no" and scores.isna().sum() == 1 and scores.iloc[1023] == 2046
+    assert len(calls) <= 2 * 10 + 1
+    scores, errors = C.isolate(lambda x: x.iloc[:1], [pd.Series([1.0, 2.0])])
+    assert scores.tolist() == [1.0, 2.0] and errors.isna().all()  # alone, each row gives one score
+    assert C.isolate(fn, [pd.Series([], dtype=float)])[0].empty
