@@ -870,3 +870,33 @@ def q_run_query_batch(spark, sf_dir):
     s, _ = C.execution_scorer()(df)
     return df.select(*KEYS, "gen_success", "ref_success", "gen_rows", "ref_rows", "exact_match", "similarity",
                      s.alias("execution_score"))
+
+
+@register("kept_executions", _q(*O.BASE) + r"""
+, q AS (SELECT sql AS query, schema, gen_idx FROM texted UNION ALL SELECT ref_sql, schema, gen_idx FROM texted),
+k AS (SELECT md5(query || ':' || schema) AS query_id, min(gen_idx) < 2 AS early, min(query) AS query FROM q
+      WHERE schema IS NOT NULL AND schema <> '' GROUP BY 1),
+p AS (SELECT *, query NOT IN ('', 'INVALID SQL QUERY HERE') AS success,
+             TRY_CAST(regexp_extract(query, '(?i)o_custkey = ([0-9]+)', 1) AS BIGINT) AS cust, contains(query, '% 3 <> 0') AS thinned FROM k),
+n AS (SELECT o_custkey, count(*) AS n, count(*) FILTER (WHERE o_orderkey % 3 <> 0) AS n3 FROM orders GROUP BY o_custkey)
+SELECT query_id, success, CAST(CASE WHEN success THEN coalesce(CASE WHEN thinned THEN n3 ELSE n END, 0) ELSE 0 END AS BIGINT) AS row_count,
+       early AS in_first, CAST(CASE WHEN early AND NOT success THEN 2 ELSE 1 END AS BIGINT) AS times_run
+FROM p LEFT JOIN n ON o_custkey = cust""")
+def q_kept_executions(spark, sf_dir):
+    """D3 over two batches: the second runs new queries and those that failed, the rest comes from the store."""
+    from ..functions.schema import execution_key, has_schema
+    from ..sources.executor import declared_tables, run_query_batch
+    from ..sources.store import ExecutionStore
+    from ..sources.tables import register_tables
+    df = texted(spark, sf_dir).where(has_schema(F.col(C.SCHEMA))).withColumn("_tables", declared_tables(F.col(C.SCHEMA)))
+    store = ExecutionStore(spark, os.path.join(ensure_checkpoint_dir(spark), "stores", uuid.uuid4().hex), buckets=16)
+
+    def batch(part: DataFrame) -> DataFrame:
+        qs = part.select(execution_key(F.col(C.SQL), F.col(C.SCHEMA)).alias("query_id"), F.col(C.SQL).alias("query"), "_tables").unionByName(
+            part.select(execution_key(F.col(C.REF), F.col(C.SCHEMA)).alias("query_id"), F.col(C.REF).alias("query"), "_tables"))
+        return run_query_batch(spark, qs, lambda s: register_tables(s, sf_dir), tables="_tables", store=store)[0]
+    first = batch(df.where("gen_idx < 2")).select("query_id", F.lit(1).alias("_first"))
+    second = batch(df)
+    times = F.coalesce("_first", F.lit(0)) + F.when(F.col("kept"), 0).otherwise(1)
+    return second.join(first, "query_id", "left").select("query_id", "success", "row_count", F.col("_first").isNotNull().alias("in_first"),
+                                                         times.cast("bigint").alias("times_run"))

@@ -16,10 +16,14 @@ members that fail stand alone; everything else keeps its rows.
 A template with LIMIT or OFFSET, or one that does not analyse in lateral form, runs
 with its members' own texts, ``UNION`` of them in one job.
 
-Safety: the text is parsed alone first (a single query statement), the parsed plan's
-functions and tables are checked (no JVM reflection; only the tables that the row's
-schema declares), and it runs in a session of its own, with the intended views only,
-without reading files by path and without variable substitution.
+Safety: the text is parsed alone first (a single query statement) and the parsed plan is
+checked scope by scope: no JVM reflection, no name made at run time (IDENTIFIER), no table but
+those that the row's schema declares. It is analysed and run in a session of its own in which
+only these tables exist, with the declared columns only, without reading files by path and
+without variable substitution.
+
+Results may be kept across batches (:mod:`sqlscore.sources.store`): then only new queries and those
+that failed before are run.
 """
 
 from __future__ import annotations
@@ -38,6 +42,7 @@ from ..functions.cells import row_cells
 from ..functions.text import WS_CHARS
 from ..params import SQL_ERROR_PREFIX
 from ..session import ensure_checkpoint_dir
+from .store import ROWS_SCHEMA, ExecutionStore
 
 # protected tokens (group 1) and literal slots (group 2); Spark lexer rules:
 # strings take '' and backslash escapes, numbers must not touch a name. The
@@ -47,7 +52,6 @@ TOKEN_RE_S = (r"(?s)(--[^\n]*+|/\*.*?\*/|\"[^\"\\]*+(?:\\.[^\"\\]*+)*+\"|`[^`]*+
 STRUCTURAL_BEFORE = (r"(?i)\b(limit|offset|interval|tablesample|date|timestamp|timestamp_ntz|timestamp_ltz|x)"
                      r"[\t\n\x0B\f\r ]*\(?[\t\n\x0B\f\r ]*$")
 FORBIDDEN = frozenset({"reflect", "java_method", "try_reflect"})
-ROWS_SCHEMA = "query_id string, cells array<string>"
 ERROR_SCHEMA = "query_id string, error string, error_class string"
 MARK = "\u0001"   # slot marker in template text (cannot occur in SQL text)
 UNION = 32        # queries written by one job
@@ -140,43 +144,73 @@ def _seq(s) -> list:
     return [s.apply(i) for i in range(s.size())]
 
 
-def _plan_nodes(gateway, plan) -> Iterator:
-    """All nodes of a parsed plan: operators, expressions, subqueries and common table expressions."""
-    stack = [plan]
+def _plan_nodes(gateway, plan) -> Iterator[tuple]:
+    """(node, names in scope) of a parsed plan: operators, expressions, subqueries and common table expressions."""
+    stack = [(plan, frozenset())]
     while stack:
-        node = stack.pop()
-        yield node
+        node, scope = stack.pop()
+        yield node, scope
         name = node.getClass().getSimpleName()
-        stack += _seq(node.children())
+        if name == "UnresolvedWith":  # a definition sees the ones before it, the body sees all
+            for r in _seq(node.cteRelations()):
+                own = frozenset([r._1().lower()])
+                stack.append((r._2(), scope | own if node.allowRecursion() else scope))
+                scope |= own
+        stack += [(c, scope) for c in _seq(node.children())]
         if is_instance_of(gateway, node, "org.apache.spark.sql.catalyst.plans.QueryPlan"):
-            stack += _seq(node.expressions())
-        if name in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery"):
-            stack.append(node.plan())
-        if name == "UnresolvedWith":
-            stack += [r._2() for r in _seq(node.cteRelations())]
+            stack += [(c, scope) for c in _seq(node.expressions())]
+        if name in ("ScalarSubquery", "Exists", "ListQuery", "LateralSubquery", "FunctionTableSubqueryArgumentExpression"):
+            stack.append((node.plan(), scope))
 
 
-def check_query(session: SparkSession, text: str, tables: list[str] | None) -> bool:
+def check_query(session: SparkSession, text: str, tables: set[str]) -> bool:
     """Parse ``text`` alone and check it; True if it cuts its result (LIMIT, OFFSET).
 
-    Raises the parser's error, or :class:`Refused`.
+    ``tables``: lower-case names of the tables it may read. Raises the parser's error, or :class:`Refused`.
     """
     if not text:
         raise Refused("PARSE_EMPTY_STATEMENT", "empty query")
     plan = session._jsparkSession.sessionState().sqlParser().parseQuery(text)
-    nodes = [(n.getClass().getSimpleName(), n) for n in _plan_nodes(session.sparkContext._gateway, plan)]
-    inner = {r._1().lower() for k, n in nodes if k == "UnresolvedWith" for r in _seq(n.cteRelations())}
-    allowed = None if tables is None else {t.lower() for t in tables}
-    for kind, node in nodes:
+    cuts = False
+    for node, scope in _plan_nodes(session.sparkContext._gateway, plan):
+        kind = node.getClass().getSimpleName()
+        if "UnresolvedIdentifier" in kind:
+            raise Refused("IDENTIFIER_NOT_ALLOWED", "names made by IDENTIFIER are not allowed")
         if kind == "UnresolvedFunction" and _seq(node.nameParts())[-1].lower() in FORBIDDEN:
             raise Refused("FUNCTION_NOT_ALLOWED", f"function {_seq(node.nameParts())[-1]} is not allowed")
         if kind == "UnresolvedRelation":
             parts = [p.lower() for p in _seq(node.multipartIdentifier())]
-            if len(parts) == 1 and parts[0] in inner:
-                continue
-            if len(parts) != 1 or (allowed is not None and parts[0] not in allowed):
+            if len(parts) != 1 or (parts[0] not in scope and parts[0] not in tables):
                 raise Refused("TABLE_OR_VIEW_NOT_FOUND", f"no such table: {'.'.join(parts)}")
-    return any(k in ("GlobalLimit", "LocalLimit", "Limit", "Offset", "Tail") for k, _ in nodes)
+        cuts = cuts or kind in ("GlobalLimit", "LocalLimit", "Limit", "Offset", "Tail")
+    return cuts
+
+
+class _Views:
+    """The views of a session; only those that are declared exist while a query is analysed."""
+
+    def __init__(self, session: SparkSession):
+        self.session = session
+        self.all = {t.name.lower(): session.table(t.name) for t in session.catalog.listTables() if t.isTemporary}
+        self.shown: str | None = None  # None: all of them
+
+    def show(self, declared: str | None) -> set[str]:
+        """Make the declared views (``name`` or ``name(column,column)``, joined by ``;``; None: all) the only ones; their names."""
+        wanted = {k: None for k in self.all}
+        if declared is not None:
+            entries = [re.fullmatch(r"([^(]*)(?:\((.*)\))?", x).groups() for x in declared.split(";") if x]
+            wanted = {name.lower(): None if columns is None else {c.lower() for c in columns.split(",")}
+                      for name, columns in entries if name.lower() in self.all}
+        if declared != self.shown:
+            for name in self.all:
+                self.session.catalog.dropTempView(name)
+            for name, columns in wanted.items():
+                df = self.all[name]
+                if columns is not None:
+                    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() in columns])
+                df.createOrReplaceTempView(name)
+            self.shown = declared
+        return set(wanted)
 
 
 def _describe(exc: Exception) -> tuple[str, str]:
@@ -203,7 +237,7 @@ class _Run:
     """One batch: the session, the folder, and what was written and what failed."""
 
     def __init__(self, session: SparkSession, folder: str):
-        self.session, self.folder = session, folder
+        self.session, self.folder, self.views = session, folder, _Views(session)
         self.paths: list[str] = []
         self.errors: list[tuple[str, str, str]] = []
         self.error_paths: list[str] = []
@@ -254,15 +288,16 @@ class _Part:
     """Some members of one template: those whose hash is ``rest`` modulo ``modulus``; or one text."""
 
     def __init__(self, run: _Run, group: int, members: DataFrame | None, text: str, slots: list, n: int,
-                 query_id: str | None = None, modulus: int = 1, rest: int = 0):
+                 query_id: str | None = None, modulus: int = 1, rest: int = 0, tables: str | None = None):
         self.run, self.group, self.members, self.text, self.slots, self.n = run, group, members, text, slots, n
-        self.query_id, self.modulus, self.rest = query_id, modulus, rest
+        self.query_id, self.modulus, self.rest, self.tables = query_id, modulus, rest, tables
 
     def mine(self) -> DataFrame:
         return self.members.where(F.pmod(F.xxhash64("query_id"), F.lit(self.modulus)) == self.rest) if self.modulus > 1 else self.members
 
     def rows(self) -> DataFrame:
         session = self.run.session
+        self.run.views.show(self.tables)
         if self.query_id is not None:
             return _cells(session.sql(_wrap(self.text)), self.query_id)
         view = "__params_" + uuid.uuid4().hex[:12]
@@ -283,7 +318,7 @@ class _Part:
             return []
         out = []
         for rest in (self.rest, self.rest + self.modulus):
-            part = _Part(run, self.group, self.members, self.text, self.slots, 0, None, 2 * self.modulus, rest)
+            part = _Part(run, self.group, self.members, self.text, self.slots, 0, None, 2 * self.modulus, rest, self.tables)
             part.n = part.mine().count()
             if part.n:
                 out.append(part)
@@ -291,22 +326,32 @@ class _Part:
 
 
 def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[SparkSession], None], query_id: str = "query_id",
-                    sql: str = "query", tables: str | None = None, out_dir: str | None = None) -> tuple[DataFrame, DataFrame]:
+                    sql: str = "query", tables: str | None = None, out_dir: str | None = None,
+                    store: ExecutionStore | None = None) -> tuple[DataFrame, DataFrame]:
     """Execute every distinct query; return ``(executions, rows)``.
 
     ``executions``: query_id, success, error, error_class, row_count, seconds (its share of the
     job that ran it). ``rows``: query_id, cells, whole results. ``views`` registers the views on the
-    session it is given; ``tables`` names an array column with the tables a query may read (NULL: all).
+    session it is given; ``tables`` names an array column with the tables a query may read, as ``name`` or
+    ``name(column,column)`` (NULL: all). With a ``store``, queries whose execution it keeps are not run:
+    their executions and rows come from it, ``kept`` tells which, and the successes of this batch are added.
     """
-    base = out_dir or os.path.join(ensure_checkpoint_dir(spark), "executions", uuid.uuid4().hex)
+    run_name = uuid.uuid4().hex
+    base = out_dir or (f"{store.path}/runs/{run_name}" if store else os.path.join(ensure_checkpoint_dir(spark), "executions", run_name))
     session = spark.newSession()
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     session.conf.set("spark.sql.variable.substitute", "false")
     views(session)
     run = _Run(session, base)
-    allowed = F.array_join(F.array_sort(F.col(tables)), ",") if tables else F.lit(None).cast("string")
-    q = queries.select(F.col(query_id).cast("string").alias("query_id"), clean_query(F.col(sql)).alias("query"),
-                       allowed.alias("tables")).dropDuplicates(["query_id"])
+    allowed = F.array_join(F.array_sort(F.col(tables)), ";") if tables else F.lit(None).cast("string")
+    q = queries.select(F.col(query_id).cast("string").alias("query_id"), clean_query(F.col(sql)).alias("query"), allowed.alias("tables"))
+    known = None
+    if store is None:
+        q = q.dropDuplicates(["query_id"])
+    else:
+        dealt = store.dealt(q)
+        known = store.known(dealt).checkpoint()  # as it is now: this batch adds to the store below
+        q = store.fresh(dealt)
     t = templatize(q, "query").withColumn("grp", F.xxhash64("template", F.coalesce("tables", F.lit("*"))))
     path = os.path.join(base, "templates")
     # sorted by group inside salted files: the member filters below skip row groups by min and max,
@@ -331,13 +376,12 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[Sp
 
     for g in groups.join(stats, "grp", "left").toLocalIterator():  # one row a shape, streamed
         try:
-            names = None if g["tables"] is None else [x for x in g["tables"].split(",") if x]
-            cuts = check_query(session, g["probe"], names)
+            cuts = check_query(session, g["probe"], run.views.show(g["tables"]))
         except Exception as e:  # noqa: BLE001 - members share the structure, hence the outcome
             refused.append((g["grp"], *_describe(e)))
             continue
         if g["n"] == 1:
-            add(_Part(run, g["grp"], None, g["probe"], [], 1, g["probe_id"]))
+            add(_Part(run, g["grp"], None, g["probe"], [], 1, g["probe_id"], tables=g["tables"]))
             continue
         body, _, kinds = g["template"].rpartition("\n--kinds:")
         text, slots = body, []
@@ -349,14 +393,14 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[Sp
             elif not slot["varies"]:
                 text = text.replace(f"{MARK}{k}{MARK}", slot["raw"])
         members = t.where(F.col("grp") == g["grp"]).select("query_id", "query", "slot_val")
-        part = _Part(run, g["grp"], members, text, slots, g["n"])
+        part = _Part(run, g["grp"], members, text, slots, g["n"], tables=g["tables"])
         try:
             if MARK in text:
                 raise ValueError("a slot that varies has to stay a literal")
             part.rows()  # analysis only
         except Exception:  # noqa: BLE001 - not as a parameter: each member by its own text
             for m in members.select("query_id", "query").toLocalIterator():
-                add(_Part(run, g["grp"], None, m["query"], [], 1, m["query_id"]))
+                add(_Part(run, g["grp"], None, m["query"], [], 1, m["query_id"], tables=g["tables"]))
             continue
         add(part)
     run.write_parts(ready)
@@ -374,21 +418,42 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[Sp
                    F.when(error.isNull(), F.coalesce("_n", F.lit(0))).otherwise(0).cast("bigint").alias("row_count"), "seconds")
     ex_path = os.path.join(base, "executions")
     ex.write.parquet(ex_path)  # read by both sides of the comparison
-    return spark.read.parquet(ex_path), (spark.read.schema(ROWS_SCHEMA).parquet(*run.paths) if run.paths else spark.createDataFrame([], ROWS_SCHEMA))
+    ex, paths = spark.read.parquet(ex_path), list(run.paths)
+    if store is not None:
+        store.keep(run_name, ex, run.paths)
+        paths += store.rows_of(known)
+        kept = known.select("query_id", F.lit(True).alias("success"), F.lit(None).cast("string").alias("error"),
+                            F.lit(None).cast("string").alias("error_class"), "row_count", "seconds", F.lit(True).alias("kept"))
+        ex = ex.withColumn("kept", F.lit(False)).unionByName(kept)
+    return ex, (spark.read.schema(ROWS_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], ROWS_SCHEMA))
+
+
+_TABLE = r"create\s+(?:temporary\s+|temp\s+)?table\s+(?:if\s+not\s+exists\s+)?[`\"\[]?(\w+)[`\"\]]?"
+_TABLE_COLUMNS = _TABLE + r"\s*\(((?:[^()]++|\((?:[^()]++|\([^()]*+\))*+\))*+)\)"
+_CONSTRAINTS = ("primary", "foreign", "unique", "check", "constraint", "key", "index", "exclude")
 
 
 def declared_tables(schema: Column) -> Column:
-    """Names of the tables that a schema text creates, lower case."""
-    names = F.regexp_extract_all(F.lower(schema), F.lit(r"create\s+(?:temporary\s+|temp\s+)?table\s+(?:if\s+not\s+exists\s+)?[`\"\[]?(\w+)"), F.lit(1))
-    return F.array_distinct(names)
+    """The tables that a schema text creates, as ``name(column,column)``, lower case; ``name`` where it lists no columns."""
+    text = F.regexp_replace(F.lower(schema), r"--[^\n]*+|(?s:/\*.*?\*/)", " ")
+    names = F.regexp_extract_all(text, F.lit(_TABLE_COLUMNS), F.lit(1))
+    bodies = F.regexp_extract_all(text, F.lit(_TABLE_COLUMNS), F.lit(2))
+
+    def columns(body: Column) -> Column:
+        flat = F.regexp_replace(F.regexp_replace(body, r"\([^()]*\)", ""), r"\([^()]*\)", "")
+        first = F.transform(F.split(flat, ","), lambda x: F.regexp_extract(F.btrim(x, F.lit(WS_CHARS)), r"^[`\"\[]?(\w+)", 1))
+        return F.array_join(F.filter(first, lambda x: (x != "") & ~x.isin(*_CONSTRAINTS)), ",")
+    listed = F.zip_with(names, bodies, lambda n, b: F.concat(n, F.lit("("), columns(b), F.lit(")")))
+    plain = F.array_except(F.regexp_extract_all(text, F.lit(_TABLE), F.lit(1)), names)
+    return F.concat(F.array_distinct(listed), plain)
 
 
 def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str], views: Callable[[SparkSession], None],
-                       out_dir: str | None = None) -> DataFrame:
+                       out_dir: str | None = None, store: ExecutionStore | None = None) -> DataFrame:
     """X1 → X2/X3 for scored candidates (output of ``with_sql_columns``).
 
-    Distinct (query, schema) pairs are executed once (D3, keyed by T15) and see only the
-    tables that their schema declares; every candidate gets ``gen_success, gen_error,
+    Distinct (query, schema) pairs are executed once (D3, keyed by T15; with a ``store``, once in all its
+    batches) and see only the tables and columns that their schema declares; every candidate gets ``gen_success, gen_error,
     gen_error_class, gen_seconds, ref_success`` and the comparison of its two result sets.
     Candidates without a schema are not executed.
     """
@@ -405,7 +470,7 @@ def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str],
     with_schema = c.where(has_schema(F.col(SCHEMA))).withColumn("_tables", declared_tables(F.col(SCHEMA)))
     qs = with_schema.select(F.col("_gk").alias("query_id"), F.col(SQL).alias("query"), "_tables").unionByName(
         with_schema.select(F.col("_rk").alias("query_id"), F.col(REF).alias("query"), "_tables"))
-    ex, rows = run_query_batch(spark, qs, views, tables="_tables", out_dir=out_dir)
+    ex, rows = run_query_batch(spark, qs, views, tables="_tables", out_dir=out_dir, store=store)
     g = ex.select(F.col("query_id").alias("_gk"), F.col("success").alias("gen_success"),
                   F.col("error").alias("gen_error"), F.col("error_class").alias("gen_error_class"),
                   F.col("seconds").alias("gen_seconds"), F.col("row_count").alias("gen_rows"))

@@ -153,3 +153,87 @@ def test_structural_literals_stay_in_template(spark):
     t = {r["id"]: r for r in templatize(df).collect()}
     assert t["a"]["slot_raw"] == ["7"] and "LIMIT 5" in t["a"]["template"]
     assert t["b"]["slot_raw"] == [] and "DATE '2020-01-01'" in t["b"]["template"]
+
+
+def test_names_made_at_run_time_and_shadowing_do_not_reach_other_tables(spark, views):
+    ex, _ = run(spark, [
+        ("made", "SELECT c_custkey FROM IDENTIFIER('customer')"),
+        ("made_own", "SELECT o_orderkey FROM IDENTIFIER('orders')"),
+        ("call", "SELECT IDENTIFIER('reflect')('java.lang.Integer', 'parseInt', '1')"),
+        ("shadow", "WITH customer AS (SELECT * FROM customer) SELECT count(*) FROM customer"),
+        ("later", "WITH a AS (SELECT * FROM customer), customer AS (SELECT 1 AS x) SELECT * FROM a"),
+        ("inner", "SELECT * FROM (WITH customer AS (SELECT 1 AS x) SELECT * FROM customer) CROSS JOIN customer"),
+        ("scoped", "WITH customer AS (SELECT 1 AS x) SELECT x FROM customer"),
+        ("nested", "WITH a AS (SELECT o_orderkey FROM orders), b AS (SELECT * FROM a) SELECT count(*) FROM b"),
+        ("qualified", "SELECT * FROM default.customer"),
+    ], tables=["orders"])
+    assert {k for k, r in ex.items() if r["success"]} == {"scoped", "nested"}
+    assert ex["made"]["error_class"] == ex["call"]["error_class"] == "IDENTIFIER_NOT_ALLOWED"
+    assert ex["shadow"]["error_class"] == ex["later"]["error_class"] == ex["inner"]["error_class"] == "TABLE_OR_VIEW_NOT_FOUND"
+
+
+def test_only_declared_columns_exist(spark, views):
+    ex, rows = run(spark, [("own", "SELECT o_orderkey FROM orders WHERE O_CustKey = 1"), ("other", "SELECT o_totalprice FROM orders"),
+                           ("star", "SELECT * FROM orders WHERE o_orderkey = 1"), ("filter", "SELECT o_orderkey FROM orders WHERE o_totalprice > 0")],
+                   tables=["orders(o_orderkey,o_custkey,missing)"])
+    assert ex["own"]["success"] and ex["star"]["success"] and not ex["other"]["success"] and not ex["filter"]["success"]
+    assert {len(r["cells"]) for r in rows.where("query_id = 'star'").collect()} == {2}
+    ex, _ = run(spark, [("all", "SELECT o_totalprice FROM orders")], tables=["orders"])
+    assert ex["all"]["success"]
+
+
+def test_declared_tables_of_schema_texts(spark):
+    from sqlscore.sources.executor import declared_tables
+    texts = {
+        "CREATE TABLE Orders (o_orderkey BIGINT, price DECIMAL(10, 2) CHECK (price IN (1, 2)), PRIMARY KEY (o_orderkey));\n"
+        "create table if not exists `items` (\"id\" int, -- the key, (unique)\n [name] text /* , gone int */)": ["orders(o_orderkey,price)", "items(id,name)"],
+        "CREATE TEMP TABLE t AS SELECT 1 AS x": ["t"],
+        "no schema": [], "": [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select("s", declared_tables(F.col("s")).alias("d"))
+    assert {r["s"]: r["d"] for r in df.collect()} == texts
+
+
+def test_store_runs_new_and_failed_queries_only(spark, views, tmp_path):
+    from conftest import SF001
+    from sqlscore.sources.store import ExecutionStore
+    register = lambda s: register_tables(s, SF001, ["orders", "customer"])
+
+    def batch(store, items):
+        q = spark.createDataFrame(items, "query_id string, query string")
+        ex, rows = run_query_batch(spark, q, register, store=store)
+        return {r["query_id"]: r for r in ex.collect()}, rows
+    path = f"{tmp_path}/store"
+    store = ExecutionStore(spark, path, buckets=4)
+    ok = [(f"q{k}", f"SELECT o_orderkey FROM orders WHERE o_custkey = {k}") for k in range(1, 30)]
+    first, _ = batch(store, [*ok, ("bad", "SELECT nothing FROM orders"), ("empty", "SELECT 1 FROM orders WHERE o_orderkey < 0")])
+    assert not any(r["kept"] for r in first.values())
+    again = ExecutionStore(spark, path, buckets=99)  # an existing store keeps its number of buckets
+    assert again.buckets == 4
+    second, rows = batch(again, [*ok, *ok, ("bad", "SELECT o_orderkey FROM orders WHERE o_custkey = 1"), ("empty", "SELECT 1 FROM orders WHERE o_orderkey < 0"),
+                                 ("new", "SELECT count(*) FROM orders")])
+    assert {k for k, r in second.items() if not r["kept"]} == {"bad", "new"} and all(r["success"] for r in second.values())
+    assert all(second[k]["row_count"] == first[k]["row_count"] for k, _ in ok)
+    counted = {r["query_id"]: r["count"] for r in rows.groupBy("query_id").count().collect()}
+    assert counted == {k: r["row_count"] for k, r in second.items() if r["row_count"]}
+    third, rows = batch(again, ok[:2])
+    assert all(r["kept"] for r in third.values()) and rows.where("query_id = 'q1'").count() == third["q1"]["row_count"]
+    # a run that ended before its last step leaves rows that nobody reads
+    spark.createDataFrame([("dead", f"{path}/nowhere")], "run string, path string").write.mode("append").parquet(f"{path}/paths")
+    assert batch(again, ok[:1])[0]["q1"]["kept"]
+
+
+def test_store_is_not_shuffled(spark, tmp_path):
+    from sqlscore.sources.store import ExecutionStore
+    store = ExecutionStore(spark, f"{tmp_path}/plan", buckets=4)
+    done = spark.range(100).selectExpr("cast(id AS string) AS query_id", "true AS success", "1L AS row_count", "0.1D AS seconds")
+    store.keep("r", done, [])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        batch = spark.range(90, 120).selectExpr("cast(id AS string) AS query_id", "'x' AS query")
+        fresh = store.fresh(store.dealt(batch))
+        plan = fresh._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "SelectedBucketsCount: 4 out of 4" in plan
+        assert sorted(int(r["query_id"]) for r in fresh.collect()) == list(range(100, 120))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
