@@ -124,3 +124,11 @@ def bucket_of(h: np.ndarray, n: int) -> np.ndarray:
 def hinted(ids: DataFrame) -> DataFrame:
     """Broadcast a materialised list of ids if it has at most ``BROADCAST_ROWS`` rows, counted; else leave it to the planner."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
+def own_name(df: DataFrame, name: str) -> str:
+    """A column name that no column of ``df`` has (compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -40,7 +40,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, hinted, restore_id
+from .common import documents, hinted, own_name, restore_id
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -185,5 +185,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 def drop_leaking(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that leak no item, all columns unchanged (rows with a leaking id go together)."""
-    leaks = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias("_leak")).distinct().checkpoint()
-    return docs.join(hinted(leaks), F.col(id_col).eqNullSafe(F.col("_leak")), "left_anti")
+    mark = own_name(docs, "leak")
+    leaks = find_leaks(docs, items, id_col, text_col, **options).select(F.col("doc_id").alias(mark)).distinct().checkpoint()
+    return docs.join(hinted(leaks), F.col(id_col).eqNullSafe(F.col(mark)), "left_anti")

@@ -19,7 +19,8 @@ tell them apart), plus the sampled page itself labelled by its own elements. Wei
 penalised log-likelihood, with gradients by the forward-backward recursion over all pages at once.
 
 Scale: extraction is one pass over the pages without a shuffle; the model (a few thousand
-weights) travels with the function. The size of a page bounds the memory of a row.
+weights) travels with the function. The size of a page bounds the memory of a row; the elements above a
+block are shared, so a deep page costs no more than a flat one.
 
 Cases: null and empty html give an empty text; a page without blocks gives an empty text; rows
 with equal ids are extracted each; an empty table gives an empty result.
@@ -30,6 +31,7 @@ from __future__ import annotations
 import html as html_module
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +45,9 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
     r"|<(?P<raw>" + "|".join(_RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S | re.I)
-_ATTR = re.compile(r"\b(class|id|role|data-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTR = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+#: The label that composed training pages carry; pages of a table are never searched for it.
+_LABEL = re.compile(r'data-label="([01])"')
 _WORDS = re.compile(r"[a-z]+")
 _INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
                     "small span strike strong sub sup time tt u var wbr".split())
@@ -51,19 +55,40 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _P_STAYS = frozenset("option".split())
 
 
+class Above:
+    """The open elements above a block, shared by all blocks and elements below: tags and attribute words met so far."""
+
+    __slots__ = ("tag", "tags", "near", "words", "label")
+
+    def __init__(self, tag: str, tags: frozenset, near: tuple, words: frozenset, label: int | None):
+        self.tag, self.tags, self.near, self.words, self.label = tag, tags, near, words, label
+
+    def below(self, tag: str, words: tuple, label: int | None) -> "Above":
+        return Above(tag, self.tags if tag in self.tags else self.tags | {tag}, words,
+                     self.words if self.words.issuperset(words) else self.words.union(words), self.label if label is None else label)
+
+
+_TOP = Above("none", frozenset(), (), frozenset(), None)
+
+
 class Block:
-    """One leaf block: its text, the tags and attribute words above it, and the length of its link text."""
+    """One leaf block: its text, the elements above it, and the length of its link text."""
+
+    __slots__ = ("text", "above", "linked")
 
-    __slots__ = ("text", "stack", "linked", "label")
+    def __init__(self, text: str, above: Above, linked: int):
+        self.text, self.above, self.linked = text, above, linked
 
-    def __init__(self, text: str, stack: tuple, linked: int, label: int | None):
-        self.text, self.stack, self.linked, self.label = text, stack, linked, label
 
+def leaf_blocks(page: str, known: frozenset | None = None, composed: bool = False) -> list[Block]:
+    """The leaf blocks of a page, in page order.
 
-def leaf_blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in page order."""
+    ``known``: tags and attribute words that matter to the caller, others are not kept (None: all); with them the
+    memory of a page does not grow with its depth. ``composed``: the page was put together for training and says its labels.
+    """
     blocks: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...], int | None]] = []  # tag, words, label given in training
+    stack: list[tuple[str, Above]] = []  # open elements; an inline element stands under the same elements as its parent
+    opened: Counter = Counter()
     held: list[str] = []
     linked = 0
 
@@ -72,17 +97,24 @@ def leaf_blocks(page: str) -> list[Block]:
         if held:
             text = " ".join(html_module.unescape("".join(held)).split())
             if text:
-                label = next((y for _, _, y in reversed(stack) if y is not None), None)
-                above = tuple((t, w) for t, w, _ in stack if t not in _INLINE)
-                blocks.append(Block(text, above, linked, label))
+                blocks.append(Block(text, stack[-1][1] if stack else _TOP, linked))
             held.clear()
             linked = 0
 
+    def push(tag: str, above: Above):
+        stack.append((tag, above))
+        opened[tag] += 1
+
+    def drop(at: int, end: int | None = None):
+        for t, _ in stack[at:end]:
+            opened[t] -= 1
+        del stack[at:end]
+
     def add(text: str):
         nonlocal linked
         if text:
             held.append(text)
-            if any(t == "a" for t, _, _ in stack[-4:]):
+            if any(t == "a" for t, _ in stack[-4:]):
                 linked += len(text.strip())
 
     at = 0
@@ -99,26 +131,28 @@ def leaf_blocks(page: str) -> list[Block]:
             if tag == "br":
                 held.append(" ")
             elif m["close"]:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k]
-                        break
-                    if stack[k][0] not in _INLINE:
-                        break
+                if opened[tag]:
+                    for k in range(len(stack) - 1, -1, -1):
+                        if stack[k][0] == tag:
+                            drop(k, k + 1)
+                            break
+                        if stack[k][0] not in _INLINE:
+                            break
             else:
-                stack.append((tag, (), None))
+                push(tag, stack[-1][1] if stack else _TOP)
             continue
         flush()
         if m["close"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if opened[tag]:
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == tag:
+                        drop(k)
+                        break
             continue
         if tag not in _P_STAYS:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p" or (tag == "li" and stack[k][0] == "li"):
-                    del stack[k:]
+                    drop(k)
                     break
                 if stack[k][0] not in _INLINE and stack[k][0] not in ("li",):
                     break
@@ -127,12 +161,16 @@ def leaf_blocks(page: str) -> list[Block]:
             label = None
             if m["attrs"]:
                 for a in _ATTR.finditer(m["attrs"]):
-                    value = a[2] or a[3] or a[4] or ""
-                    if a[1].lower() == "data-label":
-                        label = int(value)
-                    else:
-                        words += tuple(_WORDS.findall(value.lower()))
-            stack.append((tag, words, label))
+                    words += tuple(_WORDS.findall((a[2] or a[3] or a[4] or "").lower()))
+                if composed and (said := _LABEL.search(m["attrs"])):
+                    label = int(said[1])
+            above = stack[-1][1] if stack else _TOP
+            if known is None or tag in known:
+                push(tag, above.below(tag, words if known is None else tuple(w for w in words if w in known), label))
+            else:  # no weight knows the tag: only what stands next to the block is its own
+                kept = above.below("", tuple(w for w in words if w in known), label)
+                kept.tags = above.tags
+                push(tag, kept)
     add(page[at:])
     flush()
     return blocks
@@ -145,15 +183,10 @@ _SIGNS = re.compile(r"©|\(c\)|copyright|all rights|cookie|subscribe|newsletter|
 def block_features(b: Block, place: str) -> list[str]:
     """The binary features of a block, as names."""
     out = ["bias", "at:" + place]
-    tags, words = set(), set()
-    for t, w in b.stack:
-        tags.add(t)
-        words.update(w)
-    out += ["in:" + t for t in tags]
-    out += ["word:" + w for w in words]
-    if b.stack:
-        out += ["near:" + w for w in set(b.stack[-1][1])]
-    out.append("own:" + (b.stack[-1][0] if b.stack else "none"))
+    out += ["in:" + t for t in b.above.tags]
+    out += ["word:" + w for w in b.above.words]
+    out += ["near:" + w for w in set(b.above.near)]
+    out.append("own:" + b.above.tag)
     n = len(b.text)
     out.append(f"len:{min(10, n.bit_length())}")
     out.append(f"link:{min(4, 4 * b.linked // max(1, n))}")
@@ -176,6 +209,7 @@ class Field:
 
     def __init__(self, weights: dict[str, float], transition: np.ndarray, start: np.ndarray):
         self.weights, self.transition, self.start = weights, transition, start
+        self.known = frozenset(x.partition(":")[2] for x in weights if x.startswith(("in:", "word:", "near:", "own:")))
 
     def decode(self, features: list[list[str]]) -> list[int]:
         """Viterbi: the best labelling of the blocks of one page."""
@@ -309,15 +343,20 @@ def compose_page(paragraphs: list[str], text, rng: random.Random) -> str:
 _NOT_MAIN = frozenset("nav aside footer header form".split())
 
 
-def labelled_pages(sample: list[str], variants: int = 3, seed: int = 11) -> list[tuple[list[list[str]], list[int]]]:
-    """Pages with labels, from sampled pages that have an ``article`` or ``main`` element (see the module's text)."""
+def labelled_pages(sample: list[str], variants: int = 3, seed: int = 11, paragraphs_each: int = 60,
+                   chain: int = 200) -> list[tuple[list[list[str]], list[int]]]:
+    """Pages with labels, from sampled pages that have an ``article`` or ``main`` element (see the module's text).
+
+    A composed page takes up to ``paragraphs_each`` paragraphs, the next one goes on behind them; a page of more
+    than ``chain`` blocks is learned as several chains.
+    """
     rng = random.Random(seed)
     taken, pool = [], []
     for page in sample:
         blocks = leaf_blocks(page)
         y = []
         for b in blocks:
-            tags = {t for t, _ in b.stack}
+            tags = b.above.tags
             y.append(int(bool(tags & {"article", "main"}) and not tags & _NOT_MAIN))
         pool += [b.text for b in blocks]
         if any(y):
@@ -330,14 +369,15 @@ def labelled_pages(sample: list[str], variants: int = 3, seed: int = 11) -> list
     out = []
     for blocks, y in taken:
         out.append((page_features(blocks), y))
-        paragraphs = [b.text for b, v in zip(blocks, y) if v][:60]
-        for _ in range(variants):
-            made = leaf_blocks(compose_page(paragraphs, text, rng))
-            out.append((page_features(made), [b.label or 0 for b in made]))
+        paragraphs = [b.text for b, v in zip(blocks, y) if v]
+        for n in range(variants):
+            at = n * paragraphs_each % (-(-len(paragraphs) // paragraphs_each) * paragraphs_each)
+            made = leaf_blocks(compose_page(paragraphs[at:at + paragraphs_each], text, rng), composed=True)
+            out.append((page_features(made), [b.above.label or 0 for b in made]))
     for _ in range(20):  # also without any usable page
-        made = leaf_blocks(compose_page([text(rng.randint(5, 60)).replace("&", "") for _ in range(rng.randint(1, 12))], text, rng))
-        out.append((page_features(made), [b.label or 0 for b in made]))
-    return [(f[:200], y[:200]) for f, y in out if f]
+        made = leaf_blocks(compose_page([text(rng.randint(5, 60)).replace("&", "") for _ in range(rng.randint(1, 12))], text, rng), composed=True)
+        out.append((page_features(made), [b.above.label or 0 for b in made]))
+    return [(f[i:i + chain], y[i:i + chain]) for f, y in out for i in range(0, len(f), chain)]
 
 
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_pages: int = 100,
@@ -355,7 +395,7 @@ def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max
 
 
 def extract_text(page: str, field: Field) -> str:
-    blocks = leaf_blocks(page)
+    blocks = leaf_blocks(page, field.known)
     return "\n".join(b.text for b, y in zip(blocks, field.decode(page_features(blocks))) if y)
 
 

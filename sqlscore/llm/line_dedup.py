@@ -29,8 +29,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import MIN_ID, block_of, documents, mix64, restore_id
 from .exchange import Layout, runs, split_buckets
@@ -44,7 +46,6 @@ SHARD = "shard int, filter binary, first binary, second binary, docs binary, lar
 ANSWER = "block int, first binary, second binary, largest binary"
 POSTINGS = "block int, doc_id long, first binary, second binary"
 RESULT = "doc_id long, n_lines long, n_dropped long, kept_text string"
-ROWS = "kept_text string, rest string"
 
 
 class CuckooFilter:
@@ -235,8 +236,8 @@ def repeated_keys(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 
 
 def _keep(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-    """The lines that stay, of every document of a block; a column ``rest`` is handed through in place of the counts."""
-    columns = [c.split()[0] for c in (ROWS if "rest" in pdf else RESULT).split(", ")]
+    """The lines that stay, of every document of a block."""
+    columns = [c.split()[0] for c in RESULT.split(", ")]
     if pdf.empty:
         return pd.DataFrame({c: [] for c in columns})
     drop: dict[tuple[int, int], int] = {}
@@ -252,8 +253,15 @@ def _keep(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
             gone = {k for k, pair in zip(counted, zip(a.tolist(), b.tolist())) if drop.get(pair, i) != i}
         kept = lines if not gone else [x for k, x in enumerate(lines) if k not in gone]
         rows.append((i, len(lines), len(gone), b"\n".join(kept).decode("utf-8", "surrogatepass")))
-    out = pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
-    return out.assign(rest=list(pdf["rest"]))[columns] if "rest" in pdf else out
+    return pd.DataFrame(rows, columns=columns)
+
+
+def _keep_rows(rows: pa.Table, answers: pa.Table) -> pa.Table:
+    """The rows of a block with the lines that stay as ``text``; the other columns are handed through as they are."""
+    kept = _keep(rows.select(["doc_id", "text"]).to_pandas(), answers.to_pandas())["kept_text"]
+    names = [c for c in rows.column_names if c not in ("doc_id", "text", "block")]
+    text = pa.array(list(kept), pa.string()).cast(rows.schema.field("text").type)
+    return pa.table([text, *(rows[c] for c in names)], names=["text", *names])
 
 
 def _layout(docs: DataFrame, id_col: str, text_col: str) -> Layout:
@@ -271,14 +279,14 @@ def dedup_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The rows of ``docs``, all columns, with the lines that stay as text (a null text becomes empty)."""
     layout = _layout(docs, id_col, text_col)
     answers = repeated_keys(block_counts(layout), min_docs)
-    rest = F.struct(*[F.col(c) for c in docs.columns if c != text_col])
+    others = {f"c{n}": f for n, f in enumerate(docs.schema.fields) if f.name != text_col}  # names that clash with nothing
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(MIN_ID)).alias("doc_id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.to_json(rest).alias("rest"))
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[F.col(f"`{f.name}`").alias(n) for n, f in others.items()])
     rows = rows.withColumn("block", block_of(layout.blocks, "doc_id"))
-    kept = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(_keep, ROWS)
-    kinds = docs.drop(text_col).schema
-    kept = kept.select(F.from_json("rest", kinds).alias("rest"), F.col("kept_text"))
-    return kept.select(*[F.col("kept_text").alias(c) if c == text_col else F.col(f"rest.{c}").alias(c) for c in docs.columns])
+    schema = StructType([StructField("text", StringType()), *(StructField(n, f.dataType) for n, f in others.items())])
+    kept = rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_keep_rows, schema)
+    named = {f.name: n for n, f in others.items()}
+    return kept.select(*[F.col("text" if c == text_col else named[c]).alias(c) for c in docs.columns])
 
 
 class LineIndex:

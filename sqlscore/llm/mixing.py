@@ -116,30 +116,35 @@ def mixed_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A last, partial copy keeps the words up to the cut with the blanks between them.
     Documents of which nothing is taken do not appear. Rows equal in (id, source, size) have a
-    share each: they are numbered by their text, the shares by size. ``shares`` adds ``size,
+    share each: they are numbered by their text, the shares by size. An added column replaces one of
+    the same name. ``shares`` adds ``size,
     source_size, target, epochs, last_words`` of the document and ``taken``, the words of this copy.
     """
     extras = ["size", "source_size", "target", "epochs", "last_words"]
     alike = Window.partitionBy("doc_id", "source", "size")
     mix = (mix_sources(docs, id_col, text_col, source_col, **options)
-           .withColumn("_of", F.count("*").over(alike)).withColumn("_nth", F.row_number().over(alike.orderBy(F.desc("taken")))))
-    plan = (mix.where("taken > 0").select(F.col("doc_id").alias("_i"), F.col("source").alias("_s"), "_of", "_nth",
-                                          *[F.col(c).alias(f"_{c}") for c in extras]).checkpoint())
-    text = F.col(text_col)
-    key = [F.col(id_col), F.col(source_col).cast("string"), word_count(text)]
-    on = key[0].eqNullSafe(F.col("_i")) & key[1].eqNullSafe(F.col("_s")) & (key[2] == F.col("_size"))
-    one = docs.join(plan.where("_of = 1").drop("_of", "_nth"), on)
+           .withColumn("of", F.count("*").over(alike)).withColumn("nth", F.row_number().over(alike.orderBy(F.desc("taken")))))
+    plan = mix.where("taken > 0").select(F.col("doc_id").alias("i"), F.col("source").alias("s"), "of", "nth", *extras).checkpoint()
+    # the row travels as one column, so its names meet no name of the plan
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"), F.col(f"`{text_col}`").alias("text"),
+                       F.col(f"`{id_col}`").alias("own_id"), F.col(f"`{source_col}`").cast("string").alias("own_source"),
+                       word_count(F.col(f"`{text_col}`")).alias("own_size"))
+    text = F.col("text")
+    key = ["own_id", "own_source", "own_size"]
+    on = F.col("own_id").eqNullSafe(F.col("i")) & F.col("own_source").eqNullSafe(F.col("s")) & (F.col("own_size") == F.col("size"))
+    one = rows.join(plan.where("of = 1").drop("of", "nth"), on)
     # rows equal in the key: only they are numbered
-    repeated = plan.where("_of > 1")
-    several = (docs.join(hinted(repeated.where("_nth = 1").select("_i", "_s", "_size")), on, "left_semi")
-               .withColumn("_row", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(text), text))))
-    several = several.join(repeated, on & (F.col("_row") == F.col("_nth"))).drop("_row", "_of", "_nth")
-    copies = F.concat(F.when(F.col("_epochs") > 0, F.sequence(F.lit(1), F.col("_epochs").cast("int"))).otherwise(F.array().cast("array<int>")),
-                      F.when(F.col("_last_words") > 0, F.array((F.col("_epochs") + 1).cast("int"))).otherwise(F.array().cast("array<int>")))
+    repeated = plan.where("of > 1")
+    several = (rows.join(hinted(repeated.where("nth = 1").select("i", "s", "size")), on, "left_semi")
+               .withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64(text), text))))
+    several = several.join(repeated, on & (F.col("number") == F.col("nth"))).drop("number", "of", "nth")
+    copies = F.concat(F.when(F.col("epochs") > 0, F.sequence(F.lit(1), F.col("epochs").cast("int"))).otherwise(F.array().cast("array<int>")),
+                      F.when(F.col("last_words") > 0, F.array((F.col("epochs") + 1).cast("int"))).otherwise(F.array().cast("array<int>")))
     pieces = F.regexp_extract_all(text, F.lit(r"[\x20\x09-\x0D]*" + WORD), F.lit(0))  # the words with the blanks before them
-    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("_last_words").cast("int")), "")
-    partial = (F.col("epoch") > F.col("_epochs")) & (F.col("_last_words") < F.col("_size"))
+    cut = F.array_join(F.slice(pieces, F.lit(1), F.col("last_words").cast("int")), "")
+    partial = (F.col("epoch") > F.col("epochs")) & (F.col("last_words") < F.col("size"))
     out = one.unionByName(several).withColumn("epoch", F.explode(copies))
-    out = out.withColumn(text_col, F.when(partial, cut).otherwise(text)).withColumn("_taken", F.when(partial, F.col("_last_words")).otherwise(F.col("_size")))
-    share = [F.col(f"_{c}").alias(c) for c in [*extras, "taken"]] if shares else []
-    return out.select(*docs.columns, "epoch", *share)
+    out = out.withColumns({"copy": F.when(partial, cut).otherwise(text), "taken": F.when(partial, F.col("last_words")).otherwise(F.col("size"))})
+    added = ["epoch", *([*extras, "taken"] if shares else [])]
+    kept = [F.col("copy").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c.lower() not in added]
+    return out.select(*kept, *added)

@@ -12,8 +12,8 @@ name stays the same with and without the given name.
 
 Surrogates come from a keyed hash of type and normal form. They keep the layout: digits become
 digits, letters letters of the same script and case, separators stay, hexadecimal stays
-hexadecimal, a card number that passes the Luhn check gets a surrogate that passes, address
-octets stay octets, country codes and top-level domains stay, names are drawn from lists by script
+hexadecimal, a card number that passes the Luhn check gets a surrogate that passes, an IBAN with right
+check digits gets right check digits, address octets stay octets, country codes and top-level domains stay, names are drawn from lists by script
 and gender (from the title).
 
 Collision check: surrogates of one type must differ from each other and from every value of that
@@ -58,6 +58,9 @@ PATTERNS = {
     "NAME": rf"(?<![\p{{L}}\p{{N}}]){TITLE}\.?[ \t]+{NAME_WORD}(?:[ -]{NAME_WORD}){{0,2}}",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Title, given and family name; the bare name counts as a name in the rest of its text.
+FULL_NAME = rf"(?<![\p{{L}}\p{{N}}]){TITLE}\.?[ \t]+{NAME_WORD}(?:[ -]{NAME_WORD}){{1,2}}"
+HAS_TITLE = rf"(?<![\p{{L}}\p{{N}}]){TITLE}\.?[ \t]"
 #: A text without a match of this cheap pattern has no entity.
 HINT = rf"[0-9@]|(?<![\p{{L}}\p{{N}}]){TITLE}\.?[ \t]|(?i:token|secret|password|passwd|api_key|apikey)\s{{0,2}}[=:]|AKIA|[a-fA-F]{{32}}"
 
@@ -120,7 +123,9 @@ def parts(entity: Column) -> Column:
                   F.array(_part(country, "PHONE", F.regexp_replace(F.substr(entity, F.length(country) + 1), r"\D+", ""), F.substr(entity, F.length(country) + 1))))
             .when(entity.rlike(r"^[\d -]{13,}$"), F.array(_part(none, F.when(luhn(alnum), "CARD_LUHN").otherwise("CARD"), alnum, entity)))
             .when(entity.rlike(r"^[A-Z]{2}\d{2}[ A-Z0-9]*$") & ~entity.rlike(r"^AKIA|^[0-9A-F]{32,}$"),
-                  F.array(_part(F.substring(entity, 1, 2), "IBAN", F.substr(alnum, F.lit(3)), F.substr(entity, F.lit(3)))))
+                  F.array(_part(F.substring(entity, 1, 2), F.when(mod97(F.concat(F.substr(alnum, F.lit(5)), F.substr(alnum, F.lit(1), F.lit(4)))) == 1,
+                                                                  F.concat(F.lit("IBAN_"), F.substring(entity, 1, 2))).otherwise("IBAN"),
+                                F.substr(alnum, F.lit(3)), F.substr(entity, F.lit(3)))))
             .otherwise(F.array(_part(none, F.when(entity.rlike(r"^[0-9a-fA-F]+$"), "HEX").otherwise("SECRET"), F.lower(entity), entity))))
 
 
@@ -135,6 +140,16 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.filter(d, lambda x: x.isNotNull()), F.lit(0), lambda a, x: a + x)
 
 
+def mod97(text: Column) -> Column:
+    """Remainder of digits and lower-case letters (a = 10 ... z = 35) read as one number."""
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0), lambda a, c: F.when(
+        c.rlike("[0-9]"), (a * 10 + F.ascii(c) - 48) % 97).otherwise((a * 100 + F.ascii(c) - 87) % 97))
+
+
+def is_number(kind: Column) -> Column:
+    return kind.isin(*NUMBERS) | kind.startswith("IBAN_")
+
+
 def _fill(shape: Column, stream: Column, hexadecimal: Column) -> Column:
     """Replace the letters and digits of ``shape`` by those of the hash stream, class by class."""
     digits = F.translate(stream, "abcdef", "052749")
@@ -166,16 +181,19 @@ def draw(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     def octet(k):
         return (F.conv(F.substring(stream, 4 * k + 1, 4), 16, 10).cast("int") % 254 + 1).cast("string")
     top = F.when(kind == "DOMAIN", F.concat(F.lit("."), F.substring_index(norm, ".", -1))).otherwise("")
-    suffix = F.when(kind.isin(*NUMBERS), F.repeat(F.lit("0"), F.greatest(attempt - 2 * DRAWS, F.lit(0))))
+    suffix = F.when(is_number(kind), F.repeat(F.lit("0"), F.greatest(attempt - 2 * DRAWS, F.lit(0))))
     for name, char in SUFFIX.items():
         suffix = suffix.when(kind == name, F.repeat(F.lit(char), F.greatest(attempt - DRAWS, F.lit(0))))
     shape = F.concat(F.substr(norm, F.lit(1), F.length(norm) - F.length(top)), suffix.otherwise(""))
     filled = _fill(shape, stream, kind == "HEX")
     body = F.substr(filled, F.lit(1), F.length(filled) - 1)
     check = ((F.lit(10) - luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")
+    country = F.lower(F.substr(kind, F.lit(6)))
+    iban_check = F.lpad((F.lit(98) - mod97(F.concat(F.substr(filled, F.lit(3)), country, F.lit("00")))).cast("string"), 2, "0")
     out = (F.when(kind == "IP", F.concat_ws(".", *[octet(k) for k in range(4)]))
            .when(kind == "DOMAIN", F.concat(filled, top))
-           .when(kind == "CARD_LUHN", F.concat(body, check)))
+           .when(kind == "CARD_LUHN", F.concat(body, check))
+           .when(kind.startswith("IBAN_"), F.concat(iban_check, F.substr(filled, F.lit(3)))))
     more = F.when(attempt > 0, F.concat(F.lit(" "), F.upper(F.substr(F.translate(stream, "0123456789", "ghijklmnop"), F.lit(11), F.floor((attempt + 1) / 2).cast("int"))))).otherwise("")
     for name, words in NAMES.items():  # after a collision a name gets initials
         out = out.when(kind == name, F.lower(F.concat(_pick(words, stream), more)))
@@ -185,10 +203,12 @@ def draw(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
 def _by_rank(open_: DataFrame, taken: DataFrame, key: str) -> DataFrame:
     """``type, surrogate, norm``: the free numbers of each length, in a keyed order, dealt to the open values of that length.
 
-    A value is open after ``DRAWS`` draws only if most numbers of its length are taken, so the numbers are a few times the values.
+    Only lengths of which half of the numbers are taken: there the numbers are at most twice the values.
     """
     left = open_.where(F.col("type").isin(*RANKED) & F.col("norm").rlike("^[0-9]{1,9}$")).withColumn("_len", F.length("norm"))
-    spaces = sorted(map(tuple, left.select("type", "_len").distinct().collect()))  # at most nine lengths a type
+    full = (taken.where(F.col("type").isin(*RANKED) & F.col("surrogate").rlike("^[0-9]{1,9}$")).groupBy("type", F.length("surrogate").alias("_len"))
+            .agg(F.count(F.lit(1)).alias("_n")).where(2 * F.col("_n") >= F.pow(F.lit(10.0), F.col("_len"))).select("type", "_len"))
+    spaces = sorted(map(tuple, left.select("type", "_len").distinct().join(full, ["type", "_len"]).collect()))  # at most nine lengths a type
     out = open_.select("type", F.col("norm").alias("surrogate"), "norm").where("false")
 
     def placed(rows: DataFrame, kind: str, value: str) -> DataFrame:
@@ -216,7 +236,11 @@ def assign(values: DataFrame, key: str, most_rounds: int = 100) -> DataFrame:
         drawn = open_.withColumn("surrogate", draw(F.col("type"), F.col("norm"), F.col("_try"), key))
         free = drawn.join(taken, ["type", "surrogate"], "left_anti")
         won = free.groupBy("type", "surrogate").agg(F.min("norm").alias("norm"))
-        won = (_by_rank(open_, taken, key) if attempt == DRAWS else won).checkpoint()
+        if attempt == DRAWS:  # what is dealt by rank is not drawn as well
+            ranked = _by_rank(open_, taken, key).checkpoint()
+            won = ranked.unionByName(won.join(ranked.select("type", "norm"), ["type", "norm"], "left_anti")
+                                     .join(ranked.select("type", "surrogate"), ["type", "surrogate"], "left_anti").select(*ranked.columns))
+        won = won.checkpoint()
         done = won if done is None else done.unionByName(won)
         open_ = (open_.join(won.select("type", "norm"), ["type", "norm"], "left_anti")
                  .withColumn("_try", F.lit(attempt + 1)).checkpoint())
@@ -227,7 +251,7 @@ def assign(values: DataFrame, key: str, most_rounds: int = 100) -> DataFrame:
 
 def dress(surface: Column, kind: Column, surrogate: Column) -> Column:
     """Put a surrogate into the layout and case of the part it replaces; a suffix stands at the end, before a top-level domain."""
-    loose = kind.isin(*NUMBERS)  # the normal form has no separators
+    loose = is_number(kind)  # the normal form has no separators
     size = F.length(F.when(loose, F.regexp_replace(surface, r"[^\p{L}\p{N}]+", "")).otherwise(F.lower(surface)))
     extra = F.greatest(F.length(surrogate) - size, F.lit(0))
     top = F.when(kind == "DOMAIN", F.length(F.substring_index(surface, ".", -1)) + 1).otherwise(0)
@@ -248,19 +272,45 @@ def dress(surface: Column, kind: Column, surrogate: Column) -> Column:
             .when(extra > 0, longer).otherwise(plain))
 
 
+def full_names(text: Column) -> Column:
+    """Full names after a title, with the title, that a text holds."""
+    names = F.array_distinct(F.regexp_extract_all(text, F.lit(FULL_NAME), F.lit(0)))
+    return F.when(text.rlike(HAS_TITLE), names).otherwise(F.array().cast("array<string>"))
+
+
+def bare_name(name: Column) -> Column:
+    return F.regexp_replace(name, rf"^{TITLE}\.?[ \t]+", "")
+
+
+def entity_pattern(text: Column) -> Column:
+    """The pattern of all entities of a text: the fixed one, and its own full names without a title (longer ones first)."""
+    names = F.transform(F.array_sort(F.transform(full_names(text), lambda n: F.struct((-F.length(n)).alias("k"), bare_name(n).alias("b")))), lambda x: x["b"])
+    own = F.array_join(F.transform(names, lambda b: F.concat(F.lit("\\Q"), b, F.lit("\\E"))), "|")
+    return F.when(own == "", F.lit(PATTERN)).otherwise(
+        F.concat(F.lit(PATTERN + r"|(?<![\p{L}\p{N}])(?:"), own, F.lit(r")(?![\p{L}\p{N}])")))
+
+
+def titled(found: Column, text: Column) -> Column:
+    """The matches as (entity, bare): a bare name stands for its titled form, which tells its parts and gender."""
+    of = lambda e: F.get(F.filter(full_names(text), lambda n: bare_name(n) == e), 0)
+    return F.transform(found, lambda e: F.struct(F.coalesce(of(e), e).alias("entity"), of(e).isNotNull().alias("bare")))
+
+
 def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document ``doc_id, text`` (with surrogates), ``n_entities`` and ``surrogates`` (array of type, surrogate)."""
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = F.when(F.col("text").rlike(HINT), F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
+    matches = F.regexp_extract_all("text", entity_pattern(F.col("text")), F.lit(0))
+    found = F.when(F.col("text").rlike(HINT), matches).otherwise(F.array().cast("array<string>"))
     none = F.coalesce(F.size(found) <= 0, F.lit(True))
     plain = base.where(none).select("doc_id", "text", F.lit(0).cast("long").alias("n_entities"),
                                     F.array().cast("array<struct<type:string,surrogate:string>>").alias("surrogates"))
     # the texts with entities, a row for each different (id, text), and how often it occurs
     sig = F.xxhash64("text")
     some = base.where(~none).withColumn("sig", sig)
-    one = some.select("doc_id", "sig", F.posexplode(found).alias("pos", "entity")).distinct()
-    pieces = one.select("doc_id", "sig", "pos", F.posexplode(parts(F.col("entity"))).alias("nth", "part"))
-    pieces = pieces.select("doc_id", "sig", "pos", "nth", "part.*").checkpoint()
+    one = some.select("doc_id", "sig", F.posexplode(titled(found, F.col("text"))).alias("pos", "e")).distinct()
+    pieces = one.select("doc_id", "sig", "pos", "e.bare", F.posexplode(parts(F.col("e.entity"))).alias("nth", "part"))
+    lead = F.when(F.col("bare") & (F.col("nth") == 0), F.lit("")).otherwise(F.col("part.lead"))
+    pieces = pieces.select("doc_id", "sig", "pos", "nth", lead.alias("lead"), "part.type", "part.norm", "part.surface").checkpoint()
     table = assign(pieces, key)
     dressed = (pieces.join(table, ["type", "norm"])
                .withColumn("dressed", F.concat("lead", dress(F.col("surface"), F.col("type"), F.col("surrogate")))))
@@ -271,7 +321,7 @@ def replace_entities(docs: DataFrame, key: str, id_col: str = "doc_id", text_col
     # all entities of one text: bounded by the text
     per_text = (entity.groupBy("doc_id", "sig").agg(F.sort_array(F.collect_list(F.struct("pos", "type", "surrogate"))).alias("_e"))
                 .select(F.col("doc_id").alias("_d"), F.col("sig").alias("_s"), "_e"))
-    between = F.split("text", PATTERN, -1)
+    between = F.split("text", entity_pattern(F.col("text")), F.lit(-1))
     woven = F.concat(F.array_join(F.transform("_e", lambda e, i: F.concat(F.get("_between", i), e["surrogate"])), ""),
                      F.element_at("_between", -1))
     joined = (some.join(per_text, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("sig") == F.col("_s")))

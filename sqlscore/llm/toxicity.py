@@ -128,12 +128,18 @@ def text_features(text: str, stems: tuple[str, ...] = ()) -> list[float]:
     letters = upper + int(count[97:123].sum()) + 1
     signs = int(count[33:48].sum() + count[58:65].sum() + count[91:97].sum() + count[123:127].sum())
     return [float(len(strong)), len(strong) / n, float(len({t for _, t in strong})),
-            float(len(learned)), len(learned) / n, float(len({low[s:s + 24].split()[0] for s, _ in learned})), float(peak), (len(hits) - len(strong)) / n,
+            float(len(learned)), len(learned) / n, float(len({low[s:s + TOLD_APART].split()[0] for s, _ in learned})), float(peak), (len(hits) - len(strong)) / n,
             float(near), near / n, float(len(leet)), float(apart), masked / n, upper / letters,
             len(_CAPS_WORD.findall(text)) / n if upper else 0.0, count[33] / size, count[63] / size, signs / size,
             float(count[48:58].sum()) / size, math.log1p(n), size / n]
 
 
+#: Learned words of a text count as one if they agree in so many characters (a long run without blanks is not copied for each term in it).
+TOLD_APART = 24
+
+#: Tasks that fit the trees (at most ``max_rows`` rows, dealt round).
+FIT_TASKS = 6
+
 _WORD_START = re.compile(r"[^\W\d_]{4,}")
 #: Lengths of the word beginnings that may become learned stems.
 STEM_LENGTHS = range(4, 9)
@@ -233,7 +239,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = (documents(docs, id_col, text_col).join(F.broadcast(known), "doc_id")  # at most max_rows ids
              .withColumn("calibrate", salted_crc("doc_id", folds) == calibration))
     stems = learned_stems(texts.where("not calibrate"))
-    rows = with_features(texts, stems=stems).select("label", "features", "calibrate").coalesce(6).persist()
+    rows = with_features(texts, stems=stems).select("label", "features", "calibrate").repartition(FIT_TASKS).persist()
     try:
         seen = {(r["calibrate"], r["label"]): r["n"] for r in rows.groupBy("calibrate", "label").agg(F.count("*").alias("n")).collect()}
         total, toxic = sum(seen.values()), sum(n for (_, y), n in seen.items() if y == 1.0)
@@ -262,9 +268,5 @@ def score_documents(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id
 def reject_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that the model does not call toxic, all columns unchanged."""
     model = train(docs, labels, id_col, text_col, **options)
-    name = "_toxicity_features"
-    out = docs.withColumn("_toxicity_text", F.coalesce(F.col(text_col), F.lit("")))
-    out = with_features(out, "_toxicity_text", name, model.stems)
-    kept = docs.columns
-    scored = model.score(out.withColumn("_row", F.struct(*kept)).select("_row", F.col(name).alias("features")), "_score")
-    return scored.where("_score < 0.5").select("_row.*")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return model.score(with_features(rows, "text", "features", model.stems)).where("score < 0.5").select("row.*")

@@ -475,7 +475,7 @@ def test_extraction_of_the_pages(spark, field):
     pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SF01}/pages.parquet").collect()}
     for r in got.collect():
         blocks = html_extract.leaf_blocks(pages[r["page_id"]])
-        assert r["text"] == "\n".join(b.text for b in blocks if any(t == "article" for t, _ in b.stack))
+        assert r["text"] == "\n".join(b.text for b in blocks if "article" in b.above.tags)
 
 
 def test_extraction_corner_cases(spark, field):
