@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sqlscore.llm import decontamination, jaccard_join, line_dedup, mixing, toxicity
-from sqlscore.llm.common import hinted
+from sqlscore.llm.common import hinted, own_name
 from sqlscore.session import ensure_checkpoint_dir
 
 #: Near duplicates: five-word shingles, similarity 0.8 or more.
@@ -30,15 +30,16 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near duplicates; of repeated rows one."""
     names = jaccard_join.link_components(docs, shingle=SHINGLE, threshold=SIMILARITY)
-    gone = (names.groupBy(F.col("doc_id").alias("_gone")).agg(F.max(F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("_stays"))
-            .where("not _stays").select("_gone").checkpoint())
-    rows = docs.join(hinted(gone), F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    stays, gone, own, sig, n = (own_name(docs, x) for x in ("stays", "gone", "own", "sig", "n"))
+    out = (names.groupBy(F.col("doc_id").alias(gone)).agg(F.max(F.col("component_id").eqNullSafe(F.col("doc_id"))).alias(stays))
+           .where(f"not {stays}").select(gone).checkpoint())
+    rows = docs.join(hinted(out), F.col("doc_id").eqNullSafe(F.col(gone)), "left_anti")
     # repeated rows: only they are shuffled
-    key = [F.col("doc_id").alias("_d"), F.xxhash64("text").alias("_s")]
-    repeated = rows.select(*key).groupBy("_d", "_s").count().where("count > 1").select("_d", "_s").checkpoint()
-    on = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_s"))
+    key = [F.col("doc_id").alias(own), F.xxhash64("text").alias(sig)]
+    repeated = rows.select(*key).groupBy(own, sig).count().where("count > 1").select(own, sig).checkpoint()
+    on = F.col("doc_id").eqNullSafe(F.col(own)) & (F.xxhash64("text") == F.col(sig))
     first = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
-    again = rows.join(hinted(repeated), on, "left_semi").withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    again = rows.join(hinted(repeated), on, "left_semi").withColumn(n, F.row_number().over(first)).where(f"{n} = 1").drop(n)
     return rows.join(hinted(repeated), on, "left_anti").unionByName(again)
 
 
@@ -51,7 +52,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: one row per copy taken, the last one cut at the budget; ``n_chars`` follows.
 
     Adds ``epoch`` (number of the copy), ``size, source_size, target, epochs, last_words`` of the document and
-    ``taken``, the words of this copy.
+    ``taken``, the words of this copy; these replace columns of the input that have their names.
     """
     return mixing.mixed_rows(docs, shares=True).withColumn("n_chars", F.length("text").cast("long"))
 
