@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import preview, py_strip, truncate_long
@@ -278,3 +278,24 @@ def score_range_check(scored: DataFrame, score: str = "score", strict: bool = Fa
 def ground_truth_pairs(df: DataFrame, answer: str = "answer", completion: str = "completion") -> DataFrame:
     """V5: pair every reference answer with itself (completion := answer)."""
     return df.withColumn(completion, F.col(answer))
+
+
+def observed(df: DataFrame, name: str, fields=("prompt", "answer"), score: str | None = None, scored: str | None = None,
+             split_col: str | None = None, splits=("train", "test")) -> tuple[DataFrame, Observation]:
+    """V2–V4, C6 and R8 without a job of their own: metrics that are taken while ``df`` is written.
+
+    Returns the same rows and the observation, whose ``get`` has the metrics once an action over the rows has ended:
+    ``num_rows``, ``empty_<field>``; with ``score``: ``num_scores, out_of_range``, with ``scored`` too: ``call_count,
+    total_reward``; with ``split_col``: ``rows_<split>``.
+    """
+    metrics = [F.count(F.lit(1)).alias("num_rows")]
+    metrics += [F.count_if(F.coalesce(py_strip(F.col(f)), F.lit("")) == "").alias(f"empty_{f}") for f in fields]
+    if score:
+        metrics += [F.count(score).alias("num_scores"), F.count_if(~F.col(score).between(-1.0, 1.0)).alias("out_of_range")]
+        if scored:
+            metrics += [F.count_if(F.col(scored)).alias("call_count"),
+                        F.coalesce(F.sum(F.when(F.col(scored), F.col(score))), F.lit(0.0)).alias("total_reward")]
+    if split_col:
+        metrics += [F.count_if(F.col(split_col) == s).alias(f"rows_{s}") for s in splits]
+    seen = Observation(name)
+    return df.observe(seen, *metrics), seen

@@ -74,3 +74,46 @@ def reward_monitor(scored: DataFrame, group_cols: list[str], score: str = "score
         r(F.stddev_samp(score)).alias("reward_std"),
         F.count(F.lit(1)).alias("num_generations"),
     )
+
+
+# ---- moments that can be added up -------------------------------------------------------
+
+def moments(rewards: DataFrame, keys: list[str], value: str = "best_reward", success: float = SUCCESS_THRESHOLD,
+            perfect: float = PERFECT_THRESHOLD) -> DataFrame:
+    """The state of a run: per key ``n, mean, m2`` (sum of squared distances from the mean), ``n_success, n_perfect``.
+
+    A few numbers per key, whatever the rows; states of any parts of the rows merge to that of all of them.
+    """
+    ok, top = success_flags(value, success, perfect)
+    return rewards.groupBy(*keys).agg(F.count(value).alias("n"), F.avg(value).alias("mean"),
+                                      (F.var_pop(value) * F.count(value)).alias("m2"),
+                                      F.count_if(ok).alias("n_success"), F.count_if(top).alias("n_perfect"))
+
+
+def append_moments(state: DataFrame, path: str, run: str) -> None:
+    """Add the state of one run to the table of states; a run that is written again replaces itself when merged."""
+    state.withColumns({"run": F.lit(run), "written": F.current_timestamp()}).write.mode("append").parquet(path)
+
+
+def merge_moments(states: DataFrame, keys: list[str], run_col: str = "run") -> DataFrame:
+    """States of all runs as one per key: counts add up, ``mean`` is weighted, ``m2`` adds the distance of each mean.
+
+    Of a run that was written more than once the latest state counts.
+    """
+    if run_col in states.columns and "written" in states.columns:
+        last = F.max_by(F.struct("n", "mean", "m2", "n_success", "n_perfect"), "written").alias("s")
+        states = states.groupBy(run_col, *keys).agg(last).select(*keys, "s.*")
+    sums = [F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"),
+            F.collect_list(F.struct("n", "mean", "m2")).alias("_parts"),  # one entry a run
+            F.sum("n_success").alias("n_success"), F.sum("n_perfect").alias("n_perfect")]
+    out = states.where("n > 0").groupBy(*keys).agg(*sums)
+    far = F.aggregate("_parts", F.lit(0.0), lambda acc, p: acc + p["m2"] + p["n"] * (p["mean"] - F.col("mean")) * (p["mean"] - F.col("mean")))
+    return out.withColumn("m2", far).drop("_parts")
+
+
+def summary_of_moments(merged: DataFrame, digits: int | None = None) -> DataFrame:
+    """Mean, sample standard deviation, success and perfect rate of merged states."""
+    r = lambda c: c if digits is None else F.round(c, digits)
+    n = F.col("n")
+    return merged.withColumns({"std": r(F.when(n > 1, F.sqrt(F.col("m2") / (n - 1)))), "success_rate": r(F.col("n_success") / n),
+                               "perfect_rate": r(F.col("n_perfect") / n), "mean": r(F.col("mean"))}).drop("m2", "n_success", "n_perfect")

@@ -24,7 +24,8 @@ from ..operators.ranking import group_positions
 from ..params import DataParams, EvalParams, ScoreParams
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as FX
-from ..sources.tables import load_split, map_fields, read_table, write_eval_summary, write_splits
+from ..sources.tables import (load_split, map_fields, read_json, read_shuffled, read_table, write_eval_summary, write_evaluation,
+                              write_shuffled, write_splits)
 from . import oracle as O
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -606,10 +607,11 @@ SELECT sample_id, substring({PROMPT_SQL}, 1, 100) || '...' AS prompt,
        answer, completion AS first_generation, score AS first_reward
 FROM firsts ORDER BY sample_id LIMIT 5""".replace("{PROMPT_SQL}", PROMPT_SQL))
 def q_top_results(spark, sf_dir):
-    """The first ``show_samples`` detail rows (a top-k report)."""
-    first = FX.candidates(spark, sf_dir).where(F.col("gen_idx") == 0)
-    ids = first.select("sample_id").orderBy("sample_id").limit(EvalParams().show_samples)  # a report of so many rows
-    df = D.build_prompt(scored(spark, sf_dir, cands=first.join(F.broadcast(ids), "sample_id", "left_semi")))
+    """The first ``show_samples`` detail rows (a top-k report); their ids are found first and reach all scans as literals."""
+    customers = read_table(spark, sf_dir, "customer").select("c_custkey")
+    ids = [r["c_custkey"] for r in customers.orderBy("c_custkey").limit(EvalParams().show_samples).collect()]  # a report of so many rows
+    first = FX.candidates(spark, sf_dir).where((F.col("gen_idx") == 0) & F.col("sample_id").isin(ids))
+    df = D.build_prompt(scored(spark, sf_dir, cands=first))
     return df.select(
         "sample_id", T.preview(F.col("prompt"), 100, ellipsis=True).alias("prompt"), "answer",
         F.col("completion").alias("first_generation"), F.col("score").alias("first_reward"))
@@ -780,8 +782,8 @@ def q_map_fields(spark, sf_dir):
 # ---- V: checks -------------------------------------------------------------------------------
 
 @register("non_empty_fields", f"""WITH {CONV_PAIRS}, p AS (SELECT {PROMPT_SQL} AS prompt, answer FROM pairs)
-SELECT count(*) AS num_rows, count(*) FILTER (WHERE coalesce(trim(prompt), '') = '') AS empty_prompt,
-       count(*) FILTER (WHERE coalesce(trim(answer), '') = '') AS empty_answer FROM p""")
+SELECT count(*) AS num_rows, count(*) FILTER (WHERE coalesce({O.strip('prompt')}, '') = '') AS empty_prompt,
+       count(*) FILTER (WHERE coalesce({O.strip('answer')}, '') = '') AS empty_answer FROM p""")
 def q_non_empty_fields(spark, sf_dir):
     """V2 over all prompt rows built from conversation pairs."""
     return D.non_empty_fields(D.build_prompt(FX.conversation_pairs(spark, sf_dir)))
@@ -802,15 +804,11 @@ matched AS (SELECT t.*, coalesce(rr.n, 0) AS gen_rows, coalesce(rr.n, 0) AS ref_
 {O.SCORED}
 SELECT sample_id, score FROM final""")
 def q_ground_truth_check(spark, sf_dir):
-    """V5: every reference answer scored against itself (its rows on both sides)."""
-    s = D.ground_truth_pairs(FX.samples(spark, sf_dir)).withColumns(
-        {"gen_idx": F.lit(0), "gen_success": F.lit(True), "ref_success": F.lit(True),
-         "gen_error": F.lit(None).cast("string")})
-    orders = read_table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("sample_id"), "o_orderkey")
-    rows = orders.join(s.select("sample_id", "gen_idx"), "sample_id")
-    both = rows.select("sample_id", "gen_idx", F.lit("gen").alias("side"), F.col("o_orderkey").alias("cell")) \
-        .unionByName(rows.select("sample_id", "gen_idx", F.lit("ref").alias("side"), F.col("o_orderkey").alias("cell")))
-    df = X.compare_pairs(C.with_sql_columns(s), both, KEYS)
+    """V5: every reference answer executed and scored against itself."""
+    from ..sources.executor import execute_candidates
+    from ..sources.tables import register_tables
+    s = D.ground_truth_pairs(FX.samples(spark, sf_dir)).withColumn("gen_idx", F.lit(0))
+    df = execute_candidates(spark, C.with_sql_columns(s), KEYS, lambda x: register_tables(x, sf_dir))
     total, _ = C.combined_scorer()(df)
     return df.select("sample_id", total.alias("score"))
 
@@ -900,3 +898,117 @@ def q_kept_executions(spark, sf_dir):
     times = F.coalesce("_first", F.lit(0)) + F.when(F.col("kept"), 0).otherwise(1)
     return second.join(first, "query_id", "left").select("query_id", "success", "row_count", F.col("_first").isNotNull().alias("in_first"),
                                                          times.cast("bigint").alias("times_run"))
+
+
+# ---- details, whole texts, sinks -------------------------------------------------------------
+
+@register("score_details", _q(*O.SCORED_BASE) + """
+SELECT sample_id, gen_idx, score, syntax_score, CAST(0.2 AS DOUBLE) AS syntax_weight, execution_score * CAST(0.6 AS DOUBLE) AS execution_weighted,
+  CASE WHEN gen_success AND ref_success THEN exact_match END AS exact_match,
+  CASE WHEN gen_success AND ref_success THEN CAST(gen_rows AS BIGINT) END AS generated_rows,
+  CASE WHEN NOT gen_success THEN gen_error END AS error, semantic_score, CAST(3 AS INTEGER) AS num_components
+FROM final""")
+def q_score_details(spark, sf_dir):
+    """Score, component details and metadata written as nested columns; single members read back."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "scores", uuid.uuid4().hex)
+    C.with_details(outcome(spark, sf_dir)).select(*KEYS, "score", "scored", "details", "metadata").write.parquet(path)
+    d = F.col("details")
+    ex = d["reward_1_execution"]
+    return spark.read.parquet(path).select(
+        *KEYS, "score", d["reward_0_syntax"]["score"].alias("syntax_score"), d["reward_0_syntax"]["weight"].alias("syntax_weight"),
+        ex["weighted_score"].alias("execution_weighted"), ex["details"]["exact_match"].alias("exact_match"),
+        ex["details"]["generated_rows"].alias("generated_rows"), ex["details"]["error"].alias("error"),
+        d["reward_2_semantic"]["score"].alias("semantic_score"), F.col("metadata.num_components").alias("num_components"))
+
+
+@register("text_functions_documents", f"""
+WITH x1 AS (SELECT doc_id, coalesce(text, '') AS text, {O.extract_stage1("coalesce(text, '')")} AS _s1 FROM documents),
+x2 AS (SELECT doc_id, text, {O.extract_stage2('_s1')} AS sql FROM x1)
+SELECT doc_id, md5(regexp_replace(text, {O.lit(O.THINK_BLOCK)}, '', 'g')) AS stripped_think, md5({O.strip('text')}) AS stripped, md5(sql) AS extracted,
+  length(sql) > 0 AS syntax_valid, CAST({O.token_count('sql')} AS BIGINT) AS token_count, CAST({O.keyword_count('sql')} AS BIGINT) AS keyword_count,
+  {O.syntax_score()} AS syntax_score, {O.format_score('text')} AS format_score FROM x2""")
+def q_text_functions_documents(spark, sf_dir):
+    """T1, T3–T9 and T16 over whole document texts."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    d = docs.withColumn("_s1", T.extract_sql_stage1(F.col("text")))
+    d = C.with_syntax_columns(d.withColumn(C.SQL, T.extract_sql_stage2(F.col("_s1"))))
+    score, _ = C.syntax_scorer()(d)
+    return d.select("doc_id", F.md5(T.strip_think("text")).alias("stripped_think"), F.md5(T.py_strip("text")).alias("stripped"),
+                    F.md5(C.SQL).alias("extracted"), T.syntax_valid(F.col(C.SQL)).alias("syntax_valid"), _big(F.col(C.N_TOK)).alias("token_count"),
+                    _big(F.col(C.N_KW)).alias("keyword_count"), score.alias("syntax_score"), T.format_score(F.col("text")).alias("format_score"))
+
+
+@register("semantic_score_conversations", f"""WITH {CONV_PAIRS},
+n AS (SELECT conv_id, turn, {O.normalize('question')} AS gen_norm, {O.normalize('answer')} AS ref_norm FROM pairs),
+t AS (SELECT *, {O.tokens('gen_norm')} AS gen_tokens, {O.tokens('ref_norm')} AS ref_tokens FROM n)
+SELECT conv_id, turn, {O.semantic_score()} AS semantic_score FROM t""")
+def q_semantic_score_conversations(spark, sf_dir):
+    """T10–T12 over question and answer texts of all conversations."""
+    pairs = FX.conversation_pairs(spark, sf_dir).select("conv_id", "turn", T.normalize_sql("question").alias(C.GEN_NORM), T.normalize_sql("answer").alias(C.REF_NORM))
+    pairs = pairs.withColumns({C.GEN_TOK: T.tokens(F.col(C.GEN_NORM)), C.REF_TOK: T.tokens(F.col(C.REF_NORM))})
+    score, _ = C.semantic_scorer()(pairs)
+    return pairs.select("conv_id", "turn", score.alias("semantic_score"))
+
+
+@register("observed_checks", _q(*O.SCORED_BASE) + f"""
+, p AS (SELECT final.*, {PROMPT_SQL} AS prompt FROM final)
+SELECT count(*) AS num_rows, count(*) FILTER (WHERE coalesce({O.strip('prompt')}, '') = '') AS empty_prompt,
+  count(*) FILTER (WHERE coalesce({O.strip('completion')}, '') = '') AS empty_completion, count(score) AS num_scores,
+  count(*) FILTER (WHERE NOT (score BETWEEN -1 AND 1)) AS out_of_range, count(*) AS call_count, round(sum(score), 6) AS total_reward FROM p""")
+def q_observed_checks(spark, sf_dir):
+    """V2–V4 and C6 as metrics of the write of the scored rows: one pass, no job of their own."""
+    rows, seen = D.observed(D.build_prompt(scored(spark, sf_dir)), "checks", ("prompt", "completion"), "score", "scored")
+    path = os.path.join(ensure_checkpoint_dir(spark), "observed", uuid.uuid4().hex)
+    rows.select(*KEYS, "prompt", "completion", "score", "scored").write.parquet(path)
+    got = seen.get
+    names = ["num_rows", "empty_prompt", "empty_completion", "num_scores", "out_of_range", "call_count"]
+    return spark.createDataFrame([(*(got[n] for n in names), round(got["total_reward"], 6))], ", ".join(f"{n} long" for n in names) + ", total_reward double")
+
+
+@register("write_evaluation", _q(*O.SCORED_BASE, O.PER_SAMPLE) + """
+SELECT sample_id, best_reward, CAST(num_generations AS BIGINT) AS num_rewards, (SELECT count(*) FROM per_sample) AS num_samples,
+  (SELECT round(avg(best_reward), 6) FROM per_sample) AS best_reward_mean FROM per_sample""")
+def q_write_evaluation(spark, sf_dir):
+    """S4 with its detail rows: the details to Parquet, the summary without them to JSON, both read back."""
+    records = E.sample_rewards(scored(spark, sf_dir), ["sample_id"], keep_lists=True)
+    path = os.path.join(ensure_checkpoint_dir(spark), "evaluation", uuid.uuid4().hex)
+    summary = E.evaluation_summary(records, digits=6)
+    write_evaluation(records, summary.withColumn("detailed_results", F.lit("not written")), path)
+    read = spark.read.schema(summary.schema).json(f"{path}/summary").first()  # one row
+    details = spark.read.parquet(f"{path}/details").select("sample_id", "best_reward", _big(F.size("rewards")).alias("num_rewards"))
+    return details.withColumns({"num_samples": F.lit(read["num_samples"]).cast("long"), "best_reward_mean": F.lit(read["best_reward_mean"])})
+
+
+@register("merged_moments", _q(*O.SCORED_BASE, O.PER_SAMPLE) + """
+SELECT num_generations, count(*) AS n, round(avg(best_reward), 6) AS mean, round(stddev_samp(best_reward), 6) AS std,
+  round(avg(CAST(best_reward > 0.5 AS DOUBLE)), 6) AS success_rate, round(avg(CAST(best_reward > 0.95 AS DOUBLE)), 6) AS perfect_rate
+FROM per_sample GROUP BY num_generations""")
+def q_merged_moments(spark, sf_dir):
+    """M1/E3 over runs: each run (a fifth of the samples) adds its state; the merged state is that of all rows."""
+    samples = per_sample(spark, sf_dir).checkpoint()
+    path = os.path.join(ensure_checkpoint_dir(spark), "moments", uuid.uuid4().hex)
+    for k in (0, 1, 2, 3, 4, 0):  # the first run is written again
+        E.append_moments(E.moments(samples.where(F.col("sample_id") % 5 == k), ["num_generations"]), path, f"run-{k}")
+    return E.summary_of_moments(E.merge_moments(spark.read.parquet(path), ["num_generations"]), digits=6)
+
+
+@register("sharded_shuffle", f"""
+SELECT doc_id, row_number() OVER (ORDER BY {HASH.format(id='doc_id')}, doc_id) - 1 AS shuffle_pos FROM documents""")
+def q_sharded_shuffle(spark, sf_dir):
+    """Documents written in seeded shuffle order and read back with their positions."""
+    path = os.path.join(ensure_checkpoint_dir(spark), "shuffled", uuid.uuid4().hex)
+    write_shuffled(read_table(spark, sf_dir, "documents"), "doc_id", path, shards=16)
+    return read_shuffled(spark, path).select("doc_id", _big(F.col("shuffle_pos")).alias("shuffle_pos"))
+
+
+@register("load_json", """
+SELECT conv_id, turn, role, text, CAST(NULL AS VARCHAR) AS bad_line FROM conversations UNION ALL
+SELECT NULL, NULL, NULL, NULL, '{"conv_id": ' || conv_id || ', "turn": "first' FROM conversations WHERE turn = 0""")
+def q_load_json(spark, sf_dir):
+    """S1 from JSON lines: conversations written as JSON with broken lines between, read with a declared schema."""
+    conv = read_table(spark, sf_dir, "conversations")
+    path = os.path.join(ensure_checkpoint_dir(spark), "json", uuid.uuid4().hex)
+    bad = conv.where("turn = 0").select(F.concat(F.lit('{"conv_id": '), F.col("conv_id").cast("string"), F.lit(', "turn": "first')).alias("value"))
+    conv.select(F.to_json(F.struct("conv_id", "turn", "role", "text")).alias("value")).unionByName(bad).write.text(path)
+    kinds = dict(conv.dtypes)
+    return read_json(spark, path, ", ".join(f"{c} {kinds[c]}" for c in ("conv_id", "turn", "role", "text")))

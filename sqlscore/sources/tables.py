@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -67,3 +67,48 @@ def write_eval_summary(summary: DataFrame, path: str, mode: str = "overwrite") -
     """Write the one-row evaluation summary as JSON without the detail rows."""
     cols = [c for c in summary.columns if c != "detailed_results"]
     summary.select(*cols).coalesce(1).write.mode(mode).json(path)
+
+
+def write_evaluation(records: DataFrame, summary: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """S4 in full: the detail rows as Parquet under ``details``, the summary without them as JSON under ``summary``."""
+    records.write.mode(mode).parquet(f"{path}/details")
+    write_eval_summary(summary, f"{path}/summary", mode)
+
+
+def write_shuffled(df: DataFrame, id_col: str, path: str, shards: int, seed: int = 42, mode: str = "overwrite") -> None:
+    """R1/S1 on disk: the rows in seeded shuffle order, range-partitioned by the hash into ``shards`` files, sorted inside.
+
+    The files' names are in the order of their ranges, so reading them in name order gives the shuffle.
+    """
+    from ..operators.dataset import SHUFFLE_SALT
+    from ..operators.ranking import seeded_hash
+    h = seeded_hash(id_col, seed, SHUFFLE_SALT)
+    order = [h, F.col(id_col)]
+    df.repartitionByRange(shards, *order).sortWithinPartitions(*order).write.mode(mode).parquet(path)
+
+
+def read_shuffled(spark: SparkSession, path: str, pos_col: str = "shuffle_pos") -> DataFrame:
+    """The rows of :func:`write_shuffled` with their position: the row's place in its file and the rows of the files before.
+
+    The files' sizes are counted once; a running sum over them (one row a file) gives the offsets.
+    """
+    rows = spark.read.parquet(path)
+    file = F.col("_metadata.file_name")
+    sizes = rows.groupBy(file.alias("_file")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    at = rows.select("*", file.alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    return at.join(F.broadcast(offsets), "_file").withColumn(pos_col, F.col("_before") + F.col("_place")).drop("_file", "_place", "_before")
+
+
+def read_json(spark: SparkSession, path: str, schema: str, bad_col: str = "bad_line") -> DataFrame:
+    """S1 from JSON lines with a declared schema: a line that does not fit keeps its text in ``bad_col``, its fields are null.
+
+    Nothing is inferred (no pass over the files before the read) and no line is dropped.
+    """
+    return spark.read.schema(f"{schema}, `{bad_col}` string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_col).json(path)
+
+
+def split_bad(df: DataFrame, bad_col: str = "bad_line") -> tuple[DataFrame, DataFrame]:
+    """(rows that were read, texts of the lines that were not)."""
+    return df.where(F.col(bad_col).isNull()).drop(bad_col), df.where(F.col(bad_col).isNotNull()).select(bad_col)
