@@ -8,11 +8,14 @@ positions is found by binary search (:func:`common_extension`).
 
 A fingerprint is a sampled prefix array: the length, the hash of the whole text,
 the prefix hashes at the positions of a grid with eight points an octave, and
-the hashes of the suffixes of the same lengths. The grid does not depend on
-the text, so equal prefixes (suffixes) give equal entries; the likeness of two
-fingerprints is the longest common prefix plus the longest common suffix that
-the grid can see, found by binary search, over the longer length (1 for equal
-texts). The size of a fingerprint is logarithmic in the length.
+the hashes of the suffixes of the same lengths, and the smallest span hashes of the text:
+of all its spans of ``SPAN`` code points, wherever they stand, the ``SKETCH`` smallest mixed hashes.
+The grid does not depend on the text, so equal prefixes (suffixes) give equal entries; the
+longest common prefix plus the longest common suffix that the grid can see are found by binary search. The
+smallest spans of both texts together are a random sample of all their spans, so the share of them that both
+texts hold tells how much text they have in common where one is shifted, or changed at both ends. The
+likeness is the larger of both, over the longer length (1 for equal texts, below 1 for others). The size of
+a fingerprint is logarithmic in the length.
 
 :func:`edited_pairs` pairs every document with the next one in descending id
 order. Documents are dealt into ranges of ids whose upper ends are ids that
@@ -34,11 +37,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, documents, pieces, restore_id, text_bytes
+from .common import BLOCK_BYTES, documents, mix64, pieces, restore_id, text_bytes
 
 PRIME = np.uint64(2 ** 31 - 1)
 BASES = (1_000_003, 776_531_401)
 POINTS_PER_OCTAVE = 8
+#: Code points of a span, spans kept.
+SPAN, SKETCH = 32, 48
 
 _powers: dict[int, np.ndarray] = {}
 
@@ -101,13 +106,26 @@ def _grid() -> np.ndarray:
 GRID = _grid()
 
 
+def smallest_spans(prefix: np.ndarray) -> np.ndarray:
+    """The ``SKETCH`` smallest distinct mixed hashes of the spans of ``SPAN`` code points (32 bits, sorted)."""
+    n = prefix.shape[1] - SPAN
+    if n < 1:
+        return np.empty(0, np.uint32)
+    inverse = _power_table(pow(BASES[0], -1, int(PRIME)), n)
+    h = (prefix[0, SPAN:] + PRIME - prefix[0, :n]) % PRIME * inverse % PRIME
+    h = (mix64(h) >> np.uint64(32)).astype(np.uint32)
+    some = 4 * SKETCH
+    least = np.unique(np.partition(h, some)[:some] if len(h) > some else h)[:SKETCH]
+    return least if len(least) == SKETCH or len(h) <= some else np.unique(h)[:SKETCH]  # many repetitions: look at all
+
+
 class Fingerprint:
-    """Length, whole hash, and 24-bit prefix and suffix hashes at the grid positions."""
+    """Length, whole hash, 24-bit prefix and suffix hashes at the grid positions, and the smallest spans."""
 
-    __slots__ = ("n", "whole", "prefixes", "suffixes")
+    __slots__ = ("n", "whole", "prefixes", "suffixes", "spans")
 
-    def __init__(self, n: int, whole: int, prefixes: np.ndarray, suffixes: np.ndarray):
-        self.n, self.whole, self.prefixes, self.suffixes = n, whole, prefixes, suffixes
+    def __init__(self, n: int, whole: int, prefixes: np.ndarray, suffixes: np.ndarray, spans: np.ndarray):
+        self.n, self.whole, self.prefixes, self.suffixes, self.spans = n, whole, prefixes, suffixes, spans
 
     @classmethod
     def of(cls, text: str) -> "Fingerprint":
@@ -116,21 +134,22 @@ class Fingerprint:
         at = GRID[:np.searchsorted(GRID, n, side="right")]
         head = (prefix[0, at] << np.uint64(31)) | prefix[1, at]
         tail = span_hash(prefix, n - at, np.full(len(at), n)) if len(at) else head
-        return cls(n, (int(prefix[0, n]) << 31) | int(prefix[1, n]), _short(head), _short(tail))
+        return cls(n, (int(prefix[0, n]) << 31) | int(prefix[1, n]), _short(head), _short(tail), smallest_spans(prefix))
 
     def __str__(self) -> str:
         def pack(a):
             return base64.b64encode(a.astype(">u4").view(np.uint8).reshape(-1, 4)[:, 1:].tobytes()).decode()
-        return f"{self.n}.{self.whole:016x}.{pack(self.prefixes)}.{pack(self.suffixes)}"
+        spans = base64.b64encode(self.spans.astype(">u4").tobytes()).decode()
+        return f"{self.n}.{self.whole:016x}.{pack(self.prefixes)}.{pack(self.suffixes)}.{spans}"
 
     @classmethod
     def parse(cls, text: str) -> "Fingerprint":
-        n, whole, head, tail = text.split(".")
+        n, whole, head, tail, spans = text.split(".")
 
         def unpack(s):
             raw = np.frombuffer(base64.b64decode(s), np.uint8).reshape(-1, 3).astype(np.uint32)
             return (raw[:, 0] << 16) | (raw[:, 1] << 8) | raw[:, 2]
-        return cls(int(n), int(whole, 16), unpack(head), unpack(tail))
+        return cls(int(n), int(whole, 16), unpack(head), unpack(tail), np.frombuffer(base64.b64decode(spans), ">u4").astype(np.uint32))
 
 
 def _short(h: np.ndarray) -> np.ndarray:
@@ -149,14 +168,26 @@ def _agree(a: np.ndarray, b: np.ndarray) -> int:
     return int(GRID[low - 1]) if low else 0
 
 
+def common_share(a: Fingerprint, b: Fingerprint) -> float:
+    """Estimated code points that two texts have in common, from the spans that both hold among their smallest."""
+    if not len(a.spans) or not len(b.spans):
+        return 0.0
+    both = np.union1d(a.spans, b.spans)
+    if SKETCH in (len(a.spans), len(b.spans)):  # beyond the last of a full sketch nothing is known
+        both = both[:SKETCH]
+    j = np.isin(both, np.intersect1d(a.spans, b.spans)).mean()
+    return j * (a.n + b.n - 2 * SPAN + 2) / (1 + j) + SPAN - 1 if j else 0.0
+
+
 def likeness(a: Fingerprint, b: Fingerprint) -> float:
-    """0 to 1: the visible common prefix and suffix over the longer length; 1 for equal texts."""
+    """0 to 1: what the texts are seen to have in common, at their ends or anywhere, over the longer length; 1 for equal texts."""
     if a.n == b.n and a.whole == b.whole:
         return 1.0
     longest, shortest = max(a.n, b.n), min(a.n, b.n)
     if not shortest:
         return 0.0
-    return min(shortest, _agree(a.prefixes, b.prefixes) + _agree(a.suffixes, b.suffixes)) / longest
+    ends = _agree(a.prefixes, b.prefixes) + _agree(a.suffixes, b.suffixes)
+    return float(min(shortest, longest - 1, max(ends, common_share(a, b))) / longest)
 
 
 def edited_text(text: str, following: str) -> str:

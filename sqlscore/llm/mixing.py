@@ -12,7 +12,7 @@ if need be.
 
 Scale: a range holds 1/4096 of a source, hot sources included; the table of
 ranges has at most 4096 rows a source, the table of sources one row a source.
-Nothing is sampled and no text is shuffled. The order depends on the ids only,
+Nothing is sampled, no text is shuffled, each text is read once. The order depends on the ids only,
 so reruns and retried tasks agree.
 
 Cases: null text has size 0; the null source is a source of its own, ordered
@@ -80,7 +80,8 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     key = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     sized = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                         word_count(F.col(text_col)).alias("size"), key.alias("_key"))
-    return prefix_cut(sized, weights, budget, repeats, digits)
+    # read three times below: ids and numbers are written, so that the words of a text are counted once
+    return prefix_cut(sized.checkpoint(), weights, budget, repeats, digits)
 
 
 def prefix_cut(sized: DataFrame, weights=WEIGHTS, budget=BUDGET, repeats: int = REPEATS,

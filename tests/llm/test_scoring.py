@@ -65,6 +65,51 @@ def test_likeness_grows_with_the_common_part():
     assert str(again) == str(f(base)) and fingerprints.likeness(again, f(base[:2500])) == fingerprints.likeness(f(base), f(base[:2500]))
 
 
+def brute_likeness(a, b):
+    """(largest grid prefix and suffix in common, exact share of common spans) of two texts."""
+    grid = [int(g) for g in fingerprints.GRID if g <= min(len(a), len(b))]
+    ends = max([g for g in grid if a[:g] == b[:g]], default=0) + max([g for g in grid if a[-g:] == b[-g:]], default=0)
+    sa, sb = ({t[k:k + fingerprints.SPAN] for k in range(len(t) - fingerprints.SPAN + 1)} for t in (a, b))
+    return ends, len(sa & sb) / len(sa | sb) if sa | sb else 0.0
+
+
+def test_likeness_against_brute_force():
+    """The ends exactly; the common spans within four deviations of the sample, exactly where all spans are kept."""
+    rng = random.Random(6)
+    letters = "abcdefgh ij"
+    f = fingerprints.Fingerprint.of
+    for _ in range(150):
+        n = rng.choice([5, 31, 32, 40, 60, 300, 2000])
+        a = "".join(rng.choice(letters) for _ in range(n))
+        i, j = sorted((rng.randint(0, n), rng.randint(0, n)))
+        new = "".join(rng.choice(letters) for _ in range(rng.randint(0, n)))
+        b = rng.choice([a[:i] + new + a[j:], new + a[i:j] + new[::-1], a[j:] + a[:j], a + new])
+        ends, j = brute_likeness(a, b)
+        got = fingerprints.likeness(f(a), f(b))
+        if a == b:
+            assert got == 1.0
+            continue
+        longest, shortest = max(len(a), len(b)), min(len(a), len(b))
+        full = len(f(a).spans) < fingerprints.SKETCH and len(f(b).spans) < fingerprints.SKETCH
+
+        def share(x):
+            common = x * (len(a) + len(b) - 2 * fingerprints.SPAN + 2) / (1 + x) + fingerprints.SPAN - 1 if x > 0 else 0
+            return min(shortest, longest - 1, max(ends, common)) / longest if shortest else 0.0
+        off = 0 if full else 4 * math.sqrt(max(j * (1 - j), 0.01) / fingerprints.SKETCH)
+        assert share(j - off) - 1e-9 <= got <= share(min(1, j + off)) + 1e-9
+
+
+def test_likeness_sees_shifts_and_edits_at_both_ends():
+    rng = random.Random(12)
+    base = "".join(rng.choice("abcdef ") for _ in range(10_000))
+    other = "".join(rng.choice("abcdef ") for _ in range(10_000))
+    f = fingerprints.Fingerprint.of
+    assert fingerprints.likeness(f(base), f("X" + base[1:-1] + "Y")) > 0.9
+    assert fingerprints.likeness(f(base), f("a few words before it " + base)) > 0.9
+    assert 0.35 < fingerprints.likeness(f(base), f(other[:3000] + base[3000:8000] + other[8000:])) < 0.65
+    assert fingerprints.likeness(f(base), f(other)) < 0.01 and fingerprints.likeness(f(base), f(base[:-1] + "Z")) < 1.0
+
+
 # ---- mixing ---------------------------------------------------------------------------
 
 def brute_mix(rows):
