@@ -55,7 +55,7 @@ def split_sizes(n: int, test_fraction: float) -> tuple[int, int]:
 
 
 def _n_test(test_fraction: float):
-    return lambda total: F.ceil(F.lit(float(test_fraction)) * total.cast("double")).cast("long")
+    return lambda total: split_sizes(total, test_fraction)[1]
 
 
 def train_test_split(df: DataFrame, id_col: str, test_fraction: float, seed: int = 42, split_col: str = "split") -> DataFrame:
@@ -136,8 +136,7 @@ def split_preview(df: DataFrame, id_col: str, test_fraction: float, split: str,
     The test rows lead the split order, so a train row's place in it is its index after them: no split is made.
     """
     n_test = _n_test(test_fraction)
-    inside = {"test": lambda total: F.when(F.lit(index) < n_test(total), F.lit(index)).otherwise(total),
-              "train": lambda total: n_test(total) + F.lit(index)}
+    inside = {"test": lambda total: index if index < n_test(total) else total, "train": lambda total: n_test(total) + index}
     if split not in inside or index < 0:
         return _preview(df.limit(0).withColumn(split_col, F.lit(split)), max_chars)
     row = hash_row(df, id_col, seeded_hash(id_col, seed, SPLIT_SALT), inside[split])

@@ -3,8 +3,8 @@
 Which row stands at a position of an order is found by descent: the rows are counted in at
 most ``BINS`` buckets of the order, the running sum tells the bucket that holds the position, and
 the next pass counts inside that bucket only, until it is small (``LEAF`` rows) or holds one value. Each
-pass is an aggregate over the id or key column alone, combined in the task; one row comes back. What
-follows is a filter by a literal: the rows themselves are neither ranked, sorted nor written.
+pass is an aggregate over the id or key column alone, combined in the task; at most ``BINS`` counts (``LEAF``
+in the last pass) come back. What follows is a filter by a literal: the rows themselves are neither ranked, sorted nor written.
 
 * :func:`hash_cut`, :func:`upto` — the first k rows in (hash, id) order;
 * :func:`hash_row` — the row at a position of that order;
@@ -19,22 +19,30 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .ranking import exact_positions
 
-#: Hex digits (2**16 buckets) of one level of the descent; rows at which it ends.
-DIGITS, BINS, LEAF = 4, 1 << 16, 50_000
+#: Hex digits (4096 buckets) of one level of the descent; rows at which it ends.
+DIGITS, BINS, LEAF = 3, 1 << 12, 4096
 
 
-def _holding(counts: DataFrame, order: list, before: int, target: Column) -> DataFrame:
-    """The row of ``counts`` (bounded by ``BINS``; column ``n``) that holds the 1-based ``target``, with the rows ``less`` before it and in ``total``."""
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = counts.withColumns({"_upto": F.sum("n").over(upto) + F.lit(before), "total": F.sum("n").over(Window.partitionBy())})
-    c = c.withColumns({"less": F.col("_upto") - F.col("n"), "target": target})
-    return c.where((F.col("less") < F.col("target")) & (F.col("target") <= F.col("_upto")))
+def _holding(counts: list, before: int, target: int):
+    """(row, rows before it) of the ordered counts that holds the 1-based ``target``, None beyond the last."""
+    for row in counts:
+        if before < target <= before + row["n"]:
+            return row, before
+        before += row["n"]
+    return None
+
+
+def _counted(rows: DataFrame, keys: list[Column], *more: Column) -> list:
+    """Rows of each key, in the order of the keys, nulls first; the callers bound the number of keys."""
+    names = [f"k{i}" for i in range(len(keys))]
+    found = rows.groupBy(*[k.alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("n"), *more).collect()
+    return sorted(found, key=lambda r: [(r[n] is not None, r[n]) if r[n] is not None else (False, 0) for n in names])
 
 
 # ---- (hash, id) order ----------------------------------------------------------------------
@@ -44,44 +52,51 @@ class Cut:
     """A pair of the order: ``less`` rows stand before it, ``same`` rows share it, ``take`` of them belong to the first part."""
     hash: str
     id: object
+    kind: T.DataType
     less: int
     same: int
     take: int
     total: int
 
+    def _pair(self) -> Column:
+        return F.struct(F.lit(self.hash).alias("h"), F.lit(self.id).cast(self.kind).alias("i"))
+
     def before(self, hash_: Column, id_: Column) -> Column:
-        """Rows before the pair."""
-        smaller = F.lit(False) if self.id is None else (id_.isNull() | (id_ < F.lit(self.id)))
-        return (hash_ < F.lit(self.hash)) | ((hash_ == F.lit(self.hash)) & smaller)
+        """Rows before the pair (one comparison of pairs: the hash is computed once a row; nulls stand first)."""
+        return F.struct(hash_.alias("h"), id_.alias("i")) < self._pair()
+
+    def upto(self, hash_: Column, id_: Column) -> Column:
+        """Rows up to the pair."""
+        return F.struct(hash_.alias("h"), id_.alias("i")) <= self._pair()
 
     def at(self, hash_: Column, id_: Column) -> Column:
         """Rows that share the pair."""
-        return id_.eqNullSafe(F.lit(self.id)) & (hash_ == F.lit(self.hash))
+        return id_.eqNullSafe(F.lit(self.id).cast(self.kind)) & (hash_ == F.lit(self.hash))
 
 
-def hash_cut(df: DataFrame, id_col: str, hash_: Column, k: int | Callable[[Column], Column]) -> Cut | None:
+def hash_cut(df: DataFrame, id_col: str, hash_: Column, k: int | Callable[[int], int]) -> Cut | None:
     """Where the first ``k`` rows in (hash, id) order end; None if that is before the first row or there are fewer.
 
-    ``hash_``: hex digits, uniform, the same for equal ids. ``k`` is a number, or made from the column of the total.
+    ``hash_``: hex digits, uniform, the same for equal ids. ``k`` is a number, or made from the total.
     """
     keys = df.select(hash_.alias("h"), F.col(id_col).alias("i"))
-    target = k(F.col("total")) if callable(k) else F.lit(k)
     prefix, before, total = "", 0, None
     while True:
         inside = keys.where(F.col("h").startswith(prefix)) if prefix else keys
-        bucket = F.substring("h", len(prefix) + 1, DIGITS)
-        counts = inside.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi"))
-        row = _holding(counts, ["b"], before, target.cast("long")).first()
-        if row is None:
-            return None
+        counts = _counted(inside, [F.substring("h", len(prefix) + 1, DIGITS)], F.min("h").alias("lo"), F.max("h").alias("hi"))
         if total is None:
-            total = row["total"]
-        target, before, prefix = F.lit(row["target"]), row["less"], prefix + row["b"]
+            total = sum(r["n"] for r in counts)
+            target = k(total) if callable(k) else k
+        held = _holding(counts, before, target)
+        if held is None:
+            return None
+        row, before = held
+        prefix += row["k0"]
         if row["n"] <= LEAF or row["lo"] == row["hi"]:
             break
-    leaf = keys.where(F.col("h").startswith(prefix)).groupBy("h", "i").agg(F.count(F.lit(1)).alias("n"))
-    row = _holding(leaf, ["h", F.col("i").asc_nulls_first()], before, target).first()
-    return Cut(row["h"], row["i"], row["less"], row["n"], row["target"] - row["less"], total)
+    leaf = _counted(keys.where(F.col("h").startswith(prefix)), [F.col("h"), F.col("i")])
+    row, before = _holding(leaf, before, target)
+    return Cut(row["k0"], row["k1"], df.schema[id_col].dataType, before, row["n"], target - before, total)
 
 
 def _some(equal: DataFrame, start: int, end: int) -> DataFrame:
@@ -95,14 +110,14 @@ def upto(df: DataFrame, id_col: str, hash_: Column, cut: Cut, flag_col: str) ->
     """Add ``flag_col``: true for the rows up to the cut."""
     id_ = F.col(id_col)
     if cut.take == cut.same:
-        return df.withColumn(flag_col, F.coalesce(cut.before(hash_, id_) | cut.at(hash_, id_), F.lit(False)))
+        return df.withColumn(flag_col, cut.upto(hash_, id_))
     ties = df.where(cut.at(hash_, id_))
-    flagged = df.where(~F.coalesce(cut.at(hash_, id_), F.lit(False))).withColumn(flag_col, F.coalesce(cut.before(hash_, id_), F.lit(False)))
+    flagged = df.where(~cut.at(hash_, id_)).withColumn(flag_col, cut.before(hash_, id_))
     return (flagged.unionByName(_some(ties, 0, cut.take).withColumn(flag_col, F.lit(True)))
             .unionByName(_some(ties, cut.take, cut.same).withColumn(flag_col, F.lit(False))))
 
 
-def hash_row(df: DataFrame, id_col: str, hash_: Column, position: int | Callable[[Column], Column]) -> DataFrame:
+def hash_row(df: DataFrame, id_col: str, hash_: Column, position: int | Callable[[int], int]) -> DataFrame:
     """The row at the 0-based ``position`` of the (hash, id) order; no row if there are not as many."""
     k = (lambda total: position(total) + 1) if callable(position) else position + 1
     cut = hash_cut(df, id_col, hash_, k)
@@ -128,25 +143,23 @@ def key_at(df: DataFrame, col: str, position: int, low: int, high: int) -> tuple
     """(key, rows with a smaller key, rows with this key) at a 0-based position of the non-null keys; keys lie in [low, high]."""
     key, literal = as_whole(df, col)
     keys = df.select(F.col(col)).where(F.col(col).isNotNull())
-    before, target = 0, F.lit(position + 1)
+    before, target = 0, position + 1
     while True:
         width = (high - low) // BINS + 1
         inside = keys.where((F.col(col) >= literal(low)) & (F.col(col) <= literal(high)))
         # the span of long keys may exceed a long
         wide = [c.cast("decimal(20,0)") for c in (key, F.lit(low), F.lit(width))]
         bin_ = F.call_function("div", wide[0] - wide[1], wide[2])
-        counts = inside.groupBy(bin_.cast("long").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        row = _holding(counts, ["b"], before, target).first()
-        low, before = low + row["b"] * width, row["less"]
+        row, before = _holding(_counted(inside, [bin_.cast("long")]), before, target)
+        low += row["k0"] * width
         high = min(high, low + width - 1)
         if width == 1:
             return low, before, row["n"]
         if row["n"] <= LEAF:
             break
-    leaf = (keys.where((F.col(col) >= literal(low)) & (F.col(col) <= literal(high)))
-            .groupBy(key.alias("k")).agg(F.count(F.lit(1)).alias("n")))
-    row = _holding(leaf, ["k"], before, target).first()
-    return row["k"], row["less"], row["n"]
+    leaf = _counted(keys.where((F.col(col) >= literal(low)) & (F.col(col) <= literal(high))), [key])
+    row, before = _holding(leaf, before, target)
+    return row["k0"], before, row["n"]
 
 
 def slice_rows(df: DataFrame, order_col: str, start: int, end: int, pos_col: str | None = None) -> DataFrame:
