@@ -137,7 +137,7 @@ def text_features(text: str, stems: tuple[str, ...] = ()) -> list[float]:
 #: Learned words of a text count as one if they agree in so many characters (a long run without blanks is not copied for each term in it).
 TOLD_APART = 24
 
-#: Tasks that fit the trees (at most ``max_rows`` rows, dealt round).
+#: Tasks that fit the trees (at most ``max_rows`` rows).
 FIT_TASKS = 6
 
 _WORD_START = re.compile(r"[^\W\d_]{4,}")
@@ -239,7 +239,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     texts = (documents(docs, id_col, text_col).join(F.broadcast(known), "doc_id")  # at most max_rows ids
              .withColumn("calibrate", salted_crc("doc_id", folds) == calibration))
     stems = learned_stems(texts.where("not calibrate"))
-    rows = with_features(texts, stems=stems).select("label", "features", "calibrate").repartition(FIT_TASKS).persist()
+    # dealt and ordered by the id, so that reruns fit the same trees
+    rows = (with_features(texts, stems=stems).repartition(FIT_TASKS, "doc_id").sortWithinPartitions("doc_id")
+            .select("label", "features", "calibrate").persist())
     try:
         seen = {(r["calibrate"], r["label"]): r["n"] for r in rows.groupBy("calibrate", "label").agg(F.count("*").alias("n")).collect()}
         total, toxic = sum(seen.values()), sum(n for (_, y), n in seen.items() if y == 1.0)
