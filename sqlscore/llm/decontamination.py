@@ -8,25 +8,27 @@ benchmark item it is held against. Item and window match when the weighted
 Jaccard similarity of their shingles, ``sum min(counts) / sum max(counts)``, is at
 least ``THRESHOLD``. A document leaks an item if one of its windows matches.
 
-1. *Seeds.* The shingles of the documents are joined with the distinct shingles of the
-   items. A matching window holds at least ``THRESHOLD`` of the item's shingles, so (document,
-   item) pairs with less than ``SEED_SHARE`` of them, a wide margin, end here.
-2. *Windows.* Moving a window to the right until its first shingle is a common one loses no
-   common shingle, so the windows that start at common shingles (or at the last possible
-   place) contain the best ones; of each pair those with the most common shingles go on.
-3. *SimHash.* Each such window and each item gets a 64-bit SimHash (sum over its shingles of
-   +1/-1 per bit, counted with multiplicity). Fingerprints are cut into ``BLOCKS`` blocks of 8 bits;
-   within Hamming radius ``RADIUS`` = 8 * 3 - 1 some block differs in at most two bits, so
-   the items are indexed under every block value with up to two bits flipped, and the
-   windows look up their own block values: no fingerprint within the radius is missed.
-   At similarity 0.8 the expected distance is 10 bits with a deviation of 3, so the radius
-   stands 4 deviations away.
-4. *Verification.* The exact weighted similarity of the surviving (window, item) pairs.
+1. *Places.* The shingles of the documents are joined with the distinct shingles of all items
+   together; no pair of document and item is formed. Similarity ``t`` of a window of ``w`` and an
+   item of ``n`` shingles needs ``t (w + n) / (1 + t)`` common ones, and moving a window to the right
+   until its first shingle is one of the items' loses none. So of the windows of each item size those
+   go on that start at such a shingle (or at the last possible place) and hold enough of them:
+   an exact condition, no match is lost.
+2. *SimHash.* Each such window and each item gets a 64-bit SimHash (a bit is set if more than half
+   of the shingles have it). A document is cut into overlapping chunks; sums of the bits from the start
+   of the chunk, two counters in a long, give the fingerprint of any window by one subtraction.
+3. *Index.* Fingerprints are cut into ``BLOCKS`` blocks of 8 bits; within Hamming radius ``RADIUS`` =
+   8 * 3 - 1 some block differs in at most two bits, so all items are entered under their size and every
+   block value with up to two bits flipped, and the distinct fingerprints of the windows look up their own
+   block values: every item within the radius is found. At similarity 0.8 the expected distance is
+   10 bits with a deviation of 3, so the radius stands 4 deviations away.
+4. *Verification.* The exact weighted similarity of the (window, item) pairs that the index found.
 
 Scale: one pass over the documents that joins shingles with the items' shingles; these are
-broadcast only if counted and below ``BROADCAST_ROWS``, else shuffled. After the seeds the
-data is a small multiple of the leaks. A passage that a third of all documents hold is a
-third of all (document, item) pairs, spread by document.
+broadcast only if counted and below ``BROADCAST_ROWS``, else shuffled. After it the data are the
+places of item shingles, at most one window a place and item size. Chunks are as long as the longest item, so
+no row grows with the length of a document. A passage that a third of all documents hold has its windows in each of
+them, but asks the index once.
 
 Cases: null and empty texts, and texts or items of fewer than ``SHINGLE`` words, have no
 shingles and match nothing; a document is a (id, text), repeated rows count once, and rows
@@ -44,11 +46,12 @@ from .common import documents, hinted, own_name, restore_id
 
 SHINGLE = 5
 THRESHOLD = 0.8
-SEED_SHARE = 0.5
 BITS = 64
 BLOCKS = 8
 FLIPS = 2
 RADIUS = BLOCKS * (FLIPS + 1) - 1
+#: Shortest step between the chunks of a document, in shingles (else the longest item).
+STRIDE = 64
 BROADCAST_ROWS = 1_000_000
 
 
@@ -95,28 +98,86 @@ def _block(fp: Column, k: int) -> Column:
     return F.shiftrightunsigned(fp, 8 * k).bitwiseAND(F.lit(255)).cast("int")
 
 
-def within_radius(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str]) -> DataFrame:
+def _masks() -> list[int]:
+    return [0] + [sum(1 << b for b in c) for n in range(1, FLIPS + 1) for c in combinations(range(8), n)]
+
+
+def within_radius(left: DataFrame, right: DataFrame, left_keys: list[str], right_keys: list[str], small: bool = False) -> DataFrame:
     """All pairs of ``left`` and ``right`` rows whose fingerprints differ in at most ``RADIUS`` bits.
 
     Multi-index over the blocks: ``right`` (the small side) is entered under every block value
-    with up to ``FLIPS`` bits flipped; each pair is found at least once and reported once.
+    with up to ``FLIPS`` bits flipped; each pair is found at least once and reported once. Columns that
+    both key lists name are equal in a pair. ``small``: the entries were counted and may be broadcast.
     """
-    masks = [0] + [sum(1 << b for b in c) for n in range(1, FLIPS + 1) for c in combinations(range(8), n)]
+    masks = _masks()
     blocks = F.array(*[F.struct(F.lit(k).alias("k"), _block(F.col("fp"), k).alias("v")) for k in range(BLOCKS)])
     index = (right.select(*right_keys, F.col("fp").alias("_fp"), F.explode(blocks).alias("_e"))
              .select(*right_keys, "_fp", F.col("_e.k").alias("_k"),
                      F.explode(F.transform(F.array(*[F.lit(m) for m in masks]), lambda m: F.col("_e.v").bitwiseXOR(m))).alias("_v")))
     probe = left.select(*left_keys, "fp", F.explode(blocks).alias("_e")).select(*left_keys, "fp", F.col("_e.k").alias("_k"), F.col("_e.v").alias("_v"))
     shared = [c for c in left_keys if c in right_keys]  # also equal on these
-    found = probe.join(index, ["_k", "_v"] + shared)
+    found = probe.join(F.broadcast(index) if small else index, ["_k", "_v"] + shared)
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.col("_fp")))
     keys = list(dict.fromkeys(left_keys + right_keys))
     return (found.where(distance <= RADIUS).groupBy(*keys).agg(F.min(distance).alias("distance")))
 
 
+def _starts(threshold: float, stride: int) -> Column:
+    """Starts of the windows of ``n`` shingles in a chunk that can match; ``places`` are the sorted positions of item shingles."""
+    need = F.greatest(F.lit(1), F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("w") + F.col("n")) - 1e-9).cast("int"))
+    base, last = F.col("chunk") * stride, F.col("n_grams") - F.col("w")
+    inner = F.filter("places", lambda x, i: (x >= base) & (x < base + stride) & (x <= last)
+                     & (F.get("places", i + need - 1) < x + F.col("w")))
+    ends = (last >= base) & (last < base + stride) & (F.get("places", F.size("places") - need) >= last)
+    return F.array_union(inner, F.when(ends, F.array(last)).otherwise(F.array().cast("array<int>")))
+
+
+def candidate_windows(places: DataFrame, sizes: DataFrame, keys: list[str], threshold: float, stride: int) -> DataFrame:
+    """``keys, chunk, n, w, starts``: windows of each item size ``n`` that hold enough shingles of items.
+
+    ``places``: ``keys, pos, n_grams``, a row for each position of an item shingle; ``sizes``: one row with the array
+    ``sizes``, all at most ``stride``. A chunk reaches over the next one; windows belong to the chunk they start in.
+    """
+    k = F.floor(F.col("pos") / stride).cast("int")
+    chunked = (places.select(*keys, "n_grams", "pos", F.explode(F.array(k, k - 1)).alias("chunk")).where("chunk >= 0")
+               .groupBy(*keys, "n_grams", "chunk").agg(F.sort_array(F.collect_set("pos")).alias("places")))
+    sized = (chunked.crossJoin(F.broadcast(sizes))  # one row
+             .select(*keys, "n_grams", "chunk", "places", F.explode_outer("sizes").alias("n"))
+             .withColumn("w", F.least("n", "n_grams")))
+    return sized.select(*keys, "chunk", "n", "w", _starts(threshold, stride).alias("starts")).where(F.size("starts") > 0)
+
+
+def _window_fp(upto: Column, before: Column, w: Column) -> Column:
+    """SimHash of a window of ``w`` shingles from the counters up to its end and before its start.
+
+    Counter j holds the bits j and 32 + j in its halves: ``2 * count - w - 1`` is not negative, so the bit
+    2**30 added to it stands, if more than half of the shingles have the bit.
+    """
+    ones, bias = 2 ** 32 + 1, 2 ** 30 * (2 ** 32 + 1)
+    fp = F.lit(0).cast("long")
+    for j in range(BITS // 2):
+        count = upto[f"s{j}"] - F.coalesce(before[f"s{j}"], F.lit(0).cast("long"))
+        over = (F.lit(bias) + count * 2 - (w.cast("long") + 1) * F.lit(ones)).bitwiseAND(F.lit(bias))
+        fp = fp.bitwiseOR(F.shiftrightunsigned(over, 30 - j) if j <= 30 else F.shiftleft(over, 1))
+    return fp
+
+
+def window_fingerprints(cells: DataFrame, windows: DataFrame, keys: list[str], stride: int) -> DataFrame:
+    """``keys, chunk, start, n, w, fp`` of the ``windows``; ``cells``: ``keys, chunk, pos, gram``, all shingles of their chunks."""
+    upto = Window.partitionBy(*keys, "chunk").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bits = [F.sum(F.shiftrightunsigned("gram", j).bitwiseAND(F.lit(2 ** 32 + 1))).over(upto).alias(f"s{j}") for j in range(BITS // 2)]
+    sums = (cells.select(*keys, "chunk", "pos", *bits).groupBy(*keys, "chunk")
+            .agg(F.sort_array(F.collect_list(F.struct("pos", *[f"s{j}" for j in range(BITS // 2)]))).alias("sums")))
+    at = lambda s: s - F.col("chunk") * stride
+    ends = F.transform("starts", lambda s: F.struct(s.alias("start"), F.get("sums", at(s) + F.col("w") - 1).alias("upto"),
+                                                    F.get("sums", at(s) - 1).alias("before")))
+    found = sums.join(windows, keys + ["chunk"]).select(*keys, "chunk", "n", "w", F.explode_outer(ends).alias("e"))
+    return found.select(*keys, "chunk", F.col("e.start").alias("start"), "n", "w", _window_fp(F.col("e.upto"), F.col("e.before"), F.col("w")).alias("fp"))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text", threshold: float = THRESHOLD,
-               width: int = SHINGLE, share: float = SEED_SHARE) -> DataFrame:
+               width: int = SHINGLE) -> DataFrame:
     """One row per (document, item) that leaks: ``doc_id, item_id, similarity, start, end, distance``.
 
     ``start`` and ``end`` bound the best window in words (end excluded; the earliest of equals),
@@ -126,53 +187,42 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     bench = bench.withColumn("item", F.xxhash64("text"))  # equal texts are matched once
     grams = _grams(bench.dropDuplicates(["item"]).select("item", "text"), ["item"], width)
     per_item = grams.groupBy("item", "gram", "n_grams").agg(F.count("*").alias("in_item")).checkpoint()
-    kinds = per_item.select("gram").distinct()
-    small = kinds.count() <= BROADCAST_ROWS
+    few_items = per_item.count() <= BROADCAST_ROWS
+    item_fp = simhash(grams.withColumnRenamed("n_grams", "n"), ["item", "n"]).checkpoint()
+    few_entries = item_fp.count() * BLOCKS * len(_masks()) <= BROADCAST_ROWS
+    stride = max(STRIDE, item_fp.agg(F.max("n")).first()[0] or 0)
 
     def hint(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if small else df  # counted: at most BROADCAST_ROWS longs
+        return F.broadcast(df) if few_items else df  # counted: at most BROADCAST_ROWS rows of longs
 
-    # occurrences of item shingles in documents: the only rows that leave the scan
-    doc, pair = ["doc_id", "sig"], ["doc_id", "sig", "item"]
+    # places of item shingles in documents: the only rows that leave the scan
+    doc = ["doc_id", "sig"]
     text = documents(docs, id_col, text_col).withColumn("sig", F.xxhash64("text"))
-    hits = (_grams(text, doc, width).join(hint(kinds), "gram").select(*doc, "pos", "gram", "n_grams")
-            .distinct().checkpoint())  # repeated rows count once
-    item_size = per_item.groupBy("item").agg(F.sum("in_item").alias("n_item"))
-    of_item = per_item.select("item", "gram", "in_item")
-    seeds = (hits.select(*doc, "gram").distinct().join(of_item, "gram")
-             .groupBy(*pair).agg(F.sum("in_item").alias("most"))
-             .join(item_size, "item").where(F.col("most") >= F.lit(share) * F.col("n_item"))
-             .select(*pair, "n_item").checkpoint())
-    near = (hits.join(seeds, doc).join(of_item, ["item", "gram"])
-            .select(*pair, "pos", "gram", "n_grams", "n_item", "in_item").checkpoint())
-
-    # a window starts at a common shingle; of each pair the windows with the most common ones
-    last = F.greatest(F.col("n_grams") - F.col("n_item"), F.lit(0))
-    starts = near.select(*pair, "n_item", F.least("pos", last).alias("start")).distinct()
-    inside = (starts.join(near.select(*pair, "pos", "gram", "in_item"), pair)
-              .where((F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("n_item"))))
-    common = (inside.groupBy(*pair, "start", "n_item", "gram", "in_item").agg(F.count("*").alias("_c"))
-              .groupBy(*pair, "start", "n_item").agg(F.sum(F.least("_c", "in_item")).alias("common")))
-    windows = (common.withColumn("_most", F.max("common").over(Window.partitionBy(*pair)))
-               .where((F.col("common") == F.col("_most")) & (F.col("common") >= F.lit(share) * F.col("n_item")))
-               .select(*pair, "start", "n_item").checkpoint())
-
-    # SimHash of the windows (cut out of the documents' shingles) and of the items
-    few = hinted(windows.select(*doc).distinct().checkpoint())
-    own = _gram_arrays(text.join(few, doc, "left_semi").dropDuplicates(doc), doc, width)
-    window_grams = (own.join(windows, doc)
-                    .select(*pair, "start", "n_item",
-                            F.explode_outer(F.slice("_g", F.col("start") + 1, F.col("n_item").cast("int"))).alias("gram")).checkpoint())
-    counted = window_grams.groupBy(*pair, "start", "n_item", "gram").agg(F.count("*").alias("in_window"))
-    window_fp = simhash(window_grams, pair + ["start"])
-    item_fp = simhash(grams.select("item", "gram"), ["item"])
-    candidates = within_radius(window_fp, item_fp, pair + ["start"], ["item"])
+    places = _grams(text, doc, width).join(hint(per_item.select("gram").distinct()), "gram").select(*doc, "pos", "n_grams")
+    sizes = item_fp.agg(F.collect_set("n").alias("sizes"))
+    windows = candidate_windows(places, sizes, doc, threshold, stride).checkpoint()
+
+    # all shingles of the chunks that have windows
+    chunks = windows.select(*doc, "chunk").distinct().checkpoint()
+    own = text.join(hinted(chunks.select(*doc).distinct().checkpoint()), doc, "left_semi").dropDuplicates(doc)
+    k = F.floor(F.col("pos") / stride).cast("int")
+    cells = (_grams(own, doc, width).select(*doc, "pos", "gram", F.explode(F.array(k, k - 1)).alias("chunk"))
+             .join(hinted(chunks), doc + ["chunk"]).checkpoint())
+
+    # SimHash, and the index of all items: each distinct fingerprint asks once
+    prints = window_fingerprints(cells, windows, doc, stride).checkpoint()
+    asked = prints.select("n", "fp").distinct().withColumn("print", F.col("fp"))
+    near = (within_radius(asked, item_fp, ["n", "print"], ["n", "item"], few_entries)
+            .select("n", F.col("print").alias("fp"), "item", "distance").checkpoint())
+    found = prints.join(hinted(near), ["n", "fp"]).drop("fp")
 
     # exact weighted similarity
-    sides = (counted.join(candidates, pair + ["start"]).join(of_item, ["item", "gram"], "left")
-             .groupBy(*pair, "start", "n_item", "distance")
+    window = [*doc, "item", "start", "n", "distance"]
+    inside = (F.col("pos") >= F.col("start")) & (F.col("pos") < F.col("start") + F.col("w"))
+    counted = found.join(cells, doc + ["chunk"]).where(inside).groupBy(*window, "gram").agg(F.count("*").alias("in_window"))
+    sides = (counted.join(hint(per_item.select("item", "gram", "in_item")), ["item", "gram"], "left").groupBy(*window)
              .agg(F.sum("in_window").alias("_w"), F.sum(F.least("in_window", F.coalesce("in_item", F.lit(0)))).alias("_both")))
-    exact = sides.withColumn("similarity", F.col("_both") / (F.col("_w") + F.col("n_item") - F.col("_both")))
+    exact = sides.withColumn("similarity", F.col("_both") / (F.col("_w") + F.col("n") - F.col("_both")))
     best = (exact.where(F.col("similarity") >= threshold)
             .groupBy("doc_id", "item")
             .agg(F.max(F.struct("similarity", (-F.col("start")).alias("_s"), F.col("_w"), "distance")).alias("_b")))

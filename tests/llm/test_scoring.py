@@ -382,6 +382,73 @@ def test_hamming_index_finds_all_pairs(spark):
     assert {tuple(r) for r in got.collect()} == {w for w in want if w[2] <= decontamination.RADIUS}
 
 
+def test_window_fingerprints_are_simhashes(spark):
+    """Fingerprints by differences of counters equal those summed up shingle by shingle, across chunks and at text ends."""
+    rng = random.Random(4)
+    stride, texts = 64, {1: 300, 2: 40, 3: 64}
+    grams = {d: [rng.getrandbits(64) - 2 ** 63 for _ in range(n)] for d, n in texts.items()}
+    cells = [(d, k, p, g) for d, gs in grams.items() for p, g in enumerate(gs) for k in (p // stride, p // stride - 1) if k >= 0]
+    windows = [(d, s // stride, n, min(n, texts[d]), [s]) for d, n, s in [(1, 50, 0), (1, 64, 63), (1, 64, 236), (1, 1, 130), (1, 2, 64),
+                                                                        (2, 64, 0), (2, 39, 1), (3, 64, 0), (3, 33, 31)]]
+    got = decontamination.window_fingerprints(
+        spark.createDataFrame(cells, "d int, chunk int, pos int, gram long"),
+        spark.createDataFrame(windows, "d int, chunk int, n int, w int, starts array<int>"), ["d"], stride).collect()
+    assert len(got) == len(windows)
+    for r in got:
+        own = grams[r["d"]][r["start"]:r["start"] + r["w"]]
+        want = sum(1 << b for b in range(64) if 2 * sum(g >> b & 1 for g in own) > len(own))
+        assert r["fp"] & (2 ** 64 - 1) == want and len(own) == r["w"]
+
+
+def test_windows_that_can_match_are_kept(spark):
+    """Candidate windows: of each size, those that start at a place (or last) and hold enough places; each once."""
+    rng = random.Random(6)
+    stride, sizes, t = 64, [1, 2, 9, 20, 64], 0.8
+    docs = {d: (n, sorted(rng.sample(range(n), int(n * share)))) for d, (n, share) in
+            enumerate([(1, 1), (5, 1), (30, 0.9), (63, 0.5), (64, 1), (65, 0.95), (400, 0.85), (400, 0.1), (129, 1)])}
+    rows = [(d, p, n) for d, (n, places) in docs.items() for p in places]
+    got = decontamination.candidate_windows(spark.createDataFrame(rows + rows[:9], "d int, pos int, n_grams int"),
+                                            spark.createDataFrame([(sizes,)], "sizes array<int>"), ["d"], t, stride).collect()
+    want = set()
+    for d, (size, places) in docs.items():
+        for n in sizes:
+            w = min(n, size)
+            for s in {min(p, size - w) for p in places}:
+                held = sum(s <= p < s + w for p in places)
+                if held / (w + n - held) >= t:
+                    want.add((d, n, s))
+    out = [(r["d"], r["n"], s) for r in got for s in r["starts"]]
+    assert set(out) == want and len(out) == len(want) > 300
+    assert all(s // stride == r["chunk"] for r in got for s in r["starts"])
+
+
+def test_leaks_in_long_documents_and_recall(spark, make_docs):
+    """Leaks at every place of long texts, edited near the threshold: at least 0.9 are found, none is invented."""
+    rng = random.Random(12)
+    vocab = [f"w{k}" for k in range(500)]
+    items = [(k, " ".join(rng.choice(vocab) for _ in range(rng.choice([8, 25, 26, 60, 90])))) for k in range(30)]
+    rows, want = [], {}
+    for d in range(12):
+        w = []
+        for _ in range(12):
+            w += [rng.choice(vocab) for _ in range(rng.randint(0, 70))]
+            p = rng.choice(items)[1].split()
+            for _ in range(rng.choice([0, 0, 1, 2])):  # words at the ends cost one or two shingles each
+                p[rng.choice([0, 1, -1, -2])] = rng.choice(vocab)
+            w += p
+        rows.append((d, " ".join(w)))
+        for k, x in items:
+            y = norm(x)
+            best = max(similarity(w[s:s + len(y)], y) for s in range(len(w) - len(y) + 1))
+            if best >= 0.8:
+                want[(d, k)] = best
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in
+           decontamination.find_leaks(make_docs(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) <= set(want) and len(want) > 60
+    assert len(got) >= 0.9 * len(want)
+    assert all(got[k] <= want[k] + 1e-9 for k in got)
+
+
 def test_leaking_documents_are_dropped(spark, make_docs):
     item = " ".join(f"q{k}" for k in range(12))
     docs = make_docs([(1, "clean words only " * 5), (2, "x " + item + " y"), (3, None), (None, "")])
