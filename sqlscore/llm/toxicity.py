@@ -56,6 +56,8 @@ _LEET = str.maketrans({"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t
 _ENDING = r"(?:s|es|y|ed|ing)?"
 _APART = re.compile(r"(?<![^\W_])[^\W\d_](?:(?:[.\-_*][^\W\d_]){2,}|(?: [^\W\d_]){3,})(?![^\W_])")
 _MASKED = re.compile(r"(?<![^\W_])[^\W\d_]+[*#]+[^\W\d_]+(?![^\W_])")
+#: A whole word from its start on; a term starts where no letter or digit stands before it, so each run is read once.
+_RUN = re.compile(r"[^\W_]+")
 _CAPS_WORD = re.compile(r"\b[A-Z]{3,}\b")
 _YOU = re.compile(r"(?<![^\W_])(?:" + "|".join(sorted(SECOND_PERSON, key=len, reverse=True)) + r")(?![^\W_])")
 #: Characters on either side of a term in which a second-person pronoun counts as near.
@@ -128,15 +130,12 @@ def text_features(text: str, stems: tuple[str, ...] = ()) -> list[float]:
     letters = upper + int(count[97:123].sum()) + 1
     signs = int(count[33:48].sum() + count[58:65].sum() + count[91:97].sum() + count[123:127].sum())
     return [float(len(strong)), len(strong) / n, float(len({t for _, t in strong})),
-            float(len(learned)), len(learned) / n, float(len({low[s:s + TOLD_APART].split()[0] for s, _ in learned})), float(peak), (len(hits) - len(strong)) / n,
+            float(len(learned)), len(learned) / n, float(len({_RUN.match(low, s).group() for s, _ in learned})), float(peak), (len(hits) - len(strong)) / n,
             float(near), near / n, float(len(leet)), float(apart), masked / n, upper / letters,
             len(_CAPS_WORD.findall(text)) / n if upper else 0.0, count[33] / size, count[63] / size, signs / size,
             float(count[48:58].sum()) / size, math.log1p(n), size / n]
 
 
-#: Learned words of a text count as one if they agree in so many characters (a long run without blanks is not copied for each term in it).
-TOLD_APART = 24
-
 #: Tasks that fit the trees (at most ``max_rows`` rows).
 FIT_TASKS = 6
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -319,6 +320,10 @@ def test_letters_that_grow_in_lower_case():
     at = toxicity.FEATURES.index("distinct_learned")
     assert toxicity.text_features("İ" * 40 + " grumbles", ("grumb",))[at] == 1  # one letter, two in lower case
     assert toxicity.text_features("İ" * 9 + " grumbles grumbler, then nothing follows", ("grumb",))[at] == 2
+    long = "grumb" + "x" * 50
+    assert toxicity.text_features(f"{long}a {long}b {long}a, {long}b-{long}c", ("grumb",))[at] == 3  # told apart by their last letter
+    start = time.time()
+    assert toxicity.text_features("grumbl-" * 200_000, ("grumb",))[at] == 1 and time.time() - start < 30
 
 
 # ---- decontamination -------------------------------------------------------------------
