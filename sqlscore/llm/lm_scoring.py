@@ -1,12 +1,12 @@
 """Language-model scores by logistic mixing of hashed-context bit predictors.
 
 A text is its words (A-Z in lower case) and one end token. A word is coded byte by byte with a
-closing blank, a byte bit by bit from the top; the end token is coded as a line feed. Every bit is
+closing blank, a byte by the bits of a weight-balanced code (few for frequent bytes); the end token is coded as a line feed. Every bit is
 predicted by several contexts at once, each with counts of zeros and ones from the training
 documents:
 
 * *prefix*: all bytes of the word so far and the bits of this byte. The first bytes use a hashed
-  table; deeper prefixes are counted next to the words that share them;
+  table; deeper prefixes are counted exactly, as sums over runs of sorted words;
 * *order 4, 3, 2*: the last bytes inside the word, in hashed tables of fixed size.
 
 Prefix and order 2 also know the *state* of the text: the group (language) that the words read so far
@@ -23,7 +23,7 @@ word is impossible.
 Contexts of words: the counts of the word after the previous word, and after the previous two, are
 interpolated with that probability p, in turn: ``(count + K * p) / (count of the context + K)`` with the
 constants ``CONTEXT``. The start of a text is a context like a word. The sum over all words stays at most
-one. These counts are kept by bucket and 48 bits of the key, and nothing is dropped. The bit predictors themselves see one word only.
+one. These counts are kept by bits of the key whose number grows with the corpus (``SPARE_BITS``), and nothing is dropped. The bit predictors themselves see one word only.
 The score of a text is the sum of the log10 probabilities of its tokens.
 
 Jobs: (1) the counts of (state, word) tokens of the training documents, whose state is their own group: a
@@ -71,7 +71,8 @@ UNKNOWN = 15
 CONFIDENCE = (1, 2, 4, 16)
 GATES = 8 * (len(CONFIDENCE) + 1)
 STEPS = 24
-BATCH = 4096
+#: Steps that are mixed at once, and after which the weights move.
+BATCH = 1 << 14
 #: Characters that a worker splits at once.
 PIECE = 2_000_000
 #: Text bytes that share one bucket of words.
@@ -79,24 +80,63 @@ BUCKET_BYTES = 8_000_000
 
 #: Weight of the shorter context, after one word and after two (chosen on a fifth of the training documents of sf0.01).
 CONTEXT = (1024.0, 1.0)
+#: Bits of the keys of contexts beyond those that number the bytes of the corpus: a context that was not seen is taken
+#: for another one with a probability of less than 1 in 2 ** SPARE_BITS, at every size.
+SPARE_BITS = 12
 #: Text bytes that share one bucket of pairs and triples.
 CONTEXT_BYTES = 2_000_000
 
 WORDS = "bucket int, words binary, counts binary"
 REQUEST = "bucket int, block int, words binary, counts binary"
-REPLY = "block int, words binary, logs binary, counts binary"
+REPLY = "block int, bucket int, logs binary, counts binary"
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double, bits_per_byte double")
 
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
+def _squeeze(raw: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _loosen(raw: bytes) -> bytes:
+    import zstandard
+    return zstandard.ZstdDecompressor().decompress(raw)
+
+
 def _pack(words: list[bytes]) -> bytes:
-    return b" ".join(words)
+    return _squeeze(b" ".join(words)) if words else b""
 
 
 def _unpack(raw: bytes) -> list[bytes]:
-    return raw.split(b" ") if raw else []
+    return _loosen(raw).split(b" ") if raw else []
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Numbers, first bytes first, squeezed: small numbers take little room."""
+    return _squeeze(values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()) if len(values) else b""
+
+
+def _from_planes(raw: bytes, dtype) -> np.ndarray:
+    if not raw:
+        return np.empty(0, dtype)
+    size = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(_loosen(raw), np.uint8).reshape(size, -1).T).reshape(-1).view(dtype)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as gaps: the bytes that are noise at the mean gap plain, the upper ones squeezed."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    plain = max(0, int(keys[-1] - keys[0]) // len(keys)).bit_length() // 8
+    b = gaps.view(np.uint8).reshape(-1, 8).T
+    return bytes([plain]) + len(keys).to_bytes(8, "little") + b[:plain].tobytes() + _squeeze(b[plain:].tobytes())
+
+
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    plain, n = raw[0], int.from_bytes(raw[1:9], "little")
+    b = np.frombuffer(raw[9:9 + plain * n] + _loosen(raw[9 + plain * n:]), np.uint8).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(b.T).reshape(-1).view(np.uint64), dtype=np.uint64)
 
 
 def _texts(texts: list[str]) -> Iterator[slice]:
@@ -167,32 +207,20 @@ def _contexts(words: list[bytes], code: np.ndarray, counts: np.ndarray) -> tuple
     return pair, mix64(mix64(_after(pair, counts, _K[2]) ^ _K[1]) * _K[0] + h)
 
 
-def _context_rows(keys: np.ndarray, counts: np.ndarray, buckets: int) -> Iterator[tuple[int, bytes, bytes]]:
-    """(bucket, keys, counts) of sorted keys, 48 bits of each; buckets of contexts have negative numbers."""
-    low = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    for b, at in split_buckets(keys, buckets):
-        yield -1 - b, low[at].tobytes(), counts[at].astype("<u4").tobytes()
+def _context_rows(keys: np.ndarray, counts: np.ndarray, buckets: int, bits: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(bucket, keys, counts) of sorted keys of ``bits`` bits; buckets of contexts have negative numbers."""
+    for b, at in split_buckets(keys << np.uint64(64 - bits), buckets):
+        yield -1 - b, _pack_keys(keys[at]), _planes(counts[at].astype("<u4"))
 
 
 def _count_contexts(asked: pd.DataFrame) -> pd.DataFrame:
     """A bucket of contexts adds up the counts of all blocks and answers each with the sums, in the order of its keys."""
-    size = asked["words"].map(len).to_numpy() // 6
-    low = np.zeros((size.sum(), 8), np.uint8)
-    low[:, :6] = np.frombuffer(b"".join(asked["words"]), np.uint8).reshape(-1, 6)
-    keys, place = np.unique(low.reshape(-1).view("<u8"), return_inverse=True)
-    n = np.bincount(place, weights=np.frombuffer(b"".join(asked["counts"]), "<u4"), minlength=len(keys))
-    sums = np.split(n[place].astype("<u4"), np.cumsum(size)[:-1])
-    name = int(-1 - asked["bucket"].iloc[0]).to_bytes(4, "big")  # in the order of the buckets
-    return pd.DataFrame([(block, name, b"", x.tobytes()) for block, x in zip(asked["block"], sums)],
-                        columns=["block", "words", "logs", "counts"])
-
-
-def _find(keys: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Counts ``n`` of the sorted ``keys`` at the wanted ones, 0 where there is none."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where(keys[at] == wanted, n[at], 0)
+    sent = [_unpack_keys(raw) for raw in asked["words"]]
+    _, place = np.unique(np.concatenate(sent), return_inverse=True)
+    n = np.bincount(place, weights=np.concatenate([_from_planes(raw, "<u4") for raw in asked["counts"]]))
+    sums = np.split(n[place].astype("<u4"), np.cumsum([len(x) for x in sent])[:-1])
+    return pd.DataFrame([(block, asked["bucket"].iloc[0], b"", _planes(x)) for block, x in zip(asked["block"], sums)],
+                        columns=["block", "bucket", "logs", "counts"])
 
 
 def interpolate(p: np.ndarray, before: np.ndarray, pair: np.ndarray, triple: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -238,140 +266,179 @@ def _deal(words: list[bytes], buckets: int) -> list[tuple[int, list[int]]]:
     return [(int(b[order[lo]]), order[lo:hi].tolist()) for lo, hi in zip(at, np.append(at[1:], len(b)))]
 
 
-class _Bytes:
-    """The bytes of some words (with closing blanks) and their contexts."""
+class ByteCode:
+    """Steps (yes or no) that code a byte: a tree over the byte values in order, cut at half the weight each time.
+
+    Frequent bytes take few steps, every byte takes some. Depends on the counts of bytes only.
+    """
 
-    def __init__(self, words: list[bytes]):
-        b = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-        self.n = len(words)
-        ends = np.flatnonzero(b == 32)
-        self.starts = np.concatenate([[0], ends[:-1] + 1])
-        self.word = np.repeat(np.arange(self.n), np.diff(np.append(self.starts, len(b))))
-        self.pos = np.arange(len(b)) - self.starts[self.word]
-        self.byte = b.astype(np.uint64)
+    def __init__(self, weights: np.ndarray):
+        weights = weights + max(float(weights.sum()), 1.0) / 2 ** 14
+        below = np.concatenate([[0.0], np.cumsum(weights)])
+        paths: list[list[tuple[int, int]]] = [[] for _ in range(256)]
+        todo, nodes = [(0, 256)], 0
+        while todo:
+            lo, hi = todo.pop()
+            if hi - lo < 2:
+                continue
+            nodes += 1
+            cut = lo + 1 + int(np.argmin(np.abs(below[lo + 1:hi] - (below[lo] + below[hi]) / 2)))
+            for v in range(lo, hi):
+                paths[v].append((nodes, int(v >= cut)))
+            todo += [(lo, cut), (cut, hi)]
+        self.length = np.array([len(x) for x in paths])
+        self.node = np.zeros((256, self.length.max()), np.uint64)
+        self.bit = np.zeros(self.node.shape, np.int8)
+        for v, path in enumerate(paths):
+            self.node[v, :len(path)], self.bit[v, :len(path)] = zip(*path)
+        place = np.where(np.arange(self.node.shape[1]) < self.length[:, None], 2 * self.node.astype(np.int64) + self.bit, -1)
+        #: Steps that two different bytes have in common.
+        self.shared = np.cumprod((place[:, None] == place[None]) & (place[None] >= 0), axis=2).sum(2)
+
+
+class _Words:
+    """Distinct words (state and bytes), in the order of their bytes with closing blanks, and the steps that code them.
+
+    ``order``: place of each among the words given. All other arrays follow this order. The state is not coded.
+    """
+
+    def __init__(self, words: list[bytes], code: ByteCode):
+        closed = [w + b" " for w in words]
+        self.order = np.array(sorted(range(len(words)), key=closed.__getitem__), np.int64)
+        b = np.frombuffer(b"".join([closed[i] for i in self.order.tolist()]), np.uint8)
+        self.code, self.n, self.raw = code, len(words), b
+        self.ends = np.flatnonzero(b == 32) + 1
+        self.starts = np.concatenate([[0], self.ends])[:-1]
+        word = np.repeat(np.arange(self.n), self.ends - self.starts)
+        self.pos = np.arange(len(b)) - self.starts[word]
+        byte = b.astype(np.uint64)
         power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(b), _K[0])]))
-        total = np.concatenate([[np.uint64(0)], np.cumsum((self.byte + np.uint64(1)) * power[:-1])])
+        total = np.concatenate([[np.uint64(0)], np.cumsum((byte + np.uint64(1)) * power[:-1])])
         inverse = np.uint64(pow(int(_K[0]), -1, 2 ** 64))
         back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(b), inverse)]))
-        first = self.starts[self.word]
-        self.prefix = mix64((total[:-1] - total[first]) * back[first] + self.pos.astype(np.uint64) * _K[1])
+        first = self.starts[word]
+        prefix = mix64((total[:-1] - total[first]) * back[first] + self.pos.astype(np.uint64) * _K[1])
         order, known = [], np.zeros(len(b), np.uint64)
-        state = self.byte[first] << np.uint64(40)
+        state = byte[first] << np.uint64(40)
         for k in (1, 2, 3, 4):
-            byte = np.where(self.pos > k, np.concatenate([np.zeros(k, np.uint64), self.byte[:-k]])[:len(b)], np.uint64(0))
-            known = known | (byte << np.uint64(8 * (k - 1)))
+            before = np.where(self.pos > k, np.concatenate([np.zeros(k, np.uint64), byte[:-k]])[:len(b)], np.uint64(0))
+            known = known | (before << np.uint64(8 * (k - 1)))
             order.append(known + (state if k < 3 else np.uint64(0)) + np.uint64(k << 48))
-        self.orders = [mix64(order[3]), mix64(order[2]), mix64(order[1])]
-        self.coded = self.pos > 0  # the state itself is not coded
-        self.deep = np.flatnonzero(self.pos >= TRIE_FROM)
-        self.shallow = np.flatnonzero(self.pos < TRIE_FROM)
-
-    def bit(self, k: int):
-        """(node above bit k, the bit) of every byte."""
-        node = np.uint64(1 << k) | (self.byte >> np.uint64(8 - k))
-        return node, ((self.byte >> np.uint64(7 - k)) & np.uint64(1)).astype(np.int64)
-
-    def slots(self, k: int, node) -> list[np.ndarray]:
-        """Slots of the tables in the joint array; the prefix table only for the first bytes."""
-        out = []
-        step = node * _K[2]
-        for t, c in enumerate([self.prefix[self.shallow]] + self.orders):
-            h = (c + (step[self.shallow] if t == 0 else step)) * _K[0]
-            out.append((h >> np.uint64(64 - TABLE_BITS[t])).astype(np.int64) + OFFSETS[t])
+        self.contexts = [prefix, mix64(order[3]), mix64(order[2]), mix64(order[1])]
+        self.length = np.where(self.pos > 0, code.length[b], 0)
+        self.first = np.concatenate([[0], np.cumsum(self.length)])  # of each byte among the steps of all words
+        self.base = self.first[self.starts]
+        self.size = self.first[self.ends] - self.base
+
+    def prefix_counts(self, c: np.ndarray) -> np.ndarray:
+        """(no, yes) of every step: how often the words ``c`` with the same state and the same steps before went on so.
+
+        Words that share steps stand together, so a step's counts are sums over runs; past the steps that a word
+        shares with a neighbour only the word itself is counted. Right from byte ``TRIE_FROM`` on: before it, the
+        words of other buckets are missing.
+        """
+        out = np.zeros((self.first[-1], 2), np.float32)
+        if not self.n:
+            return out
+        bit = self._bits()
+        out[np.arange(len(bit)), bit] = np.repeat(c, self.size)
+        word = np.repeat(np.arange(self.n), self.ends - self.starts)
+        last = np.maximum(word - 1, 0)
+        other = self.raw[np.minimum(self.starts[last] + self.pos, self.ends[last] - 1)]
+        differs = np.minimum.reduceat(np.where(self.raw != other, self.pos, len(self.raw)), self.starts)
+        differs[0] = 0
+        at = self.starts + differs
+        shared = np.where(differs > 0, self.first[at] - self.base + self.code.shared[self.raw[at], other[at]], -1)
+        most = np.maximum(shared, np.append(shared[1:], -1))
+        deep = self.first[np.minimum(self.starts + TRIE_FROM, self.ends)] - self.base
+        active = np.flatnonzero(most >= deep)
+        depth = int(deep[active].min(initial=0))
+        while len(active):
+            here = active[deep[active] <= depth]
+            if len(here):
+                start = shared[here] < depth
+                start[0] = True
+                at, run = np.flatnonzero(start), np.cumsum(start) - 1
+                step = self.base[here] + depth
+                every, yes = np.add.reduceat(c[here], at), np.add.reduceat(c[here] * bit[step], at)
+                out[step] = np.stack([every - yes, yes], axis=1)[run]
+            depth += 1
+            active = active[most[active] >= depth]
         return out
 
-    def deep_keys(self, node) -> np.ndarray:
-        h = (self.prefix[self.deep] + node[self.deep] * _K[2]) * _K[0]
-        return h ^ (h >> np.uint64(32))
+    def _bits(self) -> np.ndarray:
+        at = np.repeat(np.arange(len(self.raw)), self.length)
+        return self.code.bit[self.raw[at], np.arange(len(at)) - self.first[at]]
 
+    def batches(self, words: np.ndarray) -> Iterator[np.ndarray]:
+        """The words in turn, about ``BATCH`` steps at once."""
+        at = runs(np.cumsum(self.size[words]) // BATCH)
+        yield from np.split(words, at[1:])
 
-def _add_tables(n: np.ndarray, words: list[bytes], counts: np.ndarray) -> None:
-    """Add the words to the tables: ``n[slot, bit]``."""
-    b = _Bytes(words)
-    c = (counts[b.word] * b.coded).astype(np.float64)
-    flat = n.reshape(-1)
-    for k in range(8):
-        node, bit = b.bit(k)
-        for t, slot in enumerate(b.slots(k, node)):
-            at = b.shallow if t == 0 else slice(None)
-            np.add.at(flat, 2 * slot + bit[at], c[at])
+    def steps(self, words: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(word, byte, step, depth in the byte, bit) of all steps of the words."""
+        n = self.ends[words] - self.starts[words]
+        bytes_ = np.repeat(self.starts[words] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        word, n = np.repeat(np.arange(len(words)), n), self.length[bytes_]
+        at = np.repeat(bytes_, n)
+        depth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(word, n), at, self.first[at] + depth, depth, self.code.bit[self.raw[at], depth].astype(np.int64)
 
+    def slots(self, at: np.ndarray, depth: np.ndarray) -> Iterator[np.ndarray]:
+        """Slots of the tables in the joint array; the prefix table is for the first bytes."""
+        step = self.code.node[self.raw[at], depth] * _K[2]
+        for t, c in enumerate(self.contexts):
+            yield (((c[at] + step) * _K[0]) >> np.uint64(64 - TABLE_BITS[t])).astype(np.int64) + OFFSETS[t]
 
-def _log_odds(n: np.ndarray) -> np.ndarray:
-    return np.log((n[..., 1] + np.float32(0.02)) / (n[..., 0] + np.float32(0.02)))
 
+def _add_tables(n: np.ndarray, words: list[bytes], counts: np.ndarray, code: ByteCode) -> None:
+    """Add the words to the tables: ``n[slot, bit]``."""
+    w = _Words(words, code)
+    flat, counts = n.reshape(-1), counts[w.order].astype(np.float64)
+    for ids in w.batches(np.arange(w.n)):
+        word, at, _, depth, bit = w.steps(ids)
+        c = counts[ids][word]
+        first = w.pos[at] < TRIE_FROM
+        for t, slot in enumerate(w.slots(at, depth)):
+            if t:
+                np.add.at(flat, 2 * slot + bit, c)
+            else:
+                np.add.at(flat, (2 * slot + bit)[first], c[first])
 
-class _Deep:
-    """Exact counts of the deep prefixes of some words at one bit place: slots by hash, told apart by the whole key.
 
-    Where prefixes meet in a slot, one has it and the others go on to a further, smaller table.
-    """
+def _log_odds(n: np.ndarray) -> np.ndarray:
+    return np.log((n[..., 1] + np.float32(0.02)) / (n[..., 0] + np.float32(0.02)))
 
-    def __init__(self, known: _Bytes, k: int, c: np.ndarray):
-        node, bit = known.bit(k)
-        keys, bit = known.deep_keys(node), bit[known.deep]
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
-        while not self.levels or len(keys):
-            size = 1 << max(10, (4 * len(keys)).bit_length())
-            at = self.slot(keys, len(self.levels), size)
-            key = np.zeros(size, np.uint64)
-            key[at] = keys
-            own = key[at] == keys
-            n = np.zeros((size, 2), np.float32)
-            np.add.at(n.reshape(-1), (2 * at + bit)[own], c[own])
-            self.levels.append((key, n))
-            keys, bit, c = keys[~own], bit[~own], c[~own]
 
-    @staticmethod
-    def slot(keys, level: int, size: int):
-        step = np.uint64(pow(int(_K[1]), level, 2 ** 64))
-        return ((keys * step) >> np.uint64(65 - size.bit_length())).astype(np.int64)
-
-    def find(self, keys) -> np.ndarray:
-        out = np.zeros((len(keys), 2), np.float32)
-        left = np.arange(len(keys))
-        for level, (key, n) in enumerate(self.levels):
-            at = self.slot(keys[left], level, len(key))
-            same = key[at] == keys[left]
-            out[left[same]] = n[at[same]]
-            left = left[~same]
-        return out
+def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows of two float32, each fetched as one number."""
+    return table.view(np.float64)[:, 0][at].view(np.float32).reshape(-1, 2)
 
 
-def _inputs(query: _Bytes, known: _Bytes, counts: np.ndarray, tables: np.ndarray, leave_out: bool):
-    """For every bit place: (inputs, gate, bit) of the query's bytes.
+def _inputs(w: _Words, ids: np.ndarray, prefixes: np.ndarray, tables: np.ndarray, leave_out: bool):
+    """(inputs, gate, bit, place among ``ids``) of the steps of some words.
 
     ``tables``: counts (slot, bit) if ``leave_out``, which takes one token of each word out; else the log odds by slot.
     """
-    c = counts[known.word[known.deep]].astype(np.float32)
-    for k in range(8):
-        node, bit = query.bit(k)
-        x = np.empty((INPUTS, len(bit)), np.float32)
-        own = np.zeros((len(bit), 2), np.float32)
-        own[np.arange(len(bit)), bit] = 1
-        slots = query.slots(k, node)
-        if leave_out:
-            for t, slot in enumerate(slots):
-                if t:
-                    x[t] = _log_odds(np.maximum(tables[slot] - own, 0))
+    word, at, step, depth, bit = w.steps(ids)
+    x = np.empty((INPUTS, len(bit)), np.float32)
+    own = np.stack([1 - bit, bit], axis=1).astype(np.float32)
+    first = w.pos[at] < TRIE_FROM
+    prefix = _rows(prefixes, step)
+    for t, slot in enumerate(w.slots(at, depth)):
+        found = _rows(tables, slot)
+        if t == 0:
+            if leave_out:
+                prefix = np.maximum(np.where(first[:, None], found, prefix) - own, 0)
+            odds, seen = _log_odds(prefix), prefix.sum(1)
+            if not leave_out:
+                odds, seen = np.where(first, found[:, 0], odds), np.where(first, found[:, 1], seen)
+            x[0] = odds
         else:
-            for t, slot in enumerate(slots):
-                if t:
-                    x[t] = tables[slot, 0]
-        prefix = np.zeros((len(bit), 2), np.float32)
-        prefix[query.shallow] = tables[slots[0]] if leave_out else 0
-        if len(query.deep) and len(known.deep):
-            prefix[query.deep] = _Deep(known, k, c).find(query.deep_keys(node))
-        if leave_out:
-            prefix = np.maximum(prefix - own, 0)
-        x[0] = _log_odds(prefix)
-        seen = prefix.sum(1)
-        if not leave_out:
-            x[0, query.shallow] = tables[slots[0], 0]
-            seen[query.shallow] = tables[slots[0], 1]
-        x[TABLES] = 0.3
-        gate = k * (len(CONFIDENCE) + 1) + np.searchsorted(CONFIDENCE, seen, side="right")
-        yield x, gate, bit
+            x[t] = _log_odds(np.maximum(found - own, 0)) if leave_out else found[:, 0]
+    x[TABLES] = 0.3
+    gate = np.minimum(depth, 7) * (len(CONFIDENCE) + 1) + np.searchsorted(CONFIDENCE, seen, side="right")
+    return x, gate, bit, word
 
 
 def _sigmoid(x):
@@ -390,81 +457,91 @@ def first_weights() -> np.ndarray:
 
 
 def _mix(weights: np.ndarray, gate: np.ndarray, x: np.ndarray) -> np.ndarray:
-    out = weights[:, 0][gate] * x[0]
+    """``weights``: (inputs, gates)."""
+    out = weights[0][gate] * x[0]
     for i in range(1, INPUTS):
-        out += weights[:, i][gate] * x[i]
+        out += weights[i][gate] * x[i]
     return out
 
 
-def _learn(words: list[bytes], counts: np.ndarray, tables: np.ndarray):
+def _learn(words: list[bytes], counts: np.ndarray, tables: np.ndarray, code: ByteCode):
     """Online pass over the words of a bucket: (weights, tokens per gate, ones and all of the adaptive table)."""
-    order = np.random.default_rng(17).permutation(len(words))
-    words, counts = [words[i] for i in order], counts[order]
-    b = _Bytes(words)
-    weights, seen = first_weights(), np.zeros(GATES)
-    ones, every = np.zeros((GATES, STEPS)), np.zeros((GATES, STEPS))
-    c = counts[b.word] * b.coded.astype(np.float64)
-    for x, gate, bit in _inputs(b, b, counts, tables, True):
-        for n, lo in enumerate(range(0, len(bit), BATCH)):
-            s = slice(lo, lo + BATCH)
-            g = gate[s]
-            gap = (bit[s] - _sigmoid(_mix(weights, g, x[:, s]))) * c[s]
-            mass = np.bincount(g, weights=c[s], minlength=GATES)
-            rate = 0.3 / (1 + n / 50) / np.maximum(mass, 1) / 8
-            for i in range(INPUTS):
-                weights[:, i] += rate * np.bincount(g, weights=gap * x[i, s], minlength=GATES)
-        dot = _mix(weights, gate, x)
-        cell = gate * STEPS + _step(dot)
-        ones += np.bincount(cell, weights=c * bit, minlength=GATES * STEPS).reshape(GATES, STEPS)
-        every += np.bincount(cell, weights=c, minlength=GATES * STEPS).reshape(GATES, STEPS)
-        seen += np.bincount(gate, weights=c, minlength=GATES)
-    return weights, seen, ones, every
+    w = _Words(words, code)
+    counts = counts[w.order].astype(np.float64)
+    prefixes = w.prefix_counts(counts)
+    weights, seen = first_weights().T.astype(np.float32), np.zeros(GATES)
+    ones, every = np.zeros(GATES * STEPS), np.zeros(GATES * STEPS)
+    for n, ids in enumerate(w.batches(np.random.default_rng(17).permutation(w.n))):
+        x, gate, bit, word = _inputs(w, ids, prefixes, tables, True)
+        c = counts[ids][word]
+        gap = (bit - _sigmoid(_mix(weights, gate, x))) * c
+        mass = np.bincount(gate, weights=c, minlength=GATES)
+        rate = 0.3 / (1 + n / 50) / np.maximum(mass, 1)
+        for i in range(INPUTS):
+            weights[i] += rate * np.bincount(gate, weights=gap * x[i], minlength=GATES)
+        cell = gate * STEPS + _step(_mix(weights, gate, x))
+        ones += np.bincount(cell, weights=c * bit, minlength=GATES * STEPS)
+        every += np.bincount(cell, weights=c, minlength=GATES * STEPS)
+        seen += mass
+    return weights.T.astype(np.float64), seen, ones.reshape(GATES, STEPS), every.reshape(GATES, STEPS)
 
 
 class Model:
     """Log odds (and how often seen) of the hashed tables, mixing weights and the adaptive table."""
 
-    def __init__(self, tables: np.ndarray, weights: np.ndarray, refined: np.ndarray):
-        self.tables, self.weights, self.refined = tables, weights.astype(np.float32), refined
+    def __init__(self, tables: np.ndarray, weights: np.ndarray, refined: np.ndarray, code: ByteCode):
+        self.tables, self.weights, self.code = tables, np.ascontiguousarray(weights.T, np.float32), code
+        self.refined = np.stack([1 - refined, refined], axis=-1).astype(np.float32).reshape(-1)
 
     @staticmethod
     def scoring_tables(n: np.ndarray) -> np.ndarray:
         return np.stack([_log_odds(n), n.sum(1)], axis=1).astype(np.float32)
 
-    def log10(self, words: list[bytes], known: "_Bytes", counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; ``known``: the training tokens with the same first bytes."""
+    def log10(self, words: list[bytes], known: list[bytes], counts: np.ndarray) -> np.ndarray:
+        """log10 probability of each of the distinct words; ``known``: the training tokens with the same first bytes."""
+        out = np.zeros(len(words))
         if not words:
-            return np.empty(0)
-        q = _Bytes(words)
-        out = np.zeros(len(q.byte))
-        for x, gate, bit in _inputs(q, known, counts, self.tables, False):
+            return out
+        place = {v: i for i, v in enumerate(words)}
+        others = [v for v in known if v not in place]  # count, but are not asked for
+        c = np.zeros(len(words) + len(others))
+        for v in others:
+            place[v] = len(place)
+        c[np.fromiter((place[v] for v in known), np.int64, len(known))] = counts
+        w = _Words(words + others, self.code)
+        prefixes = w.prefix_counts(c[w.order])
+        for ids in w.batches(np.flatnonzero(w.order < len(words))):
+            x, gate, bit, word = _inputs(w, ids, prefixes, self.tables, False)
             dot = _mix(self.weights, gate, x)
-            p = 0.5 * _sigmoid(dot) + 0.5 * self.refined[gate, _step(dot)]
-            out += np.log(np.where(bit == 1, p, 1 - p))
-        return np.add.reduceat(np.where(q.coded, out, 0), q.starts) / math.log(10)
+            p = 0.5 * _sigmoid(np.where(bit == 1, dot, -dot)) + 0.5 * self.refined[2 * (gate * STEPS + _step(dot)) + bit]
+            out[w.order[ids]] = np.bincount(word, weights=np.log10(p), minlength=len(ids))
+        return out
+
 
+def _group_table(table: DataFrame) -> tuple[np.ndarray, ByteCode]:
+    """(log probability of each word slot in each group, code of the bytes) from the table of training tokens."""
+    size = STATE_SLOTS * GROUPS
 
-def _group_table(table: DataFrame) -> np.ndarray:
-    """log probability of each word slot in each group, from the table of training tokens."""
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(STATE_SLOTS * GROUPS, np.int64)
+        n = np.zeros(size + 256, np.int64)
         for pdf in batches:
             for raw, counts in zip(pdf["words"], pdf["counts"]):
-                words, c = _unpack(raw), np.frombuffer(counts, np.int64)
+                words, c = _unpack(raw), _from_planes(counts, np.int64)
+                n[size:] += np.bincount(np.frombuffer(b"".join([w[1:] + b" " for w in words]), np.uint8), minlength=256)
                 group = np.fromiter((w[0] - 65 for w in words), np.int64, len(words))
                 told = group < GROUPS
                 np.add.at(n, (_slots_of([w[1:] for w in words]) * GROUPS + group)[told], c[told])
         at = np.flatnonzero(n)
         yield pd.DataFrame({"i": at, "n": n[at]})
-    n = np.zeros(STATE_SLOTS * GROUPS)
+    n = np.zeros(size + 256)
     rows = table.mapInPandas(count, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toPandas()
-    n[rows["i"].to_numpy()] = rows["n"].to_numpy()  # STATE_SLOTS * GROUPS numbers at most
-    n = n.reshape(STATE_SLOTS, GROUPS)
+    n[rows["i"].to_numpy()] = rows["n"].to_numpy()  # size + 256 numbers at most
+    code, n = ByteCode(n[size:]), n[:size].reshape(STATE_SLOTS, GROUPS)
     spoken = np.flatnonzero(n.sum(0))
     n = n[:, :spoken.max(initial=0) + 1]
     table_ = np.log((n + 0.05) / (n.sum(0) + 0.05 * STATE_SLOTS))
     table_[:, n.sum(0) == 0] = -50.0  # a group without texts is no state
-    return table_.astype(np.float32)
+    return table_.astype(np.float32), code
 
 
 def _corpus_words(docs: DataFrame, buckets: int) -> DataFrame:
@@ -475,7 +552,7 @@ def _corpus_words(docs: DataFrame, buckets: int) -> DataFrame:
         def rows():
             words, n = list(total), np.fromiter(total.values(), np.int64, len(total))
             total.clear()
-            return pd.DataFrame([(b, _pack([words[i] for i in at]), n[at].tobytes()) for b, at in _deal(words, buckets)],
+            return pd.DataFrame([(b, _pack([words[i] for i in at]), _planes(n[at])) for b, at in _deal(words, buckets)],
                                 columns=["bucket", "words", "counts"])
         for pdf in batches:
             texts, group = list(pdf["text"]), pdf["group"].to_numpy(np.int64)
@@ -493,15 +570,15 @@ def _corpus_words(docs: DataFrame, buckets: int) -> DataFrame:
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total: dict[bytes, int] = {}
         for raw, n in zip(pdf["words"], pdf["counts"]):
-            for w, k in zip(_unpack(raw), np.frombuffer(n, np.int64).tolist()):
+            for w, k in zip(_unpack(raw), _from_planes(n, np.int64).tolist()):
                 total[w] = total.get(w, 0) + k
         words = sorted(total)
-        return pd.DataFrame([(int(pdf["bucket"].iloc[0]), _pack(words), np.array([total[w] for w in words], np.int64).tobytes())],
+        return pd.DataFrame([(int(pdf["bucket"].iloc[0]), _pack(words), _planes(np.array([total[w] for w in words], np.int64)))],
                             columns=["bucket", "words", "counts"])
     return docs.select("text", "group").mapInPandas(count, WORDS).groupBy("bucket").applyInPandas(add, WORDS)
 
 
-def _sum_tables(table: DataFrame, parts: int) -> np.ndarray:
+def _sum_tables(table: DataFrame, parts: int, code: ByteCode) -> np.ndarray:
     """Counts (slot, bit) of the hashed tables over all buckets (a fixed number of slots)."""
     size = int(OFFSETS[-1])
     width = -(-size // parts)
@@ -511,10 +588,10 @@ def _sum_tables(table: DataFrame, parts: int) -> np.ndarray:
         n = np.zeros((size, 2))
         for pdf in batches:
             for words, counts in zip(pdf["words"], pdf["counts"]):
-                _add_tables(n, _unpack(words), np.frombuffer(counts, np.int64))
+                _add_tables(n, _unpack(words), _from_planes(counts, np.int64), code)
         at = np.flatnonzero(n.sum(1))
         s = runs(at // width)
-        rows = [(int(at[lo] // width), at[lo:hi].astype("<u4").tobytes(), n[at[lo:hi]].astype("<f8").tobytes())
+        rows = [(int(at[lo] // width), _pack_keys(at[lo:hi].astype(np.uint64)), _planes(n[at[lo:hi]].astype("<u8").reshape(-1)))
                 for lo, hi in zip(s, np.append(s[1:], len(at)))]
         yield pd.DataFrame(rows, columns=["part", "slots", "counts"])
 
@@ -522,7 +599,7 @@ def _sum_tables(table: DataFrame, parts: int) -> np.ndarray:
         lo = int(pdf["part"].iloc[0]) * width
         n = np.zeros((width, 2))
         for s, c in zip(pdf["slots"], pdf["counts"]):
-            n[np.frombuffer(s, "<u4").astype(np.int64) - lo] += np.frombuffer(c, "<f8").reshape(-1, 2)
+            n[_unpack_keys(s).astype(np.int64) - lo] += _from_planes(c, "<u8").reshape(-1, 2)
         at = np.flatnonzero(n.sum(1))
         return pd.DataFrame([(int(pdf["part"].iloc[0]), (at + lo).astype("<u4").tobytes(), n[at].astype("<f4").tobytes())],
                             columns=["part", "slots", "counts"])
@@ -532,9 +609,9 @@ def _sum_tables(table: DataFrame, parts: int) -> np.ndarray:
     return n
 
 
-def train(table: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
+def train(table: DataFrame, buckets: int, code: ByteCode) -> tuple[np.ndarray, np.ndarray, np.ndarray, int, int]:
     """Fit on the table of training tokens: (scoring tables, weights, adaptive table, tokens, distinct words)."""
-    n = _sum_tables(table, max(64, buckets))
+    n = _sum_tables(table, max(64, buckets), code)
     shared = table.sparkSession.sparkContext.broadcast(n)  # fixed size
     size = GATES * (INPUTS + 1 + 2 * STEPS)
 
@@ -543,11 +620,11 @@ def train(table: DataFrame, buckets: int) -> tuple[np.ndarray, np.ndarray, np.nd
         tokens = distinct = 0
         for pdf in batches:
             for raw, c in zip(pdf["words"], pdf["counts"]):
-                words, c = _unpack(raw), np.frombuffer(c, np.int64)
+                words, c = _unpack(raw), _from_planes(c, np.int64)
                 if not words:
                     continue
                 tokens, distinct = tokens + int(c.sum()), distinct + len({w[1:] for w in words})
-                w, seen, ones, every = _learn(words, c, shared.value)
+                w, seen, ones, every = _learn(words, c, shared.value, code)
                 total += np.concatenate([(w * seen[:, None]).ravel(), seen, ones.ravel(), every.ravel()])
         yield pd.DataFrame({"i": np.arange(size + 2), "v": np.concatenate([total, [tokens, distinct]])})
     sums = table.mapInPandas(learn, "i int, v double").groupBy("i").agg(F.sum("v").alias("v")).toPandas()  # fixed size
@@ -591,27 +668,31 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     training = _grouped(d, "_group", learns).where(learns).select("text", "group")
     table = _corpus_words(training, buckets).checkpoint()
     context_buckets = pieces(total, CONTEXT_BYTES)
-    states = d.sparkSession.sparkContext.broadcast(_group_table(table))  # fixed size
-    *fitted, n_train, n_distinct = train(table, buckets)
-    shared = d.sparkSession.sparkContext.broadcast(fitted)  # fixed size
+    bits = min(63, total.bit_length() + SPARE_BITS)
+    spoken, code = _group_table(table)
+    states = d.sparkSession.sparkContext.broadcast(spoken)  # fixed size
+    *fitted, n_train, n_distinct = train(table, buckets, code)
+    shared = d.sparkSession.sparkContext.broadcast((*fitted, code))  # fixed size
 
     dealt = d.select("doc_id", "text").withColumn("held_out", salted_crc("doc_id", folds) == held_out).withColumn("block", block_of(blocks, "doc_id"))
 
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"])  # one order, so that sums and states agree with add_up
         texts, learned = list(pdf["text"]), ~pdf["held_out"].to_numpy(bool)
-        found, keys, learns = set(), [], []
+        found, keys = set(), []
         for s in _texts(texts):
             tokens, _, n, pairs = _tokens(texts[s], states.value)
             found.update(tokens)
-            keys += pairs
-            learns += [np.repeat(learned[s], n)] * 2
+            for k in pairs:  # the lowest bit: from a training document
+                keys.append(((k >> np.uint64(64 - bits)) << np.uint64(1)) | np.repeat(learned[s], n).astype(np.uint64))
         words = sorted(found)
-        keys, place = np.unique(np.concatenate(keys), return_inverse=True)
-        counts = np.bincount(place, weights=np.concatenate(learns), minlength=len(keys))
+        keys = np.sort(np.concatenate(keys))
+        at = runs(keys >> np.uint64(1))
+        counts = np.add.reduceat(keys & np.uint64(1), at)
+        keys = keys[at] >> np.uint64(1)
         name = int(pdf["block"].iloc[0])
         return pd.DataFrame([(b, name, _pack([words[i] for i in at]), b"") for b, at in _deal(words, buckets)]
-                            + [(b, name, raw, c) for b, raw, c in _context_rows(keys, counts, context_buckets)],
+                            + [(b, name, raw, c) for b, raw, c in _context_rows(keys, counts, context_buckets, bits)],
                             columns=["bucket", "block", "words", "counts"])
 
     def reply(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
@@ -619,55 +700,44 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if len(asked) and asked["bucket"].iloc[0] < 0:
             return _count_contexts(asked)
         if len(asked) and len(known):
-            words, counts = _unpack(known["words"].iloc[0]), np.frombuffer(known["counts"].iloc[0], np.int64)
-        model = Model(*shared.value)
+            words, counts = _unpack(known["words"].iloc[0]), _from_planes(known["counts"].iloc[0], np.int64)
         sent = [_unpack(raw) for raw in asked["words"]]
-        place: dict[bytes, int] = {}
-        for s in sent:
-            for w in s:
-                place.setdefault(w, len(place))
+        place = _Places()
+        at = [np.fromiter(map(place.__getitem__, s), np.int64, len(s)) for s in sent]
         names = list(place)
-        logs = np.empty(len(names), np.float32)
-        learned = _Bytes(words)
-        for at in range(0, len(names), 50_000):  # bounded memory
-            part = names[at:at + 50_000]
-            logs[at:at + len(part)] = model.log10(part, learned, counts)
+        logs = Model(*shared.value).log10(names, words, counts).astype(np.float32)
         have: dict[bytes, int] = {}
         for w, n in zip(words, counts.tolist()):  # of the word in all states
             have[w[1:]] = have.get(w[1:], 0) + n
         c = np.fromiter((have.get(w[1:], 0) for w in names), np.int64, len(names))
-        rows = []
-        for block, raw, s in zip(asked["block"], asked["words"], sent):
-            i = np.fromiter((place[w] for w in s), np.int64, len(s))
-            rows.append((block, raw, logs[i].tobytes(), c[i].tobytes()))
-        return pd.DataFrame(rows, columns=["block", "words", "logs", "counts"])
+        rows = [(block, bucket, _planes(logs[i]), _planes(c[i])) for block, bucket, i in zip(asked["block"], asked["bucket"], at)]
+        return pd.DataFrame(rows, columns=["block", "bucket", "logs", "counts"])
 
     def add_up(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = [c.split()[0] for c in RESULT.split(", ")]
         if pdf.empty:
             return pd.DataFrame({c: [] for c in columns})
         pdf = pdf.sort_values(["doc_id", "text"])
-        of_words = answers["logs"].map(len) > 0
-        pairs, answers = answers[~of_words], answers[of_words]
-        n_keys = np.frombuffer(b"".join(pairs.sort_values("words")["counts"]), "<u4").astype(np.int64)
-        place: dict[bytes, int] = {}
-        for raw in answers["words"]:
-            for w in _unpack(raw):
-                place[w] = len(place)
-        logs = np.concatenate([np.frombuffer(x, np.float32) for x in answers["logs"]]).astype(np.float64)
-        counts = np.concatenate([np.frombuffer(x, np.int64) for x in answers["counts"]])
-        base = np.log10((counts + 1) / (n_train + n_distinct + 1))
         texts = list(pdf["text"])
+        parts = [(s, *_tokens(texts[s], states.value)) for s in _texts(texts)]
+        words = sorted({w for _, tokens, *_ in parts for w in tokens})  # as asked for, bucket by bucket
+        place = {words[i]: n for n, i in enumerate(i for _, at in _deal(words, buckets) for i in at)}
+        answers = answers.sort_values("bucket")
+        of_words = answers["bucket"] >= 0
+        n_keys = np.concatenate([_from_planes(x, "<u4") for x in answers["counts"][~of_words][::-1]]).astype(np.int64)
+        logs = np.concatenate([_from_planes(x, np.float32) for x in answers["logs"][of_words]]).astype(np.float64)
+        counts = np.concatenate([_from_planes(x, np.int64) for x in answers["counts"][of_words]])
+        base = np.log10((counts + 1) / (n_train + n_distinct + 1))
         sums = np.zeros((3, len(texts)))
         n = np.empty(len(texts), np.int64)
-        parts = [(s, *_tokens(texts[s], states.value)) for s in _texts(texts)]
-        keys = np.unique(np.concatenate([k for *_, pairs in parts for k in pairs]))  # as asked for
-        for s, tokens, code, n[s], (pair, triple) in parts:
+        keys, at = np.unique(np.concatenate([k for *_, pairs in parts for k in pairs]) >> np.uint64(64 - bits), return_inverse=True)
+        in_turn = iter(np.split(n_keys[at], np.cumsum([len(k) for *_, pairs in parts for k in pairs])[:-1]))
+        for s, tokens, code, n[s], _ in parts:
             i = np.fromiter((place[w] for w in tokens), np.int64, len(tokens))[code]
             row = np.repeat(np.arange(s.start, s.stop), n[s])
             seen = counts[i]
             # a text starts as often as it ends
-            p = interpolate(10.0 ** logs[i], _after(seen, n[s], seen[n[s][0] - 1]), _find(keys, n_keys, pair), _find(keys, n_keys, triple), n[s])
+            p = interpolate(10.0 ** logs[i], _after(seen, n[s], seen[n[s][0] - 1]), next(in_turn), next(in_turn), n[s])
             for k, v in enumerate((np.log10(p), base[i], seen > 0)):
                 sums[k] += np.bincount(row, weights=v, minlength=len(texts))
         score = sums[0]

@@ -209,16 +209,16 @@ def test_word_probabilities_sum_to_at_most_one():
     counts = np.array([5, 3, 2, 4, 6, 1])
     words = [b"A" + w for w in words]  # with a state
     n = np.zeros((int(lm_scoring.OFFSETS[-1]), 2))
-    lm_scoring._add_tables(n, words, counts)
+    code = lm_scoring.ByteCode(np.bincount(np.frombuffer(b" ".join(w[1:] for w in words), np.uint8), minlength=256))
+    lm_scoring._add_tables(n, words, counts, code)
     refined = np.tile(lm_scoring._sigmoid(-12 + (np.arange(lm_scoring.STEPS) + 0.5) * 24 / lm_scoring.STEPS), (lm_scoring.GATES, 1))
-    model = lm_scoring.Model(lm_scoring.Model.scoring_tables(n.astype(np.float32)), lm_scoring.first_weights(), refined)
-    learned = lm_scoring._Bytes(words)
+    model = lm_scoring.Model(lm_scoring.Model.scoring_tables(n.astype(np.float32)), lm_scoring.first_weights(), refined, code)
     every = [b"A" + bytes([97 + i, 97 + j]) for i in range(26) for j in range(26)] + [b"A" + bytes([97 + i]) for i in range(26)]
     every = sorted(set(every + words))
-    assert sum(10 ** model.log10(every, learned, counts)) <= 1 + 1e-6
-    known = model.log10(words, learned, counts)
+    assert sum(10 ** model.log10(every, words, counts)) <= 1 + 1e-6
+    known = model.log10(words, words, counts)
     strange = [b"Azq", b"Azqc", b"Aq", b"Azqcdefgh", b"Azqcdxyz", b"Aw"]
-    assert known.sum() > model.log10(strange, learned, counts).sum()
+    assert known.sum() > model.log10(strange, words, counts).sum()
 
 
 def test_order_of_words_counts(make_docs):
@@ -260,17 +260,37 @@ def test_context_probabilities_sum_to_at_most_one():
 
 def test_deep_prefixes_keep_all_counts():
     rng = random.Random(8)
-    words = sorted({b"A" + bytes(rng.choice(b"abcdefghijklmnopqrstuvwxyz") for _ in range(12)) for _ in range(3000)})
-    known = lm_scoring._Bytes(words)
-    c = (1 + known.word[known.deep] % 7).astype(np.float32)
-    for k in range(8):
-        node, bit = known.bit(k)
-        keys = known.deep_keys(node)
-        names, place = np.unique(keys, return_inverse=True)
-        want = np.zeros((len(names), 2))
-        np.add.at(want, (place, bit[known.deep]), c)
-        deep = lm_scoring._Deep(known, k, c)
-        assert np.array_equal(deep.find(names), want) and not deep.find(mix64(names)).any()
+    words = list({bytes([rng.choice(b"ABC")]) + bytes(rng.choice(alphabet) for _ in range(rng.randrange(1, 14)))
+                  for alphabet in (b"ab", b"a\x01\x00\x7f", b"abcdefghijklmnopqrstuvwxyz\xc3\xa4") for _ in range(800)})
+    code = lm_scoring.ByteCode(np.arange(256)[::-1])
+    spelled = {v: [(n, b) for n, b in zip(code.node[v].tolist()[:code.length[v]], code.bit[v].tolist())] for v in range(256)}
+    assert len({tuple(x) for x in spelled.values()}) == 256
+    c = np.array([1 + i % 7 for i in range(len(words))], float)
+    want = Counter()
+    for w, k in zip(words, c):
+        for i, v in enumerate(w + b" "):
+            for node, bit in spelled[v] if i else []:
+                want[w[:i], node, bit] += k
+    known = lm_scoring._Words(words, code)
+    n = known.prefix_counts(c[known.order])
+    step = 0
+    for j in known.order:
+        w = words[j] + b" "
+        for i, v in enumerate(w):
+            for node, _ in spelled[v] if i else []:
+                if i >= lm_scoring.TRIE_FROM:
+                    assert n[step].tolist() == [want[w[:i], node, 0], want[w[:i], node, 1]]
+                step += 1
+    assert step == len(n)
+
+
+def test_packed_keys_and_numbers_come_back():
+    rng = np.random.default_rng(5)
+    for bits in (1, 12, 40, 63):
+        keys = np.unique(rng.integers(0, 1 << bits, 1000, dtype=np.uint64))
+        assert np.array_equal(lm_scoring._unpack_keys(lm_scoring._pack_keys(keys)), keys)
+        counts = (keys % np.uint64(300)).astype("<u4")
+        assert np.array_equal(lm_scoring._from_planes(lm_scoring._planes(counts), "<u4"), counts)
 
 
 def test_model_beats_unigrams_on_held_out_documents(spark):
