@@ -46,7 +46,7 @@ group column, or where it is null, a text belongs to group 0.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -73,8 +73,8 @@ GATES = 8 * (len(CONFIDENCE) + 1)
 STEPS = 24
 #: Steps that are mixed at once, and after which the weights move.
 BATCH = 1 << 14
-#: Characters that a worker splits at once.
-PIECE = 2_000_000
+#: Characters that a worker splits at once: a block is one slice, or a few.
+PIECE = 8_000_000
 #: Text bytes that share one bucket of words.
 BUCKET_BYTES = 8_000_000
 
@@ -84,11 +84,11 @@ CONTEXT = (1024.0, 1.0)
 #: for another one with a probability of less than 1 in 2 ** SPARE_BITS, at every size.
 SPARE_BITS = 12
 #: Text bytes that share one bucket of pairs and triples.
-CONTEXT_BYTES = 2_000_000
+CONTEXT_BYTES = 4_000_000
 
 WORDS = "bucket int, words binary, counts binary"
-REQUEST = "bucket int, block int, words binary, counts binary"
-REPLY = "block int, bucket int, logs binary, counts binary"
+REQUEST = "bucket int, block int, part int, words binary, counts binary"
+REPLY = "block int, part int, bucket int, logs binary, counts binary"
 RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double, bits_per_byte double")
 
@@ -184,9 +184,13 @@ def _name(words: list[bytes], keys: np.ndarray) -> list[bytes]:
     return [bytes([65 + c % 16]) + words[c // 16] for c in keys.tolist()]
 
 
-def _slots_of(words: list[bytes]) -> np.ndarray:
+def _hashes(words: Iterable[bytes], n: int) -> np.ndarray:
     import xxhash
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words)).astype(np.int64) & (STATE_SLOTS - 1)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+
+
+def _slots_of(hashes: np.ndarray) -> np.ndarray:
+    return hashes.astype(np.int64) & (STATE_SLOTS - 1)
 
 
 def _after(values: np.ndarray, counts: np.ndarray, start) -> np.ndarray:
@@ -197,12 +201,14 @@ def _after(values: np.ndarray, counts: np.ndarray, start) -> np.ndarray:
     return out
 
 
-def _contexts(words: list[bytes], code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of (previous word, word) and of (previous two, word) of every token; a text's first token has start marks before it."""
-    import xxhash
+def _contexts(hashes: np.ndarray, code: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of (previous word, word) and of (previous two, word) of every token; a text's first token has start marks before it.
+
+    ``hashes``: of the distinct words.
+    """
     if not len(code):
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), np.uint64, len(words))[code]
+    h = hashes[code]
     pair = mix64(mix64(_after(h, counts, _K[2]) ^ _K[0]) * _K[1] + h)
     return pair, mix64(mix64(_after(pair, counts, _K[2]) ^ _K[1]) * _K[0] + h)
 
@@ -219,8 +225,9 @@ def _count_contexts(asked: pd.DataFrame) -> pd.DataFrame:
     _, place = np.unique(np.concatenate(sent), return_inverse=True)
     n = np.bincount(place, weights=np.concatenate([_from_planes(raw, "<u4") for raw in asked["counts"]]))
     sums = np.split(n[place].astype("<u4"), np.cumsum([len(x) for x in sent])[:-1])
-    return pd.DataFrame([(block, asked["bucket"].iloc[0], b"", _planes(x)) for block, x in zip(asked["block"], sums)],
-                        columns=["block", "bucket", "logs", "counts"])
+    return pd.DataFrame([(block, part, bucket, b"", _planes(x))
+                         for block, part, bucket, x in zip(asked["block"], asked["part"], asked["bucket"], sums)],
+                        columns=["block", "part", "bucket", "logs", "counts"])
 
 
 def interpolate(p: np.ndarray, before: np.ndarray, pair: np.ndarray, triple: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -231,15 +238,16 @@ def interpolate(p: np.ndarray, before: np.ndarray, pair: np.ndarray, triple: np.
     return (np.where(both > 0, triple, 0) + second * p) / (both + second)
 
 
-def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-    """(distinct tokens, place of every token among them, tokens of each text, keys of pairs and triples).
+def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray]]:
+    """(distinct words, distinct tokens, place of every token among them, tokens of each text, keys of pairs and triples).
 
-    A token is the state as one byte and the word. ``groups``: log probability of each word slot in each group.
+    A token is 16 times the place of its word and the state. ``groups``: log probability of each word slot in each group.
     """
     words, code, counts = _split(texts)
+    hashes = _hashes(words, len(words))
     if not len(code):
-        return [], code, counts, _contexts(words, code, counts)
-    table = groups[_slots_of(words)]
+        return [], code, code, counts, _contexts(hashes, code, counts)
+    table = groups[_slots_of(hashes)]
     first = np.cumsum(counts) - counts
     start = np.repeat(first, counts)
     state, best = np.zeros(len(code), np.int64), np.zeros(len(code))
@@ -253,17 +261,17 @@ def _tokens(texts: list[str], groups: np.ndarray) -> tuple[list[bytes], np.ndarr
         best[better] = lead[better]
     state[first] = UNKNOWN
     both, place = _distinct(code * 16 + state, 16 * len(words))
-    return _name(words, both), place, counts, _contexts(words, code, counts)
+    return words, both, place, counts, _contexts(hashes, code, counts)
 
 
-def _deal(words: list[bytes], buckets: int) -> list[tuple[int, list[int]]]:
-    """Indices of the tokens by bucket; words with the same first bytes share one, in all states."""
-    import xxhash
-    h = np.fromiter((xxhash.xxh3_64_intdigest(w[1:TRIE_FROM]) for w in words), np.uint64, len(words))
-    b = bucket_of(h, buckets).astype(np.int64)
+def _deal(words: Iterable[bytes], tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the tokens by bucket, buckets that have some, where each starts); words with the same first bytes share one, in all states."""
+    words = list(words)
+    h = _hashes((w[:TRIE_FROM - 1] for w in words), len(words))
+    b = bucket_of(h, buckets).astype(np.int64)[tokens // 16]
     order = np.argsort(b, kind="stable")
     at = runs(b[order])
-    return [(int(b[order[lo]]), order[lo:hi].tolist()) for lo, hi in zip(at, np.append(at[1:], len(b)))]
+    return order, b[order[at]], at
 
 
 class ByteCode:
@@ -474,12 +482,13 @@ def _learn(words: list[bytes], counts: np.ndarray, tables: np.ndarray, code: Byt
     for n, ids in enumerate(w.batches(np.random.default_rng(17).permutation(w.n))):
         x, gate, bit, word = _inputs(w, ids, prefixes, tables, True)
         c = counts[ids][word]
-        gap = (bit - _sigmoid(_mix(weights, gate, x))) * c
+        dot = _mix(weights, gate, x)
+        gap = (bit - _sigmoid(dot)) * c
         mass = np.bincount(gate, weights=c, minlength=GATES)
         rate = 0.3 / (1 + n / 50) / np.maximum(mass, 1)
         for i in range(INPUTS):
             weights[i] += rate * np.bincount(gate, weights=gap * x[i], minlength=GATES)
-        cell = gate * STEPS + _step(_mix(weights, gate, x))
+        cell = gate * STEPS + _step(dot)
         ones += np.bincount(cell, weights=c * bit, minlength=GATES * STEPS)
         every += np.bincount(cell, weights=c, minlength=GATES * STEPS)
         seen += mass
@@ -530,7 +539,7 @@ def _group_table(table: DataFrame) -> tuple[np.ndarray, ByteCode]:
                 n[size:] += np.bincount(np.frombuffer(b"".join([w[1:] + b" " for w in words]), np.uint8), minlength=256)
                 group = np.fromiter((w[0] - 65 for w in words), np.int64, len(words))
                 told = group < GROUPS
-                np.add.at(n, (_slots_of([w[1:] for w in words]) * GROUPS + group)[told], c[told])
+                np.add.at(n, (_slots_of(_hashes((w[1:] for w in words), len(words))) * GROUPS + group)[told], c[told])
         at = np.flatnonzero(n)
         yield pd.DataFrame({"i": at, "n": n[at]})
     n = np.zeros(size + 256)
@@ -552,8 +561,9 @@ def _corpus_words(docs: DataFrame, buckets: int) -> DataFrame:
         def rows():
             words, n = list(total), np.fromiter(total.values(), np.int64, len(total))
             total.clear()
-            return pd.DataFrame([(b, _pack([words[i] for i in at]), _planes(n[at])) for b, at in _deal(words, buckets)],
-                                columns=["bucket", "words", "counts"])
+            order, names, at = _deal((w[1:] for w in words), 16 * np.arange(len(words)), buckets)
+            return pd.DataFrame([(b, _pack([words[i] for i in part.tolist()]), _planes(n[part]))
+                                 for b, part in zip(names.tolist(), np.split(order, at[1:]))], columns=["bucket", "words", "counts"])
         for pdf in batches:
             texts, group = list(pdf["text"]), pdf["group"].to_numpy(np.int64)
             for s in _texts(texts):
@@ -679,21 +689,18 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def ask(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"])  # one order, so that sums and states agree with add_up
         texts, learned = list(pdf["text"]), ~pdf["held_out"].to_numpy(bool)
-        found, keys = set(), []
-        for s in _texts(texts):
-            tokens, _, n, pairs = _tokens(texts[s], states.value)
-            found.update(tokens)
-            for k in pairs:  # the lowest bit: from a training document
-                keys.append(((k >> np.uint64(64 - bits)) << np.uint64(1)) | np.repeat(learned[s], n).astype(np.uint64))
-        words = sorted(found)
-        keys = np.sort(np.concatenate(keys))
-        at = runs(keys >> np.uint64(1))
-        counts = np.add.reduceat(keys & np.uint64(1), at)
-        keys = keys[at] >> np.uint64(1)
-        name = int(pdf["block"].iloc[0])
-        return pd.DataFrame([(b, name, _pack([words[i] for i in at]), b"") for b, at in _deal(words, buckets)]
-                            + [(b, name, raw, c) for b, raw, c in _context_rows(keys, counts, context_buckets, bits)],
-                            columns=["bucket", "block", "words", "counts"])
+        rows, name = [], int(pdf["block"].iloc[0])
+        for part, s in enumerate(_texts(texts)):
+            words, tokens, _, n, pairs = _tokens(texts[s], states.value)
+            # the lowest bit: from a training document
+            own = np.repeat(learned[s], n).astype(np.uint64)
+            keys = np.sort(np.concatenate([((k >> np.uint64(64 - bits)) << np.uint64(1)) | own for k in pairs]))
+            at = runs(keys >> np.uint64(1))
+            counts, keys = np.add.reduceat(keys & np.uint64(1), at), keys[at] >> np.uint64(1)
+            order, names, at = _deal(words, tokens, buckets)
+            rows += [(b, name, part, _pack(_name(words, tokens[i])), b"") for b, i in zip(names.tolist(), np.split(order, at[1:]))]
+            rows += [(b, name, part, raw, c) for b, raw, c in _context_rows(keys, counts, context_buckets, bits)]
+        return pd.DataFrame(rows, columns=["bucket", "block", "part", "words", "counts"])
 
     def reply(asked: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         words, counts = [], np.empty(0, np.int64)
@@ -710,8 +717,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         for w, n in zip(words, counts.tolist()):  # of the word in all states
             have[w[1:]] = have.get(w[1:], 0) + n
         c = np.fromiter((have.get(w[1:], 0) for w in names), np.int64, len(names))
-        rows = [(block, bucket, _planes(logs[i]), _planes(c[i])) for block, bucket, i in zip(asked["block"], asked["bucket"], at)]
-        return pd.DataFrame(rows, columns=["block", "bucket", "logs", "counts"])
+        rows = [(block, part, bucket, _planes(logs[i]), _planes(c[i]))
+                for block, part, bucket, i in zip(asked["block"], asked["part"], asked["bucket"], at)]
+        return pd.DataFrame(rows, columns=["block", "part", "bucket", "logs", "counts"])
 
     def add_up(pdf: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
         columns = [c.split()[0] for c in RESULT.split(", ")]
@@ -719,26 +727,26 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             return pd.DataFrame({c: [] for c in columns})
         pdf = pdf.sort_values(["doc_id", "text"])
         texts = list(pdf["text"])
-        parts = [(s, *_tokens(texts[s], states.value)) for s in _texts(texts)]
-        words = sorted({w for _, tokens, *_ in parts for w in tokens})  # as asked for, bucket by bucket
-        place = {words[i]: n for n, i in enumerate(i for _, at in _deal(words, buckets) for i in at)}
-        answers = answers.sort_values("bucket")
-        of_words = answers["bucket"] >= 0
-        n_keys = np.concatenate([_from_planes(x, "<u4") for x in answers["counts"][~of_words][::-1]]).astype(np.int64)
-        logs = np.concatenate([_from_planes(x, np.float32) for x in answers["logs"][of_words]]).astype(np.float64)
-        counts = np.concatenate([_from_planes(x, np.int64) for x in answers["counts"][of_words]])
-        base = np.log10((counts + 1) / (n_train + n_distinct + 1))
         sums = np.zeros((3, len(texts)))
         n = np.empty(len(texts), np.int64)
-        keys, at = np.unique(np.concatenate([k for *_, pairs in parts for k in pairs]) >> np.uint64(64 - bits), return_inverse=True)
-        in_turn = iter(np.split(n_keys[at], np.cumsum([len(k) for *_, pairs in parts for k in pairs])[:-1]))
-        for s, tokens, code, n[s], _ in parts:
-            i = np.fromiter((place[w] for w in tokens), np.int64, len(tokens))[code]
+        answers = answers.sort_values("bucket")
+        for part, s in enumerate(_texts(texts)):
+            words, tokens, code, n[s], contexts = _tokens(texts[s], states.value)
+            order, _, _ = _deal(words, tokens, buckets)  # as asked for, bucket by bucket
+            got = answers[answers["part"] == part]
+            of_words = got["bucket"] >= 0
+            logs, counts = np.empty(len(tokens)), np.empty(len(tokens), np.int64)
+            logs[order] = np.concatenate([_from_planes(x, np.float32) for x in got["logs"][of_words]])
+            counts[order] = np.concatenate([_from_planes(x, np.int64) for x in got["counts"][of_words]])
+            base = np.log10((counts + 1) / (n_train + n_distinct + 1))
+            n_keys = np.concatenate([_from_planes(x, "<u4") for x in got["counts"][~of_words][::-1]]).astype(np.int64)
+            _, at = np.unique(np.concatenate(contexts) >> np.uint64(64 - bits), return_inverse=True)
+            pair, triple = n_keys[at].reshape(2, -1)
             row = np.repeat(np.arange(s.start, s.stop), n[s])
-            seen = counts[i]
+            seen = counts[code]
             # a text starts as often as it ends
-            p = interpolate(10.0 ** logs[i], _after(seen, n[s], seen[n[s][0] - 1]), next(in_turn), next(in_turn), n[s])
-            for k, v in enumerate((np.log10(p), base[i], seen > 0)):
+            p = interpolate((10.0 ** logs)[code], _after(seen, n[s], seen[n[s][0] - 1]), pair, triple, n[s])
+            for k, v in enumerate((np.log10(p), base[code], seen > 0)):
                 sums[k] += np.bincount(row, weights=v, minlength=len(texts))
         score = sums[0]
         size = np.array([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])

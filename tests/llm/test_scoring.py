@@ -239,19 +239,19 @@ def test_order_of_words_counts(make_docs):
 def test_context_probabilities_sum_to_at_most_one():
     texts = ["a b a c", "a b", "c c c", ""]
     words, code, counts = lm_scoring._split(texts)
-    pair, triple = (Counter(k.tolist()) for k in lm_scoring._contexts(words, code, counts))
+    pair, triple = (Counter(k.tolist()) for k in lm_scoring._contexts(lm_scoring._hashes(words, len(words)), code, counts))
     n = Counter(words[c] for c in code)
     for before in ([], ["a"], ["a", "b"], ["c", "c"], ["x", "a"], ["x", "x"]):
         total = 0.0
         for w in ["a", "b", "c", "x"]:
             text = " ".join(before + [w])
             v, c, m = lm_scoring._split([text])
-            ks = lm_scoring._contexts(v, c, m)
+            ks = lm_scoring._contexts(lm_scoring._hashes(v, len(v)), c, m)
             at = [np.array([t[k] for k in ks[j].tolist()], np.int64) for j, t in enumerate((pair, triple))]
             seen = np.array([n[v[x]] for x in c])
             total += lm_scoring.interpolate(np.full(len(c), 0.2), lm_scoring._after(seen, m, seen[-1]), *at, m)[len(before)]
         v, c, m = lm_scoring._split([" ".join(before)])
-        ks = lm_scoring._contexts(v, c, m)
+        ks = lm_scoring._contexts(lm_scoring._hashes(v, len(v)), c, m)
         at = [np.array([t[k] for k in ks[j].tolist()], np.int64) for j, t in enumerate((pair, triple))]
         seen = np.array([n[v[x]] for x in c])
         total += lm_scoring.interpolate(np.full(len(c), 0.2), lm_scoring._after(seen, m, seen[-1]), *at, m)[-1]
