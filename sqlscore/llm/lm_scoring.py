@@ -45,6 +45,7 @@ group column, or where it is null, a text belongs to group 0.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterable, Iterator
 
@@ -95,14 +96,18 @@ RESULT = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tok
 _K = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
-def _squeeze(raw: bytes) -> bytes:
+@functools.cache
+def _zstd():
     import zstandard
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _squeeze(raw: bytes) -> bytes:
+    return _zstd()[0].compress(raw)
 
 
 def _loosen(raw: bytes) -> bytes:
-    import zstandard
-    return zstandard.ZstdDecompressor().decompress(raw)
+    return _zstd()[1].decompress(raw)
 
 
 def _pack(words: list[bytes]) -> bytes:
@@ -392,11 +397,12 @@ class _Words:
         depth = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
         return np.repeat(word, n), at, self.first[at] + depth, depth, self.code.bit[self.raw[at], depth].astype(np.int64)
 
-    def slots(self, at: np.ndarray, depth: np.ndarray) -> Iterator[np.ndarray]:
-        """Slots of the tables in the joint array; the prefix table is for the first bytes."""
+    def slots(self, at: np.ndarray, depth: np.ndarray, first: np.ndarray) -> Iterator[np.ndarray]:
+        """Slots of the tables in the joint array; those of the prefix table for the steps ``first``, in the first bytes."""
         step = self.code.node[self.raw[at], depth] * _K[2]
         for t, c in enumerate(self.contexts):
-            yield (((c[at] + step) * _K[0]) >> np.uint64(64 - TABLE_BITS[t])).astype(np.int64) + OFFSETS[t]
+            h = (c[at] + step) if t else (c[at[first]] + step[first])
+            yield ((h * _K[0]) >> np.uint64(64 - TABLE_BITS[t])).astype(np.int64) + OFFSETS[t]
 
 
 def _add_tables(n: np.ndarray, words: list[bytes], counts: np.ndarray, code: ByteCode) -> None:
@@ -406,12 +412,12 @@ def _add_tables(n: np.ndarray, words: list[bytes], counts: np.ndarray, code: Byt
     for ids in w.batches(np.arange(w.n)):
         word, at, _, depth, bit = w.steps(ids)
         c = counts[ids][word]
-        first = w.pos[at] < TRIE_FROM
-        for t, slot in enumerate(w.slots(at, depth)):
+        first = np.flatnonzero(w.pos[at] < TRIE_FROM)
+        for t, slot in enumerate(w.slots(at, depth, first)):
             if t:
                 np.add.at(flat, 2 * slot + bit, c)
             else:
-                np.add.at(flat, (2 * slot + bit)[first], c[first])
+                np.add.at(flat, 2 * slot + bit[first], c[first])
 
 
 def _log_odds(n: np.ndarray) -> np.ndarray:
@@ -423,6 +429,13 @@ def _rows(table: np.ndarray, at: np.ndarray) -> np.ndarray:
     return table.view(np.float64)[:, 0][at].view(np.float32).reshape(-1, 2)
 
 
+def _without(n: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The counts, in place, without one of each at ``own``."""
+    flat = n.reshape(-1)
+    flat[own] = np.maximum(flat[own] - 1, 0)
+    return n
+
+
 def _inputs(w: _Words, ids: np.ndarray, prefixes: np.ndarray, tables: np.ndarray, leave_out: bool):
     """(inputs, gate, bit, place among ``ids``) of the steps of some words.
 
@@ -430,22 +443,27 @@ def _inputs(w: _Words, ids: np.ndarray, prefixes: np.ndarray, tables: np.ndarray
     """
     word, at, step, depth, bit = w.steps(ids)
     x = np.empty((INPUTS, len(bit)), np.float32)
-    own = np.stack([1 - bit, bit], axis=1).astype(np.float32)
-    first = w.pos[at] < TRIE_FROM
+    own = 2 * np.arange(len(bit)) + bit
+    first = np.flatnonzero(w.pos[at] < TRIE_FROM)
     prefix = _rows(prefixes, step)
-    for t, slot in enumerate(w.slots(at, depth)):
+    for t, slot in enumerate(w.slots(at, depth, first)):
         found = _rows(tables, slot)
-        if t == 0:
-            if leave_out:
-                prefix = np.maximum(np.where(first[:, None], found, prefix) - own, 0)
-            odds, seen = _log_odds(prefix), prefix.sum(1)
-            if not leave_out:
-                odds, seen = np.where(first, found[:, 0], odds), np.where(first, found[:, 1], seen)
-            x[0] = odds
+        if t and leave_out:
+            x[t] = _log_odds(_without(found, own))
+        elif t:
+            x[t] = found[:, 0]
+        elif leave_out:
+            prefix[first] = found
+            x[0] = _log_odds(_without(prefix, own))
+            seen = prefix[:, 0] + prefix[:, 1]
         else:
-            x[t] = _log_odds(np.maximum(found - own, 0)) if leave_out else found[:, 0]
+            x[0] = _log_odds(prefix)
+            seen = prefix[:, 0] + prefix[:, 1]
+            x[0, first], seen[first] = found[:, 0], found[:, 1]
     x[TABLES] = 0.3
-    gate = np.minimum(depth, 7) * (len(CONFIDENCE) + 1) + np.searchsorted(CONFIDENCE, seen, side="right")
+    gate = np.minimum(depth, 7) * (len(CONFIDENCE) + 1)
+    for least in CONFIDENCE:
+        gate += seen >= least
     return x, gate, bit, word
 
 
