@@ -51,6 +51,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,7 +167,6 @@ class _Places(dict):
 
 def _split(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """(distinct words, place of every token among them, tokens of each text); each text ends with the end token."""
-    place = _Places()
     words: list[bytes] = []
     counts = np.empty(len(texts), np.int64)
     for i, t in enumerate(texts):
@@ -174,8 +174,8 @@ def _split(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         words += t.encode("utf-8", "surrogatepass").lower().split()
         words.append(END)
         counts[i] = len(words) - before
-    code = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-    return list(place), code, counts
+    numbered = pa.array(words, pa.large_binary()).dictionary_encode()
+    return numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64), counts
 
 
 def _distinct(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
