@@ -52,6 +52,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,16 +167,19 @@ class _Places(dict):
 
 
 def _split(texts: list[str]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """(distinct words, place of every token among them, tokens of each text); each text ends with the end token."""
-    words: list[bytes] = []
-    counts = np.empty(len(texts), np.int64)
-    for i, t in enumerate(texts):
-        before = len(words)
-        words += t.encode("utf-8", "surrogatepass").lower().split()
-        words.append(END)
-        counts[i] = len(words) - before
-    numbered = pa.array(words, pa.large_binary()).dictionary_encode()
-    return numbered.dictionary.to_pylist(), numbered.indices.to_numpy().astype(np.int64), counts
+    """(distinct words, place of every token among them, tokens of each text); each text ends with the end token.
+
+    A blank at an end of a text may add the empty word, which no token has.
+    """
+    if not texts:
+        return [], np.empty(0, np.int64), np.empty(0, np.int64)
+    raw = pa.array([t.encode("utf-8", "surrogatepass") for t in texts], pa.large_binary()).view(pa.large_string())
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(raw))
+    numbered = parts.values.view(pa.large_binary()).dictionary_encode()
+    words, code = numbered.dictionary.to_numpy(zero_copy_only=False).tolist(), numbered.indices.to_numpy().astype(np.int64)
+    is_word = np.array([len(w) > 0 for w in words], bool)[code]  # blanks at the ends of a text leave empty pieces
+    ends = np.concatenate([[0], np.cumsum(is_word)])[parts.offsets.to_numpy()]
+    return words + [END], np.insert(code[is_word], ends[1:], len(words)), np.diff(ends) + 1
 
 
 def _distinct(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:

@@ -284,6 +284,15 @@ def test_deep_prefixes_keep_all_counts():
     assert step == len(n)
 
 
+def test_split_is_that_of_bytes():
+    texts = ["", " ", " a  b ", "\ta\n\nB\x0b\x0cA\r", "\u00c9 a\x85b \u2003x\x1c\x1f", "\x00 a \x00", "a\ud800 \ud800", "x" * 5000, "", "Q a b"]
+    for some in [texts, texts[:1], texts[1:3], []]:
+        words, code, counts = lm_scoring._split(some)
+        got = np.split(code, np.cumsum(counts)[:-1]) if some else []
+        assert [[words[i] for i in x] for x in got] == [t.encode("utf-8", "surrogatepass").lower().split() + [b"\n"] for t in some]
+        assert len(set(words)) == len(words)
+
+
 def test_packed_keys_and_numbers_come_back():
     rng = np.random.default_rng(5)
     for bits in (1, 12, 40, 63):
