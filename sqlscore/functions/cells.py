@@ -38,15 +38,26 @@ def _number(text: Column) -> Column:
             .otherwise(F.concat(sign, kept, F.lit("e"), exponent.cast("string"))))
 
 
+def _integer(text: Column) -> Column:
+    """:func:`_number` of a printed integer: no point, no exponent, no zeros in front."""
+    digits = F.ltrim(text, F.lit("-"))
+    kept = F.rtrim(digits, F.lit("0"))
+    exponent = F.length(digits) - F.length(kept)
+    return F.when(kept == "", F.lit("0e0")).otherwise(
+        F.concat(F.when(text.startswith("-"), "-").otherwise(""), kept, F.lit("e"), exponent.cast("string")))
+
+
 def cell(c: Column, dtype: T.DataType) -> Column:
     """Tagged string for one value of type ``dtype``."""
     if isinstance(dtype, T.NullType):
         return F.lit(None).cast("string")
     if isinstance(dtype, T.BooleanType):
-        return F.concat(F.lit("n:"), _number(c.cast("int").cast("string")))
+        return F.concat(F.lit("n:"), _integer(c.cast("int").cast("string")))
     if isinstance(dtype, T.FloatType):
         return F.concat(F.lit("n:"), _number(c.cast("double").cast("string")))
-    if isinstance(dtype, (*_INTEGRAL, T.DoubleType, T.DecimalType)):
+    if isinstance(dtype, _INTEGRAL):
+        return F.concat(F.lit("n:"), _integer(c.cast("string")))
+    if isinstance(dtype, (T.DoubleType, T.DecimalType)):
         return F.concat(F.lit("n:"), _number(c.cast("string")))  # a double prints its shortest round-trip form
     if isinstance(dtype, (T.StringType, T.CharType, T.VarcharType)):
         return F.concat(F.lit("s:"), c.cast("string"))

@@ -71,25 +71,24 @@ def templatize(df: DataFrame, sql_col: str = "query") -> DataFrame:
     Built from regexp_extract_all / split / transform — no Python per row.
     """
     s = F.col(sql_col)
-    toks = F.regexp_extract_all(s, F.lit(TOKEN_RE_S), 0)
-    lits = F.regexp_extract_all(s, F.lit(TOKEN_RE_S), 2)
-    gaps = F.split(s, TOKEN_RE_S, -1)
-    d = df.withColumns({"_toks": toks, "_lits": lits, "_gaps": gaps})
+    d = df.withColumns({"_toks": F.regexp_extract_all(s, F.lit(TOKEN_RE_S), 0), "_gaps": F.split(s, TOKEN_RE_S, -1)})
+    # group 2 of the pattern: a string or a number is told from a protected token by its first character
+    d = d.withColumn("_lits", F.transform("_toks", lambda x: F.when(x.rlike("^['0-9]"), x).otherwise(F.lit(""))))
     # stays inline: a literal with a backslash escape (its value needs the
     # lexer) and a structural literal that Spark needs as a constant (LIMIT n,
     # INTERVAL '1' DAY, DATE '…', X'…') — those become part of the template key
     structural = lambda i: F.coalesce(F.get(F.col("_gaps"), i).rlike(STRUCTURAL_BEFORE), F.lit(False))
     is_slot = lambda x, i: (x != "") & ~x.contains("\\") & ~structural(i)
+    d = d.withColumn("_slot", F.transform("_lits", is_slot))  # once a literal: what follows looks at it several times
     d = d.withColumn("_slot_no", F.transform(
-        F.col("_lits"), lambda x, i: F.when(is_slot(x, i), F.size(F.filter(F.slice(F.col("_lits"), 1, i), is_slot)))))
+        "_slot", lambda own, i: F.when(own, F.size(F.filter(F.slice(F.col("_slot"), 1, i), lambda y: y)))))
     piece = lambda g, i: F.concat(g, F.when(
         i < F.size(F.col("_toks")),
         F.when(F.get(F.col("_slot_no"), i).isNotNull(),
                F.concat(F.lit(MARK), F.get(F.col("_slot_no"), i).cast("string"), F.lit(MARK)))
         .otherwise(F.get(F.col("_toks"), i))).otherwise(F.lit("")))
     d = d.withColumn("_tpl", F.array_join(F.transform(F.col("_gaps"), piece), ""))
-    raw = F.filter(F.col("_lits"), is_slot)
-    d = d.withColumn("slot_raw", raw)
+    d = d.withColumn("slot_raw", F.filter("_lits", lambda x, i: F.get(F.col("_slot"), i)))
     kind = lambda x: (
         F.when(x.startswith("'"), F.lit("s"))
         .when(x.rlike("[eE]"), F.lit("e"))
@@ -101,10 +100,10 @@ def templatize(df: DataFrame, sql_col: str = "query") -> DataFrame:
         .otherwise(F.concat(F.lit("d"), F.length(F.ltrim(x, F.lit("0"))).cast("string"), F.lit("_0"))))
     value = lambda x: F.when(
         x.startswith("'"), F.replace(F.substring(x, F.lit(2), F.length(x) - 2), F.lit("''"), F.lit("'"))).otherwise(x)
-    d = d.withColumns({"slot_kind": F.transform(raw, kind), "slot_val": F.transform(raw, value)})
+    d = d.withColumns({"slot_kind": F.transform("slot_raw", kind), "slot_val": F.transform("slot_raw", value)})
     # the kinds are part of the template key: one column type per slot
     d = d.withColumn("template", F.concat(F.col("_tpl"), F.lit("\n--kinds:"), F.array_join(F.col("slot_kind"), ",")))
-    return d.drop("_toks", "_lits", "_gaps", "_slot_no", "_tpl")
+    return d.drop("_toks", "_lits", "_gaps", "_slot", "_slot_no", "_tpl")
 
 
 _SPARK_TYPE = {"s": "string", "e": "double", "i": "int", "l": "bigint"}
@@ -327,13 +326,14 @@ class _Part:
 
 def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[SparkSession], None], query_id: str = "query_id",
                     sql: str = "query", tables: str | None = None, out_dir: str | None = None,
-                    store: ExecutionStore | None = None) -> tuple[DataFrame, DataFrame]:
+                    store: ExecutionStore | None = None, schema: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Execute every distinct query; return ``(executions, rows)``.
 
     ``executions``: query_id, success, error, error_class, row_count, seconds (its share of the
     job that ran it). ``rows``: query_id, cells, whole results. ``views`` registers the views on the
     session it is given; ``tables`` names an array column with the tables a query may read, as ``name`` or
-    ``name(column,column)`` (NULL: all). With a ``store``, queries whose execution it keeps are not run:
+    ``name(column,column)`` (NULL: all), or ``schema`` a column with the text that declares them, which is read once a
+    distinct query. With a ``store``, queries whose execution it keeps are not run:
     their executions and rows come from it, ``kept`` tells which, and the successes of this batch are added.
     """
     run_name = uuid.uuid4().hex
@@ -343,8 +343,9 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[Sp
     session.conf.set("spark.sql.variable.substitute", "false")
     views(session)
     run = _Run(session, base)
-    allowed = F.array_join(F.array_sort(F.col(tables)), ";") if tables else F.lit(None).cast("string")
-    q = queries.select(F.col(query_id).cast("string").alias("query_id"), clean_query(F.col(sql)).alias("query"), allowed.alias("tables"))
+    named = tables or schema
+    q = queries.select(F.col(query_id).cast("string").alias("query_id"), F.col(sql).alias("query"),
+                       (F.col(named) if named else F.lit(None).cast("string")).alias("tables"))
     known = None
     if store is None:
         q = q.dropDuplicates(["query_id"])
@@ -352,6 +353,9 @@ def run_query_batch(spark: SparkSession, queries: DataFrame, views: Callable[[Sp
         dealt = store.dealt(q)
         known = store.known(dealt).checkpoint()  # as it is now: this batch adds to the store below
         q = store.fresh(dealt)
+    listed = declared_tables(F.col("tables")) if schema and not tables else F.col("tables")
+    q = q.select("query_id", clean_query(F.col("query")).alias("query"),
+                 (F.array_join(F.array_sort(listed), ";") if named else F.col("tables")).alias("tables"))
     t = templatize(q, "query").withColumn("grp", F.xxhash64("template", F.coalesce("tables", F.lit("*"))))
     path = os.path.join(base, "templates")
     # sorted by group inside salted files: the member filters below skip row groups by min and max,
@@ -467,10 +471,10 @@ def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str],
                        "_rk": execution_key(F.col(REF), F.col(SCHEMA))})
     ensure_checkpoint_dir(spark)
     c = c.checkpoint(eager=True)   # the regex projection is used three times below
-    with_schema = c.where(has_schema(F.col(SCHEMA))).withColumn("_tables", declared_tables(F.col(SCHEMA)))
-    qs = with_schema.select(F.col("_gk").alias("query_id"), F.col(SQL).alias("query"), "_tables").unionByName(
-        with_schema.select(F.col("_rk").alias("query_id"), F.col(REF).alias("query"), "_tables"))
-    ex, rows = run_query_batch(spark, qs, views, tables="_tables", out_dir=out_dir, store=store)
+    with_schema = c.where(has_schema(F.col(SCHEMA)))
+    qs = with_schema.select(F.col("_gk").alias("query_id"), F.col(SQL).alias("query"), SCHEMA).unionByName(
+        with_schema.select(F.col("_rk").alias("query_id"), F.col(REF).alias("query"), SCHEMA))
+    ex, rows = run_query_batch(spark, qs, views, schema=SCHEMA, out_dir=out_dir, store=store)
     g = ex.select(F.col("query_id").alias("_gk"), F.col("success").alias("gen_success"),
                   F.col("error").alias("gen_error"), F.col("error_class").alias("gen_error_class"),
                   F.col("seconds").alias("gen_seconds"), F.col("row_count").alias("gen_rows"))
@@ -484,14 +488,16 @@ def execute_candidates(spark: SparkSession, texted: DataFrame, keys: list[str],
         "gen_rows": F.coalesce(F.col("gen_rows"), F.lit(0)),
         "ref_rows": F.coalesce(F.col("ref_rows"), F.lit(0)),
     })
+    # rows move under 16 bytes a pair instead of its two keys
+    pairs = pairs.withColumn("_pair", F.unhex(F.md5(F.concat("_gk", "_rk"))))
     same = F.col("_gk") == F.col("_rk")
     need = pairs.where(F.col("gen_success") & F.col("ref_success") & ~same
-                       & (F.col("gen_rows") == F.col("ref_rows")) & (F.col("gen_rows") > 0)).select("_gk", "_rk")
-    long = (need.join(rows.withColumnRenamed("query_id", "_gk"), "_gk").select("_gk", "_rk", F.lit("gen").alias("side"), "cells")
+                       & (F.col("gen_rows") == F.col("ref_rows")) & (F.col("gen_rows") > 0)).select("_gk", "_rk", "_pair")
+    long = (need.join(rows.withColumnRenamed("query_id", "_gk"), "_gk").select("_pair", F.lit("gen").alias("side"), "cells")
             .unionByName(need.join(rows.withColumnRenamed("query_id", "_rk"), "_rk")
-                         .select("_gk", "_rk", F.lit("ref").alias("side"), "cells")))
-    stats = X.pair_stats(long, ["_gk", "_rk"], row_col="cells").select("_gk", "_rk", "inter", "uni")
-    out = pairs.join(stats, ["_gk", "_rk"], "left")
+                         .select("_pair", F.lit("ref").alias("side"), "cells")))
+    stats = X.pair_stats(long, ["_pair"], row_col="cells").select("_pair", "inter", "uni")
+    out = pairs.join(stats, "_pair", "left").drop("_pair")
     # identical query text: the two result sets are the same set
     inter = F.when(same, F.lit(1)).otherwise(F.col("inter"))
     uni = F.when(same, F.lit(1)).otherwise(F.col("uni"))
