@@ -1,14 +1,21 @@
 """Work made of few bytes is dealt over all cores; keys that move are small."""
 
+from hashlib import md5 as _md5
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sqlscore.functions import cells
+from sqlscore.operators import score as C
 from sqlscore.sources import executor as X
 from sqlscore.sources import fixtures as FX
 
 
+def md5(text):
+    return _md5(text.encode()).hexdigest()
+
+
 @pytest.fixture(scope="module")
 def one_split(spark, tmp_path_factory):
     """3,000 customers (one id a thousand times, one null) in a file that a scan reads in one task."""
@@ -66,3 +73,24 @@ def test_batch_reads_tables_of_a_schema_text(spark, one_split):
     assert rows.count() == 4
     listed = X.run_query_batch(spark, q.withColumn("t", X.declared_tables(F.col("s"))), views, tables="t")[0]
     assert {r["query_id"]: (r["success"], r["row_count"]) for r in listed.collect()} == got
+
+
+def test_kept_executions_make_their_texts_once(spark, one_split, monkeypatch):
+    from sqlscore.plans.catalog import QUERIES
+
+    seen = []
+
+    class Enough(Exception):
+        pass
+
+    def batch(spark, queries, *args, **kwargs):
+        seen.append((queries, kwargs))
+        raise Enough
+    monkeypatch.setattr(X, "run_query_batch", batch)
+    with pytest.raises(Enough):
+        QUERIES["kept_executions"](spark, one_split)
+    queries, kwargs = seen[0]
+    plan = queries._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan and "regexp" not in plan
+    assert queries.rdd.getNumPartitions() > 2
+    assert queries.count() == 2 * 2 * 3000  # two of four generations, each with its reference
