@@ -94,3 +94,13 @@ def test_kept_executions_make_their_texts_once(spark, one_split, monkeypatch):
     assert "FileScan" not in plan and "regexp" not in plan
     assert queries.rdd.getNumPartitions() > 2
     assert queries.count() == 2 * 2 * 3000  # two of four generations, each with its reference
+
+
+def test_distinct_executions_move_no_keys(spark):
+    df = spark.createDataFrame([("a", "s"), ("a", "s"), ("a", None), ("a", None), ("a", ""), (None, "s"), (None, "s"), (None, None)], "q string, s string")
+    out = C.distinct_executions(df, "q", "s")
+    got = sorted(((r["exec_key"], r["query"], r["schema"]) for r in out.collect()), key=str)
+    want = [(md5("a:s"), "a", "s"), (md5("a:"), "a", None), (md5("a:"), "a", ""), (None, None, "s"), (None, None, None)]
+    assert got == sorted(want, key=str)
+    below = out._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
+    assert "md5" not in below  # a key is made of what is left
