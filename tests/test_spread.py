@@ -104,3 +104,12 @@ def test_distinct_executions_move_no_keys(spark):
     assert got == sorted(want, key=str)
     below = out._jdf.queryExecution().executedPlan().toString().split("Exchange")[1]
     assert "md5" not in below  # a key is made of what is left
+
+
+def test_duplicate_stats_group_by_few_bytes(spark):
+    df = spark.createDataFrame([("a", "b"), ("a", "b"), ("ab", ""), ("a", None), (None, "a"), (None, "a")], "x string, y string")
+    out = C.duplicate_stats(df, ["x", "y"])
+    assert tuple(out.first())[:3] == (6, 4, 2)
+    wide = spark.range(100).select(F.lit("k").alias("x"), F.col("id").cast("string").alias("y"))
+    keys = C.duplicate_stats(wide, ["x", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert "unhex(md5(" in keys  # 16 bytes, however many fields
