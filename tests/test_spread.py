@@ -113,3 +113,17 @@ def test_duplicate_stats_group_by_few_bytes(spark):
     wide = spark.range(100).select(F.lit("k").alias("x"), F.col("id").cast("string").alias("y"))
     keys = C.duplicate_stats(wide, ["x", "y"])._jdf.queryExecution().executedPlan().toString()
     assert "unhex(md5(" in keys  # 16 bytes, however many fields
+
+
+def test_write_evaluation_scores_once(spark, one_split, monkeypatch):
+    from sqlscore.plans import catalog
+
+    seen, write = [], catalog.write_evaluation
+
+    def kept(records, summary, path):
+        seen.extend((records, summary))
+        write(records, summary, path)
+    monkeypatch.setattr(catalog, "write_evaluation", kept)
+    out = catalog.QUERIES["write_evaluation"](spark, one_split)
+    assert out.count() == 2001 and {r[0] for r in out.select("num_samples").distinct().collect()} == {2001}
+    assert all("FileScan" not in df._jdf.queryExecution().executedPlan().toString() for df in seen)
