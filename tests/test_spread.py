@@ -127,3 +127,15 @@ def test_write_evaluation_scores_once(spark, one_split, monkeypatch):
     out = catalog.QUERIES["write_evaluation"](spark, one_split)
     assert out.count() == 2001 and {r[0] for r in out.select("num_samples").distinct().collect()} == {2001}
     assert all("FileScan" not in df._jdf.queryExecution().executedPlan().toString() for df in seen)
+
+
+@pytest.mark.parametrize("name", ["sample_rewards", "score_by_type", "reward_monitor", "reward_statistics", "write_eval_summary"])
+def test_scored_texts_are_made_by_all_cores(spark, one_split, monkeypatch, name):
+    from sqlscore.plans import catalog
+
+    seen, outcome = [], catalog.outcome
+    monkeypatch.setattr(catalog, "outcome", lambda *args, **kwargs: seen.append(outcome(*args, **kwargs)) or seen[-1])
+    catalog.QUERIES[name](spark, one_split)
+    made = seen[0].select("_gen_tok", "_ref_tok", "gen_rows")._jdf.queryExecution().executedPlan().toString()
+    texts = made[:made.index("orders.parquet")]  # the candidates' side of the join comes before their rows
+    assert "RoundRobinPartitioning" in texts and texts.index("regexp_replace") < texts.index("RoundRobinPartitioning") < texts.index("customer.parquet")
