@@ -10,6 +10,7 @@ from sqlscore.functions import cells
 from sqlscore.operators import score as C
 from sqlscore.sources import executor as X
 from sqlscore.sources import fixtures as FX
+from sqlscore.sources.tables import spread
 
 
 def md5(text):
@@ -139,3 +140,64 @@ def test_scored_texts_are_made_by_all_cores(spark, one_split, monkeypatch, name)
     made = seen[0].select("_gen_tok", "_ref_tok", "gen_rows")._jdf.queryExecution().executedPlan().toString()
     texts = made[:made.index("orders.parquet")]  # the candidates' side of the join comes before their rows
     assert "RoundRobinPartitioning" in texts and texts.index("regexp_replace") < texts.index("RoundRobinPartitioning") < texts.index("customer.parquet")
+
+
+def _expected_rows(path, spark):
+    """Rows of both sides, made in Python."""
+    ids = [r[0] for r in spark.read.parquet(f"{path}/customer.parquet").collect()]
+    by = {}
+    for k, c in spark.read.parquet(f"{path}/orders.parquet").select("o_orderkey", "o_custkey").collect():
+        by.setdefault(c, []).append(k)
+    out = []
+    for c in ids:
+        for g in range(4):
+            for k in by.get(c, ()) if c is not None else ():
+                v = (c + g) % 11
+                if v != 10:
+                    out.append((c, g, "ref", k))
+                if v not in (7, 8, 9) and not (v == 5 and k % 3 == 0):
+                    out.append((c, g, "gen", k + 1000000 if v == 6 and k % 2 == 0 else k))
+    return sorted(out)
+
+
+def test_result_rows_are_made_in_tasks_of_bounded_size(spark, one_split, monkeypatch):
+    monkeypatch.setattr(FX, "ORDERS_PER_TASK", 100, raising=False)
+    rows = FX.result_rows(spark, one_split)
+    assert rows.rdd.getNumPartitions() == 40  # 4,000 orders; not one scan task, and not merged by the few bytes of the orders
+    assert sorted(map(tuple, rows.select("sample_id", "gen_idx", "side", "cell").collect())) == _expected_rows(one_split, spark)
+    assert "BroadcastHashJoin" not in rows._jdf.queryExecution().executedPlan().toString()  # an order becomes several rows
+
+
+def test_spread_adds_tasks_as_rows_grow(spark):
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    tasks = [spread(spark.range(n), "id", rows_per_task=10).rdd.getNumPartitions() for n in (0, 1, 10 * least, 10 * least + 1, 100 * least)]
+    assert tasks == [least, least, least, least + 1, 10 * least]
+
+
+def test_scores_of_shared_columns_are_those_of_the_texts(spark):
+    texts = ["SELECT a FROM t", "select  a from t -- x", "SELECT b FROM t", "", "   ", None, "```sql\nSELECT a FROM t\n```", "'"]
+    df = spark.createDataFrame([(i, a, b, c) for i, (a, b, c) in enumerate((a, b, c) for a in texts for b in texts for c in ("CREATE TABLE t (a INT);", "none", None))],
+                               "id long, completion string, answer string, context string")
+    flags = {"gen_success": F.lit(True), "gen_error": F.lit(None).cast("string"), "ref_success": F.col("id") % 5 != 0, "exact_match": F.col("id") % 2 == 0,
+             "similarity": F.lit(0.5), "gen_rows": F.lit(1), "ref_rows": F.lit(1)}
+    few = C.with_sql_columns(df).withColumns(flags)
+    plain = few.drop(C.VALID, C.SAME, C.SIM, C.HAS_SCHEMA, C.GIVEN)
+
+    def scores(d):
+        cols = [c for name in ("syntax", "execution", "semantic", "combined") for c in C.score_by_type(name)(d)]
+        return d.select("id", *[c.alias(f"c{i}") for i, c in enumerate(cols)]).orderBy("id").collect()
+    assert scores(few) == scores(plain)
+    assert [r[0] for r in few.orderBy("id").select(C.GIVEN).collect()] == [a is not None and b is not None for a in texts for b in texts for _ in range(3)]
+
+
+@pytest.mark.parametrize("name", ["sample_rewards"])
+def test_no_text_meets_the_result_rows(spark, one_split, monkeypatch, name):
+    from sqlscore.plans import catalog
+
+    seen, write = [], catalog.write_eval_summary
+    monkeypatch.setattr(catalog, "write_eval_summary", lambda summary, path: seen.append(summary) or write(summary, path))
+    out = catalog.QUERIES[name](spark, one_split)
+    plan = (seen + [out])[0]._jdf.queryExecution().executedPlan().toString()
+    above = plan[:plan.index("regexp_replace")]
+    above = above[:above.rindex("Exchange hashpartitioning(sample_id")]  # what is computed of the moved rows
+    assert "SortMergeJoin" in above and not [c for c in ("completion#", "answer#", "_sql#", "_norm#", "_gen_tok#", "_ref_tok#") if c in above]
