@@ -190,7 +190,7 @@ def test_scores_of_shared_columns_are_those_of_the_texts(spark):
     assert [r[0] for r in few.orderBy("id").select(C.GIVEN).collect()] == [a is not None and b is not None for a in texts for b in texts for _ in range(3)]
 
 
-@pytest.mark.parametrize("name", ["sample_rewards", "score_by_type", "reward_monitor"])
+@pytest.mark.parametrize("name", ["sample_rewards", "score_by_type", "reward_monitor", "reward_statistics"])
 def test_no_text_meets_the_result_rows(spark, one_split, monkeypatch, name):
     from sqlscore.plans import catalog
 
