@@ -168,6 +168,13 @@ def test_result_rows_are_made_in_tasks_of_bounded_size(spark, one_split, monkeyp
     assert "BroadcastHashJoin" not in rows._jdf.queryExecution().executedPlan().toString()  # an order becomes several rows
 
 
+def test_texts_are_made_in_tasks_of_bounded_size(spark, one_split, monkeypatch):
+    monkeypatch.setattr(FX, "CUSTOMERS_PER_TASK", 50, raising=False)
+    df = FX.candidates(spark, one_split)
+    sizes = df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == 60 and sum(sizes) == 4 * 3000 and max(sizes) <= 2 * 4 * 50  # 3,000 customers, whatever the cores
+
+
 def test_spread_adds_tasks_as_rows_grow(spark):
     least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     tasks = [spread(spark.range(n), "id", rows_per_task=10).rdd.getNumPartitions() for n in (0, 1, 10 * least, 10 * least + 1, 100 * least)]
