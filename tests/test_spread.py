@@ -175,6 +175,42 @@ def test_texts_are_made_in_tasks_of_bounded_size(spark, one_split, monkeypatch):
     assert len(sizes) == 60 and sum(sizes) == 4 * 3000 and max(sizes) <= 2 * 4 * 50  # 3,000 customers, whatever the cores
 
 
+@pytest.fixture(scope="module")
+def one_crowded(spark, tmp_path_factory):
+    """3,000 of 4,000 orders are those of two customers (one of them stands twice, one order without a customer)."""
+    path = str(tmp_path_factory.mktemp("one_crowded"))
+    spark.createDataFrame([(i,) for i in [*range(300), 5, None]], "c_custkey long").coalesce(1).write.parquet(f"{path}/customer.parquet")
+    key = F.when(F.col("id") < 2000, 5).when(F.col("id") < 3000, 11).when(F.col("id") < 3999, F.col("id") % 300).cast("long")
+    spark.range(4000).select(F.col("id").alias("o_orderkey"), key.alias("o_custkey")).coalesce(1).write.parquet(f"{path}/orders.parquet")
+    return path
+
+
+def test_orders_of_a_crowded_customer_are_dealt_evenly(spark, one_crowded, monkeypatch):
+    monkeypatch.setattr(FX, "ORDERS_PER_TASK", 100)
+    rows = FX.result_rows(spark, one_crowded)
+    assert sorted(map(tuple, rows.select("sample_id", "gen_idx", "side", "cell").collect())) == _expected_rows(one_crowded, spark)
+    sizes = rows.rdd.mapPartitions(lambda r: [sum(1 for _ in r)]).collect()
+    assert max(sizes) <= 2 * 16 * 100 < sum(sizes) / 8  # an order of customer 5 becomes up to sixteen rows
+
+
+def test_scores_do_not_depend_on_crowding(spark, one_crowded, monkeypatch):
+    from sqlscore.plans import catalog
+
+    def scores():
+        return sorted(map(tuple, catalog.QUERIES["score_by_type"](spark, one_crowded).collect()), key=str)
+    before = scores()
+    monkeypatch.setattr(FX, "ORDERS_PER_TASK", 100)
+    assert scores() == before and len(before) == 4 * 4 * 302
+
+
+def test_crowded_keys(spark):
+    from sqlscore.sources.tables import crowded
+    df = spark.range(1000).select(F.when(F.col("id") < 300, 1).when(F.col("id") < 600, 2).when(F.col("id") < 900, None).otherwise(F.col("id")).alias("k"))
+    assert sorted(r[0] for r in crowded(df, "k", 100).collect()) == [1, 2]
+    assert crowded(df, "k", 300) is None  # no task holds twice as many, and no key more
+    assert crowded(df.where("k > 2"), "k", 100) is None and crowded(df.where("false"), "k", 100) is None
+
+
 def test_spread_adds_tasks_as_rows_grow(spark):
     least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
     tasks = [spread(spark.range(n), "id", rows_per_task=10).rdd.getNumPartitions() for n in (0, 1, 10 * least, 10 * least + 1, 100 * least)]
