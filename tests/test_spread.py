@@ -206,9 +206,9 @@ def test_scores_do_not_depend_on_crowding(spark, one_crowded, monkeypatch):
 def test_crowded_keys(spark):
     from sqlscore.sources.tables import crowded
     df = spark.range(1000).select(F.when(F.col("id") < 300, 1).when(F.col("id") < 600, 2).when(F.col("id") < 900, None).otherwise(F.col("id")).alias("k"))
-    assert sorted(r[0] for r in crowded(df, "k", 100).collect()) == [1, 2]
-    assert crowded(df, "k", 300) is None  # no task holds twice as many, and no key more
-    assert crowded(df.where("k > 2"), "k", 100) is None and crowded(df.where("false"), "k", 100) is None
+    assert sorted(r[0] for r in crowded(df, "k", 100, 10).collect()) == [1, 2]
+    assert crowded(df, "k", 300, 8) is None  # no task holds twice as many, and no key more
+    assert crowded(df.where("k > 2"), "k", 100, 8) is None and crowded(df.where("false"), "k", 100, 8) is None
 
 
 def test_spread_adds_tasks_as_rows_grow(spark):
