@@ -105,6 +105,46 @@ def test_extract_schema(spark):
     assert one(spark, S.extract_schema, "no schema here") == ""
 
 
+ODD_TEXTS = [None, "", " ", "\t\n", "a", " a ", "a  b", "a\tb", "a \n b", "\x0ba\x0c", "A B", "a b ", ";", "a;b", "a ;b; ", "SELECT A  FROM T;",
+             "-- c", "A--x\nB", "A -- x\n B", "A/*c*/B", "A /* c\nd */ B", "A/*open", "A--", "/**/", "A/**/--B\n--C", "- - / *", "A-/*x*/-B",
+             "'It''s -- B' A", "A'open -- B", 'SELECT "A--B" X /* \'q */', "-- it's\nA", "'A' /* b */ \"C\"\"D\"", "\u00a0A\u2003B", "\u039f\u0394\u039f\u03a3--x\n\u03a3\u0391",
+             "\u039f\u03a3/**/\u03a3\u0391\u03a3", "x\u00dfY  \U0001f600Z", "a\x00 b"]
+
+
+def test_texts_of_all_shapes(spark):
+    import re
+
+    def norm(c):
+        parts = re.split(f"({T.UNITS})", c)
+        folded = "".join(p.lower() if i % 2 == 0 else " " if p.startswith(("--", "/*")) else p for i, p in enumerate(parts))
+        return re.sub(f"{T.WS}+", " ", folded).strip(T.WS_CHARS)
+
+    def count(c):
+        s = re.sub(T.UNITS, " L ", c).replace(";", " ; ").strip(T.WS_CHARS)
+        return len(re.split(f"{T.WS}+", s)) if s else 0
+    df = spark.createDataFrame([(t,) for t in ODD_TEXTS], "c string")
+    got = df.select("c", T.normalize_sql("c"), T.token_count("c")).collect()
+    assert [tuple(r) for r in got] == [(t, None, None) if t is None else (t, norm(t), count(t)) for t in ODD_TEXTS]
+
+
+def test_fences_of_all_shapes(spark):
+    cases = {None: None, "": "", "``": "``", "```": "```", "``` a ```": "a", "```sql a ```": "a", "```SQL\na\n``` ``` b ```": "a", "```SqL a```": "```SqL a```",
+             "x ``` a ``` ```sql b ```": "b", " sql ``` A\nB\t``` ": "A\nB", "```sqlx a ```": "```sqlx a ```"}
+    df = spark.createDataFrame([(t,) for t in cases], "c string")
+    assert {r[0]: r[1] for r in df.select("c", T.extract_sql_stage2("c")).collect()} == cases
+
+
+def test_no_pattern_is_compiled_for_plain_texts(spark):
+    df = spark.createDataFrame([("a",)], "c string")
+
+    def plan(c):
+        return df.select(c)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan(T.token_count("c"))  # a split by a pattern compiles it for every text
+    taken_apart = plan(T.fold_outside("c"))
+    assert taken_apart.index("split(") > taken_apart.index("Contains(c") and "--)" not in taken_apart[:taken_apart.index("split(")]  # comments alone need no split
+    assert plan(T.normalize_sql("c")).startswith("Project [trim(CASE WHEN")  # collapses only what is not single blanks
+
+
 def test_previews(spark):
     long = "x" * 250
     assert one(spark, T.truncate_long, long) == "x" * 200 + "..."
