@@ -162,6 +162,22 @@ def test_sample_rewards_keep_lists(spark):
     assert r[2]["num_generations"] == 1
 
 
+def test_sample_rewards_meet_texts_that_stayed_behind(spark):
+    rows = [(1, 1, "b", 0.5), (1, 0, "a", 1.0), (1, 0, None, -1.0), (1, 0, "c", 0.25), (1, 0, "a", 0.75), (1, 10, "d", 0.0),
+            (2, 0, "x", -0.2), (None, 1, "n", 0.1), (None, 0, "m", 0.2)]
+    df = spark.createDataFrame(rows, "sample_id long, gen_idx int, completion string, score double").repartition(3)
+    scored = df.select("sample_id", "gen_idx", "score", E.text_digest().alias(E.DIGEST))
+    out = E.sample_rewards(scored, ["sample_id"], keep_lists=True, generations=df)
+    got = {r["sample_id"]: r for r in out.collect()}
+    assert len(got) == 3 and out.columns == ["sample_id", "best_reward", "mean_reward", "num_generations", "generated", "rewards"]
+    first = list(zip(got[1]["generated"], got[1]["rewards"]))
+    assert sorted(first[:4], key=str) == sorted([("a", 1.0), (None, -1.0), ("c", 0.25), ("a", 0.75)], key=str)  # a reward stands by its text
+    assert first[4:] == [("b", 0.5), ("d", 0.0)]
+    assert (got[1]["best_reward"], got[1]["mean_reward"], got[1]["num_generations"]) == (1.0, pytest.approx(0.25), 6)
+    assert (got[2]["generated"], got[2]["rewards"]) == (["x"], [-0.2])
+    assert (got[None]["generated"], got[None]["rewards"], got[None]["num_generations"]) == (["m", "n"], [0.2, 0.1], 2)
+
+
 def test_score_range_strict_fails(spark):
     from pyspark.errors import PySparkException
     from pyspark.sql.utils import AnalysisException  # noqa: F401

@@ -244,3 +244,22 @@ def test_no_text_meets_the_result_rows(spark, one_split, monkeypatch, name):
     above = plan[:plan.index("regexp_replace")]
     above = above[:above.rindex("Exchange hashpartitioning(sample_id")]  # what is computed of the moved rows
     assert "SortMergeJoin" in above and not [c for c in ("completion#", "answer#", "_sql#", "_norm#", "_gen_tok#", "_ref_tok#") if c in above]
+
+
+def test_sample_rewards_keep_generations_and_rewards(spark, one_split):
+    from sqlscore.plans import catalog
+
+    def lists(df):
+        out = {}
+        for sample, gen, value in df.collect():
+            out.setdefault(sample, []).append((gen, value))
+        return {k: [x for _, x in sorted(v, key=lambda p: p[0])] for k, v in out.items()}
+    texts = lists(FX.candidates(spark, one_split).select("sample_id", "gen_idx", "completion"))
+    scores = lists(catalog.QUERIES["sql_score"](spark, one_split).select("sample_id", "gen_idx", "score"))
+    got = {r["sample_id"]: r for r in catalog.QUERIES["sample_rewards"](spark, one_split).collect()}
+    assert len(got) == 2001 and sum(len(r["generated"]) for r in got.values()) == 4 * 3000
+    assert {k: r["generated"] for k, r in got.items()} == texts and {k: r["rewards"] for k, r in got.items()} == scores
+    assert all(r["best_reward"] == max(r["rewards"]) and r["num_generations"] == len(r["rewards"]) for r in got.values())
+    assert all(abs(r["mean_reward"] - sum(r["rewards"]) / len(r["rewards"])) <= 1e-6 for r in got.values())
+    assert got[7]["num_generations"] == 4 * 1000 and got[None]["generated"] == [None] * 4 and got[None]["rewards"] == [-1.0] * 4
+    assert [t[-8:] for t in got[5]["generated"]] == ["% 3 <> 0", "tkey = 5", "ERY HERE", "   "]  # variants 5 to 8
